@@ -16,9 +16,6 @@ from pyspark.sql.types import DataType, TimestampNTZType, TimestampType
 
 TIME_TYPES = (TimestampType, TimestampNTZType)
 
-_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-
-
 def is_time_type(dtype: DataType) -> bool:
     return isinstance(dtype, TIME_TYPES)
 
@@ -55,7 +52,13 @@ def epoch_micros(col: Column, dtype: DataType) -> Column:
     session zone (and no daylight-saving jump) is involved.
     """
     if isinstance(dtype, TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), col)
+        # date and time-of-day parts of a zone-less value involve no zone
+        return (
+            F.unix_date(F.to_date(col)).cast("long") * 86_400_000_000
+            + F.hour(col).cast("long") * 3_600_000_000
+            + F.minute(col).cast("long") * 60_000_000
+            + (F.date_part(F.lit("SECOND"), col) * 1_000_000).cast("long")
+        )
     if isinstance(dtype, TimestampType):
         return F.unix_micros(col)
     raise TypeError(f"not a time type: {dtype.simpleString()}")

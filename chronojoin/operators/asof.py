@@ -220,32 +220,34 @@ def _order_key(s: AsOfSource, i: int, schema: T.StructType) -> Column:
 
 
 def _hot_keys(spark, u0: DataFrame, keys, hot_key_rows: int, max_hot_keys: int, min_width: int):
-    """Keys with more than ``hot_key_rows`` scan rows, as a small DataFrame or None.
-
-    One aggregate over the scan input (partial counts per task, then one row
-    per key).  At most ``max_hot_keys`` keys are kept (the heaviest); any
-    other key simply keeps one bucket, so the result stays exact.
+    """Keys with more than ``hot_key_rows`` scan rows and their bucket width, or None.
+
+    One eager aggregate over the keys and times of the scan input (partial
+    counts per task, one row per key after the shuffle), then a top-k of the
+    heaviest ``max_hot_keys`` keys above the threshold, collected: a proven
+    size bound, so the list is safe to broadcast.  Any other key keeps one
+    bucket, so the result stays exact either way.  With no hot key the scan
+    plan has no bucket machinery at all.
     """
+    n, lo, hi = F.col("n"), F.col(_P + "hlo"), F.col("hi")
+    n_b = F.greatest(F.lit(2), F.ceil(n / F.lit(hot_key_rows)))
+    width = F.greatest(F.ceil((hi - lo + 1) / n_b), F.lit(int(min_width)))
     rows = (
         u0.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(_TU).alias("lo"), F.max(_TU).alias("hi"))
-        .filter(F.col("n") > hot_key_rows)
-        .orderBy(F.col("n").desc())
+        .agg(F.count(F.lit(1)).alias("n"), F.min(_TU).alias(_P + "hlo"), F.max(_TU).alias("hi"))
+        .filter(n > hot_key_rows)
+        .orderBy(n.desc())
         .limit(max_hot_keys)
+        .select(*keys, lo, width.cast("long").alias(_P + "hw"))
         .collect()
     )
     if not rows:
         return None
-    out = []
-    for r in rows:
-        n_b = max(2, math.ceil(r["n"] / hot_key_rows))
-        width = max(1, math.ceil((r["hi"] - r["lo"] + 1) / n_b), min_width)
-        out.append(tuple(r[k] for k in keys) + (int(r["lo"]), int(width)))
     key_fields = [T.StructField(k, u0.schema[k].dataType, True) for k in keys]
     schema = T.StructType(
         key_fields + [T.StructField(_P + "hlo", T.LongType()), T.StructField(_P + "hw", T.LongType())]
     )
-    return spark.createDataFrame(out, schema)
+    return spark.createDataFrame([tuple(r) for r in rows], schema)
 
 
 def asof_join(

@@ -1,0 +1,60 @@
+"""Brute-force as-of join in plain Python, for cross-checks on small inputs.
+
+Candidates of an entity row: source rows with equal (non-NULL) keys and
+``t - ttl <= ts <= t`` (no lower bound for ttl 0).  Rules as in
+``chronojoin.operators.asof``.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+
+def _k(v):
+    # NULL sorts first (smallest)
+    return (0, 0) if v is None else (1, v)
+
+
+def asof(entity, source, keys, feats, ttl=0, created=False, rule="ordered", ties="one"):
+    """entity: list of dicts with keys + 't'; source: dicts with keys + 'ts' [+ 'c'] + feats.
+
+    Returns a list of (entity row, feature dict or None) — several per entity
+    row when ties == 'all' matches several source rows.
+    """
+    out = []
+    for e in entity:
+        if e["t"] is None or any(e[k] is None for k in keys):
+            out.append((e, None))
+            continue
+        cand = [
+            s
+            for s in source
+            if s["ts"] is not None
+            and all(s[k] is not None and s[k] == e[k] for k in keys)
+            and s["ts"] <= e["t"]
+            and (ttl == 0 or s["ts"] >= e["t"] - dt.timedelta(seconds=ttl))
+        ]
+        if rule == "independent_max" and created:
+            cand = [s for s in cand if s["c"] is not None]
+            if not cand:
+                out.append((e, None))
+                continue
+            m_ts = max(s["ts"] for s in cand)
+            m_c = max(s["c"] for s in cand)
+            win = [s for s in cand if s["ts"] == m_ts and s["c"] == m_c]
+        else:
+            if not cand:
+                out.append((e, None))
+                continue
+            order = lambda s: (s["ts"], _k(s.get("c") if created else None))
+            best = max(order(s) for s in cand)
+            win = [s for s in cand if order(s) == best]
+        if not win:
+            out.append((e, None))
+        elif ties == "all":
+            for s in win:
+                out.append((e, {f: s[f] for f in feats}))
+        else:
+            s = max(win, key=lambda s: tuple(_k(s[f]) for f in feats))
+            out.append((e, {f: s[f] for f in feats}))
+    return out
