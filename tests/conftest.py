@@ -19,6 +19,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="cj-test-wh-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
@@ -31,3 +32,14 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="cj-test-")
+
+
+def plan_text(df) -> str:
+    """The formatted physical plan, as ``explain`` prints it."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()

@@ -1,0 +1,103 @@
+"""Historical retrieval over several views (A0, J6), entity forms, refs and checks."""
+
+import datetime as dt
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from chronojoin import FeatureView, InvalidEntity, Source, historical_features
+
+D = dt.datetime
+
+
+@pytest.fixture()
+def views(spark):
+    drivers = spark.createDataFrame(
+        [(1001, D(2022, 1, 1, h), D(2022, 1, 1, h), 0.1 * h, h) for h in range(1, 5)]
+        + [(1002, D(2022, 1, 1, 2), D(2022, 1, 1, 2), 0.5, 7)],
+        "driver_id long, event_timestamp timestamp_ntz, created timestamp_ntz, conv_rate double, trips long",
+    )
+    customers = spark.createDataFrame(
+        [(201, D(2022, 1, 1), 10.0), (201, D(2021, 12, 1), 1.0), (202, D(2021, 1, 1), 3.0)],
+        "customer_id long, event_timestamp timestamp_ntz, balance double",
+    )
+    dv = FeatureView("driver_stats", ["driver_id"], ["conv_rate", "trips"], drivers, ttl_seconds=7 * 86400,
+                     created_ts="created")
+    cv = FeatureView("customer_profile", ["customer_id"], ["balance"], customers, ttl_seconds=7 * 86400)
+    return dv, cv
+
+
+def _entity(spark):
+    return spark.createDataFrame(
+        [(1001, 201, D(2022, 1, 1, 3)), (1002, 202, D(2022, 1, 2)), (1003, 201, D(2022, 1, 5))],
+        "driver_id long, customer_id long, event_timestamp timestamp_ntz",
+    )
+
+
+def test_two_views_two_key_sets(spark, views):
+    out = historical_features(
+        spark, _entity(spark), list(views), ["driver_stats:conv_rate", "customer_profile:balance"]
+    )
+    assert out.columns == ["driver_id", "customer_id", "event_timestamp", "conv_rate", "balance"]
+    got = sorted((r.driver_id, r.conv_rate, r.balance) for r in out.collect())
+    assert got == [(1001, pytest.approx(0.3), 10.0), (1002, 0.5, None), (1003, None, 10.0)]
+
+
+def test_full_feature_names_and_order(spark, views):
+    out = historical_features(
+        spark, _entity(spark), list(views),
+        ["customer_profile:balance", "driver_stats:trips", "driver_stats:conv_rate"], full_feature_names=True,
+    )
+    assert out.columns[3:] == ["customer_profile__balance", "driver_stats__trips", "driver_stats__conv_rate"]
+
+
+def test_sql_and_pandas_entities(spark, views):
+    _entity(spark).createOrReplaceTempView("cj_entity")
+    a = historical_features(spark, "SELECT * FROM cj_entity", list(views), ["driver_stats:trips"])
+    pdf = pd.DataFrame({"driver_id": [1001], "event_timestamp": [pd.Timestamp("2022-01-01 03:00")]})
+    b = historical_features(spark, pdf, list(views), ["driver_stats:trips"])
+    assert sorted(r.trips for r in a.collect() if r.trips is not None) == [3, 7]
+    assert [r.trips for r in b.collect()] == [3]
+    with pytest.raises(InvalidEntity):
+        historical_features(spark, 42, list(views), ["driver_stats:trips"])
+
+
+def test_bad_refs_and_missing_columns(spark, views):
+    with pytest.raises(ValueError):
+        historical_features(spark, _entity(spark), list(views), ["nope:x"])
+    with pytest.raises(ValueError):
+        historical_features(spark, _entity(spark), list(views), ["driver_stats:nope"])
+    with pytest.raises(ValueError):
+        historical_features(spark, _entity(spark), list(views), ["driver_stats"])
+    ent = _entity(spark).drop("customer_id")
+    with pytest.raises(ValueError, match="customer_id"):
+        historical_features(spark, ent, list(views), ["customer_profile:balance"])
+
+
+def test_entity_ts_inference(spark, views):
+    ent = _entity(spark).withColumnRenamed("event_timestamp", "when")
+    out = historical_features(spark, ent, list(views), ["driver_stats:trips"])
+    assert "when" in out.columns
+    two = ent.withColumn("other", F.col("when"))
+    with pytest.raises(ValueError):
+        historical_features(spark, two, list(views), ["driver_stats:trips"])
+    out = historical_features(spark, two, list(views), ["driver_stats:trips"], entity_ts="when")
+    assert out.count() == 3
+
+
+def test_transforms(spark, views):
+    out = historical_features(
+        spark, _entity(spark), list(views), ["driver_stats:conv_rate"],
+        transforms={"conv_pct": F.col("conv_rate") * 100},
+    )
+    assert "conv_pct" in out.columns
+
+
+def test_view_from_source(spark, views, tmp_dir):
+    dv, _ = views
+    dv.source.write.parquet(tmp_dir + "/d")
+    v = FeatureView("d", ["driver_id"], ["trips"], Source(path=tmp_dir + "/d", file_format="parquet",
+                                                          created_ts="created"), ttl_seconds=86400)
+    out = historical_features(spark, _entity(spark), [v], ["d:trips"])
+    assert sorted(r.trips for r in out.collect() if r.trips is not None) == [3, 7]

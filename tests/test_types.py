@@ -1,0 +1,36 @@
+"""Type map (Y1) and time columns (Y2)."""
+
+from pyspark.sql import types as T
+
+from chronojoin import feature_type, feature_types, time_columns
+
+
+def test_scalar_and_list_types():
+    assert feature_type(T.LongType()) == "INT64"
+    assert feature_type(T.IntegerType()) == "INT32"
+    assert feature_type(T.StringType()) == "STRING"
+    assert feature_type(T.DoubleType()) == "DOUBLE"
+    assert feature_type(T.FloatType()) == "FLOAT"
+    assert feature_type(T.BooleanType()) == "BOOL"
+    assert feature_type(T.BinaryType()) == "BYTES"
+    assert feature_type(T.NullType()) == "UNKNOWN"
+    assert feature_type(T.TimestampType()) == "UNIX_TIMESTAMP"
+    assert feature_type(T.TimestampNTZType()) == "UNIX_TIMESTAMP"
+    assert feature_type(T.ArrayType(T.FloatType())) == "FLOAT_LIST"
+    assert feature_type(T.ArrayType(T.LongType())) == "INT64_LIST"
+    assert feature_type(T.ArrayType(T.BinaryType())) == "BYTES_LIST"
+    assert feature_type(T.ArrayType(T.TimestampType())) == "UNIX_TIMESTAMP_LIST"
+    assert feature_type(T.ArrayType(T.BooleanType())) == "BOOL_LIST"
+
+
+def test_unsupported_does_not_raise():
+    for t in (T.DecimalType(10, 2), T.DateType(), T.MapType(T.StringType(), T.LongType()),
+              T.StructType([T.StructField("a", T.LongType())]), T.ArrayType(T.ArrayType(T.LongType()))):
+        assert feature_type(t) == "UNSUPPORTED"
+
+
+def test_frame_types(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    assert feature_types(df) == {"vec_id": "INT64", "embedding": "FLOAT_LIST", "label": "INT32"}
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    assert time_columns(ev) == ["ts"]
