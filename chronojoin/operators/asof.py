@@ -260,8 +260,15 @@ def asof_join(
     bounds: tuple | None = None,
     hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+    stats_entity: DataFrame | None = None,
 ) -> DataFrame:
-    """As-of join of several sources that share the entity key set, in one scan."""
+    """As-of join of several sources that share the entity key set, in one scan.
+
+    ``stats_entity``: the table to count entity rows per key from when
+    looking for hot keys (default ``entity``).  A fold over several key sets
+    passes the original entity table, so counting never re-runs an earlier
+    scan of the fold.
+    """
     keys = list(keys)
     _check(entity, entity_ts, keys, sources)
     spark = entity.sparkSession
@@ -307,7 +314,13 @@ def asof_join(
         min_width = max(
             [s.ttl_seconds * 1_000_000 for s in sources if s.created_rule == "independent_max"] + [1]
         )
-        hot = _hot_keys(spark, u0, keys, hot_key_rows, max_hot_keys, min_width)
+        counted = (stats_entity if stats_entity is not None else entity).filter(valid).select(
+            *[F.col(k) for k in keys], F.col(entity_ts).alias(_T)
+        )
+        for sr in src_rows:
+            counted = counted.unionByName(sr.select(*keys, _T))
+        counted = counted.withColumn(_TU, epoch_micros(F.col(_T), ets_type))
+        hot = _hot_keys(spark, counted, keys, hot_key_rows, max_hot_keys, min_width)
 
     part = list(keys)
     if hot is not None:

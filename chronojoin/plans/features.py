@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -131,13 +132,18 @@ def historical_features(
                 all_keys.append(k)
     check_entity_columns(ent, all_keys, ets)
 
+    bounds = entity_time_range(ent, ets)
+    if bounds[1] is None:
+        bounds = ("1970-01-01 00:00:00", "0001-01-01 00:00:00")
     groups: dict[tuple, list[AsOfSource]] = {}
     for v, feats in wanted:
         names = [f"{v.name}__{f}" for f in feats] if full_feature_names else list(feats)
         src_df = v.load(spark)
-        if isinstance(v.source, Source):
-            # partition pruning on the source's date column, from the entity bounds below
-            pass
+        if isinstance(v.source, Source) and v.source.partition_col:
+            # directory partitions outside [min - ttl, max] are never listed
+            lo = _dt.datetime.fromisoformat(bounds[0][:19]) - _dt.timedelta(seconds=v.ttl_seconds)
+            cond = v.source.partition_filter(lo if v.ttl_seconds else None, bounds[1])
+            src_df = src_df.filter(cond)
         groups.setdefault(tuple(v.keys), []).append(
             AsOfSource(
                 df=src_df,
@@ -151,13 +157,11 @@ def historical_features(
                 tie_break=v.tie_break,
             )
         )
-    bounds = entity_time_range(ent, ets)
-    if bounds[1] is None:
-        bounds = ("1970-01-01 00:00:00", "0001-01-01 00:00:00")
     out = ent
     for keys, sources in groups.items():
         out = asof_join(
-            out, ets, list(keys), sources, bounds=bounds, hot_key_rows=hot_key_rows, max_hot_keys=max_hot_keys
+            out, ets, list(keys), sources, bounds=bounds, hot_key_rows=hot_key_rows, max_hot_keys=max_hot_keys,
+            stats_entity=ent,
         )
     if transforms:
         out = out.withColumns(dict(transforms))
