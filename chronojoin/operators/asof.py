@@ -66,6 +66,9 @@ from ..sources.entity import entity_time_range
 _P = "__cj_"
 _T, _TU, _SIDE, _B, _E = _P + "t", _P + "tu", _P + "side", _P + "b", _P + "e"
 _F_TS, _F_C = _P + "ts", _P + "c"
+_G, _H = _P + "g", _P + "h"
+
+_AUTO = "auto"
 
 DEFAULT_HOT_KEY_ROWS = 2_000_000
 DEFAULT_MAX_HOT_KEYS = 100_000
@@ -219,35 +222,66 @@ def _order_key(s: AsOfSource, i: int, schema: T.StructType) -> Column:
     return F.struct(f[_F_C].alias("c"), *[f[c].alias(c) for c in extra])
 
 
-def _hot_keys(spark, u0: DataFrame, keys, hot_key_rows: int, max_hot_keys: int, min_width: int):
-    """Keys with more than ``hot_key_rows`` scan rows and their bucket width, or None.
+def _key_hash(keys) -> Column:
+    """64-bit hash of the key columns (a constant for a view without keys)."""
+    return F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("long")
+
+
+def count_input(entity: DataFrame, entity_ts: str, keys, sources, bounds, group: int = 0) -> DataFrame:
+    """Keys (hashed) and times of every row a scan would shuffle: ``(_g, _h, _tu)``."""
+    keys = list(keys)
+    ets_type = entity.schema[entity_ts].dataType
+    valid = F.col(entity_ts).isNotNull()
+    for k in keys:
+        valid = valid & F.col(k).isNotNull()
+    parts = [entity.filter(valid).select(*[F.col(k) for k in keys], F.col(entity_ts).alias(_T))]
+    parts += [_source_rows(s, i, keys, ets_type, bounds).select(*keys, _T) for i, s in enumerate(sources)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(
+        F.lit(group).alias(_G), _key_hash(keys).alias(_H), epoch_micros(F.col(_T), ets_type).alias(_TU)
+    )
+
 
-    One eager aggregate over the keys and times of the scan input (partial
-    counts per task, one row per key after the shuffle), then a top-k of the
-    heaviest ``max_hot_keys`` keys above the threshold, collected: a proven
-    size bound, so the list is safe to broadcast.  Any other key keeps one
-    bucket, so the result stays exact either way.  With no hot key the scan
-    plan has no bucket machinery at all.
+def _min_width(sources) -> int:
+    return max([s.ttl_seconds * 1_000_000 for s in sources if s.created_rule == "independent_max"] + [1])
+
+
+def hot_key_tables(spark, inputs, hot_key_rows: int, max_hot_keys: int) -> list:
+    """Hot keys of several scans in one job; per scan a small DataFrame or None.
+
+    ``inputs``: ``[(count_input(...), min_width), ...]`` with distinct group ids.
+    One aggregate over keys and times only (partial counts per task, one row
+    per hashed key after the shuffle), then a top-k of the heaviest
+    ``max_hot_keys`` keys above ``hot_key_rows``, collected: a proven size
+    bound, so each list is safe to broadcast.  A key not in the list keeps
+    one bucket, and a cold key whose hash collides with a hot one is split
+    too; either way the result stays exact.
     """
-    n, lo, hi = F.col("n"), F.col(_P + "hlo"), F.col("hi")
-    n_b = F.greatest(F.lit(2), F.ceil(n / F.lit(hot_key_rows)))
-    width = F.greatest(F.ceil((hi - lo + 1) / n_b), F.lit(int(min_width)))
+    if not inputs:
+        return []
+    u = inputs[0][0]
+    for df, _ in inputs[1:]:
+        u = u.unionByName(df)
+    n = F.col("n")
     rows = (
-        u0.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(_TU).alias(_P + "hlo"), F.max(_TU).alias("hi"))
+        u.groupBy(_G, _H)
+        .agg(F.count(F.lit(1)).alias("n"), F.min(_TU).alias("lo"), F.max(_TU).alias("hi"))
         .filter(n > hot_key_rows)
         .orderBy(n.desc())
         .limit(max_hot_keys)
-        .select(*keys, lo, width.cast("long").alias(_P + "hw"))
         .collect()
     )
-    if not rows:
-        return None
-    key_fields = [T.StructField(k, u0.schema[k].dataType, True) for k in keys]
+    per_group: dict[int, list] = {}
+    for r in rows:
+        n_b = max(2, math.ceil(r["n"] / hot_key_rows))
+        width = max(1, math.ceil((r["hi"] - r["lo"] + 1) / n_b), inputs[r[_G]][1])
+        per_group.setdefault(r[_G], []).append((r[_H], int(r["lo"]), int(width)))
     schema = T.StructType(
-        key_fields + [T.StructField(_P + "hlo", T.LongType()), T.StructField(_P + "hw", T.LongType())]
+        [T.StructField(_H, T.LongType()), T.StructField(_P + "hlo", T.LongType()), T.StructField(_P + "hw", T.LongType())]
     )
-    return spark.createDataFrame([tuple(r) for r in rows], schema)
+    return [spark.createDataFrame(per_group[g], schema) if g in per_group else None for g in range(len(inputs))]
 
 
 def asof_join(
@@ -260,14 +294,13 @@ def asof_join(
     bounds: tuple | None = None,
     hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-    stats_entity: DataFrame | None = None,
+    hot_table=_AUTO,
 ) -> DataFrame:
     """As-of join of several sources that share the entity key set, in one scan.
 
-    ``stats_entity``: the table to count entity rows per key from when
-    looking for hot keys (default ``entity``).  A fold over several key sets
-    passes the original entity table, so counting never re-runs an earlier
-    scan of the fold.
+    ``hot_table``: ``"auto"`` counts keys here (one small job); a caller that
+    already counted (a fold over several key sets does it once for all)
+    passes the table from :func:`hot_key_tables`, or None for no hot key.
     """
     keys = list(keys)
     _check(entity, entity_ts, keys, sources)
@@ -301,7 +334,14 @@ def asof_join(
     for s in src_rows:
         u0 = u0.unionByName(s, allowMissingColumns=True)
 
-    need_tu = hot_key_rows is not None or any(
+    hot = None
+    if not (isinstance(hot_table, str) and hot_table == _AUTO):
+        hot = hot_table
+    elif hot_key_rows is not None:
+        counted = count_input(entity, entity_ts, keys, sources, bounds)
+        hot = hot_key_tables(spark, [(counted, _min_width(sources))], hot_key_rows, max_hot_keys)[0]
+
+    need_tu = hot is not None or any(
         s.created_rule == "independent_max" and s.ttl_seconds > 0 for s in sources
     )
     if need_tu:
@@ -309,19 +349,6 @@ def asof_join(
 
     orders = [_order_key(s, i, u0.schema) for i, s in enumerate(sources)]
 
-    hot = None
-    if hot_key_rows is not None and keys:
-        min_width = max(
-            [s.ttl_seconds * 1_000_000 for s in sources if s.created_rule == "independent_max"] + [1]
-        )
-        counted = (stats_entity if stats_entity is not None else entity).filter(valid).select(
-            *[F.col(k) for k in keys], F.col(entity_ts).alias(_T)
-        )
-        for sr in src_rows:
-            counted = counted.unionByName(sr.select(*keys, _T))
-        counted = counted.withColumn(_TU, epoch_micros(F.col(_T), ets_type))
-        hot = _hot_keys(spark, counted, keys, hot_key_rows, max_hot_keys, min_width)
-
     part = list(keys)
     if hot is not None:
         u0 = _bucketed(u0, hot, keys, sources, fcols, orders)
@@ -421,7 +448,7 @@ def _fan_out_ties(result: DataFrame, s: AsOfSource, i: int, keys, ets_type, boun
 def _bucketed(u0: DataFrame, hot: DataFrame, keys, sources, fcols, orders) -> DataFrame:
     """Add time buckets for hot keys, plus carry rows (and boundary copies)."""
     hw, hlo = F.col(_P + "hw"), F.col(_P + "hlo")
-    u = u0.join(F.broadcast(hot), on=keys, how="left")
+    u = u0.withColumn(_H, _key_hash(keys)).join(F.broadcast(hot), on=_H, how="left").drop(_H)
     u = u.withColumn(
         _B, F.when(hw.isNull(), F.lit(0).cast("long")).otherwise(F.floor((F.col(_TU) - hlo) / hw))
     )

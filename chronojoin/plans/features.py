@@ -9,7 +9,15 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.asof import DEFAULT_HOT_KEY_ROWS, DEFAULT_MAX_HOT_KEYS, AsOfSource, asof_join
+from ..operators.asof import (
+    DEFAULT_HOT_KEY_ROWS,
+    DEFAULT_MAX_HOT_KEYS,
+    AsOfSource,
+    _min_width,
+    asof_join,
+    count_input,
+    hot_key_tables,
+)
 from ..operators.latest import latest_by_key, rows_in_range
 from ..sources.entity import as_dataframe, check_entity_columns, entity_time_range, infer_entity_ts
 from ..sources.source import Source
@@ -157,11 +165,19 @@ def historical_features(
                 tie_break=v.tie_break,
             )
         )
+    # hot keys of every key set in one job, counted on the original entity rows
+    hot_tables = [None] * len(groups)
+    if hot_key_rows is not None:
+        inputs = [
+            (count_input(ent, ets, keys, sources, bounds, g), _min_width(sources))
+            for g, (keys, sources) in enumerate(groups.items())
+        ]
+        hot_tables = hot_key_tables(spark, inputs, hot_key_rows, max_hot_keys)
     out = ent
-    for keys, sources in groups.items():
+    for (keys, sources), hot in zip(groups.items(), hot_tables):
         out = asof_join(
             out, ets, list(keys), sources, bounds=bounds, hot_key_rows=hot_key_rows, max_hot_keys=max_hot_keys,
-            stats_entity=ent,
+            hot_table=hot,
         )
     if transforms:
         out = out.withColumns(dict(transforms))
