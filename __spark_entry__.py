@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from chronojoin import (
     FeatureView,
+    Source,
     feature_types,
     historical_features,
     latest_by_key,
@@ -219,6 +220,39 @@ def q_refresh_latest_two_steps(spark, d):
     return merge_latest(first, second, view)
 
 
+def q_latest_from_path_source(spark, d):
+    # parquet file source with a column rename on read
+    src = Source(path=f"{d}/events.parquet", file_format="parquet", event_ts="event_timestamp",
+                 rename={"ts": "event_timestamp"})
+    return FeatureView("ev", ["user_id"], ["event_type", "value"], src).pull_latest(spark, START, END)
+
+
+def q_latest_from_table_source(spark, d):
+    # catalog table source (S2); (o_custkey, o_orderdate) is not unique: ties go to the greatest features
+    _t(spark, d, "orders").createOrReplaceTempView("cj_orders")
+    src = Source(table="cj_orders", event_ts="o_orderdate")
+    view = FeatureView("cust", ["o_custkey"], ["o_totalprice", "o_orderstatus"], src)
+    return view.pull_latest(spark, dt.datetime(1996, 1, 1), dt.datetime(1997, 12, 31))
+
+
+def q_range_pull_with_created(spark, d):
+    view = FeatureView("v_supp", ["l_suppkey"], ["max_qty", "n_lines"], v_supp(spark, d),
+                       event_ts="event_ts", created_ts="created_ts")
+    return view.pull_all(spark, dt.datetime(1996, 1, 1), dt.datetime(1998, 12, 31))
+
+
+def q_pit_keyless(spark, d, **kw):
+    # a view without keys (rule 13): the newest 'view' event of anyone within an hour
+    src = (
+        _t(spark, d, "events")
+        .filter(F.col("event_type") == "view")
+        .select(F.col("ts").alias("event_ts"), F.col("user_id").alias("viewer_id"), "value")
+    )
+    return point_in_time_join(
+        e_buy(spark, d), src, [], ["viewer_id", "value"], "event_timestamp", "event_ts", ttl_seconds=3600, **kw
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "latest_by_key": q_latest_by_key,
@@ -238,7 +272,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "historical_sql_entity": q_historical_sql_entity,
         "feature_types": q_feature_types,
         "refresh_latest_two_steps": q_refresh_latest_two_steps,
+        "latest_from_path_source": q_latest_from_path_source,
+        "latest_from_table_source": q_latest_from_table_source,
+        "range_pull_with_created": q_range_pull_with_created,
+        "pit_keyless": q_pit_keyless,
         # same queries through the hot-key split path (buckets + carry rows)
+        "pit_keyless_hotsplit": lambda s, d: q_pit_keyless(s, d, hot_key_rows=SPLIT_ROWS),
         "pit_ttl_0_hotsplit": lambda s, d: _pit_buy(s, d, 0, hot_key_rows=SPLIT_ROWS),
         "pit_created_30d_hotsplit": lambda s, d: _pit_supp(s, d, "ordered", hot_key_rows=SPLIT_ROWS),
         "pit_created_30d_independent_hotsplit": lambda s, d: _pit_supp(
@@ -339,6 +378,18 @@ _FEATURE_TYPES = """SELECT table_name, column_name,
   FROM information_schema.columns WHERE table_name IN ('events', 'embeddings')"""
 
 
+_PIT_KEYLESS = f"""WITH ent AS ({_E_BUY}),
+v AS (SELECT ts AS event_ts, user_id AS viewer_id, value FROM events WHERE event_type = 'view'),
+d AS (SELECT DISTINCT event_timestamp FROM ent),
+b AS (SELECT d.event_timestamp, v.viewer_id, v.value,
+             row_number() OVER (PARTITION BY d.event_timestamp
+                                ORDER BY v.event_ts DESC, v.viewer_id DESC, v.value DESC) AS rn
+        FROM d JOIN v ON v.event_ts <= d.event_timestamp
+         AND v.event_ts >= d.event_timestamp - INTERVAL 3600 SECOND)
+SELECT ent.*, b.viewer_id, b.value FROM ent
+  LEFT JOIN b ON ent.event_timestamp = b.event_timestamp AND b.rn = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     pit_buy_1d = _pit_sql(_E_BUY, [("vv", _V_VIEW, ["user_id"], ["event_type", "value"], DAY, False, False, None)])
     pit_buy_0 = _pit_sql(_E_BUY, [("vv", _V_VIEW, ["user_id"], ["event_type", "value"], 0, False, False, None)])
@@ -387,6 +438,15 @@ def oracle_sql() -> dict[str, str]:
         "historical_sql_entity": pit_buy_1d,
         "feature_types": _FEATURE_TYPES,
         "refresh_latest_two_steps": _LATEST_EVENTS,
+        "latest_from_path_source": _LATEST_EVENTS.replace("ts FROM (", "ts AS event_timestamp FROM (", 1),
+        "latest_from_table_source": """SELECT o_custkey, o_totalprice, o_orderstatus, o_orderdate FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey
+             ORDER BY o_orderdate DESC, o_totalprice DESC, o_orderstatus DESC) AS rn
+    FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1997-12-31') WHERE rn = 1""",
+        "range_pull_with_created": f"""SELECT l_suppkey, max_qty, n_lines, event_ts, created_ts FROM ({_V_SUPP})
+  WHERE event_ts BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1998-12-31'""",
+        "pit_keyless": _PIT_KEYLESS,
+        "pit_keyless_hotsplit": _PIT_KEYLESS,
         "pit_ttl_0_hotsplit": pit_buy_0,
         "pit_created_30d_hotsplit": pit_supp,
         "pit_created_30d_independent_hotsplit": independent,

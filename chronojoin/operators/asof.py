@@ -228,7 +228,7 @@ def _key_hash(keys) -> Column:
 
 
 def count_input(entity: DataFrame, entity_ts: str, keys, sources, bounds, group: int = 0) -> DataFrame:
-    """Keys (hashed) and times of every row a scan would shuffle: ``(_g, _h, _tu)``."""
+    """Keys (hashed) and times of every row a scan would shuffle: ``(_g, _h, _t)``."""
     keys = list(keys)
     ets_type = entity.schema[entity_ts].dataType
     valid = F.col(entity_ts).isNotNull()
@@ -239,9 +239,7 @@ def count_input(entity: DataFrame, entity_ts: str, keys, sources, bounds, group:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select(
-        F.lit(group).alias(_G), _key_hash(keys).alias(_H), epoch_micros(F.col(_T), ets_type).alias(_TU)
-    )
+    return out.select(F.lit(group).alias(_G), _key_hash(keys).alias(_H), F.col(_T))
 
 
 def _min_width(sources) -> int:
@@ -265,12 +263,18 @@ def hot_key_tables(spark, inputs, hot_key_rows: int, max_hot_keys: int) -> list:
     for df, _ in inputs[1:]:
         u = u.unionByName(df)
     n = F.col("n")
+    ets_type = u.schema[_T].dataType
     rows = (
         u.groupBy(_G, _H)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(_TU).alias("lo"), F.max(_TU).alias("hi"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(_T).alias("lo"), F.max(_T).alias("hi"))
         .filter(n > hot_key_rows)
         .orderBy(n.desc())
         .limit(max_hot_keys)
+        .select(
+            _G, _H, "n",
+            epoch_micros(F.col("lo"), ets_type).alias("lo"),
+            epoch_micros(F.col("hi"), ets_type).alias("hi"),
+        )
         .collect()
     )
     per_group: dict[int, list] = {}
