@@ -311,7 +311,8 @@ def asof_join(
     spark = entity.sparkSession
     ets_type = entity.schema[entity_ts].dataType
     ent_cols = entity.columns
-    other_cols = [c for c in ent_cols if c not in keys]
+    # the entity time travels as the scan time; keys as the partition columns
+    other_cols = [c for c in ent_cols if c not in keys and c != entity_ts]
     n = len(sources)
     fcols = [f"{_P}f{i}" for i in range(n)]
 
@@ -387,6 +388,8 @@ def asof_join(
     for c in ent_cols:
         if c in keys:
             out_cols.append(F.col(c).cast(entity.schema[c].dataType).alias(c))
+        elif c == entity_ts:
+            out_cols.append(F.col(_T).alias(c))
         else:
             out_cols.append(F.col(_E)[c].alias(c))
     tie_cols = []
