@@ -17,6 +17,10 @@ Plan (one shuffle for all views that share a key set):
    inclusive).  If that row fails the TTL every older one does too.
 3. Entity rows are kept, features pulled out of the struct.  Carrying the
    whole entity row through the scan keeps duplicates and avoids a join back.
+   An entity row with a NULL key meets no source row (source rows with a
+   NULL key are dropped), and one with a NULL time gets NULL features, so
+   every entity row takes the same single path (no second read of the
+   entity, which in a fold would re-run the previous scan).
 
 Hot keys.  A window partition is one task, so a key holding a third of the
 data would be one task.  Before the scan, one aggregate counts rows per key
@@ -231,10 +235,7 @@ def count_input(entity: DataFrame, entity_ts: str, keys, sources, bounds, group:
     """Keys (hashed) and times of every row a scan would shuffle: ``(_g, _h, _t)``."""
     keys = list(keys)
     ets_type = entity.schema[entity_ts].dataType
-    valid = F.col(entity_ts).isNotNull()
-    for k in keys:
-        valid = valid & F.col(k).isNotNull()
-    parts = [entity.filter(valid).select(*[F.col(k) for k in keys], F.col(entity_ts).alias(_T))]
+    parts = [entity.select(*[F.col(k) for k in keys], F.col(entity_ts).alias(_T))]
     parts += [_source_rows(s, i, keys, ets_type, bounds).select(*keys, _T) for i, s in enumerate(sources)]
     out = parts[0]
     for p in parts[1:]:
@@ -279,6 +280,8 @@ def hot_key_tables(spark, inputs, hot_key_rows: int, max_hot_keys: int) -> list:
     )
     per_group: dict[int, list] = {}
     for r in rows:
+        if r["lo"] is None:  # only NULL times: nothing to split by
+            continue
         n_b = max(2, math.ceil(r["n"] / hot_key_rows))
         width = max(1, math.ceil((r["hi"] - r["lo"] + 1) / n_b), inputs[r[_G]][1])
         per_group.setdefault(r[_G], []).append((r[_H], int(r["lo"]), int(width)))
@@ -324,12 +327,10 @@ def asof_join(
     if bounds is None:
         bounds = (None, None)
 
-    valid = F.col(entity_ts).isNotNull()
-    for k in keys:
-        valid = valid & F.col(k).isNotNull()
-
     src_rows = [_source_rows(s, i, keys, ets_type, bounds) for i, s in enumerate(sources)]
-    ent_rows = entity.filter(valid).select(
+    # every entity row goes through the scan: a NULL key meets no source row
+    # (NULL-key source rows are dropped) and a NULL time is blanked below
+    ent_rows = entity.select(
         *[F.col(k) for k in keys],
         F.col(entity_ts).alias(_T),
         F.lit(1).alias(_SIDE),
@@ -395,7 +396,7 @@ def asof_join(
     tie_cols = []
     for i, s in enumerate(sources):
         f = F.col(fcols[i])
-        ok = f.isNotNull()
+        ok = f.isNotNull() & F.col(_T).isNotNull()
         if s.ttl_seconds > 0:
             ok = ok & (f[_F_TS] >= F.col(_T) - seconds_interval(s.ttl_seconds))
         if s.created_rule == "independent_max":
@@ -415,13 +416,8 @@ def asof_join(
         if s.ties == "all":
             result = _fan_out_ties(result, s, i, keys, ets_type, bounds)
 
-    # NULL key or NULL time: kept, no match (rule 5); no shuffle for these rows.
     final_cols = list(ent_cols) + [n for s in sources for n in s.out_names()]
-    result = result.select(*final_cols)
-    rest = entity.filter(~valid)
-    feat_types = {n: result.schema[n].dataType for s in sources for n in s.out_names()}
-    rest = rest.select(*ent_cols, *[F.lit(None).cast(t).alias(n) for n, t in feat_types.items()])
-    return result.unionByName(rest)
+    return result.select(*final_cols)
 
 
 def _fan_out_ties(result: DataFrame, s: AsOfSource, i: int, keys, ets_type, bounds) -> DataFrame:
