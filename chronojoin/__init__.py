@@ -5,7 +5,7 @@ from .operators import AsOfSource, asof_join, latest_by_key, point_in_time_join,
 from .plans import FeatureView, historical_features, resolve_refs
 from .sinks import save_dataset, shared_dir
 from .sources import InvalidEntity, Source, SourceNotFound, as_dataframe, entity_time_range
-from .streaming import merge_latest, refresh_latest
+from .streaming import materialize_incremental, merge_latest, refresh_latest
 
 __all__ = [
     "AsOfSource",
@@ -20,6 +20,7 @@ __all__ = [
     "feature_types",
     "historical_features",
     "latest_by_key",
+    "materialize_incremental",
     "merge_latest",
     "point_in_time_join",
     "refresh_latest",

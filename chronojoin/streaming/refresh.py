@@ -13,6 +13,8 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from ..operators.latest import latest_by_key
 from ..plans.features import FeatureView
@@ -55,3 +57,55 @@ def _after(value):
     if isinstance(value, _dt.date) and not isinstance(value, _dt.datetime):
         value = _dt.datetime(value.year, value.month, value.day)
     return value + _dt.timedelta(microseconds=1)
+
+
+_END = "snapshot_end"
+
+
+def _end_text(value) -> str:
+    if isinstance(value, str):
+        value = _dt.datetime.fromisoformat(value)
+    if value.tzinfo is not None:
+        value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    return value.strftime("%Y%m%dT%H%M%S%f")
+
+
+def latest_snapshot_end(spark: SparkSession, root: str) -> str | None:
+    """The greatest ``snapshot_end`` partition under ``root``, or None if there is none.
+
+    Read from partition metadata (directory names), not from the data.
+    """
+    try:
+        snap = spark.read.parquet(root)
+    except AnalysisException:
+        return None
+    if _END not in snap.columns:
+        return None
+    row = snap.select(F.max(F.col(_END).cast("string")).alias("m")).first()
+    return row["m"]
+
+
+def materialize_incremental(spark: SparkSession, view: FeatureView, root: str, end, start=None) -> DataFrame:
+    """Bring the newest-row snapshot under ``root`` up to ``end`` (K5).
+
+    Snapshots are partitions ``root/snapshot_end=<yyyyMMddTHHmmssffffff>`` of
+    one table.  The newest existing partition gives the previous end; only
+    rows in (previous end, end] are read from the source, merged with that
+    snapshot and written as a new partition (never over an existing one).
+    The first call reads from ``start`` (or the beginning).  Returns the new
+    snapshot, read back.
+    """
+    prev = latest_snapshot_end(spark, root)
+    new_end = _end_text(end)
+    if prev is not None and prev >= new_end:
+        raise ValueError(f"snapshot at {prev} is already at or past {new_end}")
+    if prev is not None:
+        prev_dt = _dt.datetime.strptime(prev, "%Y%m%dT%H%M%S%f")
+        new_rows = view.pull_latest(spark, _after(prev_dt), end)
+        old = spark.read.parquet(f"{root}/{_END}={prev}")
+        merged = merge_latest(old, new_rows, view)
+    else:
+        merged = view.pull_latest(spark, start, end)
+    target = f"{root}/{_END}={new_end}"
+    merged.write.mode("errorifexists").parquet(target)
+    return spark.read.parquet(target)
