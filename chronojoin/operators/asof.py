@@ -247,6 +247,11 @@ def _min_width(sources) -> int:
     return max([s.ttl_seconds * 1_000_000 for s in sources if s.created_rule == "independent_max"] + [1])
 
 
+# Expected sampled rows of a key right at the threshold; the count of such a
+# key is then estimated within a few percent.
+HOT_SAMPLE_ROWS = 1000
+
+
 def hot_key_tables(spark, inputs, hot_key_rows: int, max_hot_keys: int) -> list:
     """Hot keys of several scans in one job; per scan a small DataFrame or None.
 
@@ -257,17 +262,25 @@ def hot_key_tables(spark, inputs, hot_key_rows: int, max_hot_keys: int) -> list:
     bound, so each list is safe to broadcast.  A key not in the list keeps
     one bucket, and a cold key whose hash collides with a hot one is split
     too; either way the result stays exact.
+
+    The rows are sampled (Bernoulli, rate ``HOT_SAMPLE_ROWS / hot_key_rows``)
+    before the aggregate, so only a small fraction of them is hashed and
+    combined: the counts are estimates, which only decide how finely a key
+    is split, never what the join returns.
     """
     if not inputs:
         return []
     u = inputs[0][0]
     for df, _ in inputs[1:]:
         u = u.unionByName(df)
+    rate = min(1.0, HOT_SAMPLE_ROWS / float(hot_key_rows))
+    if rate < 1.0:
+        u = u.sample(withReplacement=False, fraction=rate, seed=7)
     n = F.col("n")
     ets_type = u.schema[_T].dataType
     rows = (
         u.groupBy(_G, _H)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(_T).alias("lo"), F.max(_T).alias("hi"))
+        .agg((F.count(F.lit(1)) / F.lit(rate)).alias("n"), F.min(_T).alias("lo"), F.max(_T).alias("hi"))
         .filter(n > hot_key_rows)
         .orderBy(n.desc())
         .limit(max_hot_keys)

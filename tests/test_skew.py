@@ -59,3 +59,15 @@ def test_split_independent_rule_is_exact(spark):
         plain = point_in_time_join(ent, src, ["k"], ["f"], "t", "ts", hot_key_rows=None, **kw)
         split = point_in_time_join(ent, src, ["k"], ["f"], "t", "ts", hot_key_rows=100, **kw)
         assert sorted((r.eid, r.f) for r in plain.collect()) == sorted((r.eid, r.f) for r in split.collect())
+
+
+def test_sampled_detection_is_exact(spark):
+    # threshold 4000 -> sampling rate 0.25: counts are estimates, results exact
+    ent, src = _data(spark, n=30000)
+    s = AsOfSource(df=src, event_ts="ts", features=["f"])
+    (hot,) = hot_key_tables(spark, [(count_input(ent, "t", ["k"], [s], (None, None)), 1)], 4000, 10)
+    assert hot is not None and hot.count() == 1
+    plain = point_in_time_join(ent, src, ["k"], ["f"], "t", "ts", ttl_seconds=86400, hot_key_rows=None)
+    split = point_in_time_join(ent, src, ["k"], ["f"], "t", "ts", ttl_seconds=86400, hot_key_rows=4000)
+    assert "__cj_b" in plan_text(split)
+    assert sorted((r.eid, r.f) for r in plain.collect()) == sorted((r.eid, r.f) for r in split.collect())
