@@ -116,6 +116,7 @@ def historical_features(
     entity_ts: str | None = None,
     full_feature_names: bool = False,
     transforms: dict | None = None,
+    entity_bounds: tuple | None = None,
     hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
 ) -> DataFrame:
@@ -126,7 +127,9 @@ def historical_features(
     each scan carrying the features found so far in the entity row.  The
     entity time range is read once and prunes every source.  ``transforms``
     ``{name: Column}`` are applied last (request-time computed features).
-    The result is lazy.
+    The result is lazy.  ``entity_bounds=(lo, hi)`` (datetimes or text) gives
+    the entity time range when the caller knows it (it must cover every
+    entity time); the min/max pass over the entity is then skipped.
     """
     ent = as_dataframe(spark, entity)
     ets = infer_entity_ts(ent, entity_ts)
@@ -140,7 +143,10 @@ def historical_features(
                 all_keys.append(k)
     check_entity_columns(ent, all_keys, ets)
 
-    bounds = entity_time_range(ent, ets)
+    if entity_bounds is not None:
+        bounds = tuple(_bound_text(b) for b in entity_bounds)
+    else:
+        bounds = entity_time_range(ent, ets)
     if bounds[1] is None:
         bounds = ("1970-01-01 00:00:00", "0001-01-01 00:00:00")
     groups: dict[tuple, list[AsOfSource]] = {}
@@ -182,3 +188,13 @@ def historical_features(
     if transforms:
         out = out.withColumns(dict(transforms))
     return out
+
+
+def _bound_text(value) -> str:
+    if isinstance(value, str):
+        return value
+    if isinstance(value, _dt.datetime) and value.tzinfo is not None:
+        value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    if isinstance(value, _dt.datetime):
+        return value.isoformat(sep=" ", timespec="microseconds")
+    return _dt.datetime(value.year, value.month, value.day).isoformat(sep=" ")

@@ -113,3 +113,12 @@ def test_partitioned_source_is_pruned(spark, views, tmp_dir):
 
     assert "PartitionFilters: [isnotnull(day" in plan_text(out)
     assert sorted(r.trips for r in out.collect() if r.trips is not None) == [3]
+
+
+def test_given_entity_bounds(spark, views):
+    a = historical_features(spark, _entity(spark), list(views), ["driver_stats:conv_rate", "customer_profile:balance"])
+    b = historical_features(
+        spark, _entity(spark), list(views), ["driver_stats:conv_rate", "customer_profile:balance"],
+        entity_bounds=(D(2022, 1, 1), D(2022, 1, 5)),
+    )
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
