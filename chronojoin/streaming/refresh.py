@@ -11,9 +11,9 @@ snapshot folder (never over the one being read).  Refreshing over
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from ..operators.latest import latest_by_key
@@ -60,6 +60,7 @@ def _after(value):
 
 
 _END = "snapshot_end"
+_END_RE = re.compile(_END + r"=([0-9T]+)/")
 
 
 def _end_text(value) -> str:
@@ -73,16 +74,14 @@ def _end_text(value) -> str:
 def latest_snapshot_end(spark: SparkSession, root: str) -> str | None:
     """The greatest ``snapshot_end`` partition under ``root``, or None if there is none.
 
-    Read from partition metadata (directory names), not from the data.
+    Taken from the file listing (directory names), no data is read.
     """
     try:
-        snap = spark.read.parquet(root)
+        files = spark.read.parquet(root).inputFiles()
     except AnalysisException:
         return None
-    if _END not in snap.columns:
-        return None
-    row = snap.select(F.max(F.col(_END).cast("string")).alias("m")).first()
-    return row["m"]
+    ends = [m.group(1) for m in (_END_RE.search(f) for f in files) if m]
+    return max(ends) if ends else None
 
 
 def materialize_incremental(spark: SparkSession, view: FeatureView, root: str, end, start=None) -> DataFrame:
