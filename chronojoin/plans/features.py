@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.asof import (
     DEFAULT_HOT_KEY_ROWS,
