@@ -1,3 +1,4 @@
 from .features import FeatureView, historical_features, resolve_refs
+from .store import RetrievalJob, SparkOfflineStore
 
-__all__ = ["FeatureView", "historical_features", "resolve_refs"]
+__all__ = ["FeatureView", "RetrievalJob", "SparkOfflineStore", "historical_features", "resolve_refs"]
