@@ -11,10 +11,11 @@ Plan (one shuffle for all views that share a key set):
    created_ts, features...))``; entity rows become ``(keys, _t = entity_ts,
    _side = 1, _e = struct(other entity columns))``.
 2. The union is sorted within ``Window.partitionBy(keys[, _b])`` by
-   ``(_t, _side, _f1..._fn)`` and ``last(_f<i>, ignorenulls)`` over the
-   running frame gives, at each entity row, the newest source row at or
-   before it (``_side`` puts sources first on equal times: upper bound
-   inclusive).  If that row fails the TTL every older one does too.
+   ``(_t, _side)`` and ``max(_f<i>)`` over the running frame gives, at each
+   entity row, the source row at or before it with the greatest (event
+   time, created time, features): the newest, ties broken (``_side`` puts
+   sources first on equal times: upper bound inclusive).  If that row
+   fails the TTL every older one does too.
 3. Entity rows are kept, features pulled out of the struct.  Carrying the
    whole entity row through the scan keeps duplicates and avoids a join back.
    An entity row with a NULL key meets no source row (source rows with a
@@ -207,8 +208,12 @@ def _source_rows(s: AsOfSource, i: int, keys, ets_type, bounds) -> DataFrame:
     )
 
 
-def _order_key(s: AsOfSource, i: int, schema: T.StructType) -> Column:
-    """Sort key of view ``i``'s rows among equal times: created, then tie-break / features."""
+def _order_key(s: AsOfSource, i: int, schema: T.StructType) -> Column | None:
+    """Sort key of view ``i``'s rows among equal times: created, then tie-break / features.
+
+    None when the payload struct itself sorts that way (all features orderable,
+    no explicit tie-break).
+    """
     f = F.col(f"{_P}f{i}")
     names = s.out_names()
     if s.tie_break:
@@ -222,10 +227,17 @@ def _order_key(s: AsOfSource, i: int, schema: T.StructType) -> Column:
     fields = schema[f"{_P}f{i}"].dataType
     extra = [c for c in extra if is_orderable(fields[c].dataType)]
     if extra == names and is_orderable(fields):
-        return f  # the payload itself sorts as (ts, created, features...)
+        return None  # the payload itself sorts as (ts, created, features...)
     return F.struct(f[_F_C].alias("c"), *[f[c].alias(c) for c in extra])
 
 
+def _greatest_payload(f: Column, order: Column | None) -> Column:
+    """Aggregate picking the payload with the greatest (event time, order key)."""
+    if order is None:
+        return F.max(f)
+    return F.max_by(f, F.when(f.isNotNull(), F.struct(f[_F_TS].alias("t"), order.alias("o"))))
+
+
 def _key_hash(keys) -> Column:
     """64-bit hash of the key columns (a constant for a view without keys)."""
     return F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("long")
@@ -374,16 +386,20 @@ def asof_join(
         part = keys + [_B]
 
     # Step 2: the scan.
+    # Source rows sort before entity rows of the same time, so the running
+    # frame of an entity row holds every source row at or before it; the
+    # greatest payload (event time, created, features) among them is the
+    # winner, whatever the order of equal-time source rows.
     w = (
         Window.partitionBy(*[F.col(c) for c in part])
-        .orderBy(F.col(_T).asc_nulls_first(), F.col(_SIDE), *[o.asc_nulls_first() for o in orders])
+        .orderBy(F.col(_T).asc_nulls_first(), F.col(_SIDE))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     scanned_cols = [F.col(c) for c in part] + [F.col(_T), F.col(_SIDE), F.col(_E)]
     extra = []
     for i, s in enumerate(sources):
         f = F.col(fcols[i])
-        scanned_cols.append(F.last(f, ignorenulls=True).over(w).alias(fcols[i]))
+        scanned_cols.append(_greatest_payload(f, orders[i]).over(w).alias(fcols[i]))
         if s.created_rule == "independent_max" and s.created_ts:
             cvals = f[_F_C]
             if hot is not None and s.ttl_seconds == 0:
@@ -486,12 +502,13 @@ def _bucketed(u0: DataFrame, hot: DataFrame, keys, sources, fcols, orders) -> Da
     # last source row per (key, bucket), per view: partial top-1 before the shuffle
     summaries = []
     for i, s in enumerate(sources):
+        order = orders[i] if orders[i] is not None else F.col(fcols[i])
         bw = Window.partitionBy(*keys, _B).orderBy(
-            F.col(_T).desc_nulls_last(), orders[i].desc_nulls_last()
+            F.col(_T).desc_nulls_last(), order.desc_nulls_last()
         )
         last_row = (
             hot_rows.filter(F.col(fcols[i]).isNotNull())
-            .select(*keys, _B, _T, fcols[i], orders[i].alias(f"{_P}o"))
+            .select(*keys, _B, _T, fcols[i], order.alias(f"{_P}o"))
             .withColumn(f"{_P}rn", F.row_number().over(bw))
             .filter(F.col(f"{_P}rn") == 1)
             .select(*keys, _B, fcols[i], F.lit(1).alias(f"{_P}m"))

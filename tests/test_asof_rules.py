@@ -192,3 +192,15 @@ def test_bad_arguments(spark):
         point_in_time_join(e, s, ["missing"], ["f"], "t", "ts")
     with pytest.raises(ValueError):
         point_in_time_join(e, s, ["k"], ["nope"], "t", "ts")
+
+
+@pytest.mark.parametrize("mode", MODES)
+def test_unorderable_feature(spark, mode):
+    # a map feature cannot be sorted; the newest row still wins, ties by the orderable part
+    e = spark.createDataFrame([(1, D(2024, 1, 5))], "k long, t timestamp_ntz")
+    s = spark.createDataFrame(
+        [(1, D(2024, 1, 1), {"a": 1}, 1), (1, D(2024, 1, 3), {"b": 2}, 2), (1, D(2024, 1, 3), {"c": 3}, 3)],
+        "k long, ts timestamp_ntz, m map<string,long>, g long",
+    )
+    out = point_in_time_join(e, s, ["k"], ["m", "g"], "t", "ts", hot_key_rows=mode)
+    assert [(r.m, r.g) for r in out.collect()] == [({"c": 3}, 3)]
