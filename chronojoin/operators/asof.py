@@ -10,12 +10,12 @@ Plan (one shuffle for all views that share a key set):
 1. Source rows become ``(keys, _t = event_ts, _side = 0, _f<i> = struct(event_ts,
    created_ts, features...))``; entity rows become ``(keys, _t = entity_ts,
    _side = 1, _e = struct(other entity columns))``.
-2. The union is sorted within ``Window.partitionBy(keys[, _b])`` by
-   ``(_t, _side)`` and ``max(_f<i>)`` over the running frame gives, at each
-   entity row, the source row at or before it with the greatest (event
-   time, created time, features): the newest, ties broken (``_side`` puts
-   sources first on equal times: upper bound inclusive).  If that row
-   fails the TTL every older one does too.
+2. The union is sorted within ``Window.partitionBy(keys[, _b])`` by ``_t``
+   and ``max(_f<i>)`` over the RANGE frame up to the current row (peers
+   included: upper bound inclusive) gives, at each entity row, the source
+   row at or before it with the greatest (event time, created time,
+   features): the newest, ties broken.  If that row fails the TTL every
+   older one does too.
 3. Entity rows are kept, features pulled out of the struct.  Carrying the
    whole entity row through the scan keeps duplicates and avoids a join back.
    An entity row with a NULL key meets no source row (source rows with a
@@ -43,7 +43,8 @@ Created-time rules:
   greatest event time and the greatest created time of the candidates
   independently and keeps a value only if one row has both.  Rows with a
   NULL created time never match.  With a TTL the greatest created time
-  comes from a range frame over ``[t - ttl, t]``; hot-key buckets are then
+  comes from a bounded RANGE frame ``[t - ttl, t]`` over the same sort;
+  hot-key buckets are then
   made at least ``ttl`` wide and the source rows within ``ttl`` before a
   bucket start are copied into that bucket.
 
@@ -231,6 +232,14 @@ def _order_key(s: AsOfSource, i: int, schema: T.StructType) -> Column | None:
     return F.struct(f[_F_C].alias("c"), *[f[c].alias(c) for c in extra])
 
 
+def _ttl_max_sql(value: str, part, ttl_seconds: int) -> str:
+    by = ", ".join(f"`{c}`" for c in part)
+    return (
+        f"max({value}) OVER ({'PARTITION BY ' + by if by else ''} ORDER BY `{_T}` ASC NULLS FIRST "
+        f"RANGE BETWEEN INTERVAL '{int(ttl_seconds)}' SECOND PRECEDING AND CURRENT ROW)"
+    )
+
+
 def _greatest_payload(f: Column, order: Column | None) -> Column:
     """Aggregate picking the payload with the greatest (event time, order key)."""
     if order is None:
@@ -372,10 +381,7 @@ def asof_join(
         counted = count_input(entity, entity_ts, keys, sources, bounds)
         hot = hot_key_tables(spark, [(counted, _min_width(sources))], hot_key_rows, max_hot_keys)[0]
 
-    need_tu = hot is not None or any(
-        s.created_rule == "independent_max" and s.ttl_seconds > 0 for s in sources
-    )
-    if need_tu:
+    if hot is not None:  # bucket arithmetic
         u0 = u0.withColumn(_TU, epoch_micros(F.col(_T), ets_type))
 
     orders = [_order_key(s, i, u0.schema) for i, s in enumerate(sources)]
@@ -386,14 +392,15 @@ def asof_join(
         part = keys + [_B]
 
     # Step 2: the scan.
-    # Source rows sort before entity rows of the same time, so the running
-    # frame of an entity row holds every source row at or before it; the
-    # greatest payload (event time, created, features) among them is the
-    # winner, whatever the order of equal-time source rows.
+    # A RANGE frame up to the current row includes its peers, so the frame of
+    # an entity row holds every source row at or before its time (upper bound
+    # inclusive) plus the carry row (NULL time, sorted first); the greatest
+    # payload (event time, created, features) among them is the winner.  All
+    # frames below share this one sort order: one sort, one Window operator.
     w = (
         Window.partitionBy(*[F.col(c) for c in part])
-        .orderBy(F.col(_T).asc_nulls_first(), F.col(_SIDE))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .orderBy(F.col(_T).asc_nulls_first())
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     scanned_cols = [F.col(c) for c in part] + [F.col(_T), F.col(_SIDE), F.col(_E)]
     extra = []
@@ -405,12 +412,10 @@ def asof_join(
             if hot is not None and s.ttl_seconds == 0:
                 cvals = F.greatest(cvals, F.col(f"{_P}cm{i}"))
             if s.ttl_seconds > 0:
-                rw = Window.partitionBy(*[F.col(c) for c in part]).orderBy(F.col(_TU)).rangeBetween(
-                    -s.ttl_seconds * 1_000_000, 0
-                )
+                # greatest created time over [t - ttl, t]: same order, bounded frame
+                extra.append(F.expr(_ttl_max_sql(f"`{fcols[i]}`.`{_F_C}`", part, s.ttl_seconds)).alias(f"{_P}mc{i}"))
             else:
-                rw = w
-            extra.append(F.max(cvals).over(rw).alias(f"{_P}mc{i}"))
+                extra.append(F.max(cvals).over(w).alias(f"{_P}mc{i}"))
     scanned = u0.select(*scanned_cols, *extra).filter(F.col(_SIDE) == 1)
 
     # Step 3: entity rows with their features.
