@@ -71,3 +71,26 @@ def test_sampled_detection_is_exact(spark):
     split = point_in_time_join(ent, src, ["k"], ["f"], "t", "ts", ttl_seconds=86400, hot_key_rows=4000)
     assert "__cj_b" in plan_text(split)
     assert sorted((r.eid, r.f) for r in plain.collect()) == sorted((r.eid, r.f) for r in split.collect())
+
+
+def test_shared_scan_equals_separate_joins(spark):
+    # three views on one key set in one scan: mixed TTL, created rules and ties
+    from chronojoin.operators.asof import asof_join
+
+    ent, src = _data(spark, n=3000)
+    src_c = src.withColumn("c", (F.col("ts") + F.make_dt_interval(secs=F.col("f") * 60)).cast("timestamp_ntz"))
+    specs = [
+        dict(df=src, event_ts="ts", features=["f"], names=["a"], ttl_seconds=0),
+        dict(df=src_c, event_ts="ts", features=["f"], names=["b"], ttl_seconds=86400, created_ts="c",
+             created_rule="independent_max"),
+        dict(df=src_c, event_ts="ts", features=["f"], names=["c_"], ttl_seconds=3 * 86400, created_ts="c"),
+    ]
+    for mode in (None, 100):
+        both = asof_join(ent, "t", ["k"], [AsOfSource(**sp) for sp in specs], hot_key_rows=mode)
+        got = sorted((r.eid, r.a, r.b, r.c_) for r in both.collect())
+        cols = {}
+        for sp in specs:
+            one = asof_join(ent, "t", ["k"], [AsOfSource(**sp)], hot_key_rows=None)
+            cols[sp["names"][0]] = {r.eid: r[sp["names"][0]] for r in one.collect()}
+        exp = sorted((e, cols["a"][e], cols["b"][e], cols["c_"][e]) for e in cols["a"])
+        assert got == exp
