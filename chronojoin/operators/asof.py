@@ -56,6 +56,7 @@ tied on (event time, created time), through an equi-join back on
 
 from __future__ import annotations
 
+import logging
 import math
 from dataclasses import dataclass, field
 from typing import Sequence
@@ -76,6 +77,8 @@ _G, _H = _P + "g", _P + "h"
 
 _AUTO = "auto"
 
+log = logging.getLogger("chronojoin")
+
 DEFAULT_HOT_KEY_ROWS = 2_000_000
 DEFAULT_MAX_HOT_KEYS = 100_000
 
@@ -319,6 +322,8 @@ def hot_key_tables(spark, inputs, hot_key_rows: int, max_hot_keys: int) -> list:
         n_b = max(2, math.ceil(r["n"] / hot_key_rows))
         width = max(1, math.ceil((r["hi"] - r["lo"] + 1) / n_b), inputs[r[_G]][1])
         per_group.setdefault(r[_G], []).append((r[_H], int(r["lo"]), int(width)))
+    for g in range(len(inputs)):
+        log.info("as-of scan %d: %d hot key(s) split by time", g, len(per_group.get(g, [])))
     schema = T.StructType(
         [T.StructField(_H, T.LongType()), T.StructField(_P + "hlo", T.LongType()), T.StructField(_P + "hw", T.LongType())]
     )
@@ -356,6 +361,7 @@ def asof_join(
     # Prune every source to [min(t) - ttl, max(t)] with literal bounds.
     if bounds is None and prune:
         bounds = entity_time_range(entity, entity_ts)
+        log.info("entity time range %s .. %s", *bounds)
         if bounds[1] is None:  # no entity row has a time: nothing can match
             bounds = ("1970-01-01 00:00:00", "0001-01-01 00:00:00")
     if bounds is None:
