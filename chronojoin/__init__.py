@@ -2,7 +2,7 @@
 
 from .functions import feature_type, feature_types, time_columns
 from .operators import AsOfSource, asof_join, latest_by_key, point_in_time_join, rows_in_range
-from .plans import FeatureView, RetrievalJob, SparkOfflineStore, historical_features, resolve_refs
+from .plans import FeatureView, RetrievalJob, OfflineStore, historical_features, resolve_refs
 from .sinks import save_dataset, shared_dir
 from .sources import InvalidEntity, Source, SourceNotFound, as_dataframe, entity_time_range
 from .streaming import materialize_incremental, merge_latest, refresh_latest
@@ -14,7 +14,7 @@ __all__ = [
     "RetrievalJob",
     "Source",
     "SourceNotFound",
-    "SparkOfflineStore",
+    "OfflineStore",
     "as_dataframe",
     "asof_join",
     "entity_time_range",

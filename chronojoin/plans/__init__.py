@@ -1,4 +1,4 @@
 from .features import FeatureView, historical_features, resolve_refs
-from .store import RetrievalJob, SparkOfflineStore
+from .store import RetrievalJob, OfflineStore
 
-__all__ = ["FeatureView", "RetrievalJob", "SparkOfflineStore", "historical_features", "resolve_refs"]
+__all__ = ["FeatureView", "RetrievalJob", "OfflineStore", "historical_features", "resolve_refs"]

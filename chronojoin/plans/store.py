@@ -42,7 +42,7 @@ def _view(source, keys, features, event_ts, created_ts) -> FeatureView:
     )
 
 
-class SparkOfflineStore:
+class OfflineStore:
     """The three retrieval calls of an offline store, on Spark."""
 
     @staticmethod

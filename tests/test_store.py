@@ -4,7 +4,7 @@ import datetime as dt
 
 import pandas as pd
 
-from chronojoin import FeatureView, Source, SparkOfflineStore
+from chronojoin import FeatureView, Source, OfflineStore
 
 D = dt.datetime
 
@@ -36,13 +36,13 @@ def _write(spark, tmp_dir):
 
 def test_pull_latest_and_all(spark, tmp_dir):
     dsrc, _, _ = _write(spark, tmp_dir)
-    job = SparkOfflineStore.pull_latest_from_table_or_query(
+    job = OfflineStore.pull_latest_from_table_or_query(
         spark, dsrc, ["driver_id"], ["conv_rate"], "event_timestamp", "created", D(2022, 1, 1), D(2022, 1, 8)
     )
     pdf = job.to_df()
     assert sorted(pdf.driver_id) == [1001, 1002, 1003] and (pdf.conv_rate > 0).all()
     assert job.to_arrow().num_rows == 3
-    allj = SparkOfflineStore.pull_all_from_table_or_query(
+    allj = OfflineStore.pull_all_from_table_or_query(
         spark, dsrc, ["driver_id"], ["conv_rate"], "event_timestamp", D(2022, 1, 1), D(2022, 1, 1, 23)
     )
     assert allj.to_spark_df().count() == 3 * 4
@@ -52,11 +52,11 @@ def test_historical_one_and_two_views(spark, tmp_dir):
     _, dv, cv = _write(spark, tmp_dir)
     entity = pd.DataFrame({"driver_id": [1001], "customer_id": [201],
                            "event_timestamp": [pd.Timestamp("2022-01-08 00:00:00")]})
-    one = SparkOfflineStore.get_historical_features(
+    one = OfflineStore.get_historical_features(
         spark, [dv], ["driver_hourly_stats:conv_rate"], entity[["driver_id", "event_timestamp"]]
     ).to_df()
     assert one.conv_rate.iloc[0] > 0
-    two = SparkOfflineStore.get_historical_features(
+    two = OfflineStore.get_historical_features(
         spark, [dv, cv], ["driver_hourly_stats:conv_rate", "customer_daily_profile:current_balance"], entity,
         full_feature_names=True,
     ).to_df()
