@@ -97,6 +97,8 @@ class AsOfSource:
     ties: str = "one"
     tie_break: Sequence[str] | None = None
     key_map: dict | None = field(default=None)  # entity key -> source column
+    # bounds -> extra literal filter (e.g. on a date partition column), or None
+    partition_prune: object | None = None
 
     def out_names(self) -> list[str]:
         return list(self.names) if self.names is not None else list(self.features)
@@ -204,6 +206,8 @@ def _source_rows(s: AsOfSource, i: int, keys, ets_type, bounds) -> DataFrame:
     created = F.col(s.created_ts) if s.created_ts else F.lit(None).cast(ets_type)
     payload = [ts.alias(_F_TS), created.alias(_F_C)]
     payload += [F.col(f).alias(n) for f, n in zip(s.features, s.out_names())]
+    if s.partition_prune is not None and hi is not None:
+        cond = cond & s.partition_prune(bounds)
     return df.filter(cond).select(
         *[F.col(km.get(k, k)).alias(k) for k in keys],
         ts.alias(_T),
@@ -255,18 +259,6 @@ def _key_hash(keys) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("long")
 
 
-def count_input(entity: DataFrame, entity_ts: str, keys, sources, bounds, group: int = 0) -> DataFrame:
-    """Keys (hashed) and times of every row a scan would shuffle: ``(_g, _h, _t)``."""
-    keys = list(keys)
-    ets_type = entity.schema[entity_ts].dataType
-    parts = [entity.select(*[F.col(k) for k in keys], F.col(entity_ts).alias(_T))]
-    parts += [_source_rows(s, i, keys, ets_type, bounds).select(*keys, _T) for i, s in enumerate(sources)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(F.lit(group).alias(_G), _key_hash(keys).alias(_H), F.col(_T))
-
-
 def _min_width(sources) -> int:
     return max([s.ttl_seconds * 1_000_000 for s in sources if s.created_rule == "independent_max"] + [1])
 
@@ -276,58 +268,131 @@ def _min_width(sources) -> int:
 HOT_SAMPLE_ROWS = 1000
 
 
-def hot_key_tables(spark, inputs, hot_key_rows: int, max_hot_keys: int) -> list:
-    """Hot keys of several scans in one job; per scan a small DataFrame or None.
+def _per_group_table(spark, entries: dict, hot_key_rows: int, max_hot_keys: int, min_width: int):
+    """{hash: (n, lo_us, hi_us)} -> broadcastable table of hot keys, or None."""
+    rows = []
+    for h, (n, lo, hi) in entries.items():
+        if n <= hot_key_rows or lo is None:
+            continue
+        n_b = max(2, math.ceil(n / hot_key_rows))
+        width = max(1, math.ceil((hi - lo + 1) / n_b), min_width)
+        rows.append((n, h, int(lo), int(width)))
+    rows = [r[1:] for r in sorted(rows, reverse=True)[:max_hot_keys]]
+    if not rows:
+        return None
+    schema = T.StructType(
+        [T.StructField(_H, T.LongType()), T.StructField(_P + "hlo", T.LongType()), T.StructField(_P + "hw", T.LongType())]
+    )
+    return spark.createDataFrame(rows, schema)
+
 
-    ``inputs``: ``[(count_input(...), min_width), ...]`` with distinct group ids.
-    One aggregate over keys and times only (partial counts per task, one row
-    per hashed key after the shuffle), then a top-k of the heaviest
-    ``max_hot_keys`` keys above ``hot_key_rows``, collected: a proven size
-    bound, so each list is safe to broadcast.  A key not in the list keeps
-    one bucket, and a cold key whose hash collides with a hot one is split
-    too; either way the result stays exact.
+def scan_stats(spark, entity: DataFrame, entity_ts: str, groups, hot_key_rows: int, max_hot_keys: int,
+               bounds=None):
+    """Entity time range and hot keys of every scan, in two eager jobs.
 
-    The rows are sampled (Bernoulli, rate ``HOT_SAMPLE_ROWS / hot_key_rows``)
-    before the aggregate, so only a small fraction of them is hashed and
-    combined: the counts are estimates, which only decide how finely a key
-    is split, never what the join returns.
+    ``groups``: ``[(keys, sources), ...]``, one per scan (key set).
+
+    1. One aggregate over the entity with grouping sets: the global
+       min/max time (the pruning bounds) and, per key set, the entity rows of
+       each key, keeping keys above half the threshold (top-k, bounded).
+    2. One aggregate over the pruned sources of all scans, on a Bernoulli
+       sample (rate ``HOT_SAMPLE_ROWS / hot_key_rows``): only a small
+       fraction of rows is hashed and combined, and the counts are estimates
+       that only decide how finely a key is split, never what the join
+       returns.  Keys above half the threshold are kept.
+
+    A key whose entity and source rows together exceed ``hot_key_rows``
+    has one side above half of it, so it is found.  Returns
+    ``(bounds, [hot table or None per scan])``.
     """
-    if not inputs:
-        return []
-    u = inputs[0][0]
-    for df, _ in inputs[1:]:
+    ets_type = entity.schema[entity_ts].dataType
+    cols: list[str] = []
+    for keys, _ in groups:
+        for k in keys:
+            if k not in cols:
+                cols.append(k)
+    sets = [list(keys) for keys, _ in groups]
+    gsets = [s_ for s_ in sets if s_] + [[]]
+    full = (1 << len(cols)) - 1
+
+    def gid_of(keyset):
+        return sum(1 << (len(cols) - 1 - j) for j, c in enumerate(cols) if c not in keyset)
+
+    e = entity.select(*[F.col(c) for c in cols], F.col(entity_ts).alias(_T))
+    n = F.col("n")
+    gid = F.col("gid")
+    h = None
+    for keyset in sets:
+        if keyset:
+            expr = F.when(gid == gid_of(keyset), F.xxhash64(*[F.col(k) for k in keyset]))
+            h = expr if h is None else F.coalesce(h, expr)
+    h = F.lit(0).cast("long") if h is None else F.coalesce(h, F.lit(0).cast("long"))
+    ent_rows = (
+        e.groupingSets(gsets, *cols)
+        .agg(F.count(F.lit(1)).alias("n"), F.min(_T).alias("lo"), F.max(_T).alias("hi"), F.grouping_id().alias("gid"))
+        .filter((gid == full) | (n > hot_key_rows / 2))
+        .orderBy((gid == full).desc(), n.desc())
+        .limit(max_hot_keys * len(sets) + 1)
+        .select(
+            "gid", "n", h.alias(_H),
+            F.col("lo").cast("string").alias("lo_s"), F.col("hi").cast("string").alias("hi_s"),
+            epoch_micros(F.col("lo"), ets_type).alias("lo"), epoch_micros(F.col("hi"), ets_type).alias("hi"),
+        )
+        .collect()
+    )
+    totals = [r for r in ent_rows if r["gid"] == full]
+    # grouping sets over an empty table return no grand-total row
+    total = totals[0] if totals else {"n": 0, "lo": None, "hi": None, "lo_s": None, "hi_s": None}
+    if bounds is None:
+        bounds = (total["lo_s"], total["hi_s"])
+        log.info("entity time range %s .. %s", *bounds)
+        if bounds[1] is None:
+            bounds = ("1970-01-01 00:00:00", "0001-01-01 00:00:00")
+    per_group: list[dict] = []
+    for keyset in sets:
+        if keyset:
+            g = gid_of(keyset)
+            per_group.append({r[_H]: (r["n"], r["lo"], r["hi"]) for r in ent_rows if r["gid"] == g})
+        else:  # a scan without keys is one group: the whole entity
+            per_group.append({0: (total["n"], total["lo"], total["hi"])})
+
+    # sources: sampled counts per hashed key, above half the threshold
+    src_inputs = []
+    for g, (keys, sources) in enumerate(groups):
+        parts = [_source_rows(s, i, keys, ets_type, bounds).select(*keys, _T) for i, s in enumerate(sources)]
+        u = parts[0]
+        for p in parts[1:]:
+            u = u.unionByName(p)
+        src_inputs.append(u.select(F.lit(g).alias(_G), _key_hash(keys).alias(_H), F.col(_T)))
+    u = src_inputs[0]
+    for df in src_inputs[1:]:
         u = u.unionByName(df)
     rate = min(1.0, HOT_SAMPLE_ROWS / float(hot_key_rows))
     if rate < 1.0:
         u = u.sample(withReplacement=False, fraction=rate, seed=7)
-    n = F.col("n")
-    ets_type = u.schema[_T].dataType
-    rows = (
+    src_rows = (
         u.groupBy(_G, _H)
         .agg((F.count(F.lit(1)) / F.lit(rate)).alias("n"), F.min(_T).alias("lo"), F.max(_T).alias("hi"))
-        .filter(n > hot_key_rows)
+        .filter(n > hot_key_rows / 2)
         .orderBy(n.desc())
-        .limit(max_hot_keys)
-        .select(
-            _G, _H, "n",
-            epoch_micros(F.col("lo"), ets_type).alias("lo"),
-            epoch_micros(F.col("hi"), ets_type).alias("hi"),
-        )
+        .limit(max_hot_keys * len(groups))
+        .select(_G, _H, "n", epoch_micros(F.col("lo"), ets_type).alias("lo"),
+                epoch_micros(F.col("hi"), ets_type).alias("hi"))
         .collect()
     )
-    per_group: dict[int, list] = {}
-    for r in rows:
-        if r["lo"] is None:  # only NULL times: nothing to split by
-            continue
-        n_b = max(2, math.ceil(r["n"] / hot_key_rows))
-        width = max(1, math.ceil((r["hi"] - r["lo"] + 1) / n_b), inputs[r[_G]][1])
-        per_group.setdefault(r[_G], []).append((r[_H], int(r["lo"]), int(width)))
-    for g in range(len(inputs)):
-        log.info("as-of scan %d: %d hot key(s) split by time", g, len(per_group.get(g, [])))
-    schema = T.StructType(
-        [T.StructField(_H, T.LongType()), T.StructField(_P + "hlo", T.LongType()), T.StructField(_P + "hw", T.LongType())]
-    )
-    return [spark.createDataFrame(per_group[g], schema) if g in per_group else None for g in range(len(inputs))]
+    for r in src_rows:
+        d = per_group[r[_G]]
+        en, elo, ehi = d.get(r[_H], (0, None, None))
+        los = [x for x in (elo, r["lo"]) if x is not None]
+        his = [x for x in (ehi, r["hi"]) if x is not None]
+        d[r[_H]] = (en + r["n"], min(los) if los else None, max(his) if his else None)
+
+    tables = []
+    for g, (keys, sources) in enumerate(groups):
+        t = _per_group_table(spark, per_group[g], hot_key_rows, max_hot_keys, _min_width(sources))
+        log.info("as-of scan %d: %s hot key(s) split by time", g, 0 if t is None else "some")
+        tables.append(t)
+    return bounds, tables
 
 
 def asof_join(
@@ -344,9 +409,9 @@ def asof_join(
 ) -> DataFrame:
     """As-of join of several sources that share the entity key set, in one scan.
 
-    ``hot_table``: ``"auto"`` counts keys here (one small job); a caller that
-    already counted (a fold over several key sets does it once for all)
-    passes the table from :func:`hot_key_tables`, or None for no hot key.
+    ``hot_table``: ``"auto"`` counts keys here (:func:`scan_stats`); a caller
+    that already counted (a fold over several key sets does it once for all)
+    passes the table it got from :func:`scan_stats`, or None for no hot key.
     """
     keys = list(keys)
     _check(entity, entity_ts, keys, sources)
@@ -358,6 +423,18 @@ def asof_join(
     n = len(sources)
     fcols = [f"{_P}f{i}" for i in range(n)]
 
+    hot = None
+    auto = isinstance(hot_table, str) and hot_table == _AUTO
+    if auto and hot_key_rows is not None:
+        # one entity pass for bounds and entity counts, one sampled source pass
+        given = bounds if (bounds is not None or not prune) else None
+        found, (hot,) = scan_stats(spark, entity, entity_ts, [(keys, sources)], hot_key_rows, max_hot_keys,
+                                   bounds=given)
+        if bounds is None and prune:
+            bounds = found
+    elif not auto:
+        hot = hot_table
+
     # Prune every source to [min(t) - ttl, max(t)] with literal bounds.
     if bounds is None and prune:
         bounds = entity_time_range(entity, entity_ts)
@@ -380,13 +457,6 @@ def asof_join(
     for s in src_rows:
         u0 = u0.unionByName(s, allowMissingColumns=True)
 
-    hot = None
-    if not (isinstance(hot_table, str) and hot_table == _AUTO):
-        hot = hot_table
-    elif hot_key_rows is not None:
-        counted = count_input(entity, entity_ts, keys, sources, bounds)
-        hot = hot_key_tables(spark, [(counted, _min_width(sources))], hot_key_rows, max_hot_keys)[0]
-
     if hot is not None:  # bucket arithmetic
         u0 = u0.withColumn(_TU, epoch_micros(F.col(_T), ets_type))
 
@@ -472,6 +542,8 @@ def _fan_out_ties(result: DataFrame, s: AsOfSource, i: int, keys, ets_type, boun
         cond0 = cond0 & (ts <= time_literal(hi, ets_type))
         if s.ttl_seconds > 0:
             cond0 = cond0 & (ts >= time_literal(lo, ets_type) - seconds_interval(s.ttl_seconds))
+        if s.partition_prune is not None:
+            cond0 = cond0 & s.partition_prune(bounds)
     src = s.df.filter(cond0).select(
         *[F.col(km.get(k, k)).alias(f"{_P}k_{k}") for k in keys],
         ts.alias(f"{_P}jts"),

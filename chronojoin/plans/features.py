@@ -12,10 +12,8 @@ from ..operators.asof import (
     DEFAULT_HOT_KEY_ROWS,
     DEFAULT_MAX_HOT_KEYS,
     AsOfSource,
-    _min_width,
     asof_join,
-    count_input,
-    hot_key_tables,
+    scan_stats,
 )
 from ..operators.latest import latest_by_key, rows_in_range
 from ..sources.entity import as_dataframe, check_entity_columns, entity_time_range, infer_entity_ts
@@ -142,21 +140,15 @@ def historical_features(
                 all_keys.append(k)
     check_entity_columns(ent, all_keys, ets)
 
-    if entity_bounds is not None:
-        bounds = tuple(_bound_text(b) for b in entity_bounds)
+    given = tuple(_bound_text(b) for b in entity_bounds) if entity_bounds is not None else None
+    if hot_key_rows is None:
+        bounds = given if given is not None else entity_time_range(ent, ets)
     else:
-        bounds = entity_time_range(ent, ets)
-    if bounds[1] is None:
-        bounds = ("1970-01-01 00:00:00", "0001-01-01 00:00:00")
+        bounds = given  # filled in by scan_stats below, from the same entity pass
     groups: dict[tuple, list[AsOfSource]] = {}
     for v, feats in wanted:
         names = [f"{v.name}__{f}" for f in feats] if full_feature_names else list(feats)
         src_df = v.load(spark)
-        if isinstance(v.source, Source) and v.source.partition_col:
-            # directory partitions outside [min - ttl, max] are never listed
-            lo = _dt.datetime.fromisoformat(bounds[0][:19]) - _dt.timedelta(seconds=v.ttl_seconds)
-            cond = v.source.partition_filter(lo if v.ttl_seconds else None, bounds[1])
-            src_df = src_df.filter(cond)
         groups.setdefault(tuple(v.keys), []).append(
             AsOfSource(
                 df=src_df,
@@ -168,16 +160,18 @@ def historical_features(
                 created_rule=v.created_rule,
                 ties=v.ties,
                 tie_break=v.tie_break,
+                partition_prune=_partition_prune(v),
             )
         )
-    # hot keys of every key set in one job, counted on the original entity rows
+    # hot keys of every key set, counted on the original entity rows: one
+    # entity pass (which also gives the bounds) and one sampled source pass
     hot_tables = [None] * len(groups)
     if hot_key_rows is not None:
-        inputs = [
-            (count_input(ent, ets, keys, sources, bounds, g), _min_width(sources))
-            for g, (keys, sources) in enumerate(groups.items())
-        ]
-        hot_tables = hot_key_tables(spark, inputs, hot_key_rows, max_hot_keys)
+        bounds, hot_tables = scan_stats(
+            spark, ent, ets, list(groups.items()), hot_key_rows, max_hot_keys, bounds=bounds
+        )
+    if bounds[1] is None:
+        bounds = ("1970-01-01 00:00:00", "0001-01-01 00:00:00")
     out = ent
     for (keys, sources), hot in zip(groups.items(), hot_tables):
         out = asof_join(
@@ -197,3 +191,20 @@ def _bound_text(value) -> str:
     if isinstance(value, _dt.datetime):
         return value.isoformat(sep=" ", timespec="microseconds")
     return _dt.datetime(value.year, value.month, value.day).isoformat(sep=" ")
+
+
+def _partition_prune(view: FeatureView):
+    """bounds -> filter on the source's date partition column covering [min - ttl, max], or None.
+
+    Directory partitions outside the window are then never listed or read.
+    """
+    if not (isinstance(view.source, Source) and view.source.partition_col):
+        return None
+
+    def prune(bounds):
+        lo = None
+        if view.ttl_seconds and bounds[0] is not None:
+            lo = _dt.datetime.fromisoformat(bounds[0][:19]) - _dt.timedelta(seconds=view.ttl_seconds)
+        return view.source.partition_filter(lo, bounds[1])
+
+    return prune

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from chronojoin import point_in_time_join
-from chronojoin.operators.asof import count_input, hot_key_tables, AsOfSource
+from chronojoin.operators.asof import AsOfSource, scan_stats
 from conftest import plan_text
 
 BASE = dt.datetime(2024, 1, 1)
@@ -29,13 +29,14 @@ def _data(spark, n=3000):
 def test_hot_key_detected_and_bounded(spark):
     ent, src = _data(spark)
     s = AsOfSource(df=src, event_ts="ts", features=["f"])
-    inp = count_input(ent, "t", ["k"], [s], (None, None))
-    (hot,) = hot_key_tables(spark, [(inp, 1)], hot_key_rows=500, max_hot_keys=10)
+    groups = [(["k"], [s])]
+    bounds, (hot,) = scan_stats(spark, ent, "t", groups, hot_key_rows=500, max_hot_keys=10)
+    assert bounds[0] is not None and bounds[1] is not None
     rows = hot.collect()
     assert len(rows) == 1  # only key 0 holds more than 500 rows
-    (none,) = hot_key_tables(spark, [(inp, 1)], hot_key_rows=10_000, max_hot_keys=10)
+    _, (none,) = scan_stats(spark, ent, "t", groups, hot_key_rows=10_000, max_hot_keys=10)
     assert none is None
-    (capped,) = hot_key_tables(spark, [(inp, 1)], hot_key_rows=5, max_hot_keys=3)
+    _, (capped,) = scan_stats(spark, ent, "t", groups, hot_key_rows=5, max_hot_keys=3)
     assert capped.count() == 3  # the list never exceeds max_hot_keys
 
 
@@ -65,7 +66,7 @@ def test_sampled_detection_is_exact(spark):
     # threshold 4000 -> sampling rate 0.25: counts are estimates, results exact
     ent, src = _data(spark, n=30000)
     s = AsOfSource(df=src, event_ts="ts", features=["f"])
-    (hot,) = hot_key_tables(spark, [(count_input(ent, "t", ["k"], [s], (None, None)), 1)], 4000, 10)
+    _, (hot,) = scan_stats(spark, ent, "t", [(["k"], [s])], 4000, 10)
     assert hot is not None and hot.count() == 1
     plain = point_in_time_join(ent, src, ["k"], ["f"], "t", "ts", ttl_seconds=86400, hot_key_rows=None)
     split = point_in_time_join(ent, src, ["k"], ["f"], "t", "ts", ttl_seconds=86400, hot_key_rows=4000)
