@@ -21,7 +21,6 @@ def test_plain_scan_one_exchange_on_key(spark):
 
 
 def test_same_key_views_share_one_scan(spark):
-    from pyspark.sql import functions as F
     from chronojoin import AsOfSource, asof_join
 
     ent = E.e_buy(spark, SF)
