@@ -43,10 +43,9 @@ Created-time rules:
   greatest event time and the greatest created time of the candidates
   independently and keeps a value only if one row has both.  Rows with a
   NULL created time never match.  With a TTL the greatest created time
-  comes from a bounded RANGE frame ``[t - ttl, t]`` over the same sort;
-  hot-key buckets are then
-  made at least ``ttl`` wide and the source rows within ``ttl`` before a
-  bucket start are copied into that bucket.
+  over ``[t - ttl, t]`` comes from a separate streaming scan over tumbling
+  ``ttl``-wide buckets (see :func:`_range_created_max`), joined back on
+  (keys, t).
 
 Ties: ``"one"`` returns one row per entity row (deterministic: greatest
 created, then greatest feature values); ``"all"`` returns every source row
@@ -239,12 +238,51 @@ def _order_key(s: AsOfSource, i: int, schema: T.StructType) -> Column | None:
     return F.struct(f[_F_C].alias("c"), *[f[c].alias(c) for c in extra])
 
 
-def _ttl_max_sql(value: str, part, ttl_seconds: int) -> str:
-    by = ", ".join(f"`{c}`" for c in part)
-    return (
-        f"max({value}) OVER ({'PARTITION BY ' + by if by else ''} ORDER BY `{_T}` ASC NULLS FIRST "
-        f"RANGE BETWEEN INTERVAL '{int(ttl_seconds)}' SECOND PRECEDING AND CURRENT ROW)"
+def _floor_div(x: Column, w: int) -> Column:
+    """floor(x / w) for longs, exact (also below zero)."""
+    return ((x - F.pmod(x, F.lit(w))) / F.lit(w)).cast("long")
+
+
+def _range_created_max(entity, entity_ts, keys, s, i, ets_type, bounds) -> DataFrame:
+    """Greatest created time over source rows in ``[t - ttl, t]``, per distinct (keys, t).
+
+    Streaming form of a sliding maximum.  With tumbling buckets of width
+    ``ttl``, ``[t - ttl, t]`` is the part of bucket(t) up to ``t`` plus the
+    part of the bucket before it from ``t - ttl`` on.  One shuffle by
+    (keys, bucket): an ascending running max read by a probe at ``t`` in
+    bucket(t), a descending running max read by a probe at ``t - ttl`` in
+    bucket(t) - 1 (RANGE frames: equal times included).  Both halves are then
+    combined per (keys, t).  No sliding frame, so no frame buffer is re-read.
+    """
+    width = s.ttl_seconds * 1_000_000
+    f = F.col(f"{_P}f{i}")
+    c_type = s.df.schema[s.created_ts].dataType
+    src = _source_rows(s, i, keys, ets_type, bounds).select(
+        *keys, F.col(_T), f[_F_C].alias("c"), F.lit(0).alias("p"), F.lit(None).cast(ets_type).alias("t0")
     )
+    src = src.withColumn("b", _floor_div(epoch_micros(F.col(_T), ets_type), width))
+    valid = F.col(entity_ts).isNotNull()
+    for k in keys:
+        valid = valid & F.col(k).isNotNull()
+    d = entity.filter(valid).select(*keys, F.col(entity_ts).alias("t0")).distinct()
+    tb = _floor_div(epoch_micros(F.col("t0"), ets_type), width)
+    none_c = F.lit(None).cast(c_type).alias("c")
+    probe_now = d.select(*keys, F.col("t0").alias(_T), none_c, F.lit(1).alias("p"), "t0", tb.alias("b"))
+    probe_back = d.select(
+        *keys, (F.col("t0") - seconds_interval(s.ttl_seconds)).alias(_T), none_c, F.lit(2).alias("p"), "t0",
+        (tb - 1).alias("b"),
+    )
+    u = src.unionByName(probe_now).unionByName(probe_back)
+    part = [F.col(k) for k in keys] + [F.col("b")]
+    up = Window.partitionBy(*part).orderBy(F.col(_T).asc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy(*part).orderBy(F.col(_T).desc()).rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    v = u.select(
+        *keys, "t0", "p", F.max("c").over(up).alias("a"), F.max("c").over(down).alias("z")
+    ).filter(F.col("p") != 0)
+    v = v.select(*keys, "t0", F.when(F.col("p") == 1, F.col("a")).otherwise(F.col("z")).alias("m"))
+    return v.groupBy(*keys, "t0").agg(F.max("m").alias(f"{_P}m{i}")).withColumnRenamed("t0", entity_ts)
 
 
 def _greatest_payload(f: Column, order: Column | None) -> Column:
@@ -259,23 +297,19 @@ def _key_hash(keys) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("long")
 
 
-def _min_width(sources) -> int:
-    return max([s.ttl_seconds * 1_000_000 for s in sources if s.created_rule == "independent_max"] + [1])
-
-
 # Expected sampled rows of a key right at the threshold; the count of such a
 # key is then estimated within a few percent.
 HOT_SAMPLE_ROWS = 1000
 
 
-def _per_group_table(spark, entries: dict, hot_key_rows: int, max_hot_keys: int, min_width: int):
+def _per_group_table(spark, entries: dict, hot_key_rows: int, max_hot_keys: int):
     """{hash: (n, lo_us, hi_us)} -> broadcastable table of hot keys, or None."""
     rows = []
     for h, (n, lo, hi) in entries.items():
         if n <= hot_key_rows or lo is None:
             continue
         n_b = max(2, math.ceil(n / hot_key_rows))
-        width = max(1, math.ceil((hi - lo + 1) / n_b), min_width)
+        width = max(1, math.ceil((hi - lo + 1) / n_b))
         rows.append((n, h, int(lo), int(width)))
     rows = [r[1:] for r in sorted(rows, reverse=True)[:max_hot_keys]]
     if not rows:
@@ -389,7 +423,7 @@ def scan_stats(spark, entity: DataFrame, entity_ts: str, groups, hot_key_rows: i
 
     tables = []
     for g, (keys, sources) in enumerate(groups):
-        t = _per_group_table(spark, per_group[g], hot_key_rows, max_hot_keys, _min_width(sources))
+        t = _per_group_table(spark, per_group[g], hot_key_rows, max_hot_keys)
         log.info("as-of scan %d: %s hot key(s) split by time", g, 0 if t is None else "some")
         tables.append(t)
     return bounds, tables
@@ -483,15 +517,12 @@ def asof_join(
     for i, s in enumerate(sources):
         f = F.col(fcols[i])
         scanned_cols.append(_greatest_payload(f, orders[i]).over(w).alias(fcols[i]))
-        if s.created_rule == "independent_max" and s.created_ts:
+        if s.created_rule == "independent_max" and s.created_ts and s.ttl_seconds == 0:
+            # greatest created time of all source rows at or before t: same running frame
             cvals = f[_F_C]
-            if hot is not None and s.ttl_seconds == 0:
+            if hot is not None:
                 cvals = F.greatest(cvals, F.col(f"{_P}cm{i}"))
-            if s.ttl_seconds > 0:
-                # greatest created time over [t - ttl, t]: same order, bounded frame
-                extra.append(F.expr(_ttl_max_sql(f"`{fcols[i]}`.`{_F_C}`", part, s.ttl_seconds)).alias(f"{_P}mc{i}"))
-            else:
-                extra.append(F.max(cvals).over(w).alias(f"{_P}mc{i}"))
+            extra.append(F.max(cvals).over(w).alias(f"{_P}mc{i}"))
     scanned = u0.select(*scanned_cols, *extra).filter(F.col(_SIDE) == 1)
 
     # Step 3: entity rows with their features.
@@ -504,14 +535,18 @@ def asof_join(
         else:
             out_cols.append(F.col(_E)[c].alias(c))
     tie_cols = []
+    pending = []  # independent_max with a TTL: gated after the join with the window maximum
     for i, s in enumerate(sources):
         f = F.col(fcols[i])
         ok = f.isNotNull() & F.col(_T).isNotNull()
         if s.ttl_seconds > 0:
             ok = ok & (f[_F_TS] >= F.col(_T) - seconds_interval(s.ttl_seconds))
-        if s.created_rule == "independent_max":
-            if s.created_ts:
+        if s.created_rule == "independent_max" and s.created_ts:
+            if s.ttl_seconds == 0:
                 ok = ok & (f[_F_C] == F.col(f"{_P}mc{i}"))
+            else:
+                pending.append(i)
+                tie_cols.append(F.when(ok, f[_F_C]).alias(f"{_P}pc{i}"))
         if s.ties == "all":
             tie_cols += [
                 F.when(ok, f[_F_TS]).alias(f"{_P}wts{i}"),
@@ -521,6 +556,16 @@ def asof_join(
             out_cols += [F.when(ok, f[n]).alias(n) for n in s.out_names()]
     result = scanned.select(*out_cols, *tie_cols)
 
+    # independent_max with a TTL: keep the winner only if no candidate in
+    # [t - ttl, t] was created later (window maximum from a streaming scan)
+    for i in pending:
+        s = sources[i]
+        m = _range_created_max(entity, entity_ts, keys, s, i, ets_type, bounds)
+        result = result.join(m, on=keys + [entity_ts], how="left")
+        gate = F.col(f"{_P}pc{i}") == F.col(f"{_P}m{i}")
+        gated = [f"{_P}wts{i}", f"{_P}wc{i}"] if s.ties == "all" else s.out_names()
+        result = result.withColumns({c: F.when(gate, F.col(c)) for c in gated}).drop(f"{_P}pc{i}", f"{_P}m{i}")
+
     # Fan out to every tied source row.
     for i, s in enumerate(sources):
         if s.ties == "all":
@@ -561,26 +606,13 @@ def _fan_out_ties(result: DataFrame, s: AsOfSource, i: int, keys, ets_type, boun
 
 
 def _bucketed(u0: DataFrame, hot: DataFrame, keys, sources, fcols, orders) -> DataFrame:
-    """Add time buckets for hot keys, plus carry rows (and boundary copies)."""
+    """Add time buckets for hot keys, plus carry rows."""
     hw, hlo = F.col(_P + "hw"), F.col(_P + "hlo")
     u = u0.withColumn(_H, _key_hash(keys)).join(F.broadcast(hot), on=_H, how="left").drop(_H)
     u = u.withColumn(
         _B, F.when(hw.isNull(), F.lit(0).cast("long")).otherwise(F.floor((F.col(_TU) - hlo) / hw))
     )
 
-    # Boundary copies for independent_max with a TTL: a source row within ttl
-    # of the next bucket start is also placed in that bucket (width >= ttl,
-    # so at most one copy per row).
-    copies = []
-    for i, s in enumerate(sources):
-        if s.created_rule == "independent_max" and s.ttl_seconds > 0:
-            ttl_us = s.ttl_seconds * 1_000_000
-            nxt = hlo + (F.col(_B) + 1) * hw
-            copies.append(
-                u.filter(hw.isNotNull() & F.col(fcols[i]).isNotNull() & (F.col(_TU) + ttl_us >= nxt))
-                .withColumn(_B, F.col(_B) + 1)
-            )
-
     hot_rows = u.filter(hw.isNotNull())
     # last source row per (key, bucket), per view: partial top-1 before the shuffle
     summaries = []
@@ -630,6 +662,4 @@ def _bucketed(u0: DataFrame, hot: DataFrame, keys, sources, fcols, orders) -> Da
     carry = carry.withColumn(_T, F.lit(None).cast(u0.schema[_T].dataType))
 
     u = u.drop(_P + "hw", _P + "hlo")
-    for c in copies:
-        u = u.unionByName(c.drop(_P + "hw", _P + "hlo"), allowMissingColumns=True)
     return u.unionByName(carry, allowMissingColumns=True)

@@ -63,3 +63,18 @@ def test_scan_equals_brute_force(spark, src, ent, ttl_h, created, rule, ties, ho
     exp = sorted((e_["id"], None if m is None else m["f"]) for e_, m in exp_pairs)
     key_ = lambda x: (x[0], repr(x[1]))
     assert sorted(got, key=key_) == sorted(exp, key=key_)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    src=st.lists(src_row, min_size=3, max_size=16),
+    ent=st.lists(ent_row, min_size=1, max_size=8),
+    ttl_h=st.sampled_from([1, 3, 7, 24]),
+    ties=st.sampled_from(["one", "all"]),
+    hot=st.sampled_from([None, 1, 4]),
+)
+def test_independent_rule_with_ttl(spark, src, ent, ttl_h, ties, hot):
+    # the window maximum of created times over [t - ttl, t] (streaming two-direction scan)
+    test_scan_equals_brute_force.hypothesis.inner_test(
+        spark, src, ent, ttl_h, True, "independent_max", ties, hot
+    )
