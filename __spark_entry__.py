@@ -363,7 +363,7 @@ _LATEST_EVENTS = f"""SELECT user_id, event_type, value, ts FROM (
          row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC, value DESC) AS rn
     FROM events WHERE {_RANGE}) WHERE rn = 1"""
 
-_FEATURE_TYPES = """SELECT table_name, column_name,
+_FEATURE_TYPES = """SELECT DISTINCT table_name, column_name,
        CASE WHEN data_type = 'BIGINT' THEN 'INT64'
             WHEN data_type = 'INTEGER' THEN 'INT32'
             WHEN data_type = 'VARCHAR' THEN 'STRING'
