@@ -204,3 +204,27 @@ def test_unorderable_feature(spark, mode):
     )
     out = point_in_time_join(e, s, ["k"], ["m", "g"], "t", "ts", hot_key_rows=mode)
     assert [(r.m, r.g) for r in out.collect()] == [({"c": 3}, 3)]
+
+
+@pytest.mark.parametrize("mode", MODES)
+def test_keyless_independent_with_ttl(spark, mode):
+    import sys, os
+
+    sys.path.insert(0, os.path.dirname(__file__))
+    from brute import asof
+
+    e_rows = [(None, D(2024, 1, 5)), (None, D(2024, 1, 3, 12)), (None, D(2024, 1, 2))]
+    s_rows = [
+        (None, D(2024, 1, 1), D(2024, 1, 9), 1),
+        (None, D(2024, 1, 2), D(2024, 1, 3), 2),
+        (None, D(2024, 1, 3), D(2024, 1, 4), 3),
+        (None, D(2024, 1, 4, 12), D(2024, 1, 5), 4),
+    ]
+    e = spark.createDataFrame(e_rows, ENT).drop("k")
+    s = spark.createDataFrame(s_rows, SRC).drop("k")
+    out = point_in_time_join(e, s, [], ["f"], "t", "ts", ttl_seconds=2 * 86400, created_ts="c",
+                             created_rule="independent_max", hot_key_rows=mode)
+    got = sorted((r.t, r.f) for r in out.collect())
+    exp = asof([{"t": t} for _, t in e_rows], [{"ts": ts, "c": c, "f": f} for _, ts, c, f in s_rows], [], ["f"],
+               ttl=2 * 86400, created=True, rule="independent_max")
+    assert got == sorted((en["t"], None if m is None else m["f"]) for en, m in exp)
