@@ -1,6 +1,7 @@
 """Random small histories: the union-scan equals a brute-force as-of join."""
 
 import datetime as dt
+import os
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -35,7 +36,10 @@ def _ts(h):
     return None if h is None else BASE + dt.timedelta(hours=h)
 
 
-@settings(max_examples=30, deadline=None, suppress_health_check=list(HealthCheck))
+EXAMPLES = int(os.environ.get("CJ_PROP_EXAMPLES", "30"))
+
+
+@settings(max_examples=EXAMPLES, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     src=st.lists(src_row, max_size=14),
     ent=st.lists(ent_row, min_size=1, max_size=8),
@@ -65,7 +69,7 @@ def test_scan_equals_brute_force(spark, src, ent, ttl_h, created, rule, ties, ho
     assert sorted(got, key=key_) == sorted(exp, key=key_)
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=max(5, EXAMPLES - 5), deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     src=st.lists(src_row, min_size=3, max_size=16),
     ent=st.lists(ent_row, min_size=1, max_size=8),
