@@ -103,12 +103,13 @@ def test_view_from_source(spark, views, tmp_dir):
     assert sorted(r.trips for r in out.collect() if r.trips is not None) == [3, 7]
 
 
-def test_partitioned_source_is_pruned(spark, views, tmp_dir):
+@pytest.mark.parametrize("hot", [2_000_000, None])
+def test_partitioned_source_is_pruned(spark, views, tmp_dir, hot):
     dv, _ = views
     dv.source.withColumn("day", F.to_date("event_timestamp")).write.partitionBy("day").parquet(tmp_dir + "/p")
     src = Source(path=tmp_dir + "/p", file_format="parquet", created_ts="created", partition_col="day")
     v = FeatureView("d", ["driver_id"], ["trips"], src, ttl_seconds=3600)
-    out = historical_features(spark, _entity(spark), [v], ["d:trips"])
+    out = historical_features(spark, _entity(spark), [v], ["d:trips"], hot_key_rows=hot)
     from conftest import plan_text
 
     assert "PartitionFilters: [isnotnull(day" in plan_text(out)
