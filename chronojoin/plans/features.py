@@ -126,7 +126,8 @@ def historical_features(
     ``{name: Column}`` are applied last (request-time computed features).
     The result is lazy.  ``entity_bounds=(lo, hi)`` (datetimes or text) gives
     the entity time range when the caller knows it (it must cover every
-    entity time); the min/max pass over the entity is then skipped.
+    entity time): the bounds are then not read from the data, and with
+    ``hot_key_rows=None`` no eager pass over the entity runs at all.
     """
     ent = as_dataframe(spark, entity)
     ets = infer_entity_ts(ent, entity_ts)
