@@ -284,6 +284,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             s, d, "independent_max", hot_key_rows=SPLIT_ROWS
         ),
         "pit_multi_view_hotsplit": lambda s, d: q_pit_multi_view(s, d, hot_key_rows=SPLIT_ROWS),
+        "pit_composite_365d_hotsplit": lambda s, d: _pit_ps(s, d, 365 * DAY, hot_key_rows=SPLIT_ROWS // 20),
     }
 
 
@@ -451,6 +452,9 @@ def oracle_sql() -> dict[str, str]:
         "pit_created_30d_hotsplit": pit_supp,
         "pit_created_30d_independent_hotsplit": independent,
         "pit_multi_view_hotsplit": multi,
+        "pit_composite_365d_hotsplit": _pit_sql(
+            _E_PREV, [("vp", _V_PS, ["l_partkey", "l_suppkey"], ["max_price"], 365 * DAY, False, False, None)]
+        ),
     }
 
 
