@@ -16,24 +16,54 @@ from .features import FeatureView, historical_features
 
 
 class RetrievalJob:
-    """A lazy result: a DataFrame and the ways to hand it off (K1-K4)."""
+    """A lazy result: a DataFrame and the ways to hand it off (K1-K4), plus metadata (K6).
 
-    def __init__(self, df: DataFrame):
+    With ``time_col`` given, the hand-offs run through ``DataFrame.observe``:
+    row count and min/max of that column are gathered while the rows are
+    produced (no extra pass) and read from :attr:`metadata` afterwards.
+    """
+
+    def __init__(self, df: DataFrame, time_col: str | None = None):
         self._df = df
+        self._obs = None
+        self._ran = False  # Observation.get blocks until an action has run
+        if time_col is not None:
+            from pyspark.sql import Observation
+            from pyspark.sql import functions as F
+
+            self._obs = Observation("retrieval")
+            self._df = df.observe(
+                self._obs,
+                F.count(F.lit(1)).alias("rows"),
+                F.min(time_col).alias("min_event_timestamp"),
+                F.max(time_col).alias("max_event_timestamp"),
+            )
 
     def to_spark_df(self) -> DataFrame:
         return self._df
 
     def to_df(self):
         """pandas frame, collected to the driver: for results that fit there."""
-        return self._df.toPandas()
+        out = self._df.toPandas()
+        self._ran = True
+        return out
 
     def to_arrow(self):
         """Arrow table straight from Spark's Arrow batches (no pandas step)."""
-        return self._df.toArrow()
+        out = self._df.toArrow()
+        self._ran = True
+        return out
 
     def persist(self, path: str | None = None, *, table: str | None = None, **kw) -> None:
         save_dataset(self._df, path, table=table, **kw)
+        self._ran = True
+
+    @property
+    def metadata(self) -> dict | None:
+        """Row count and time range of the first hand-off, or None before one ran."""
+        if self._obs is None or not self._ran:
+            return None
+        return dict(self._obs.get)
 
 
 def _view(source, keys, features, event_ts, created_ts) -> FeatureView:
@@ -59,7 +89,7 @@ class OfflineStore:
         """Newest row per key with event time in [start_date, end_date] (L1)."""
         view = _view(data_source, join_key_columns, feature_name_columns, event_timestamp_column,
                      created_timestamp_column)
-        return RetrievalJob(view.pull_latest(spark, start_date, end_date))
+        return RetrievalJob(view.pull_latest(spark, start_date, end_date), time_col=event_timestamp_column)
 
     @staticmethod
     def pull_all_from_table_or_query(

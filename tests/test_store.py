@@ -62,3 +62,15 @@ def test_historical_one_and_two_views(spark, tmp_dir):
     ).to_df()
     assert two["driver_hourly_stats__conv_rate"].iloc[0] > 0
     assert two["customer_daily_profile__current_balance"].iloc[0] > 0
+
+
+def test_job_metadata(spark, tmp_dir):
+    dsrc, _, _ = _write(spark, tmp_dir)
+    job = OfflineStore.pull_latest_from_table_or_query(
+        spark, dsrc, ["driver_id"], ["conv_rate"], "event_timestamp", "created", D(2022, 1, 1), D(2022, 1, 8)
+    )
+    assert job.metadata is None
+    pdf = job.to_df()
+    meta = job.metadata
+    assert meta["rows"] == len(pdf) == 3
+    assert meta["max_event_timestamp"] == pdf.event_timestamp.max().to_pydatetime()
