@@ -253,8 +253,36 @@ def q_pit_keyless(spark, d, **kw):
     )
 
 
+def _llm_queries() -> dict:
+    try:
+        import corpus_pipeline
+
+        from chronojoin import llm
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "chronojoin.llm"):
+            raise
+        return {}
+    return {**llm.queries(), "pipeline": corpus_pipeline.run}
+
+
+def _llm_oracles() -> dict:
+    try:
+        import corpus_pipeline
+
+        from chronojoin import llm
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "chronojoin.llm"):
+            raise
+        return {}
+    out = dict(llm.oracle_sql())
+    if corpus_pipeline.ORACLE_SQL:
+        out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        **_llm_queries(),
         "latest_by_key": q_latest_by_key,
         "latest_with_created": q_latest_with_created,
         "latest_global": q_latest_global,
@@ -407,6 +435,7 @@ def oracle_sql() -> dict[str, str]:
     )
     independent = _independent_sql()
     return {
+        **_llm_oracles(),
         "latest_by_key": _LATEST_EVENTS,
         "latest_with_created": f"""SELECT l_suppkey, max_qty, n_lines, event_ts, created_ts FROM (
   SELECT *, row_number() OVER (PARTITION BY l_suppkey
