@@ -88,18 +88,18 @@ def _class_of(h: np.ndarray, w: np.ndarray) -> bytes:
 
 
 def _texts_to(fn):
-    """mapInPandas over (id, text) in chunks of bounded size; fn(ids, texts) -> DataFrame."""
+    """mapInPandas over rows with a text, in chunks of bounded size; fn(rows, texts) -> DataFrame."""
 
     def run(batches):
         for pdf in batches:
-            ids, texts = pdf["id"].to_numpy(), pdf["text"].tolist()
+            texts = pdf["text"].tolist()
             for a, b in chunks_of_texts(texts, CHUNK_CHARS):
-                yield fn(ids[a:b], texts[a:b])
+                yield fn(pdf.iloc[a:b], texts[a:b])
 
     return run
 
 
-def _signed(ids, texts, bands, rows):
+def _signed(part, texts, bands, rows):
     d, h, w = multisets(texts)
     n = len(texts)
     cut = np.searchsorted(d, np.arange(n + 1))
@@ -108,7 +108,8 @@ def _signed(ids, texts, bands, rows):
     has = cut[1:] > cut[:-1]
     return pd.DataFrame(
         {
-            "id": ids,
+            "id": part["id"].to_numpy(),
+            "text_hash": part["text_hash"].to_numpy(),
             "class": [_class_of(h[cut[i] : cut[i + 1]], w[cut[i] : cut[i + 1]]) if has[i] else None for i in range(n)],
             "bands": [keys[i] if has[i] else None for i in range(n)],
         }
@@ -116,13 +117,15 @@ def _signed(ids, texts, bands, rows):
 
 
 def signed_documents(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
-    """(id, class, bands) of every row; class and bands are null for a text without a word."""
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    run = _texts_to(lambda i, t: _signed(i, t, bands, rows))
-    return src.mapInPandas(run, "id long, class binary, bands array<long>")
+    """(id, text_hash, class, bands) of every row; class and bands are null for a text without a word."""
+    src = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")
+    )
+    run = _texts_to(lambda p, t: _signed(p, t, bands, rows))
+    return src.mapInPandas(run, "id long, text_hash long, class binary, bands array<long>")
 
 
-def _elements(ids, texts):
+def _elements(_, texts):
     """One row per text: its class and the sorted hashes of its (shingle, occurrence) elements."""
     d, h, w = multisets(texts)
     n = len(texts)
@@ -157,15 +160,16 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """(doc_id, component_id, kept) of every row.
+    """(doc_id, component_id, kept, text_hash) of every row.
 
     Rows are linked where the weighted Jaccard similarity of their shingle
     multisets is at least ``threshold``; component_id is the smallest doc_id
-    reachable by links and ``kept`` says whether it is the row's own.  Texts
-    that are null, empty or have no word link with nothing and are kept.  Rows
-    that repeat a doc_id share the decision of their id where their texts are
-    linked.  A null doc_id with partners takes their component (null when all
-    are null) and is kept only without partners.
+    reachable by links and ``kept`` marks the group's one document that stays:
+    the smallest doc_id (null last), then the smallest text_hash (xxhash64 of
+    the text).  Texts that are null, empty or have no word link with nothing
+    and are kept.  Rows equal in doc_id and text share the decision, see
+    ``without_near_duplicates``.  A null doc_id takes its partners' component,
+    null when all of them are null.
 
     Equal multisets form a class at once, and only one representative of a
     class goes on.  In every bucket of a band the member that meets most others
@@ -178,7 +182,11 @@ def near_duplicates(
     classes = (
         signed.filter(F.col("class").isNotNull())
         .groupBy("class")
-        .agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
+        .agg(
+            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("low"),
+            F.first("bands").alias("bands"),
+        )
+        .withColumn("rep", F.col("low.id"))
     )
     entries = classes.select("class", "rep", F.explode("bands").alias("band"))
     sizes = entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -201,24 +209,49 @@ def near_duplicates(
     more = _between(members, classes, sets, comps, threshold)
     if more.take(1):
         comps = stored(connected_components(edges.union(more)), "bag-components")
-    by_class = classes.select("class", "rep").join(comps, F.col("class") == F.col("node"), "left").select(
-        "class", "rep", F.coalesce("component", "class").alias("component")
+    by_class = classes.select("class", "low").join(comps, F.col("class") == F.col("node"), "left").select(
+        "class", "low", F.coalesce("component", "class").alias("component")
     )
-    lowest = by_class.groupBy("component").agg(F.min("rep").alias("component_id"))
-    label = by_class.join(lowest, "component").select("class", "component_id")
+    lowest = by_class.groupBy("component").agg(F.min("low").alias("low"))
+    label = by_class.select("class", "component").join(lowest, "component").select("class", "low")
+    alone = F.col("class").isNull()
     return (
-        signed.select("id", "class")
+        signed.select("id", "text_hash", "class")
         .join(label, "class", "left")
         .select(
             F.col("id").alias("doc_id"),
-            F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-            F.when(F.col("class").isNull(), F.lit(True))
-            .otherwise(F.col("id").eqNullSafe(F.col("component_id")))
-            .alias("kept"),
+            F.when(alone, F.col("id")).otherwise(F.col("low.id")).alias("component_id"),
+            (alone | (F.col("id").eqNullSafe(F.col("low.id")) & (F.col("text_hash") == F.col("low.text_hash")))).alias(
+                "kept"
+            ),
+            "text_hash",
         )
     )
 
 
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns.
+
+    Of rows that are equal in doc_id and text one stays.  The kept keys are
+    joined by plain equality on (doc_id, text_hash), so skewed ids can be split.
+    """
+    found = near_duplicates(docs, id_col, text_col, **how)
+    keys = (
+        found.filter("kept")
+        .groupBy("doc_id", "text_hash")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), "_n")
+    )
+    keys = stored(keys, "bag-kept")
+    on = F.col(id_col).cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(text_col) == F.col("_h"))
+    once = docs.join(keys.filter("_n = 1"), on, "left_semi")
+    if not keys.filter("_n > 1").take(1):
+        return once
+    # empty texts that repeat are not linked, but whole rows that repeat are one document
+    again = docs.join(keys.filter("_n > 1"), on, "left_semi").dropDuplicates([id_col, text_col])
+    return once.unionByName(again)
+
+
 def _sets(docs, members, id_col, text_col) -> DataFrame:
     """Stored (class, e) of every class that meets another in a band, from the text of its representative."""
     needed = members.select("class", "rep").distinct()

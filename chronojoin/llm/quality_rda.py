@@ -168,6 +168,32 @@ def score(stats: DataFrame, model: QuadraticModel | None) -> DataFrame:
 THRESHOLD = 0.3
 
 
+def _trained(stats: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> QuadraticModel | None:
+    y = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
+    train = stats.filter(F.crc32(F.col("id").cast("string")) % 5 != 0)
+    return fit(train.join(y.filter(F.col("y").isin(0, 1)), "id").select("x", "y"))
+
+
+def accepted(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
+) -> DataFrame:
+    """The rows of ``docs`` with a score of ``THRESHOLD`` or more, with all their columns.
+
+    The statistics are computed once for the training join and once more in the
+    filter: cheaper at scale than a shuffle that carries every text.
+    """
+    stats = stored(document_statistics(docs, id_col, text_col), "quality-stats")
+    model = _trained(stats, labels, id_col, label_col)
+
+    @F.pandas_udf("boolean")
+    def keep(text: pd.Series) -> pd.Series:
+        if model is None or not len(text):
+            return pd.Series(np.ones(len(text), bool))
+        return pd.Series(model.score(np.array([statistics(t) for t in text])) >= THRESHOLD)
+
+    return docs.filter(keep(F.col(text_col)))
+
+
 def train_and_score(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
 ) -> DataFrame:
@@ -182,9 +208,7 @@ def train_and_score(
     """
     stats = stored(document_statistics(docs, id_col, text_col), "quality-stats")
     part = F.crc32(F.col("id").cast("string")) % 5
-    y = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
-    model = fit(stats.filter(part != 0).join(y.filter(F.col("y").isin(0, 1)), "id").select("x", "y"))
-    return score(stats, model).select(
+    return score(stats, _trained(stats, labels, id_col, label_col)).select(
         F.col("id").alias("doc_id"),
         F.coalesce(part == 0, F.lit(False)).alias("held_out"),
         "score",
