@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from .bagminhash import op6_bagminhash
+from .bpe_words import op4_bpe_words
+from .pfair_mix import op9_pfair_mix
 from .quality_rda import op8_quality_rda
+from .secret_forest import op5_secret_forest
 
 
 def queries() -> dict:
     return {
+        "op4_bpe_words": op4_bpe_words,
+        "op5_secret_forest": op5_secret_forest,
         "op6_bagminhash": op6_bagminhash,
         "op8_quality_rda": op8_quality_rda,
+        "op9_pfair_mix": op9_pfair_mix,
     }
 
 

@@ -28,7 +28,7 @@ from .graph import connected_components
 from .shingles import multisets
 
 BANDS, ROWS = 24, 5
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 1_000_000
 THRESHOLD = 0.8
 BLOCK_ROWS, BLOCK_BYTES = 256, 32_000_000
 

@@ -15,6 +15,17 @@ log = logging.getLogger(__name__)
 _OWN_DIR: dict[str, str] = {}
 
 
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hold the session's Arrow batches to a few MB: rows here can be long texts, and a batch is in memory whole."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key)
+    if not str(now).isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -44,6 +55,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     to the table, and what was decided from it (row order, thresholds) holds.
     """
     path = f"{scratch_root(df.sparkSession)}/chronojoin-llm/{name}-{uuid.uuid4().hex}"
+    small_batches(df.sparkSession)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stored_path = path

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronojoin.llm import bagminhash, quality_rda
+from chronojoin.llm import bagminhash, bpe_words, pfair_mix, quality_rda, secret_forest
 from chronojoin.llm.common import stored, table
 
 
@@ -18,9 +18,27 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return bagminhash.without_near_duplicates(docs)
 
 
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with confirmed secrets replaced in text (n_chars follows)."""
+    return secret_forest.redacted(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, written in the order of the source mixture."""
+    return pfair_mix.in_order(docs)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded bytes of every document."""
+    return bpe_words.tokenised(docs)
+
+
 STAGES = [
     ("quality", quality_stage),
     ("near_duplicates", near_duplicate_stage),
+    ("secrets", secret_stage),
+    ("mixing", mixing_stage),
+    ("tokens", token_stage),
 ]
 
 # models, signatures and schedules are not SQL; tests/llm holds brute-force versions
