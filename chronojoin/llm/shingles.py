@@ -30,8 +30,11 @@ def _powers(n: int) -> np.ndarray:
         return np.cumprod(np.full(n, BASE, np.uint64), dtype=np.uint64)
 
 
-def word_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
-    """(doc, hash) of every lower-cased word, in order; null texts have none."""
+def word_hashes(texts: list, prefix: int | None = None) -> tuple[np.ndarray, ...]:
+    """(doc, hash) of every lower-cased word, in order; null texts have none.
+
+    With ``prefix`` also the hash of each word's first ``prefix`` characters.
+    """
     low = [t.lower() if t else "" for t in texts]
     ends = np.cumsum([len(t) + 1 for t in low])
     cp = np.frombuffer("\n".join([*low, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -39,15 +42,22 @@ def word_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
     edge = np.diff(inside.astype(np.int8), prepend=0)
     starts, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        none = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return none if prefix is None else (*none, none[1])
     at = np.flatnonzero(inside)
     lens = stops - starts
     first = np.concatenate([[0], np.cumsum(lens)[:-1]])
     place = np.arange(len(at)) - np.repeat(first, lens)
     p = _powers(1 << max(10, int(lens.max()).bit_length()))
     with np.errstate(over="ignore"):
-        h = np.add.reduceat(mix64(cp[at].astype(np.uint64) + GOLDEN) * p[place], first)
-    return np.searchsorted(ends, starts, side="right"), mix64(h + lens.astype(np.uint64))
+        each = mix64(cp[at].astype(np.uint64) + GOLDEN) * p[place]
+        h = np.add.reduceat(each, first)
+    doc = np.searchsorted(ends, starts, side="right")
+    out = doc, mix64(h + lens.astype(np.uint64))
+    if prefix is None:
+        return out
+    with np.errstate(over="ignore"):
+        return *out, mix64(np.add.reduceat(np.where(place < prefix, each, np.uint64(0)), first) ^ GOLDEN)
 
 
 def shingles(texts: list, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
