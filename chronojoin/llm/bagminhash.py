@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, chunks_of_texts, mix64, stored, table
+from .common import GOLDEN, chunks_of_texts, maybe_in, mix64, spread, stored, table
 from .graph import connected_components
 from .shingles import multisets
 
@@ -179,38 +179,35 @@ def near_duplicates(
     member.
     """
     signed = stored(signed_documents(docs, id_col, text_col, bands, rows), "bag-signatures")
-    classes = (
+    classes = stored(
         signed.filter(F.col("class").isNotNull())
         .groupBy("class")
         .agg(
             F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("low"),
             F.first("bands").alias("bands"),
         )
-        .withColumn("rep", F.col("low.id"))
+        .withColumn("cid", F.monotonically_increasing_id()),
+        "bag-classes",
     )
-    entries = classes.select("class", "rep", F.explode("bands").alias("band"))
+    entries = classes.select("cid", F.explode("bands").alias("band")).repartition(spread(docs), "band")
     sizes = entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = entries.join(sizes, "band")
-    meets = members.groupBy("class").agg(F.sum("n").alias("meets"))
-    members = stored(members.join(meets, "class").select("band", "class", "rep", "meets"), "bag-members")
-    leaders = members.groupBy("band").agg(F.max(F.struct("meets", "class", "rep")).alias("l"))
+    members = stored(entries.join(sizes, "band"), "bag-members")
+    meets = members.groupBy("cid").agg(F.sum("n").alias("meets"))
+    leaders = members.join(meets, "cid").groupBy("band").agg(F.max(F.struct("meets", "cid")).alias("l"))
     first = (
         members.join(leaders, "band")
-        .filter(F.col("class") != F.col("l.class"))
-        .select(
-            F.least("class", "l.class").alias("a"),
-            F.greatest("class", "l.class").alias("b"),
-        )
+        .filter(F.col("cid") != F.col("l.cid"))
+        .select(F.least("cid", "l.cid").alias("a"), F.greatest("cid", "l.cid").alias("b"))
         .distinct()
     )
-    sets = _sets(docs, members, id_col, text_col)
+    sets = _sets(docs, classes.join(meets, "cid", "left_semi"), id_col, text_col)
     edges = _linked(first, sets, threshold)
     comps = stored(connected_components(edges), "bag-components")
     more = _between(members, classes, sets, comps, threshold)
     if more.take(1):
         comps = stored(connected_components(edges.union(more)), "bag-components")
-    by_class = classes.select("class", "low").join(comps, F.col("class") == F.col("node"), "left").select(
-        "class", "low", F.coalesce("component", "class").alias("component")
+    by_class = classes.select("class", "cid", "low").join(comps, F.col("cid") == F.col("node"), "left").select(
+        "class", "low", F.coalesce("component", "cid").alias("component")
     )
     lowest = by_class.groupBy("component").agg(F.min("low").alias("low"))
     label = by_class.select("class", "component").join(lowest, "component").select("class", "low")
@@ -232,37 +229,41 @@ def near_duplicates(
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns.
 
-    Of rows that are equal in doc_id and text one stays.  The kept keys are
-    joined by plain equality on (doc_id, text_hash), so skewed ids can be split.
+    Of rows that are equal in doc_id and text one stays.  Only texts that may
+    have to go are shuffled, to a join by plain equality on (doc_id, text_hash).
     """
-    found = near_duplicates(docs, id_col, text_col, **how)
-    keys = (
-        found.filter("kept")
-        .groupBy("doc_id", "text_hash")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), "_n")
+    found = stored(near_duplicates(docs, id_col, text_col, **how), "bag-found")
+    once = found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_n"), F.max("kept").alias("_kept"))
+    # documents to drop, and those of which one of several equal rows stays
+    marked = stored(
+        once.filter("not _kept or _n > 1").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), "_kept"), "bag-marked"
     )
-    keys = stored(keys, "bag-kept")
-    on = F.col(id_col).cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(text_col) == F.col("_h"))
-    once = docs.join(keys.filter("_n = 1"), on, "left_semi")
-    if not keys.filter("_n > 1").take(1):
-        return once
-    # empty texts that repeat are not linked, but whole rows that repeat are one document
-    again = docs.join(keys.filter("_n > 1"), on, "left_semi").dropDuplicates([id_col, text_col])
-    return once.unionByName(again)
-
-
-def _sets(docs, members, id_col, text_col) -> DataFrame:
-    """Stored (class, e) of every class that meets another in a band, from the text of its representative."""
-    needed = members.select("class", "rep").distinct()
-    reps = needed.select(F.col("rep").alias("r")).distinct()
-    texts = docs.join(reps, F.col(id_col).cast("long").eqNullSafe(F.col("r")), "left_semi").select(
-        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")
+    key, th = F.col(id_col).cast("long"), F.xxhash64(text_col)
+    may = maybe_in(F.xxhash64(key, th), marked.select(F.xxhash64("_d", "_h")))
+    on = key.eqNullSafe(F.col("_d")) & (th == F.col("_h"))
+    some = docs.filter(may)
+    rest = some.join(marked, on, "left_anti")
+    again = some.join(marked.filter("_kept"), on, "left_semi").dropDuplicates([id_col, text_col])
+    return docs.filter(~may).unionByName(rest).unionByName(again)
+
+
+def _sets(docs, classes, id_col, text_col) -> DataFrame:
+    """Stored (cid, e) of the given classes, from the text of each class's representative.
+
+    A bitmap of the representatives keeps most other texts out of the join's shuffle.
+    """
+    reps = stored(classes.select(F.col("low.id").alias("r")).distinct(), "bag-reps")
+    key = F.col(id_col).cast("long")
+    texts = (
+        docs.filter(maybe_in(key, reps))
+        .join(reps, key.eqNullSafe(F.col("r")), "left_semi")
+        .select(key.alias("id"), F.col(text_col).alias("text"))
     )
     return stored(
         texts.mapInPandas(_texts_to(_elements), "class binary, e binary")
-        .join(needed, "class", "left_semi")
-        .dropDuplicates(["class"]),
+        .join(classes.select("class", "cid"), "class")
+        .dropDuplicates(["cid"])
+        .select("cid", "e"),
         "bag-sets",
     )
 
@@ -275,10 +276,10 @@ def _linked(pairs, sets, threshold) -> DataFrame:
             ok = [_similarity(a, b, threshold) >= threshold for a, b in zip(pdf["ea"], pdf["eb"])]
             yield pdf.loc[ok, ["a", "b"]].rename(columns={"a": "u", "b": "v"})
 
-    both = pairs.join(sets.select(F.col("class").alias("a"), F.col("e").alias("ea")), "a").join(
-        sets.select(F.col("class").alias("b"), F.col("e").alias("eb")), "b"
+    both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("e").alias("ea")), "a").join(
+        sets.select(F.col("cid").alias("b"), F.col("e").alias("eb")), "b"
     )
-    return stored(both.mapInPandas(verify, "u binary, v binary"), "bag-links")
+    return stored(both.mapInPandas(verify, "u long, v long"), "bag-links")
 
 
 def _between(members, classes, sets, comps, threshold) -> DataFrame:
@@ -289,31 +290,34 @@ def _between(members, classes, sets, comps, threshold) -> DataFrame:
     different components (each pair in the first bucket that both share) and
     returns a link for each merge it finds, never the pairs themselves.
     """
-    where = members.join(comps, F.col("class") == F.col("node"), "left").select(
-        "band", "class", F.coalesce("component", "class").alias("c")
+    where = members.join(comps, F.col("cid") == F.col("node"), "left").select(
+        "band", "cid", F.coalesce("component", "cid").alias("c")
     )
     mixed = where.groupBy("band").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 != c1").select("band")
-    left = where.join(mixed, "band", "left_semi").join(sets, "class")
-    size = left.groupBy("band").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK_ROWS + F.sum(F.length("e")) / BLOCK_BYTES).cast("int").alias("nb")
+    left = stored(where.join(mixed, "band", "left_semi"), "bag-mixed")
+    size = (
+        left.join(sets.select("cid", F.length("e").alias("bytes")), "cid")
+        .groupBy("band")
+        .agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS + F.sum("bytes") / BLOCK_BYTES).cast("int").alias("nb"))
     )
-    left = left.join(classes.select("class", "bands"), "class").join(size, "band")
-    mine = F.pmod(F.xxhash64("class"), F.col("nb")).cast("int")
-    rows = left.withColumn("k", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    rows = rows.select(
-        "band", F.least("k", "o").alias("i"), F.greatest("k", "o").alias("j"), "k", "class", "c", "e", "bands"
+    left = left.join(size, "band").withColumn("k", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int"))
+    rows = (
+        left.join(sets, "cid")
+        .join(classes.select("cid", "bands"), "cid")
+        .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+        .select("band", F.least("k", "o").alias("i"), F.greatest("k", "o").alias("j"), "k", "cid", "c", "e", "bands")
     )
 
     def pairs(key, pdf):
         return _merges(key[0], key[1], key[2], pdf, threshold)
 
-    return stored(rows.groupBy("band", "i", "j").applyInPandas(pairs, "u binary, v binary"), "bag-links")
+    return stored(rows.groupBy("band", "i", "j").applyInPandas(pairs, "u long, v long"), "bag-links")
 
 
 def _merges(band, i, j, pdf, threshold) -> pd.DataFrame:
     keys = np.vstack(pdf["bands"].to_numpy())
     at = int(np.flatnonzero(keys[0] == band)[0])
-    cls, e, k = pdf["class"].tolist(), pdf["e"].tolist(), pdf["k"].to_numpy()
+    cls, e, k = pdf["cid"].tolist(), pdf["e"].tolist(), pdf["k"].to_numpy()
     size = np.array([len(x) for x in e], float)
     root, names = pd.factorize(pdf["c"])
     out = []
@@ -331,7 +335,7 @@ def _merges(band, i, j, pdf, threshold) -> pd.DataFrame:
             if root[y] != root[x] and _similarity(e[x], e[y], threshold) >= threshold:
                 out.append((cls[x], cls[y]))
                 root[root == root[y]] = root[x]
-    return pd.DataFrame(out, columns=["u", "v"])
+    return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
 
 def op6_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,6 +94,37 @@ def bounded_sample(df: DataFrame, group: str, k: int, order_hash) -> DataFrame:
     )
 
 
+BITMAP_BITS = 1 << 23
+
+
+def maybe_in(key, keys: DataFrame):
+    """A boolean Column: False only where the long Column ``key`` is surely not in the one column of ``keys``.
+
+    A bitmap of ``BITMAP_BITS`` hash slots (1 MB, whatever the input) is built
+    by one aggregation.  It keeps rows that cannot match out of a shuffle; what
+    it lets through still has to be joined.
+    """
+    name = keys.columns[0]
+    slot = F.pmod(F.xxhash64(F.col(name)), F.lit(BITMAP_BITS))
+    words = (
+        keys.select(slot.alias("s"))
+        .groupBy(F.floor(F.col("s") / 64).alias("w"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("b"))
+        .collect()
+    )
+    bits = np.zeros(BITMAP_BITS // 64, np.int64)
+    if words:
+        bits[[r["w"] for r in words]] = [r["b"] for r in words]
+    shared = keys.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def hit(s: pd.Series) -> pd.Series:
+        at = s.to_numpy()
+        return pd.Series((shared.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return hit(F.pmod(F.xxhash64(key), F.lit(BITMAP_BITS)))
+
+
 # -- 64-bit mixing in numpy ------------------------------------------------
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
