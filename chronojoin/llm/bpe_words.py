@@ -25,11 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import spread, stored, table
+from .common import spread, stored_in_buckets, table
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 8_000_000
 SEGMENT_DOCS = 500
-_FRAME = "block long, part int, ids array<long>, lens array<int>, data binary"
+_FRAME = "block long, part int, ids array<long>, lens binary, data binary"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -65,30 +65,28 @@ class _Block:
         """Frames of the block: word lists by part, their places, and the documents."""
         out = []
         every = np.concatenate(self.codes) if self.codes else np.zeros(0, np.int32)
-        by_use = np.argsort(-np.bincount(every, minlength=len(self.words)), kind="stable")
-        code = np.empty(len(by_use), np.int32)
-        code[by_use] = np.arange(len(by_use), dtype=np.int32)
-        raw = [w.encode("utf-8", "surrogatepass") for w in self.words]
+        words = list(self.words)
+        by_word = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+        uses = np.bincount(every, minlength=len(words))
+        # frequent words get small numbers; equally frequent ones stay in order, so that they pack well
+        by_use = by_word[np.argsort(-uses[by_word], kind="stable")] if len(words) else by_word
+        code = np.empty(len(words), np.int32)
+        code[by_use] = np.arange(len(words), dtype=np.int32)
+        raw = [words[i].encode("utf-8", "surrogatepass") for i in by_use]
         part = np.fromiter((zlib.crc32(w) % parts for w in raw), np.int64, len(raw))
         order = np.argsort(part, kind="stable")
         cuts = np.searchsorted(part[order], np.arange(parts + 1))
+        pack = zstandard.ZstdCompressor(level=3).compress
         for p in range(parts):
             at = order[cuts[p] : cuts[p + 1]]
             if len(at):
-                words = [raw[i] for i in at]
-                out.append((self.number, p, None, [len(w) for w in words], b"".join(words)))
-        out.append((self.number, -2, None, None, _pack(code[order])))
+                own = [raw[i] for i in at]
+                out.append((self.number, p, None, _pack(np.array([len(w) for w in own])), pack(b"".join(own))))
+        out.append((self.number, -2, None, None, _pack(np.diff(order, prepend=0))))
         for a in range(0, len(self.docs), SEGMENT_DOCS):
             codes = self.codes[a : a + SEGMENT_DOCS]
-            out.append(
-                (
-                    self.number,
-                    -1,
-                    self.docs[a : a + SEGMENT_DOCS],
-                    [len(c) for c in codes],
-                    _pack(code[np.concatenate(codes)]),
-                )
-            )
+            sizes = np.array([len(c) for c in codes])
+            out.append((self.number, -1, self.docs[a : a + SEGMENT_DOCS], _pack(sizes), _pack(code[np.concatenate(codes)])))
         return pd.DataFrame(out, columns=["block", "part", "ids", "lens", "data"])
 
 
@@ -114,22 +112,21 @@ def _blocked(pattern: str, parts: int, block_chars: int):
 def _merged(ranks: dict[bytes, int]):
     def run(batches):
         one = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
-        kind = "<u2" if max(ranks.values(), default=0) < 1 << 16 else "<u4"
-        known: dict[bytes, bytes] = {}
+        known: dict[bytes, list[int]] = {}
         for pdf in batches:
             out = []
             for block, part, lens, data in zip(pdf["block"], pdf["part"], pdf["lens"], pdf["data"]):
-                ends = np.cumsum(lens).tolist()
-                got, a = [], 0
-                for b in ends:
+                data = zstandard.ZstdDecompressor().decompress(data)
+                sizes, ids, a = [], [], 0
+                for b in np.cumsum(_unpack(lens)).tolist():
                     w = data[a:b]
                     a = b
                     e = known.get(w)
                     if e is None:
-                        e = known[w] = np.array(one(w), kind).tobytes()
-                    got.append(e)
-                size = 2 if kind == "<u2" else 4
-                out.append((block, part, None, [len(e) // size for e in got], b"".join(got)))
+                        e = known[w] = one(w)
+                    sizes.append(len(e))
+                    ids += e
+                out.append((block, part, None, _pack(np.array(sizes)), _pack(np.array(ids))))
             yield pd.DataFrame(out, columns=["block", "part", "ids", "lens", "data"])
 
     return run
@@ -142,28 +139,26 @@ def _gather(starts: np.ndarray, lens: np.ndarray, codes: np.ndarray) -> np.ndarr
     return np.repeat(starts[codes] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
-def _assembled(kind: str):
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        docs, ids = [], []
-        place = left.loc[left["part"] == -2, "data"]
-        if len(place):
-            code = _unpack(place.iloc[0])
-            right = right.sort_values("part")
-            lens_p = np.concatenate([np.asarray(x, np.int64) for x in right["lens"]]) if len(right) else np.zeros(0, np.int64)
-            flat = np.frombuffer(b"".join(right["data"]), kind).astype(np.int32)
-            starts_p = np.cumsum(lens_p) - lens_p
-            lens, starts = np.empty(len(code), np.int64), np.empty(len(code), np.int64)
-            lens[code], starts[code] = lens_p, starts_p
-            segments = left[left["part"] == -1]
-            for d, n, data in zip(segments["ids"], segments["lens"], segments["data"]):
-                codes = _unpack(data)
-                out = flat[_gather(starts, lens, codes)]
-                per = np.concatenate([[0], np.cumsum(lens[codes])])[np.concatenate([[0], np.cumsum(n)]).astype(np.int64)]
-                docs.extend(d)
-                ids.extend(out[a:b] for a, b in zip(per, per[1:]))
-        return pd.DataFrame({"doc_id": pd.array([None if i is None or i != i else int(i) for i in docs], "Int64"), "ids": ids})
-
-    return run
+def _assembled(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """A block's documents as ids, from their word numbers and the words' ids."""
+    docs, ids = [], []
+    place = left.loc[left["part"] == -2, "data"]
+    if len(place):
+        order = np.cumsum(_unpack(place.iloc[0]).astype(np.int64))
+        right = right.sort_values("part")
+        none = [np.zeros(0, np.int32)]
+        lens_p = np.concatenate([_unpack(x) for x in right["lens"]] + none).astype(np.int64)
+        flat = np.concatenate([_unpack(x) for x in right["data"]] + none)
+        lens, starts = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        lens[order], starts[order] = lens_p, np.cumsum(lens_p) - lens_p
+        segments = left[left["part"] == -1]
+        for d, n, data in zip(segments["ids"], segments["lens"], segments["data"]):
+            codes = _unpack(data)
+            out = flat[_gather(starts, lens, codes)]
+            ends = np.concatenate([[0], np.cumsum(lens[codes])])[np.concatenate([[0], np.cumsum(_unpack(n))]).astype(np.int64)]
+            docs.extend(d)
+            ids.extend(out[a:b] for a, b in zip(ends, ends[1:]))
+    return pd.DataFrame({"doc_id": pd.array([None if i is None or i != i else int(i) for i in docs], "Int64"), "ids": ids})
 
 
 def encode(
@@ -182,13 +177,10 @@ def encode(
     """
     parts = spread(docs)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    blocks = stored(src.mapInPandas(_blocked(pattern, parts, block_chars), _FRAME), "bpe-blocks")
+    blocks = stored_in_buckets(src.mapInPandas(_blocked(pattern, parts, block_chars), _FRAME), "bpe-blocks", "block", parts)
     words = blocks.filter("part >= 0").repartition(parts, "part").mapInPandas(_merged(ranks), _FRAME)
-    kind = "<u2" if max(ranks.values(), default=0) < 1 << 16 else "<u4"
     left = blocks.filter("part < 0")
-    return (
-        left.groupBy("block").cogroup(words.groupBy("block")).applyInPandas(_assembled(kind), "doc_id long, ids array<int>")
-    )
+    return left.groupBy("block").cogroup(words.groupBy("block")).applyInPandas(_assembled, "doc_id long, ids array<int>")
 
 
 def token_bytes(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -63,6 +63,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def stored_in_buckets(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Like ``stored``, with the files dealt into buckets of ``key``: a later grouping by it needs no shuffle.
+
+    The bucket layout needs a catalog entry to be written and read; it is
+    dropped as soon as the returned frame has resolved it, the files stay.
+    """
+    spark = df.sparkSession
+    entry = f"chronojoin_llm_{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/chronojoin-llm/{name}-{entry[-32:]}"
+    small_batches(spark)
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(entry)
+    out = spark.table(entry)
+    out.schema  # resolved now
+    spark.sql(f"DROP TABLE {entry}")
+    out._stored_path = path
+    return out
+
+
 def drop_stored(df: DataFrame) -> None:
     """Delete the files of a ``stored`` table that nothing will read again."""
     path = getattr(df, "_stored_path", None)
