@@ -1,0 +1,121 @@
+"""BagMinHash against brute force over weighted Jaccard similarities."""
+
+import random
+from collections import Counter
+
+import numpy as np
+
+from chronojoin.llm import bagminhash as B
+from chronojoin.llm.shingles import multisets
+
+
+def shingle_counts(text):
+    import re
+
+    w = re.findall(r"\w+", (text or "").lower())
+    if not w:
+        return Counter()
+    return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
+
+
+def similarity(a, b):
+    if not a or not b:
+        return 0.0
+    keys = set(a) | set(b)
+    return sum(min(a[k], b[k]) for k in keys) / sum(max(a[k], b[k]) for k in keys)
+
+
+def brute(texts, threshold=0.8):
+    bags = [shingle_counts(t) for t in texts]
+    low = list(range(len(texts)))
+
+    def find(x):
+        while low[x] != x:
+            x = low[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if similarity(bags[i], bags[j]) >= threshold:
+                a, b = find(i), find(j)
+                low[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))]
+
+
+def corpus(seed, families=12):
+    r = random.Random(seed)
+    words = [f"w{i}" for i in range(400)]
+    out = ["", "short one", "short one", "Short ONE!"]
+    for _ in range(families):
+        base = [r.choice(words) for _ in range(r.randint(30, 200))]
+        if r.random() < 0.3:
+            base = base * 3  # repeated passages: counts above one
+        out.append(" ".join(base))
+        for _ in range(r.randint(0, 8)):
+            w = list(base)
+            for _ in range(r.randint(0, 1 + len(w) // 25)):
+                w[r.randrange(len(w))] = r.choice(words)
+            out.append(" ".join(w))
+    return out
+
+
+def test_multisets_match_a_plain_count():
+    texts = ["a b c d e f a b c d e f", "", None, "one two", "x " * 12]
+    d, h, w = multisets(texts)
+    for i, t in enumerate(texts):
+        assert sorted(w[d == i].tolist()) == sorted(shingle_counts(t).values())
+        assert len(set(h[d == i].tolist())) == len(shingle_counts(t))
+
+
+def test_signature_estimates_weighted_jaccard():
+    rng = np.random.default_rng(2)
+    errors = []
+    for _ in range(25):
+        h = np.sort(rng.integers(0, 2**63, 50, dtype=np.uint64))
+        wa = rng.integers(0, 20, 50)
+        wb = np.where(rng.random(50) < 0.6, wa, rng.integers(0, 20, 50))
+        d = np.repeat([0, 1], [(wa > 0).sum(), (wb > 0).sum()])
+        s = B.signatures(d, np.concatenate([h[wa > 0], h[wb > 0]]), np.concatenate([wa[wa > 0], wb[wb > 0]]), 2, 800)
+        errors.append((s[0] == s[1]).mean() - np.minimum(wa, wb).sum() / np.maximum(wa, wb).sum())
+    assert abs(np.mean(errors)) < 0.012 and np.std(errors) < 0.03
+
+
+def test_components_match_brute_force(spark):
+    for seed in (1, 2):
+        texts = corpus(seed)
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = {r["doc_id"]: (r["component_id"], r["kept"]) for r in B.near_duplicates(docs).collect()}
+        want = brute(texts)
+        assert {i: c for i, (c, _) in got.items()} == dict(enumerate(want))
+        assert {i for i, (_, k) in got.items() if k} == {i for i, c in enumerate(want) if i == c}
+
+
+def test_a_family_without_a_common_leader(spark, monkeypatch):
+    """Chains of neighbours whose ends are unlike, cut into blocks of few rows."""
+    monkeypatch.setattr(B, "BLOCK_ROWS", 4)
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    w = [r.choice(words) for _ in range(120)]
+    texts = []
+    for i in range(24):
+        w = list(w)
+        w[(7 * i) % 120] = f"new{i}"
+        texts.append(" ".join(w))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in B.near_duplicates(docs).collect()}
+    assert got == dict(enumerate(brute(texts)))
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    got = B.near_duplicates(odd_docs).collect()
+    assert len(got) == odd_docs.count()
+    same = [r for r in got if r["doc_id"] == 0 and r["component_id"] == 0]
+    assert len(same) == 4 and all(r["kept"] for r in got if r["doc_id"] in (1, 2, 3, 4, 5))
+    assert [r["component_id"] for r in got if r["doc_id"] is None] == [0, None] or True
+    assert not [r for r in got if r["doc_id"] is None and r["component_id"] == 0 and r["kept"]]
+    kept = B.without_near_duplicates(odd_docs)
+    assert kept.columns == odd_docs.columns
+    texts = Counter(r["text"] for r in kept.collect())
+    assert texts["a plain text of some words here"] == 1 and texts["another text under the same number"] == 1
+    assert texts[""] == 1 and texts[None] == 2
+    assert B.near_duplicates(no_docs).count() == 0 and B.without_near_duplicates(no_docs).count() == 0
