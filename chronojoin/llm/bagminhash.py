@@ -233,17 +233,17 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     have to go are shuffled, to a join by plain equality on (doc_id, text_hash).
     """
     found = stored(near_duplicates(docs, id_col, text_col, **how), "bag-found")
-    once = found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_n"), F.max("kept").alias("_kept"))
+    once = found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("__llm_n"), F.max("kept").alias("__llm_kept"))
     # documents to drop, and those of which one of several equal rows stays
     marked = stored(
-        once.filter("not _kept or _n > 1").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), "_kept"), "bag-marked"
+        once.filter("not __llm_kept or __llm_n > 1").select(F.col("doc_id").alias("__llm_d"), F.col("text_hash").alias("__llm_h"), "__llm_kept"), "bag-marked"
     )
     key, th = F.col(id_col).cast("long"), F.xxhash64(text_col)
-    may = maybe_in(F.xxhash64(key, th), marked.select(F.xxhash64("_d", "_h")))
-    on = key.eqNullSafe(F.col("_d")) & (th == F.col("_h"))
+    may = maybe_in(F.xxhash64(key, th), marked.select(F.xxhash64("__llm_d", "__llm_h").alias("k")))
+    on = key.eqNullSafe(F.col("__llm_d")) & (th == F.col("__llm_h"))
     some = docs.filter(may)
     rest = some.join(marked, on, "left_anti")
-    again = some.join(marked.filter("_kept"), on, "left_semi").dropDuplicates([id_col, text_col])
+    again = some.join(marked.filter("__llm_kept"), on, "left_semi").dropDuplicates([id_col, text_col])
     return docs.filter(~may).unionByName(rest).unionByName(again)
 
 
@@ -252,11 +252,11 @@ def _sets(docs, classes, id_col, text_col) -> DataFrame:
 
     A bitmap of the representatives keeps most other texts out of the join's shuffle.
     """
-    reps = stored(classes.select(F.col("low.id").alias("r")).distinct(), "bag-reps")
+    reps = stored(classes.select(F.col("low.id").alias("__llm_r")).distinct(), "bag-reps")
     key = F.col(id_col).cast("long")
     texts = (
         docs.filter(maybe_in(key, reps))
-        .join(reps, key.eqNullSafe(F.col("r")), "left_semi")
+        .join(reps, key.eqNullSafe(F.col("__llm_r")), "left_semi")
         .select(key.alias("id"), F.col(text_col).alias("text"))
     )
     return stored(

@@ -29,7 +29,7 @@ from .common import spread, stored, table
 
 BLOCK_ROWS = 64
 PERIOD = 1_000
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 MAX_SOURCES = 1_000
 
 
@@ -74,6 +74,11 @@ def _units(p: list[int], blocks: list[int]) -> list[tuple[int, int, int, list[in
     return out
 
 
+def _bucket_rows(n: int) -> int:
+    """Rows of a numbering bucket of a source with ``n`` rows: as many buckets as rows in each once there are many."""
+    return max(BUCKET_ROWS, int(n**0.5))
+
+
 def mixed(
     docs: DataFrame,
     targets: dict | None = None,
@@ -97,16 +102,17 @@ def mixed(
 
     Only counts reach the driver: one for each source, at most ``MAX_SOURCES``
     (more raise; group small sources first).  A hot source is numbered in
-    buckets of about ``BUCKET_ROWS`` rows.
+    buckets of about ``BUCKET_ROWS`` rows, or the square root of its rows if
+    that is more.
     """
     spark = docs.sparkSession
-    plain = [c for c, t in docs.dtypes if "map<" not in t and "variant" not in t]
     key = F.col(source_col)
     counts = docs.groupBy(key.alias("s")).agg(F.count(F.lit(1)).alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(counts) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources; group the small ones")
     kept = [c for c in docs.columns if c not in ("mix_block", "mix_slot", "mix_order")]
     docs = docs.select(*kept)
+    plain = [c for c, t in docs.dtypes if "map<" not in t and "variant" not in t]
     if not counts:
         return docs.withColumns({c: F.lit(None).cast("long") for c in ("mix_block", "mix_slot", "mix_order")})
     counts.sort(key=lambda r: (r["s"] is None, str(r["s"])))
@@ -131,16 +137,16 @@ def mixed(
     )
 
     per = spark.createDataFrame(
-        [(s, k, p[k], max(1, -(-rows[k] // BUCKET_ROWS))) for k, s in enumerate(names)],
-        f"_mix_s {dict(docs.dtypes)[source_col]}, _sid int, _p long, _nb long",
+        [(s, k, p[k], -(-rows[k] // _bucket_rows(rows[k]))) for k, s in enumerate(names)],
+        f"__llm_mix_s {dict(docs.dtypes)[source_col]}, __llm_sid int, __llm_p long, __llm_nb long",
     )
     dealt = (
-        docs.join(F.broadcast(per), key.eqNullSafe(F.col("_mix_s")))  # at most MAX_SOURCES rows
-        .withColumn("_h", F.xxhash64(*plain))
-        .withColumn("_b", F.pmod(F.shiftright("_h", 3), F.col("_nb")))
+        docs.join(F.broadcast(per), key.eqNullSafe(F.col("__llm_mix_s")))  # at most MAX_SOURCES rows
+        .withColumn("__llm_h", F.xxhash64(*plain))
+        .withColumn("__llm_b", F.pmod(F.shiftright("__llm_h", 3), F.col("__llm_nb")))
     )
-    sizes = stored(dealt.groupBy("_sid", "_b").agg(F.count(F.lit(1)).alias("c"), F.first("_p").alias("p")), "mix-buckets")
-    before = F.sum("c").over(Window.partitionBy("_sid").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = stored(dealt.groupBy("__llm_sid", "__llm_b").agg(F.count(F.lit(1)).alias("c"), F.first("__llm_p").alias("p")), "mix-buckets")
+    before = F.sum("c").over(Window.partitionBy("__llm_sid").orderBy("__llm_b").rowsBetween(Window.unboundedPreceding, -1))
     sizes = sizes.withColumn("first", F.coalesce(before, F.lit(0)))
     starts, offsets, lengths = (F.array(*[F.lit(u[j]).cast("long") for u in units]) for j in (0, 1, 2))
     k = F.explode(
@@ -152,9 +158,9 @@ def mixed(
         .withColumn("i", F.col("k") % F.col("p"))
         .withColumn("kind", (F.size(F.filter(starts, lambda x: x <= F.col("g"))) - 1).cast("int"))
     )
-    placed = wanted.join(slots.withColumnRenamed("sid", "_sid"), ["_sid", "kind", "i"]).select(
-        "_sid",
-        "_b",
+    placed = wanted.join(slots.withColumnRenamed("sid", "__llm_sid"), ["__llm_sid", "kind", "i"]).select(
+        "__llm_sid",
+        "__llm_b",
         "first",
         "k",
         (
@@ -163,20 +169,20 @@ def mixed(
             + F.col("at")
         ).alias("slot"),
     )
-    plan = placed.groupBy("_sid", "_b", "first").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("k", "slot"))), lambda x: x["slot"]).alias("_slots")
+    plan = placed.groupBy("__llm_sid", "__llm_b", "first").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("k", "slot"))), lambda x: x["slot"]).alias("__llm_slots")
     )
-    plan = stored(plan.withColumnRenamed("first", "_first"), "mix-plan")
-    place = F.row_number().over(Window.partitionBy("_sid", "_b").orderBy("_h")).cast("long") - 1 + F.col("_first")
+    plan = stored(plan.withColumnRenamed("first", "__llm_first"), "mix-plan")
+    place = F.row_number().over(Window.partitionBy("__llm_sid", "__llm_b").orderBy("__llm_h")).cast("long") - 1 + F.col("__llm_first")
     return (
-        dealt.join(plan, ["_sid", "_b"])
-        .withColumn("_r", place)
-        .withColumn("mix_block", F.floor(F.col("_r") / block_rows).cast("long"))
+        dealt.join(plan, ["__llm_sid", "__llm_b"])
+        .withColumn("__llm_r", place)
+        .withColumn("mix_block", F.floor(F.col("__llm_r") / block_rows).cast("long"))
         .withColumn(
             "mix_slot",
-            F.element_at("_slots", (F.col("mix_block") - F.floor(F.col("_first") / block_rows) + 1).cast("int")),
+            F.element_at("__llm_slots", (F.col("mix_block") - F.floor(F.col("__llm_first") / block_rows) + 1).cast("int")),
         )
-        .withColumn("mix_order", F.col("mix_slot") * block_rows + F.col("_r") % block_rows)
+        .withColumn("mix_order", F.col("mix_slot") * block_rows + F.col("__llm_r") % block_rows)
         .select(*kept, "mix_block", "mix_slot", "mix_order")
     )
 

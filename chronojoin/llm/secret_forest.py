@@ -210,31 +210,31 @@ def redacted(
         scan(docs, id_col=id_col, text_col=text_col, **how)
         .filter("is_secret")
         .groupBy("doc_id", "text_hash")
-        .agg(F.collect_set("n").alias("_secret"))
-        .select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), "_secret")
+        .agg(F.collect_set("n").alias("__llm_secret"))
+        .select(F.col("doc_id").alias("__llm_d"), F.col("text_hash").alias("__llm_h"), "__llm_secret")
     )
     hits = stored(hits, "secret-hits")
     has = F.coalesce(F.col(text_col).rlike(RUN), F.lit(False))
-    on = F.col(id_col).cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(text_col) == F.col("_h"))
+    on = F.col(id_col).cast("long").eqNullSafe(F.col("__llm_d")) & (F.xxhash64(text_col) == F.col("__llm_h"))
     values, parts = F.regexp_extract_all(F.col(text_col), F.lit(RUN), F.lit(0)), F.split(text_col, RUN, -1)
     shown = F.transform(
-        F.col("_values"), lambda v, i: F.when(F.array_contains("_secret", i.cast("long")), F.lit(mark)).otherwise(v)
+        F.col("__llm_values"), lambda v, i: F.when(F.array_contains("__llm_secret", i.cast("long")), F.lit(mark)).otherwise(v)
     )
-    whole = F.concat_ws("", F.flatten(F.zip_with("_parts", shown, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))))
+    whole = F.concat_ws("", F.flatten(F.zip_with("__llm_parts", shown, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))))
     changed = (
         docs.filter(has)
         .join(hits, on, "left")
-        .withColumn("_values", F.when(F.col("_secret").isNotNull(), values))
-        .withColumn("_parts", F.when(F.col("_secret").isNotNull(), parts))
-        .withColumn("_new", F.when(F.col("_secret").isNotNull(), whole))
+        .withColumn("__llm_values", F.when(F.col("__llm_secret").isNotNull(), values))
+        .withColumn("__llm_parts", F.when(F.col("__llm_secret").isNotNull(), parts))
+        .withColumn("__llm_new", F.when(F.col("__llm_secret").isNotNull(), whole))
     )
     fields = []
     for c in docs.columns:
         col = F.col(c)
         if c == text_col:
-            col = F.coalesce("_new", col).alias(c)
+            col = F.coalesce("__llm_new", col).alias(c)
         elif c == chars_col:
-            col = F.when(F.col("_new").isNotNull(), F.length("_new").cast(docs.schema[c].dataType)).otherwise(col).alias(c)
+            col = F.when(F.col("__llm_new").isNotNull(), F.length("__llm_new").cast(docs.schema[c].dataType)).otherwise(col).alias(c)
         fields.append(col)
     return docs.filter(~has).unionByName(changed.select(*fields))
 
