@@ -7,6 +7,8 @@ over their whole extent.  The catalogue follows FIXTURES.md §3-§4.
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,27 +17,41 @@ from pyspark.sql import functions as F
 from chronojoin import (
     FeatureView,
     Source,
-    feature_types,
+    entity_time_range,
     historical_features,
     latest_by_key,
+    materialize_incremental,
     merge_latest,
     point_in_time_join,
     rows_in_range,
+    save_dataset,
 )
+from chronojoin.functions.timeutil import time_literal
 
 DAY = 86_400
 START = dt.datetime(2024, 1, 5)
 END = dt.datetime(2024, 1, 20)
 MID = dt.datetime(2024, 1, 12)
-# A small rows-per-task target so the registered *_hotsplit queries run the
-# hot-key bucket path (time buckets + carry rows) on every key of the fixture.
-SPLIT_ROWS = 200
+# Rows-per-task targets so small that every scan of the registered *_hotsplit
+# queries has keys to split (time buckets and carry rows), at any scale factor.
+SPLIT_ROWS = 50
+SPLIT_FEW = 2
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the cluster's shared one; a local session without the setting gets its own."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir")
+        root = tempfile.mkdtemp(prefix="chronojoin-entry-")
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
 # -- derived sources (FIXTURES §3) ------------------------------------------
 def v_supp(spark, d):
     li, o = _t(spark, d, "lineitem"), _t(spark, d, "orders")
@@ -131,9 +147,11 @@ def q_range_pull(spark, d):
 
 
 def q_entity_range(spark, d):
-    return e_line(spark, d).agg(
-        F.min("event_timestamp").alias("min_event_timestamp"),
-        F.max("event_timestamp").alias("max_event_timestamp"),
+    ent = e_line(spark, d)
+    lo, hi = entity_time_range(ent, "event_timestamp")
+    kind = ent.schema["event_timestamp"].dataType
+    return spark.range(1).select(
+        time_literal(lo, kind).alias("min_event_timestamp"), time_literal(hi, kind).alias("max_event_timestamp")
     )
 
 
@@ -203,15 +221,6 @@ def q_historical_sql_entity(spark, d):
     return historical_features(spark, sql, [view], ["v_view:event_type", "v_view:value"])
 
 
-def q_feature_types(spark, d):
-    rows = []
-    for table in ("events", "embeddings"):
-        df = _t(spark, d, table)
-        for col, ftype in feature_types(df).items():
-            rows.append((table, col, ftype))
-    return spark.createDataFrame(rows, "table_name string, column_name string, feature_type string")
-
-
 def q_refresh_latest_two_steps(spark, d):
     ev = _t(spark, d, "events")
     view = FeatureView("ev", ["user_id"], ["event_type", "value"], ev, event_ts="ts")
@@ -220,6 +229,68 @@ def q_refresh_latest_two_steps(spark, d):
     return merge_latest(first, second, view)
 
 
+def q_materialize_two_steps(spark, d):
+    # two snapshots written and committed, the second built on the first (K5)
+    view = FeatureView("ev", ["user_id"], ["event_type", "value"], _t(spark, d, "events"), event_ts="ts")
+    root = _folder(spark, "snapshots")
+    materialize_incremental(spark, view, root, MID, start=START)
+    return materialize_incremental(spark, view, root, END)
+
+
+def _latest_from_files(spark, d, fmt, **kw):
+    path = _folder(spark, f"events-{fmt}")
+    ts = F.col("ts") if fmt == "orc" else F.col("ts").cast("string").alias("ts")  # text keeps the microseconds
+    _t(spark, d, "events").select("user_id", "event_type", "value", ts).write.format(fmt).options(**kw).save(path)
+    return path
+
+
+def q_latest_from_csv_source(spark, d):
+    path = _latest_from_files(spark, d, "csv", header="true")
+    src = Source(path=path, file_format="csv", event_ts="ts", read_options={"header": "true"},
+                 schema="user_id long, event_type string, value double, ts string")
+    out = FeatureView("ev", ["user_id"], ["event_type", "value"], src).pull_latest(spark, START, END)
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def q_latest_from_json_source(spark, d):
+    path = _latest_from_files(spark, d, "json")
+    src = Source(path=path, file_format="json", event_ts="ts",
+                 schema="user_id long, event_type string, value double, ts string")
+    out = FeatureView("ev", ["user_id"], ["event_type", "value"], src).pull_latest(spark, START, END)
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def q_latest_from_orc_source(spark, d):
+    path = _latest_from_files(spark, d, "orc")
+    src = Source(path=path, file_format="orc", event_ts="ts")
+    return FeatureView("ev", ["user_id"], ["event_type", "value"], src).pull_latest(spark, START, END)
+
+
+def q_latest_from_query_source(spark, d):
+    _t(spark, d, "events").createOrReplaceTempView("cj_events_query")
+    src = Source(query="SELECT user_id, event_type, value, ts FROM cj_events_query", event_ts="ts")
+    return FeatureView("ev", ["user_id"], ["event_type", "value"], src).pull_latest(spark, START, END)
+
+
+def q_pit_partitioned_source(spark, d):
+    # a source in folders by day, pruned by the entity's time range and the TTL
+    path = _folder(spark, "views-by-day")
+    v_view(spark, d).withColumn("day", F.to_date("event_ts")).write.partitionBy("day").parquet(path)
+    src = Source(path=path, file_format="parquet", event_ts="event_ts", partition_col="day")
+    view = FeatureView("v_view", ["user_id"], ["event_type", "value"], src, ttl_seconds=DAY)
+    return historical_features(spark, e_buy(spark, d), [view])
+
+
+def q_historical_saved(spark, d):
+    # the result persisted as a dataset and read back (K4), with a computed feature (transforms)
+    view = FeatureView("v_view", ["user_id"], ["event_type", "value"], v_view(spark, d), ttl_seconds=DAY,
+                       event_ts="event_ts")
+    out = historical_features(spark, e_buy(spark, d), [view], transforms={"twice": F.col("value") * 2})
+    path = _folder(spark, "saved")
+    save_dataset(out, path)
+    return spark.read.parquet(path)
+
+
 def q_latest_from_path_source(spark, d):
     # parquet file source with a column rename on read
     src = Source(path=f"{d}/events.parquet", file_format="parquet", event_ts="event_timestamp",
@@ -298,21 +369,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pit_ties_all": q_pit_ties_all,
         "pit_multi_view": q_pit_multi_view,
         "historical_sql_entity": q_historical_sql_entity,
-        "feature_types": q_feature_types,
         "refresh_latest_two_steps": q_refresh_latest_two_steps,
+        "materialize_two_steps": q_materialize_two_steps,
+        "latest_from_csv_source": q_latest_from_csv_source,
+        "latest_from_json_source": q_latest_from_json_source,
+        "latest_from_orc_source": q_latest_from_orc_source,
+        "latest_from_query_source": q_latest_from_query_source,
+        "pit_partitioned_source": q_pit_partitioned_source,
+        "historical_saved": q_historical_saved,
         "latest_from_path_source": q_latest_from_path_source,
         "latest_from_table_source": q_latest_from_table_source,
         "range_pull_with_created": q_range_pull_with_created,
         "pit_keyless": q_pit_keyless,
         # same queries through the hot-key split path (buckets + carry rows)
         "pit_keyless_hotsplit": lambda s, d: q_pit_keyless(s, d, hot_key_rows=SPLIT_ROWS),
-        "pit_ttl_0_hotsplit": lambda s, d: _pit_buy(s, d, 0, hot_key_rows=SPLIT_ROWS),
+        "pit_ttl_0_hotsplit": lambda s, d: _pit_buy(s, d, 0, hot_key_rows=SPLIT_FEW),
         "pit_created_30d_hotsplit": lambda s, d: _pit_supp(s, d, "ordered", hot_key_rows=SPLIT_ROWS),
         "pit_created_30d_independent_hotsplit": lambda s, d: _pit_supp(
             s, d, "independent_max", hot_key_rows=SPLIT_ROWS
         ),
-        "pit_multi_view_hotsplit": lambda s, d: q_pit_multi_view(s, d, hot_key_rows=SPLIT_ROWS),
-        "pit_composite_365d_hotsplit": lambda s, d: _pit_ps(s, d, 365 * DAY, hot_key_rows=SPLIT_ROWS // 20),
+        "pit_multi_view_hotsplit": lambda s, d: q_pit_multi_view(s, d, hot_key_rows=SPLIT_FEW),
+        "pit_composite_365d_hotsplit": lambda s, d: _pit_ps(s, d, 365 * DAY, hot_key_rows=SPLIT_FEW),
     }
 
 
@@ -365,24 +442,19 @@ def _pit_sql(ent_sql, parts):
 
 
 def _independent_sql():
-    # greatest event time and greatest created time of the candidates taken
-    # independently; a value only where one candidate row has both
+    # the rule itself: over the candidates of an entity row (created time known)
+    # the greatest event time and the greatest created time; the value of the
+    # source row that has both, if there is one
     return f"""WITH ent AS ({_E_LINE}), v AS ({_V_SUPP}),
-d AS (SELECT DISTINCT l_suppkey, event_timestamp FROM ent),
-base AS (SELECT d.l_suppkey, d.event_timestamp, v.event_ts, v.created_ts, v.max_qty, v.n_lines
-           FROM d JOIN v ON d.l_suppkey = v.l_suppkey AND v.event_ts <= d.event_timestamp
-            AND v.event_ts >= d.event_timestamp - INTERVAL {30 * DAY} SECOND),
-dedup AS (SELECT l_suppkey, event_timestamp, event_ts, max(created_ts) AS created_ts
-            FROM base GROUP BY 1, 2, 3),
-latest AS (SELECT b.l_suppkey, b.event_timestamp, max(b.event_ts) AS event_ts, max(b.created_ts) AS created_ts
-             FROM base b JOIN dedup x ON b.l_suppkey = x.l_suppkey AND b.event_timestamp = x.event_timestamp
-              AND b.event_ts = x.event_ts AND b.created_ts = x.created_ts
-            GROUP BY 1, 2),
-cleaned AS (SELECT b.* FROM base b JOIN latest l ON b.l_suppkey = l.l_suppkey
-              AND b.event_timestamp = l.event_timestamp AND b.event_ts = l.event_ts
-              AND b.created_ts = l.created_ts)
-SELECT ent.*, cleaned.max_qty, cleaned.n_lines FROM ent
-  LEFT JOIN cleaned ON ent.l_suppkey = cleaned.l_suppkey AND ent.event_timestamp = cleaned.event_timestamp"""
+greatest AS (
+  SELECT asked.l_suppkey, asked.event_timestamp, max(event_ts) AS newest, max(created_ts) AS last_created
+    FROM (SELECT DISTINCT l_suppkey, event_timestamp FROM ent) asked
+    JOIN v ON v.l_suppkey = asked.l_suppkey AND created_ts IS NOT NULL
+     AND event_ts BETWEEN asked.event_timestamp - INTERVAL {30 * DAY} SECOND AND asked.event_timestamp
+   GROUP BY ALL)
+SELECT ent.*, v.max_qty, v.n_lines
+  FROM ent LEFT JOIN greatest USING (l_suppkey, event_timestamp)
+  LEFT JOIN v ON v.l_suppkey = ent.l_suppkey AND v.event_ts = newest AND v.created_ts = last_created"""
 
 
 _RANGE = "ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00'"
@@ -392,21 +464,6 @@ _LATEST_EVENTS = f"""SELECT user_id, event_type, value, ts FROM (
          row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC, value DESC) AS rn
     FROM events WHERE {_RANGE}) WHERE rn = 1"""
 
-_FEATURE_TYPES = """SELECT DISTINCT table_name, column_name,
-       CASE WHEN data_type = 'BIGINT' THEN 'INT64'
-            WHEN data_type = 'INTEGER' THEN 'INT32'
-            WHEN data_type = 'VARCHAR' THEN 'STRING'
-            WHEN data_type = 'DOUBLE' THEN 'DOUBLE'
-            WHEN data_type = 'FLOAT' THEN 'FLOAT'
-            WHEN data_type = 'BOOLEAN' THEN 'BOOL'
-            WHEN data_type LIKE 'TIMESTAMP%' THEN 'UNIX_TIMESTAMP'
-            WHEN data_type = 'FLOAT[]' THEN 'FLOAT_LIST'
-            WHEN data_type = 'DOUBLE[]' THEN 'DOUBLE_LIST'
-            WHEN data_type = 'BIGINT[]' THEN 'INT64_LIST'
-            ELSE 'UNSUPPORTED' END AS feature_type
-  FROM information_schema.columns WHERE table_name IN ('events', 'embeddings')"""
-
-
 _PIT_KEYLESS = f"""WITH ent AS ({_E_BUY}),
 v AS (SELECT ts AS event_ts, user_id AS viewer_id, value FROM events WHERE event_type = 'view'),
 d AS (SELECT DISTINCT event_timestamp FROM ent),
@@ -436,6 +493,13 @@ def oracle_sql() -> dict[str, str]:
     independent = _independent_sql()
     return {
         **_llm_oracles(),
+        "materialize_two_steps": _LATEST_EVENTS,
+        "latest_from_csv_source": _LATEST_EVENTS,
+        "latest_from_json_source": _LATEST_EVENTS,
+        "latest_from_orc_source": _LATEST_EVENTS,
+        "latest_from_query_source": _LATEST_EVENTS,
+        "pit_partitioned_source": pit_buy_1d,
+        "historical_saved": f"SELECT *, value * 2 AS twice FROM ({pit_buy_1d})",
         "latest_by_key": _LATEST_EVENTS,
         "latest_with_created": f"""SELECT l_suppkey, max_qty, n_lines, event_ts, created_ts FROM (
   SELECT *, row_number() OVER (PARTITION BY l_suppkey
@@ -466,7 +530,6 @@ def oracle_sql() -> dict[str, str]:
         ),
         "pit_multi_view": multi,
         "historical_sql_entity": pit_buy_1d,
-        "feature_types": _FEATURE_TYPES,
         "refresh_latest_two_steps": _LATEST_EVENTS,
         "latest_from_path_source": _LATEST_EVENTS.replace("ts FROM (", "ts AS event_timestamp FROM (", 1),
         "latest_from_table_source": """SELECT o_custkey, o_totalprice, o_orderstatus, o_orderdate FROM (

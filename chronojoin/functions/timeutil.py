@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampNTZType, TimestampType
 
@@ -20,6 +20,15 @@ def is_time_type(dtype: DataType) -> bool:
     return isinstance(dtype, TIME_TYPES)
 
 
+class Micros(int):
+    """A time as microseconds since 1970-01-01: of the instant, or of the wall clock of a zone-less value.
+
+    What :func:`epoch_micros` gives for a column, :func:`time_literal` turns
+    back into a literal of the same type; no session zone is involved, so two
+    instants that print alike in an autumn clock change stay apart.
+    """
+
+
 def _format(value: _dt.datetime | _dt.date | str, ntz: bool) -> str:
     if isinstance(value, str):
         return value
@@ -38,10 +47,16 @@ def _format(value: _dt.datetime | _dt.date | str, ntz: bool) -> str:
 def time_literal(value, dtype: DataType) -> Column:
     """A literal of exactly ``dtype`` (timestamp or timestamp_ntz).
 
-    Casting a string literal keeps it foldable, so a comparison with it is
-    pushed into the Parquet scan as a plain filter.
+    All forms are foldable, so a comparison is pushed into the Parquet scan as
+    a plain filter.  :class:`Micros` are taken as they are, aware datetimes as
+    their instant (zone-less column: their UTC wall clock), naive ones and text
+    without a zone as a wall clock of the session zone.
     """
     ntz = isinstance(dtype, TimestampNTZType)
+    if isinstance(value, Micros):
+        if ntz:
+            return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.lit(_dt.timedelta(microseconds=int(value)))
+        return F.timestamp_micros(F.lit(int(value)).cast("long"))
     return F.lit(_format(value, ntz)).cast("timestamp_ntz" if ntz else "timestamp")
 
 
@@ -66,3 +81,10 @@ def epoch_micros(col: Column, dtype: DataType) -> Column:
 
 def seconds_interval(seconds: int) -> Column:
     return F.lit(_dt.timedelta(seconds=int(seconds)))
+
+
+def to_micros(spark: SparkSession, value, dtype: DataType) -> Micros:
+    """The microseconds that ``value`` stands for in a column of ``dtype`` (see :func:`time_literal`)."""
+    if isinstance(value, Micros):
+        return value
+    return Micros(spark.range(1).select(epoch_micros(time_literal(value, dtype), dtype).alias("m")).first()["m"])

@@ -18,22 +18,27 @@ Plan (one shuffle for all views that share a key set):
    older one does too.
 3. Entity rows are kept, features pulled out of the struct.  Carrying the
    whole entity row through the scan keeps duplicates and avoids a join back.
-   An entity row with a NULL key meets no source row (source rows with a
-   NULL key are dropped), and one with a NULL time gets NULL features, so
-   every entity row takes the same single path (no second read of the
+   Every entity row takes the same single path (no second read of the
    entity, which in a fold would re-run the previous scan).
 
 Hot keys.  A window partition is one task, so a key holding a third of the
-data would be one task.  Before the scan, one aggregate counts rows per key
-(map-side combined); keys above ``hot_key_rows`` (a bounded list: at most
-``max_hot_keys`` rows, broadcast) get time buckets ``_b`` of about
-``hot_key_rows`` rows each.  The window then partitions by ``(keys, _b)``.
-For each (key, bucket) that holds entity rows, a *carry row* — the last
-source row of all earlier buckets — is added at the head of the bucket, so
-the scan stays exact.  Carry rows come from a per-bucket top-1 (partial
-``WindowGroupLimit`` before the shuffle) and a small window over buckets.
-Keys below the threshold keep a single bucket, and with no hot key at all
-the plan has no bucket column.
+data would be one task.  Before the scan a small sample of entity and source
+rows (about ``HOT_SAMPLE_ROWS`` rows of a key at the threshold) estimates each
+key's rows and time quantiles; the list of keys above ``hot_key_rows`` stays a
+DataFrame.  Each such key gets time buckets ``_b`` with the quantiles as edges,
+so bunched history and outliers give buckets of about equal size (rows of one
+equal time stay together).  The window then partitions by ``(keys, _b)``.  For
+each (key, bucket) that holds entity rows, a *carry row* — the last source row
+of all earlier buckets — is added at the head of the bucket, so the scan stays
+exact whatever the estimate.  Carry rows come from a per-bucket top-1 (partial
+``WindowGroupLimit`` before the shuffle) and a small window over buckets.  A
+view without keys is one key and always split.  Keys below the threshold keep
+one bucket.  Entity rows with a NULL key or time match nothing and are dealt
+into buckets of their own by a hash.
+
+Source reduction.  Where the entity has few distinct keys (their list is below
+the session's broadcast threshold by a counted size) source rows of other keys
+are dropped by a broadcast semi join before the shuffle.
 
 Created-time rules:
 
@@ -56,17 +61,16 @@ tied on (event time, created time), through an equi-join back on
 from __future__ import annotations
 
 import logging
-import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timeutil import epoch_micros, is_time_type, seconds_interval, time_literal
+from ..functions.timeutil import Micros, epoch_micros, is_time_type, seconds_interval, time_literal, to_micros
 from ..functions.types import is_orderable
-from ..sources.entity import entity_time_range
+from ..sources.entity import column_named, entity_time_range, quoted
 
 # Internal column names; entity tables may not use the prefix.
 _P = "__cj_"
@@ -79,7 +83,13 @@ _AUTO = "auto"
 log = logging.getLogger("chronojoin")
 
 DEFAULT_HOT_KEY_ROWS = 2_000_000
-DEFAULT_MAX_HOT_KEYS = 100_000
+# an entity table without any time: a range that no row is in
+_NO_TIMES = (Micros(0), Micros(-62_135_596_800_000_000))
+
+
+def _c(name: str) -> Column:
+    """The column of that very name."""
+    return F.col(quoted(name))
 
 
 @dataclass(frozen=True)
@@ -119,14 +129,14 @@ def point_in_time_join(
     prefix: str | None = None,
     prune: bool = True,
     hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
-    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
 ) -> DataFrame:
     """As-of join of one source onto every entity row; see module doc.
 
     ``prefix`` names the features ``prefix + feature``.  ``prune`` reads the
     entity time range once (one small job) and filters the source to
     ``[min - ttl, max]`` with literals that reach the scan.
-    ``hot_key_rows=None`` turns hot-key detection off.
+    ``hot_key_rows=None`` turns hot-key detection off (a view without keys is
+    split all the same).
     """
     names = [f"{prefix}{f}" for f in features] if prefix else list(features)
     src = AsOfSource(
@@ -140,25 +150,61 @@ def point_in_time_join(
         ties=ties,
         tie_break=tie_break,
     )
-    return asof_join(
-        entity, entity_ts, keys, [src], prune=prune, hot_key_rows=hot_key_rows, max_hot_keys=max_hot_keys
-    )
+    return asof_join(entity, entity_ts, keys, [src], prune=prune, hot_key_rows=hot_key_rows)
 
 
 # ---------------------------------------------------------------------------
-def _check(entity: DataFrame, entity_ts: str, keys: Sequence[str], sources: Sequence[AsOfSource]) -> None:
-    cols = entity.columns
-    bad = [c for c in cols if c.startswith(_P)]
+def _key_type(name: str, a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type in which entity and source keys are compared; raises where they cannot be."""
+    for kinds in ((T.ByteType, T.ShortType, T.IntegerType, T.LongType), (T.FloatType, T.DoubleType)):
+        if type(a) in kinds and type(b) in kinds:
+            return max(a, b, key=lambda t: kinds.index(type(t)))
+    if type(a) is type(b) and (not isinstance(a, T.DecimalType) or a == b):
+        return a
+    raise ValueError(
+        f"key {name!r} has type {a.simpleString()} in the entity table and {b.simpleString()} in the source; cast one of them"
+    )
+
+
+def _resolved(entity: DataFrame, entity_ts: str, keys, sources):
+    """Names as the tables have them (Spark ignores letter case by default): entity time, keys, sources."""
+
+    def named(df, name, what):
+        found = column_named(df, name)
+        if found is None:
+            raise ValueError(f"{what}: {name}")
+        return found
+
+    ets = named(entity, entity_ts, "entity timestamp column not in entity table")
+    ks = [named(entity, k, "entity table lacks key columns") for k in keys]
+    out = []
+    for s in sources:
+        km = {e: named(s.df, (s.key_map or {}).get(k, k), "source lacks columns") for e, k in zip(ks, keys)}
+        one = {n: named(s.df, n, "source lacks columns") for n in [s.event_ts, *s.features, *(s.tie_break or [])]}
+        out.append(
+            replace(
+                s,
+                event_ts=one[s.event_ts],
+                created_ts=named(s.df, s.created_ts, "source lacks columns") if s.created_ts else None,
+                names=s.out_names(),
+                features=[one[f] for f in s.features],
+                tie_break=[one[f] for f in s.tie_break] if s.tie_break else None,
+                key_map=km,
+            )
+        )
+    return ets, ks, out
+
+
+def _check(entity: DataFrame, entity_ts: str, keys: Sequence[str], sources: Sequence[AsOfSource]) -> dict:
+    """Raise on what cannot run; the types in which keys are compared."""
+    bad = [c for c in entity.columns if c.startswith(_P)]
     if bad:
         raise ValueError(f"entity columns may not start with {_P!r}: {bad}")
-    if entity_ts not in cols:
-        raise ValueError(f"entity timestamp column {entity_ts!r} not in entity table")
     if not is_time_type(entity.schema[entity_ts].dataType):
         raise ValueError(f"entity timestamp column {entity_ts!r} is not a timestamp")
-    missing = [k for k in keys if k not in cols]
-    if missing:
-        raise ValueError("entity table lacks key columns: " + ", ".join(missing))
-    seen = set(cols)
+    fold = str if entity.sparkSession.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    seen = {fold(c) for c in entity.columns}
+    types = {k: entity.schema[k].dataType for k in keys}
     for s in sources:
         if s.created_rule not in ("ordered", "independent_max"):
             raise ValueError(f"created_rule must be 'ordered' or 'independent_max', not {s.created_rule!r}")
@@ -166,53 +212,67 @@ def _check(entity: DataFrame, entity_ts: str, keys: Sequence[str], sources: Sequ
             raise ValueError(f"ties must be 'one' or 'all', not {s.ties!r}")
         if s.ttl_seconds < 0:
             raise ValueError("ttl_seconds must be >= 0")
-        scols = s.df.columns
-        need = [(s.key_map or {}).get(k, k) for k in keys] + [s.event_ts] + list(s.features)
-        need += [s.created_ts] if s.created_ts else []
-        need += list(s.tie_break or [])
-        miss = [c for c in need if c not in scols]
-        if miss:
-            raise ValueError("source lacks columns: " + ", ".join(miss))
         if not is_time_type(s.df.schema[s.event_ts].dataType):
             raise ValueError(f"source event time {s.event_ts!r} is not a timestamp")
+        for k in keys:
+            types[k] = _key_type(k, types[k], s.df.schema[s.key_map[k]].dataType)
         for n in s.out_names():
-            if n in seen:
+            if fold(n) in seen:
                 raise ValueError(
                     f"output column {n!r} collides with an entity column or another feature; "
                     "use full feature names (view prefix) or rename"
                 )
-            seen.add(n)
+            seen.add(fold(n))
+    return types
 
 
-def _source_rows(s: AsOfSource, i: int, keys, ets_type, bounds) -> DataFrame:
-    """Source rows of view ``i`` in scan form (step 1)."""
-    df = s.df
-    km = s.key_map or {}
-    ts = F.col(s.event_ts)
-    if df.schema[s.event_ts].dataType != ets_type:
-        ts = ts.cast(ets_type)
-    cond = ts.isNotNull()
-    for k in keys:
-        cond = cond & F.col(km.get(k, k)).isNotNull()
-    if s.created_rule == "independent_max":
-        if s.created_ts:
-            cond = cond & F.col(s.created_ts).isNotNull()
+def _in_range(s: AsOfSource, ets_type, bounds) -> tuple[Column, Column]:
+    """(event time in the entity's type, filter to [min - ttl, max] of the entity times).
+
+    Bounds are literals on the stored column, so they reach the scan.  A column
+    of the other timestamp type gets a literal filter a day wider on either side
+    (the types differ by the session's zone) besides the exact one.
+    """
+    raw = _c(s.event_ts)
+    own = s.df.schema[s.event_ts].dataType
+    ts = raw if own == ets_type else raw.cast(ets_type)
+    cond = raw.isNotNull()
     lo, hi = bounds
     if hi is not None:
-        cond = cond & (ts <= time_literal(hi, ets_type))
+        lo = Micros(lo - s.ttl_seconds * 1_000_000)
+        day = 0 if own == ets_type else 86_400_000_000
+        cond = cond & (raw <= time_literal(Micros(hi + day), own))
         if s.ttl_seconds > 0:
-            cond = cond & (ts >= time_literal(lo, ets_type) - seconds_interval(s.ttl_seconds))
-    created = F.col(s.created_ts) if s.created_ts else F.lit(None).cast(ets_type)
+            cond = cond & (raw >= time_literal(Micros(lo - day), own))
+        if day:
+            cond = cond & (ts <= time_literal(hi, ets_type))
+            if s.ttl_seconds > 0:
+                cond = cond & (ts >= time_literal(lo, ets_type))
+        if s.partition_prune is not None:
+            cond = cond & s.partition_prune(bounds)
+    return ts, cond
+
+
+def _source_rows(s: AsOfSource, i: int, keys, types, ets_type, bounds, few_keys=None) -> DataFrame:
+    """Source rows of view ``i`` in scan form (step 1); ``few_keys``: a small table of the entity's keys."""
+    df = s.df
+    ts, cond = _in_range(s, ets_type, bounds)
+    for k in keys:
+        cond = cond & _c(s.key_map[k]).isNotNull()
+    if s.created_rule == "independent_max" and s.created_ts:
+        cond = cond & _c(s.created_ts).isNotNull()
+    created = _c(s.created_ts) if s.created_ts else F.lit(None).cast(ets_type)
     payload = [ts.alias(_F_TS), created.alias(_F_C)]
-    payload += [F.col(f).alias(n) for f, n in zip(s.features, s.out_names())]
-    if s.partition_prune is not None and hi is not None:
-        cond = cond & s.partition_prune(bounds)
-    return df.filter(cond).select(
-        *[F.col(km.get(k, k)).alias(k) for k in keys],
+    payload += [_c(f).alias(n) for f, n in zip(s.features, s.out_names())]
+    rows = df.filter(cond).select(
+        *[_c(s.key_map[k]).cast(types[k]).alias(k) for k in keys],
         ts.alias(_T),
         F.lit(0).alias(_SIDE),
         F.struct(*payload).alias(f"{_P}f{i}"),
     )
+    if few_keys is not None:
+        rows = rows.join(F.broadcast(few_keys), list(keys), "left_semi")  # a counted size, see scan_stats
+    return rows
 
 
 def _order_key(s: AsOfSource, i: int, schema: T.StructType) -> Column | None:
@@ -243,46 +303,66 @@ def _floor_div(x: Column, w: int) -> Column:
     return ((x - F.pmod(x, F.lit(w))) / F.lit(w)).cast("long")
 
 
-def _range_created_max(entity, entity_ts, keys, s, i, ets_type, bounds) -> DataFrame:
+def _range_created_max(entity, entity_ts, keys, types, s, i, ets_type, bounds, hot, few) -> DataFrame:
     """Greatest created time over source rows in ``[t - ttl, t]``, per distinct (keys, t).
 
-    Streaming form of a sliding maximum.  With tumbling buckets of width
-    ``ttl``, ``[t - ttl, t]`` is the part of bucket(t) up to ``t`` plus the
-    part of the bucket before it from ``t - ttl`` on.  One shuffle by
-    (keys, bucket): an ascending running max read by a probe at ``t`` in
-    bucket(t), a descending running max read by a probe at ``t - ttl`` in
-    bucket(t) - 1 (RANGE frames: equal times included).  Both halves are then
-    combined per (keys, t).  No sliding frame, so no frame buffer is re-read.
+    Streaming form of a sliding maximum.  With tumbling stretches of width
+    ``ttl``, ``[t - ttl, t]`` is the part of stretch(t) up to ``t`` plus the
+    part of the stretch before it from ``t - ttl`` on.  Stretches of hot keys
+    are cut into cells by the key's time buckets.  One shuffle by (keys,
+    stretch, bucket): an ascending running max read by a probe at ``t``, a
+    descending one read by a probe at ``t - ttl`` (RANGE frames: equal times
+    included); the cells between the probe's and the end of its stretch come
+    from a running max over cell maxima.  Both halves are then combined per
+    (keys, t).  No sliding frame, so no frame buffer is re-read.
     """
     width = s.ttl_seconds * 1_000_000
     f = F.col(f"{_P}f{i}")
     c_type = s.df.schema[s.created_ts].dataType
-    src = _source_rows(s, i, keys, ets_type, bounds).select(
-        *keys, F.col(_T), f[_F_C].alias("c"), F.lit(0).alias("p"), F.lit(None).cast(ets_type).alias("t0")
+    ks = [_c(k) for k in keys]
+    none_t = F.lit(None).cast(ets_type).alias("t0")
+    src = _source_rows(s, i, keys, types, ets_type, bounds, few).select(
+        *ks, F.col(_T), f[_F_C].alias("c"), F.lit(0).alias("p"), none_t
     )
-    src = src.withColumn("b", _floor_div(epoch_micros(F.col(_T), ets_type), width))
-    valid = F.col(entity_ts).isNotNull()
+    valid = _c(entity_ts).isNotNull()
     for k in keys:
-        valid = valid & F.col(k).isNotNull()
-    d = entity.filter(valid).select(*keys, F.col(entity_ts).alias("t0")).distinct()
-    tb = _floor_div(epoch_micros(F.col("t0"), ets_type), width)
+        valid = valid & _c(k).isNotNull()
+    d = entity.filter(valid).select(*[_c(k).cast(types[k]).alias(k) for k in keys], _c(entity_ts).alias("t0")).distinct()
     none_c = F.lit(None).cast(c_type).alias("c")
-    probe_now = d.select(*keys, F.col("t0").alias(_T), none_c, F.lit(1).alias("p"), "t0", tb.alias("b"))
-    probe_back = d.select(
-        *keys, (F.col("t0") - seconds_interval(s.ttl_seconds)).alias(_T), none_c, F.lit(2).alias("p"), "t0",
-        (tb - 1).alias("b"),
-    )
+    probe_now = d.select(*ks, F.col("t0").alias(_T), none_c, F.lit(1).alias("p"), "t0")
+    probe_back = d.select(*ks, (F.col("t0") - seconds_interval(s.ttl_seconds)).alias(_T), none_c, F.lit(2).alias("p"), "t0")
     u = src.unionByName(probe_now).unionByName(probe_back)
-    part = [F.col(k) for k in keys] + [F.col("b")]
-    up = Window.partitionBy(*part).orderBy(F.col(_T).asc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    down = Window.partitionBy(*part).orderBy(F.col(_T).desc()).rangeBetween(
+    u = u.withColumn(_TU, epoch_micros(F.col(_T), ets_type)).withColumn("b", _floor_div(F.col(_TU), width))
+    if hot is None:
+        u = u.withColumn(_B, F.lit(0).cast("long"))
+    else:
+        u = u.withColumn(_H, _key_hash(keys)).join(hot, on=_H, how="left")
+        u = u.withColumn(_B, F.when(F.col(_P + "edges").isNull(), F.lit(0).cast("long")).otherwise(_bucket_of(F.col(_TU))))
+    cell = [*ks, F.col("b"), F.col(_B)]
+    up = Window.partitionBy(*cell).orderBy(F.col(_T).asc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy(*cell).orderBy(F.col(_T).desc()).rangeBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     v = u.select(
-        *keys, "t0", "p", F.max("c").over(up).alias("a"), F.max("c").over(down).alias("z")
+        *ks, "b", _B, "t0", "p", F.max("c").over(up).alias("a"), F.max("c").over(down).alias("z")
     ).filter(F.col("p") != 0)
-    v = v.select(*keys, "t0", F.when(F.col("p") == 1, F.col("a")).otherwise(F.col("z")).alias("m"))
-    return v.groupBy(*keys, "t0").agg(F.max("m").alias(f"{_P}m{i}")).withColumnRenamed("t0", entity_ts)
+    v = v.withColumn("m", F.when(F.col("p") == 1, F.col("a")).otherwise(F.col("z")))
+    if hot is not None:
+        stretch = Window.partitionBy(*ks, F.col("b")).orderBy(_B)
+        before = stretch.rowsBetween(Window.unboundedPreceding, -1)
+        after = stretch.rowsBetween(1, Window.unboundedFollowing)
+        cells = (
+            u.filter(F.col(_P + "edges").isNotNull())
+            .groupBy(*ks, "b", _B)
+            .agg(F.max("c").alias("c"))
+            .select(*ks, "b", _B, F.max("c").over(before).alias("lo"), F.max("c").over(after).alias("hi"))
+        )
+        v = v.join(cells, [*keys, "b", _B], "left")
+        v = v.withColumn("m", F.greatest("m", F.when(F.col("p") == 1, F.col("lo")).otherwise(F.col("hi"))))
+    out = v.groupBy(*ks, "t0").agg(F.max("m").alias(f"{_P}m{i}"))
+    return out.select(
+        *[_c(k).cast(entity.schema[k].dataType).alias(k) for k in keys], F.col("t0").alias(entity_ts), f"{_P}m{i}"
+    )
 
 
 def _greatest_payload(f: Column, order: Column | None) -> Column:
@@ -294,139 +374,138 @@ def _greatest_payload(f: Column, order: Column | None) -> Column:
 
 def _key_hash(keys) -> Column:
     """64-bit hash of the key columns (a constant for a view without keys)."""
-    return F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("long")
+    return F.xxhash64(*[_c(k) for k in keys]) if keys else F.lit(0).cast("long")
 
 
 # Expected sampled rows of a key right at the threshold; the count of such a
-# key is then estimated within a few percent.
-HOT_SAMPLE_ROWS = 1000
-
-
-def _per_group_table(spark, entries: dict, hot_key_rows: int, max_hot_keys: int):
-    """{hash: (n, lo_us, hi_us)} -> broadcastable table of hot keys, or None."""
-    rows = []
-    for h, (n, lo, hi) in entries.items():
-        if n <= hot_key_rows or lo is None:
-            continue
-        n_b = max(2, math.ceil(n / hot_key_rows))
-        width = max(1, math.ceil((hi - lo + 1) / n_b))
-        rows.append((n, h, int(lo), int(width)))
-    rows = [r[1:] for r in sorted(rows, reverse=True)[:max_hot_keys]]
-    if not rows:
-        return None
-    schema = T.StructType(
-        [T.StructField(_H, T.LongType()), T.StructField(_P + "hlo", T.LongType()), T.StructField(_P + "hw", T.LongType())]
-    )
-    return spark.createDataFrame(rows, schema)
+# key is then estimated within about a tenth.
+HOT_SAMPLE_ROWS = 100
+# Time quantiles that are estimated for each hot key: the most buckets it gets.
+QUANTILES = 1 << 12
+_COARSE = 64
+
 
+@dataclass(frozen=True)
+class ScanStats:
+    """What one look at the data before the scans found."""
 
-def scan_stats(spark, entity: DataFrame, entity_ts: str, groups, hot_key_rows: int, max_hot_keys: int,
-               bounds=None):
-    """Entity time range and hot keys of every scan, in two eager jobs.
+    bounds: tuple  # entity time range
+    hot: list  # for each scan: table (hash, edges, coarse edges) of keys to split, or None
+    few_keys: list  # for each scan: small table of the entity's distinct keys, or None
 
-    ``groups``: ``[(keys, sources), ...]``, one per scan (key set).
 
-    1. One aggregate over the entity with grouping sets: the global
-       min/max time (the pruning bounds) and, per key set, the entity rows of
-       each key, keeping keys above half the threshold (top-k, bounded).
-    2. One aggregate over the pruned sources of all scans, on a Bernoulli
-       sample (rate ``HOT_SAMPLE_ROWS / hot_key_rows``): only a small
-       fraction of rows is hashed and combined, and the counts are estimates
-       that only decide how finely a key is split, never what the join
-       returns.  Keys above half the threshold are kept.
+def _kept(df: DataFrame) -> DataFrame:
+    """``df`` computed once: sampled estimates must not change when a lost executor makes Spark read them again."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir():
+        return df.checkpoint()
+    return spark.createDataFrame(df.collect(), df.schema)  # at most rows / hot_key_rows keys
 
-    A key whose entity and source rows together exceed ``hot_key_rows``
-    has one side above half of it, so it is found.  Returns
-    ``(bounds, [hot table or None per scan])``.
-    """
+
+def _hot_keys(entity, entity_ts, groups, types, hot_key_rows: int | None, bounds) -> list:
+    """The table of keys to split of each scan (None: no such key)."""
+    spark = entity.sparkSession
     ets_type = entity.schema[entity_ts].dataType
-    cols: list[str] = []
-    for keys, _ in groups:
-        for k in keys:
-            if k not in cols:
-                cols.append(k)
-    sets = [list(keys) for keys, _ in groups]
-    gsets = [s_ for s_ in sets if s_] + [[]]
-    full = (1 << len(cols)) - 1
-
-    def gid_of(keyset):
-        return sum(1 << (len(cols) - 1 - j) for j, c in enumerate(cols) if c not in keyset)
-
-    e = entity.select(*[F.col(c) for c in cols], F.col(entity_ts).alias(_T))
-    n = F.col("n")
-    gid = F.col("gid")
-    h = None
-    for keyset in sets:
-        if keyset:
-            expr = F.when(gid == gid_of(keyset), F.xxhash64(*[F.col(k) for k in keyset]))
-            h = expr if h is None else F.coalesce(h, expr)
-    h = F.lit(0).cast("long") if h is None else F.coalesce(h, F.lit(0).cast("long"))
-    ent_rows = (
-        e.groupingSets(gsets, *cols)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(_T).alias("lo"), F.max(_T).alias("hi"), F.grouping_id().alias("gid"))
-        .filter((gid == full) | (n > hot_key_rows / 2))
-        .orderBy((gid == full).desc(), n.desc())
-        .limit(max_hot_keys * len(sets) + 1)
-        .select(
-            "gid", "n", h.alias(_H),
-            F.col("lo").cast("string").alias("lo_s"), F.col("hi").cast("string").alias("hi_s"),
-            epoch_micros(F.col("lo"), ets_type).alias("lo"), epoch_micros(F.col("hi"), ets_type).alias("hi"),
+    wanted = [g for g, (keys, _) in enumerate(groups) if hot_key_rows is not None or not keys]
+    if not wanted:
+        return [None] * len(groups)
+    rows = float(hot_key_rows or DEFAULT_HOT_KEY_ROWS)
+    parts = []
+    for g in wanted:
+        keys, sources = groups[g]
+        # without keys there is one group, which partial aggregation counts in full
+        rate = min(1.0, HOT_SAMPLE_ROWS / rows) if keys else 1.0
+        es = entity.select(*[_c(k).cast(types[g][k]).alias(k) for k in keys], _c(entity_ts).alias(_T))
+        for u in [es, *[_source_rows(s, i, keys, types[g], ets_type, bounds) for i, s in enumerate(sources)]]:
+            u = u.filter(F.col(_T).isNotNull())
+            u = u.sample(withReplacement=False, fraction=rate, seed=7) if rate < 1.0 else u
+            parts.append(
+                u.select(
+                    F.lit(g).alias(_G), _key_hash(keys).alias(_H), epoch_micros(F.col(_T), ets_type).alias(_TU), F.lit(1.0 / rate).alias("w")
+                )
+            )
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    keyless = [g for g in wanted if not groups[g][0]]
+    n_b = F.ceil(F.col("n") / F.lit(rows))
+    if keyless:
+        spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n_b = F.when(F.col(_G).isin(keyless), F.greatest(n_b, F.lit(spread))).otherwise(n_b)
+    grid = F.array(*[F.lit(q / QUANTILES) for q in range(1, QUANTILES)])
+    counted = u.groupBy(_G, _H).agg(F.sum("w").cast("long").alias("n"))
+    found = counted.withColumn("nb", F.least(n_b, F.lit(QUANTILES)).cast("int")).filter(F.col("nb") > 1)
+    spots = u.join(found, [_G, _H]).groupBy(_G, _H).agg(
+        F.first("nb").alias("nb"), F.percentile_approx(_TU, grid, 20_000).alias("q")
+    )
+    edges = F.array_distinct(
+        F.transform(
+            F.sequence(F.lit(1), F.col("nb") - 1),
+            lambda j: F.element_at("q", F.greatest(F.lit(1), F.floor(j * QUANTILES / F.col("nb")).cast("int"))),
         )
-        .collect()
     )
-    totals = [r for r in ent_rows if r["gid"] == full]
-    # grouping sets over an empty table return no grand-total row
-    total = totals[0] if totals else {"n": 0, "lo": None, "hi": None, "lo_s": None, "hi_s": None}
-    if bounds is None:
-        bounds = (total["lo_s"], total["hi_s"])
-        log.info("entity time range %s .. %s", *bounds)
-        if bounds[1] is None:
-            bounds = ("1970-01-01 00:00:00", "0001-01-01 00:00:00")
-    per_group: list[dict] = []
-    for keyset in sets:
-        if keyset:
-            g = gid_of(keyset)
-            per_group.append({r[_H]: (r["n"], r["lo"], r["hi"]) for r in ent_rows if r["gid"] == g})
-        else:  # a scan without keys is one group: the whole entity
-            per_group.append({0: (total["n"], total["lo"], total["hi"])})
-
-    # sources: sampled counts per hashed key, above half the threshold
-    src_inputs = []
-    for g, (keys, sources) in enumerate(groups):
-        parts = [_source_rows(s, i, keys, ets_type, bounds).select(*keys, _T) for i, s in enumerate(sources)]
-        u = parts[0]
-        for p in parts[1:]:
-            u = u.unionByName(p)
-        src_inputs.append(u.select(F.lit(g).alias(_G), _key_hash(keys).alias(_H), F.col(_T)))
-    u = src_inputs[0]
-    for df in src_inputs[1:]:
-        u = u.unionByName(df)
-    rate = min(1.0, HOT_SAMPLE_ROWS / float(hot_key_rows))
-    if rate < 1.0:
-        u = u.sample(withReplacement=False, fraction=rate, seed=7)
-    src_rows = (
-        u.groupBy(_G, _H)
-        .agg((F.count(F.lit(1)) / F.lit(rate)).alias("n"), F.min(_T).alias("lo"), F.max(_T).alias("hi"))
-        .filter(n > hot_key_rows / 2)
-        .orderBy(n.desc())
-        .limit(max_hot_keys * len(groups))
-        .select(_G, _H, "n", epoch_micros(F.col("lo"), ets_type).alias("lo"),
-                epoch_micros(F.col("hi"), ets_type).alias("hi"))
-        .collect()
+    spots = spots.select(_G, _H, edges.alias(_P + "edges"))
+    spots = spots.withColumn(
+        _P + "coarse", F.filter(F.col(_P + "edges"), lambda _, i: (i + 1) % _COARSE == 0)
     )
-    for r in src_rows:
-        d = per_group[r[_G]]
-        en, elo, ehi = d.get(r[_H], (0, None, None))
-        los = [x for x in (elo, r["lo"]) if x is not None]
-        his = [x for x in (ehi, r["hi"]) if x is not None]
-        d[r[_H]] = (en + r["n"], min(los) if los else None, max(his) if his else None)
-
-    tables = []
+    spots = _kept(spots)
+    some = {r[_G] for r in spots.select(_G).distinct().collect()}
+    return [spots.filter(F.col(_G) == g).drop(_G) if g in some else None for g in range(len(groups))]
+
+
+def _bucket_of(us: Column) -> Column:
+    """The number of edges at or below ``us``: by the coarse edges first, then within 64."""
+    edges, coarse = F.col(_P + "edges"), F.col(_P + "coarse")
+    c = F.size(F.filter(coarse, lambda e: e <= us)) * F.lit(_COARSE)
+    return (c + F.size(F.filter(F.slice(edges, c + 1, F.lit(_COARSE)), lambda e: e <= us))).cast("long")
+
+
+def scan_stats(
+    spark, entity: DataFrame, entity_ts: str, groups, hot_key_rows: int | None, bounds=None, prune: bool = True
+) -> ScanStats:
+    """Entity time range, hot keys and small key lists of every scan.
+
+    ``groups``: ``[(keys, sources), ...]``, one per scan (key set).  Two jobs:
+
+    1. A plain aggregate over the entity: time range and the approximate number
+       of distinct keys per key set.  Given ``bounds`` are checked against the
+       range: a bound that is too narrow would lose matches and raises.
+    2. A sampled count and time quantiles per key, see the module's doc.  They
+       decide how finely a key is split, never what the join returns.
+    """
+    ets_type = entity.schema[entity_ts].dataType
+    types = [_check(entity, entity_ts, keys, sources) for keys, sources in groups]
+    us = epoch_micros(_c(entity_ts), ets_type)
+    aggs = [F.min(us).alias("lo"), F.max(us).alias("hi")]
+    aggs += [F.approx_count_distinct(_key_hash(keys), 0.05).alias(f"k{g}") for g, (keys, _) in enumerate(groups) if keys]
+    row = entity.agg(*aggs).first()
+    lo, hi = (None if row[c] is None else Micros(row[c]) for c in ("lo", "hi"))
+    if bounds is not None and lo is not None and (lo < bounds[0] or hi > bounds[1]):
+        raise ValueError(f"entity times reach from {lo} to {hi} (us), beyond the given bounds {bounds}")
+    if bounds is None:
+        bounds = ((lo, hi) if lo is not None else _NO_TIMES) if prune else (None, None)
+    log.info("entity time range %s .. %s (us)", *bounds)
+    hot = _hot_keys(entity, entity_ts, groups, types, hot_key_rows, bounds)
+    limit = _broadcast_bytes(spark)
+    few = []
     for g, (keys, sources) in enumerate(groups):
-        t = _per_group_table(spark, per_group[g], hot_key_rows, max_hot_keys)
-        log.info("as-of scan %d: %s hot key(s) split by time", g, 0 if t is None else "some")
-        tables.append(t)
-    return bounds, tables
+        width = sum(t.typeName() in ("string", "binary") and 64 or 16 for t in types[g].values()) + 16
+        small = keys and row[f"k{g}"] * 1.2 * width <= limit
+        few.append(
+            entity.select(*[_c(k).cast(types[g][k]).alias(k) for k in keys])
+            .filter(" and ".join(f"{quoted(k)} is not null" for k in keys))
+            .distinct()
+            if small
+            else None
+        )
+    log.info("as-of scans: %d with keys split by time", sum(h is not None for h in hot))
+    return ScanStats(bounds, hot, few)
+
+
+def _broadcast_bytes(spark) -> int:
+    """The session's broadcast threshold in bytes; 0 where broadcasts are off."""
+    value = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return max(0, int(value))
 
 
 def asof_join(
@@ -438,17 +517,18 @@ def asof_join(
     prune: bool = True,
     bounds: tuple | None = None,
     hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
-    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-    hot_table=_AUTO,
+    stats: tuple | None = None,
 ) -> DataFrame:
     """As-of join of several sources that share the entity key set, in one scan.
 
-    ``hot_table``: ``"auto"`` counts keys here (:func:`scan_stats`); a caller
-    that already counted (a fold over several key sets does it once for all)
-    passes the table it got from :func:`scan_stats`, or None for no hot key.
+    ``bounds`` (times, text or :class:`Micros`) are the entity time range where
+    the caller knows it.  With ``hot_key_rows=None`` nothing is read ahead of the
+    scan then and the bounds are trusted: too narrow ones lose matches.
+    ``stats``: (bounds, hot table, key list) of a caller that has looked at the
+    data already (:func:`scan_stats`; a fold does it once for all key sets).
     """
-    keys = list(keys)
-    _check(entity, entity_ts, keys, sources)
+    entity_ts, keys, sources = _resolved(entity, entity_ts, keys, sources)
+    types = _check(entity, entity_ts, keys, sources)
     spark = entity.sparkSession
     ets_type = entity.schema[entity_ts].dataType
     ent_cols = entity.columns
@@ -457,49 +537,36 @@ def asof_join(
     n = len(sources)
     fcols = [f"{_P}f{i}" for i in range(n)]
 
-    hot = None
-    auto = isinstance(hot_table, str) and hot_table == _AUTO
-    if auto and hot_key_rows is not None:
-        # one entity pass for bounds and entity counts, one sampled source pass
-        given = bounds if (bounds is not None or not prune) else None
-        found, (hot,) = scan_stats(spark, entity, entity_ts, [(keys, sources)], hot_key_rows, max_hot_keys,
-                                   bounds=given)
-        if bounds is None and prune:
-            bounds = found
-    elif not auto:
-        hot = hot_table
-
-    # Prune every source to [min(t) - ttl, max(t)] with literal bounds.
-    if bounds is None and prune:
-        bounds = entity_time_range(entity, entity_ts)
-        log.info("entity time range %s .. %s", *bounds)
-        if bounds[1] is None:  # no entity row has a time: nothing can match
-            bounds = ("1970-01-01 00:00:00", "0001-01-01 00:00:00")
-    if bounds is None:
-        bounds = (None, None)
-
-    src_rows = [_source_rows(s, i, keys, ets_type, bounds) for i, s in enumerate(sources)]
-    # every entity row goes through the scan: a NULL key meets no source row
-    # (NULL-key source rows are dropped) and a NULL time is blanked below
+    if bounds is not None:
+        bounds = tuple(to_micros(spark, b, ets_type) for b in bounds)
+    if stats is not None:
+        bounds, hot, few = stats
+    elif hot_key_rows is not None or not keys:
+        found = scan_stats(spark, entity, entity_ts, [(keys, sources)], hot_key_rows, bounds, prune)
+        bounds, hot, few = found.bounds, found.hot[0], found.few_keys[0]
+    else:
+        hot = few = None
+        if bounds is None:
+            bounds = (None, None)
+            if prune:
+                bounds = entity_time_range(entity, entity_ts)
+                bounds = bounds if bounds[1] is not None else _NO_TIMES
+
+    src_rows = [_source_rows(s, i, keys, types, ets_type, bounds, few) for i, s in enumerate(sources)]
     ent_rows = entity.select(
-        *[F.col(k) for k in keys],
-        F.col(entity_ts).alias(_T),
+        *[_c(k).cast(types[k]).alias(k) for k in keys],
+        _c(entity_ts).alias(_T),
         F.lit(1).alias(_SIDE),
-        F.struct(*[F.col(c) for c in other_cols]).alias(_E),
+        F.struct(*[_c(c) for c in other_cols]).alias(_E),
     )
     u0 = ent_rows
     for s in src_rows:
         u0 = u0.unionByName(s, allowMissingColumns=True)
 
-    if hot is not None:  # bucket arithmetic
-        u0 = u0.withColumn(_TU, epoch_micros(F.col(_T), ets_type))
-
     orders = [_order_key(s, i, u0.schema) for i, s in enumerate(sources)]
 
-    part = list(keys)
-    if hot is not None:
-        u0 = _bucketed(u0, hot, keys, sources, fcols, orders)
-        part = keys + [_B]
+    part = [*keys, _B]
+    u0 = _bucketed(u0, hot, keys, sources, fcols, orders, ets_type)
 
     # Step 2: the scan.
     # A RANGE frame up to the current row includes its peers, so the frame of
@@ -508,11 +575,11 @@ def asof_join(
     # payload (event time, created, features) among them is the winner.  All
     # frames below share this one sort order: one sort, one Window operator.
     w = (
-        Window.partitionBy(*[F.col(c) for c in part])
+        Window.partitionBy(*[_c(c) for c in part])
         .orderBy(F.col(_T).asc_nulls_first())
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    scanned_cols = [F.col(c) for c in part] + [F.col(_T), F.col(_SIDE), F.col(_E)]
+    scanned_cols = [_c(c) for c in part] + [F.col(_T), F.col(_SIDE), F.col(_E)]
     extra = []
     for i, s in enumerate(sources):
         f = F.col(fcols[i])
@@ -529,7 +596,7 @@ def asof_join(
     out_cols = []
     for c in ent_cols:
         if c in keys:
-            out_cols.append(F.col(c).cast(entity.schema[c].dataType).alias(c))
+            out_cols.append(_c(c).cast(entity.schema[c].dataType).alias(c))
         elif c == entity_ts:
             out_cols.append(F.col(_T).alias(c))
         else:
@@ -560,44 +627,33 @@ def asof_join(
     # [t - ttl, t] was created later (window maximum from a streaming scan)
     for i in pending:
         s = sources[i]
-        m = _range_created_max(entity, entity_ts, keys, s, i, ets_type, bounds)
+        m = _range_created_max(entity, entity_ts, keys, types, s, i, ets_type, bounds, hot, few)
         result = result.join(m, on=keys + [entity_ts], how="left")
         gate = F.col(f"{_P}pc{i}") == F.col(f"{_P}m{i}")
         gated = [f"{_P}wts{i}", f"{_P}wc{i}"] if s.ties == "all" else s.out_names()
-        result = result.withColumns({c: F.when(gate, F.col(c)) for c in gated}).drop(f"{_P}pc{i}", f"{_P}m{i}")
+        result = result.withColumns({c: F.when(gate, _c(c)) for c in gated}).drop(f"{_P}pc{i}", f"{_P}m{i}")
 
     # Fan out to every tied source row.
     for i, s in enumerate(sources):
         if s.ties == "all":
-            result = _fan_out_ties(result, s, i, keys, ets_type, bounds)
+            result = _fan_out_ties(result, s, i, keys, types, ets_type, bounds)
 
     final_cols = list(ent_cols) + [n for s in sources for n in s.out_names()]
-    return result.select(*final_cols)
+    return result.select(*[_c(c) for c in final_cols])
 
 
-def _fan_out_ties(result: DataFrame, s: AsOfSource, i: int, keys, ets_type, bounds) -> DataFrame:
+def _fan_out_ties(result: DataFrame, s: AsOfSource, i: int, keys, types, ets_type, bounds) -> DataFrame:
     """Equi-join back on (keys, winning event time[, created time])."""
-    km = s.key_map or {}
-    ts = F.col(s.event_ts)
-    if s.df.schema[s.event_ts].dataType != ets_type:
-        ts = ts.cast(ets_type)
-    cond0 = ts.isNotNull()
-    lo, hi = bounds
-    if hi is not None:
-        cond0 = cond0 & (ts <= time_literal(hi, ets_type))
-        if s.ttl_seconds > 0:
-            cond0 = cond0 & (ts >= time_literal(lo, ets_type) - seconds_interval(s.ttl_seconds))
-        if s.partition_prune is not None:
-            cond0 = cond0 & s.partition_prune(bounds)
+    ts, cond0 = _in_range(s, ets_type, bounds)
     src = s.df.filter(cond0).select(
-        *[F.col(km.get(k, k)).alias(f"{_P}k_{k}") for k in keys],
+        *[_c(s.key_map[k]).cast(types[k]).alias(f"{_P}k_{k}") for k in keys],
         ts.alias(f"{_P}jts"),
-        (F.col(s.created_ts) if s.created_ts else F.lit(None).cast(ets_type)).alias(f"{_P}jc"),
-        *[F.col(f).alias(n) for f, n in zip(s.features, s.out_names())],
+        (_c(s.created_ts) if s.created_ts else F.lit(None).cast(ets_type)).alias(f"{_P}jc"),
+        *[_c(f).alias(n) for f, n in zip(s.features, s.out_names())],
     )
     cond = F.col(f"{_P}wts{i}") == F.col(f"{_P}jts")
     for k in keys:
-        cond = cond & (F.col(k) == F.col(f"{_P}k_{k}"))
+        cond = cond & (_c(k) == _c(f"{_P}k_{k}"))
     if s.created_ts:
         cond = cond & F.col(f"{_P}wc{i}").eqNullSafe(F.col(f"{_P}jc"))
     joined = result.join(src, cond, "left")
@@ -605,46 +661,58 @@ def _fan_out_ties(result: DataFrame, s: AsOfSource, i: int, keys, ets_type, boun
     return joined.drop(*drop)
 
 
-def _bucketed(u0: DataFrame, hot: DataFrame, keys, sources, fcols, orders) -> DataFrame:
-    """Add time buckets for hot keys, plus carry rows."""
-    hw, hlo = F.col(_P + "hw"), F.col(_P + "hlo")
-    u = u0.withColumn(_H, _key_hash(keys)).join(F.broadcast(hot), on=_H, how="left").drop(_H)
+def _bucketed(u0: DataFrame, hot: DataFrame | None, keys, sources, fcols, orders, ets_type) -> DataFrame:
+    """Add the bucket column, and carry rows for hot keys."""
+    # entity rows that cannot match need no scan: spread, below all buckets
+    nowhere = (F.col(_SIDE) == 1) & F.col(_T).isNull()
+    for k in keys:
+        nowhere = nowhere | ((F.col(_SIDE) == 1) & _c(k).isNull())
+    plain = [f.name for f in u0.schema[_E].dataType.fields if not _unhashable(f.dataType)]
+    row = F.xxhash64(*[_c(k) for k in keys], F.col(_T), *[F.col(_E)[c] for c in plain])
+    spread = -1 - F.pmod(row, F.lit(4096))
+    if hot is None:
+        return u0.withColumn(_B, F.when(nowhere, spread).otherwise(F.lit(0).cast("long")))
+    is_hot = F.col(_P + "edges").isNotNull()
+    u = u0.withColumn(_TU, epoch_micros(F.col(_T), ets_type))
+    u = u.withColumn(_H, _key_hash(keys)).join(hot, on=_H, how="left").drop(_H)
     u = u.withColumn(
-        _B, F.when(hw.isNull(), F.lit(0).cast("long")).otherwise(F.floor((F.col(_TU) - hlo) / hw))
+        _B,
+        F.when(nowhere, spread).when(is_hot, _bucket_of(F.col(_TU))).otherwise(F.lit(0).cast("long")),
     )
 
-    hot_rows = u.filter(hw.isNotNull())
+    hot_rows = u.filter(is_hot & (F.col(_B) >= 0))
+    ks = [_c(k) for k in keys]
     # last source row per (key, bucket), per view: partial top-1 before the shuffle
     summaries = []
     for i, s in enumerate(sources):
         order = orders[i] if orders[i] is not None else F.col(fcols[i])
-        bw = Window.partitionBy(*keys, _B).orderBy(
+        bw = Window.partitionBy(*ks, _B).orderBy(
             F.col(_T).desc_nulls_last(), order.desc_nulls_last()
         )
         last_row = (
             hot_rows.filter(F.col(fcols[i]).isNotNull())
-            .select(*keys, _B, _T, fcols[i], order.alias(f"{_P}o"))
+            .select(*ks, _B, _T, fcols[i], order.alias(f"{_P}o"))
             .withColumn(f"{_P}rn", F.row_number().over(bw))
             .filter(F.col(f"{_P}rn") == 1)
-            .select(*keys, _B, fcols[i], F.lit(1).alias(f"{_P}m"))
+            .select(*ks, _B, fcols[i], F.lit(1).alias(f"{_P}m"))
         )
         if s.created_rule == "independent_max" and s.ttl_seconds == 0 and s.created_ts:
             bmax = (
                 hot_rows.filter(F.col(fcols[i]).isNotNull())
-                .groupBy(*keys, _B)
+                .groupBy(*ks, _B)
                 .agg(F.max(F.col(fcols[i])[_F_C]).alias(f"{_P}bm{i}"))
             )
             last_row = last_row.join(bmax, on=keys + [_B], how="inner")
         summaries.append(last_row)
 
     ent_buckets = (
-        hot_rows.filter(F.col(_SIDE) == 1).select(*keys, _B).distinct().withColumn(f"{_P}m", F.lit(0))
+        hot_rows.filter(F.col(_SIDE) == 1).select(*ks, _B).distinct().withColumn(f"{_P}m", F.lit(0))
     )
     cu = ent_buckets
     for sm in summaries:
         cu = cu.unionByName(sm, allowMissingColumns=True)
     cw = (
-        Window.partitionBy(*keys)
+        Window.partitionBy(*ks)
         .orderBy(F.col(_B), F.col(f"{_P}m"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -653,7 +721,7 @@ def _bucketed(u0: DataFrame, hot: DataFrame, keys, sources, fcols, orders) -> Da
     for i, s in enumerate(sources):
         if s.created_rule == "independent_max" and s.ttl_seconds == 0 and s.created_ts:
             cm_cols.append(F.max(F.col(f"{_P}bm{i}")).over(cw).alias(f"{_P}cm{i}"))
-    carry = cu.select(*keys, _B, F.col(f"{_P}m"), *carried, *cm_cols).filter(F.col(f"{_P}m") == 0)
+    carry = cu.select(*ks, _B, F.col(f"{_P}m"), *carried, *cm_cols).filter(F.col(f"{_P}m") == 0)
     any_f = None
     for c in fcols:
         any_f = F.col(c).isNotNull() if any_f is None else any_f | F.col(c).isNotNull()
@@ -661,5 +729,13 @@ def _bucketed(u0: DataFrame, hot: DataFrame, keys, sources, fcols, orders) -> Da
     # a carry row sorts first in its bucket (_t NULL, NULLs first)
     carry = carry.withColumn(_T, F.lit(None).cast(u0.schema[_T].dataType))
 
-    u = u.drop(_P + "hw", _P + "hlo")
+    u = u.drop(_P + "edges", _P + "coarse")
     return u.unionByName(carry, allowMissingColumns=True)
+
+
+def _unhashable(t: T.DataType) -> bool:
+    if isinstance(t, T.ArrayType):
+        return _unhashable(t.elementType)
+    if isinstance(t, T.StructType):
+        return any(_unhashable(f.dataType) for f in t.fields)
+    return not isinstance(t, T.AtomicType) or isinstance(t, T.VariantType)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timeutil import time_literal
 from ..functions.types import is_orderable
+from ..sources.entity import column_named, quoted
 
 
 def time_range_filter(df: DataFrame, event_ts: str, start=None, end=None) -> Column | None:
@@ -17,8 +18,9 @@ def time_range_filter(df: DataFrame, event_ts: str, start=None, end=None) -> Col
     NULL event times drop out.  Literal bounds reach the Parquet scan as
     pushed filters.
     """
+    event_ts = column_named(df, event_ts) or event_ts
     dtype = df.schema[event_ts].dataType
-    c = F.col(event_ts)
+    c = F.col(quoted(event_ts))
     cond = c.isNotNull()
     if start is not None:
         cond = cond & (c >= time_literal(start, dtype))
@@ -32,12 +34,17 @@ def _project(df: DataFrame, keys, features, event_ts, created_ts) -> list[str]:
     for c in list(keys) + list(features) + [event_ts] + ([created_ts] if created_ts else []):
         if c not in cols:
             cols.append(c)
-    missing = [c for c in cols if c not in df.columns]
+    missing = [c for c in cols if column_named(df, c) is None]
     if missing:
         raise ValueError("columns not found: " + ", ".join(missing))
     return cols
 
 
+def _selected(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The columns under the names asked for, whatever their letter case in ``df``."""
+    return df.select(*[F.col(quoted(column_named(df, c))).alias(c) for c in cols])
+
+
 def rows_in_range(
     df: DataFrame,
     keys: Sequence[str],
@@ -49,7 +56,7 @@ def rows_in_range(
 ) -> DataFrame:
     """All rows with ``start <= event_ts <= end``: keys, features, time columns (L2)."""
     cols = _project(df, keys, features, event_ts, created_ts)
-    return df.filter(time_range_filter(df, event_ts, start, end)).select(*cols)
+    return _selected(df.filter(time_range_filter(df, event_ts, start, end)), cols)
 
 
 def latest_by_key(
@@ -71,16 +78,17 @@ def latest_by_key(
     single row of the range is returned through a top-k plan (L1a).
     """
     cols = _project(df, keys, features, event_ts, created_ts)
-    rows = df.filter(time_range_filter(df, event_ts, start, end)).select(*cols)
-    order = [F.col(event_ts).desc_nulls_last()]
+    rows = _selected(df.filter(time_range_filter(df, event_ts, start, end)), cols)
+    order = [F.col(quoted(event_ts)).desc_nulls_last()]
     if created_ts:
-        order.append(F.col(created_ts).desc_nulls_last())
+        order.append(F.col(quoted(created_ts)).desc_nulls_last())
     order += [
-        F.col(f).desc_nulls_last()
+        F.col(quoted(f)).desc_nulls_last()
         for f in features
         if f not in keys and is_orderable(rows.schema[f].dataType)
     ]
     if not keys:
         return rows.orderBy(*order).limit(1)
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    w = Window.partitionBy(*[F.col(quoted(k)) for k in keys]).orderBy(*order)
+    rn = "__cj_rn"
+    return rows.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-import datetime as _dt
 from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.asof import (
     DEFAULT_HOT_KEY_ROWS,
-    DEFAULT_MAX_HOT_KEYS,
+    _NO_TIMES,
     AsOfSource,
+    _resolved,
     asof_join,
     scan_stats,
 )
+from ..functions.timeutil import Micros, to_micros
 from ..operators.latest import latest_by_key, rows_in_range
-from ..sources.entity import as_dataframe, check_entity_columns, entity_time_range, infer_entity_ts
+from ..sources.entity import as_dataframe, check_entity_columns, entity_time_range, infer_entity_ts, quoted
 from ..sources.source import Source
 
 
@@ -115,7 +117,6 @@ def historical_features(
     transforms: dict | None = None,
     entity_bounds: tuple | None = None,
     hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
-    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
 ) -> DataFrame:
     """Every entity row with the as-of value of each requested feature.
 
@@ -125,11 +126,12 @@ def historical_features(
     entity time range is read once and prunes every source.  ``transforms``
     ``{name: Column}`` are applied last (request-time computed features).
     The result is lazy.  ``entity_bounds=(lo, hi)`` (datetimes or text) gives
-    the entity time range when the caller knows it (it must cover every
-    entity time): the bounds are then not read from the data, and with
-    ``hot_key_rows=None`` no eager pass over the entity runs at all.
+    the entity time range when the caller knows it.  It is checked against the
+    data in the look that finds hot keys, and a range that is too narrow raises;
+    with ``hot_key_rows=None`` nothing is read ahead and the range is trusted:
+    entity rows outside of it may lose their matches.
     """
-    ent = as_dataframe(spark, entity)
+    ent = as_dataframe(spark, entity, entity_ts)
     ets = infer_entity_ts(ent, entity_ts)
     if refs is None:
         refs = [f"{v.name}:{f}" for v in views for f in v.features]
@@ -141,16 +143,14 @@ def historical_features(
                 all_keys.append(k)
     check_entity_columns(ent, all_keys, ets)
 
-    given = tuple(_bound_text(b) for b in entity_bounds) if entity_bounds is not None else None
-    if hot_key_rows is None:
-        bounds = given if given is not None else entity_time_range(ent, ets)
-    else:
-        bounds = given  # filled in by scan_stats below, from the same entity pass
+    ets_type = ent.schema[ets].dataType
+    given = tuple(to_micros(spark, b, ets_type) for b in entity_bounds) if entity_bounds is not None else None
     groups: dict[tuple, list[AsOfSource]] = {}
     for v, feats in wanted:
         names = [f"{v.name}__{f}" for f in feats] if full_feature_names else list(feats)
         src_df = v.load(spark)
-        groups.setdefault(tuple(v.keys), []).append(
+        # the same keys in another order are one scan
+        groups.setdefault(tuple(sorted(v.keys, key=str.lower)), []).append(
             AsOfSource(
                 df=src_df,
                 event_ts=v.event_col,
@@ -164,36 +164,24 @@ def historical_features(
                 partition_prune=_partition_prune(v),
             )
         )
-    # hot keys of every key set, counted on the original entity rows: one
-    # entity pass (which also gives the bounds) and one sampled source pass
-    hot_tables = [None] * len(groups)
-    if hot_key_rows is not None:
-        bounds, hot_tables = scan_stats(
-            spark, ent, ets, list(groups.items()), hot_key_rows, max_hot_keys, bounds=bounds
-        )
-    if bounds[1] is None:
-        bounds = ("1970-01-01 00:00:00", "0001-01-01 00:00:00")
+    ready = [_resolved(ent, ets, keys, sources)[1:] for keys, sources in groups.items()]
+    # hot keys and key lists of every key set, found on the original entity rows
+    if hot_key_rows is not None or any(not keys for keys, _ in ready):
+        look = scan_stats(spark, ent, ets, ready, hot_key_rows, given)
+        stats = [(look.bounds, h, few) for h, few in zip(look.hot, look.few_keys)]
+    else:
+        bounds = given or entity_time_range(ent, ets)
+        stats = [(bounds if bounds[1] is not None else _NO_TIMES, None, None)] * len(ready)
     out = ent
-    for (keys, sources), hot in zip(groups.items(), hot_tables):
-        out = asof_join(
-            out, ets, list(keys), sources, bounds=bounds, hot_key_rows=hot_key_rows, max_hot_keys=max_hot_keys,
-            hot_table=hot,
-        )
+    for (keys, sources), st in zip(ready, stats):
+        out = asof_join(out, ets, keys, sources, stats=st)
+    order = [n for v, feats in wanted for n in ([f"{v.name}__{f}" for f in feats] if full_feature_names else feats)]
+    out = out.select(*[F.col(quoted(c)) for c in [*ent.columns, *order]])
     if transforms:
         out = out.withColumns(dict(transforms))
     return out
 
 
-def _bound_text(value) -> str:
-    if isinstance(value, str):
-        return value
-    if isinstance(value, _dt.datetime) and value.tzinfo is not None:
-        value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
-    if isinstance(value, _dt.datetime):
-        return value.isoformat(sep=" ", timespec="microseconds")
-    return _dt.datetime(value.year, value.month, value.day).isoformat(sep=" ")
-
-
 def _partition_prune(view: FeatureView):
     """bounds -> filter on the source's date partition column covering [min - ttl, max], or None.
 
@@ -205,7 +193,7 @@ def _partition_prune(view: FeatureView):
     def prune(bounds):
         lo = None
         if view.ttl_seconds and bounds[0] is not None:
-            lo = _dt.datetime.fromisoformat(bounds[0][:19]) - _dt.timedelta(seconds=view.ttl_seconds)
+            lo = Micros(bounds[0] - view.ttl_seconds * 1_000_000)
         return view.source.partition_filter(lo, bounds[1])
 
     return prune

@@ -12,6 +12,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sinks.save import save_dataset
+from ..sources.entity import as_dataframe, infer_entity_ts, quoted
 from .features import FeatureView, historical_features
 
 
@@ -35,21 +36,21 @@ class RetrievalJob:
             self._df = df.observe(
                 self._obs,
                 F.count(F.lit(1)).alias("rows"),
-                F.min(time_col).alias("min_event_timestamp"),
-                F.max(time_col).alias("max_event_timestamp"),
+                F.min(F.col(quoted(time_col))).alias("min_event_timestamp"),
+                F.max(F.col(quoted(time_col))).alias("max_event_timestamp"),
             )
 
     def to_spark_df(self) -> DataFrame:
         return self._df
 
     def to_df(self):
-        """pandas frame, collected to the driver: for results that fit there."""
+        """pandas frame on the driver: for results that fit there (larger ones: :meth:`persist`)."""
         out = self._df.toPandas()
         self._ran = True
         return out
 
     def to_arrow(self):
-        """Arrow table straight from Spark's Arrow batches (no pandas step)."""
+        """Arrow table on the driver, straight from Spark's Arrow batches: for results that fit there."""
         out = self._df.toArrow()
         self._ran = True
         return out
@@ -103,7 +104,7 @@ class OfflineStore:
     ) -> RetrievalJob:
         """Every row with event time in [start_date, end_date] (L2)."""
         view = _view(data_source, join_key_columns, feature_name_columns, event_timestamp_column, None)
-        return RetrievalJob(view.pull_all(spark, start_date, end_date))
+        return RetrievalJob(view.pull_all(spark, start_date, end_date), time_col=event_timestamp_column)
 
     @staticmethod
     def get_historical_features(
@@ -115,7 +116,10 @@ class OfflineStore:
         **kw,
     ) -> RetrievalJob:
         """Point-in-time join of the referenced features onto ``entity_df`` (A0)."""
+        ent = as_dataframe(spark, entity_df, kw.get("entity_ts"))
+        ets = infer_entity_ts(ent, kw.pop("entity_ts", None))
         return RetrievalJob(
-            historical_features(spark, entity_df, feature_views, feature_refs,
-                                full_feature_names=full_feature_names, **kw)
+            historical_features(spark, ent, feature_views, feature_refs, entity_ts=ets,
+                                full_feature_names=full_feature_names, **kw),
+            time_col=ets,
         )

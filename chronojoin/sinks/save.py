@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,17 +31,10 @@ def save_dataset(
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for written intermediates: ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh
-    temporary folder is created and set as the checkpoint folder.
+    Raises where neither the setting nor a checkpoint folder is there: a folder
+    of the driver's machine is no substitute, executors do not see it.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        try:
-            d = spark.sparkContext.getCheckpointDir()
-        except Exception:  # pragma: no cover - no JVM context (Connect)
-            d = None
-    if not d:
-        d = tempfile.mkdtemp(prefix="chronojoin-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-        d = spark.sparkContext.getCheckpointDir() or d
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return d.rstrip("/")

@@ -7,15 +7,19 @@ from typing import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.timeutil import is_time_type
+from ..functions.timeutil import Micros, epoch_micros, is_time_type
 
 
 class InvalidEntity(TypeError):
     pass
 
 
-def as_dataframe(spark: SparkSession, entity) -> DataFrame:
-    """Accept a DataFrame, a SQL string or a pandas frame."""
+def as_dataframe(spark: SparkSession, entity, entity_ts: str | None = None) -> DataFrame:
+    """Accept a DataFrame, a SQL string or a pandas frame.
+
+    In a pandas frame text in the column ``entity_ts`` (default
+    ``event_timestamp``) is read as times, without a zone in UTC (G2).
+    """
     if isinstance(entity, DataFrame):
         return entity
     if isinstance(entity, str):
@@ -25,25 +29,33 @@ def as_dataframe(spark: SparkSession, entity) -> DataFrame:
     except ImportError:  # pragma: no cover
         pd = None
     if pd is not None and isinstance(entity, pd.DataFrame):
-        df = spark.createDataFrame(entity)
-        # string timestamps in a pandas frame are read as UTC instants
-        for name, dtype in entity.dtypes.items():
-            if dtype == object and str(name) == "event_timestamp":
-                df = df.withColumn(name, F.to_timestamp(F.col(name)))
-        return df
+        name = entity_ts or "event_timestamp"
+        if name in entity.columns and not pd.api.types.is_datetime64_any_dtype(entity[name]):
+            entity = entity.assign(**{name: pd.to_datetime(entity[name], utc=True)})
+        return spark.createDataFrame(entity)
     raise InvalidEntity(
         f"entity must be a DataFrame, SQL string or pandas DataFrame, not {type(entity).__name__}"
     )
 
 
+def column_named(df: DataFrame, name: str) -> str | None:
+    """The column of ``df`` that Spark resolves ``name`` to (letter case as the session has it), or None."""
+    if name in df.columns:
+        return name
+    if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true":
+        return None
+    return next((c for c in df.columns if c.lower() == name.lower()), None)
+
+
 def infer_entity_ts(df: DataFrame, explicit: str | None = None) -> str:
     """Explicit name wins; else a time column named ``event_timestamp``; else the only one."""
     if explicit:
-        if explicit not in df.columns:
+        found = column_named(df, explicit)
+        if found is None:
             raise ValueError(f"entity timestamp column {explicit!r} not in entity table")
-        if not is_time_type(df.schema[explicit].dataType):
+        if not is_time_type(df.schema[found].dataType):
             raise ValueError(f"entity timestamp column {explicit!r} is not a timestamp")
-        return explicit
+        return found
     times = [f.name for f in df.schema.fields if is_time_type(f.dataType)]
     if "event_timestamp" in times:
         return "event_timestamp"
@@ -57,20 +69,23 @@ def infer_entity_ts(df: DataFrame, explicit: str | None = None) -> str:
 
 
 def check_entity_columns(df: DataFrame, keys: Iterable[str], entity_ts: str) -> None:
-    missing = [k for k in list(keys) + [entity_ts] if k not in df.columns]
+    missing = [k for k in list(keys) + [entity_ts] if column_named(df, k) is None]
     if missing:
         raise ValueError("entity table lacks columns: " + ", ".join(missing))
 
 
-def entity_time_range(df: DataFrame, entity_ts: str):
-    """(min, max) of the entity timestamp: one small eager job.
+def quoted(name: str) -> str:
+    """``name`` as one identifier, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def entity_time_range(df: DataFrame, entity_ts: str) -> tuple[Micros | None, Micros | None]:
+    """(min, max) of the entity timestamp as :class:`Micros`: one small eager job.
 
-    The bounds come back as Spark's own text of the values, so turning them
-    into literals again (``time_literal``) round-trips exactly, whatever the
-    session or Python time zone.  A global aggregate always returns one row,
-    so emptiness shows as NULLs: ``(None, None)``.
+    A global aggregate always returns one row, so an empty table, or one
+    without a time, gives ``(None, None)``.
     """
-    row = df.agg(
-        F.min(entity_ts).cast("string").alias("lo"), F.max(entity_ts).cast("string").alias("hi")
-    ).first()
-    return row["lo"], row["hi"]
+    c = F.col(quoted(entity_ts))
+    us = epoch_micros(c, df.schema[entity_ts].dataType)
+    row = df.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
+    return tuple(None if v is None else Micros(v) for v in (row["lo"], row["hi"]))

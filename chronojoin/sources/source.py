@@ -8,10 +8,10 @@ from typing import Any, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StringType, StructType, TimestampType
 from pyspark.errors import AnalysisException
 
-from ..functions.timeutil import is_time_type
+from ..functions.timeutil import Micros, is_time_type
 
 # File formats a path source may name.  Avro needs an extra
 # package; the name is accepted and Spark reports its own error if it is absent.
@@ -32,8 +32,11 @@ class Source:
     column the data is partitioned by; time-range reads add a filter on it
     so Spark prunes partitions.  ``read_options`` / ``schema`` are handed to
     the reader (CSV needs ``header`` and a schema or ``inferSchema`` to get
-    typed columns).  A string event time column (JSON, CSV) is cast to
-    ``timestamp`` on load.
+    typed columns).  A text or date time column (JSON, CSV) becomes a
+    ``timestamp`` on load; text that is no time fails the job, or with
+    ``bad_times="null"`` becomes NULL (its rows then match nothing).  Other
+    types, such as numbers of unknown unit, are rejected: convert them in a
+    ``query`` source.
     """
 
     table: str | None = None
@@ -46,6 +49,7 @@ class Source:
     partition_col: str | None = None
     read_options: Mapping[str, Any] | None = field(default=None)
     schema: StructType | str | None = None
+    bad_times: str = "fail"
 
     def __post_init__(self) -> None:
         given = [n for n in ("table", "query", "path") if getattr(self, n)]
@@ -65,6 +69,8 @@ class Source:
             raise ValueError("file_format is only valid with path")
         if not self.event_ts:
             raise ValueError("event_ts is required")
+        if self.bad_times not in ("fail", "null"):
+            raise ValueError("bad_times must be 'fail' or 'null'")
 
     # -- loading -----------------------------------------------------------
     def _raw(self, spark: SparkSession) -> DataFrame:
@@ -98,10 +104,26 @@ class Source:
             if name not in df.columns:
                 raise SourceNotFound(f"column {name!r} not in {self.describe()}")
             dtype = df.schema[name].dataType
-            if not is_time_type(dtype):
-                df = df.withColumn(name, F.try_to_timestamp(F.col(name).cast("string")))
+            if isinstance(dtype, DateType):
+                df = df.withColumn(name, F.col(f"`{name}`").cast("timestamp"))
+            elif isinstance(dtype, StringType):
+                df = df.withColumn(name, self._parsed(name))
+            elif not is_time_type(dtype):
+                raise ValueError(
+                    f"time column {name!r} of {self.describe()} has type {dtype.simpleString()}; "
+                    "it must be a timestamp, a date or text"
+                )
         return df
 
+    def _parsed(self, name: str):
+        text = F.col(f"`{name}`")
+        time = F.try_to_timestamp(text)
+        if self.bad_times == "null":
+            return time
+        message = F.concat(F.lit(f"{name} is not a time: "), text)
+        failed = F.raise_error(message).cast(TimestampType())
+        return F.when(text.isNotNull() & time.isNull(), failed).otherwise(time)
+
     def describe(self) -> str:
         if self.table:
             return f"table {self.table}"
@@ -122,21 +144,27 @@ class Source:
 
         The column may be a date, a timestamp or a ``yyyy-MM-dd`` string;
         the bounds are compared as dates, which keeps the filter literal so
-        Spark prunes directory partitions.
+        Spark prunes directory partitions.  Partitions may be dated in any zone
+        and the session may have another, so both sides are a day wider; the
+        filter on the event time itself stays exact.
         """
         if not self.partition_col:
             return None
         c = F.to_date(F.col(self.partition_col))
+        day = _dt.timedelta(days=1)
         cond = None
         if start is not None:
-            cond = c >= F.lit(_as_date(start))
+            cond = c >= F.lit(max(_as_date(start), _dt.date.min + day) - day)
         if end is not None:
-            hi = c <= F.lit(_as_date(end))
+            hi = c <= F.lit(min(_as_date(end), _dt.date.max - day) + day)
             cond = hi if cond is None else cond & hi
         return cond
 
 
 def _as_date(value) -> _dt.date:
+    if isinstance(value, Micros):
+        days = min(max(int(value) // 86_400_000_000, -719_162), 2_932_896)  # years 1 to 9999
+        return _dt.date(1970, 1, 1) + _dt.timedelta(days=days)
     if isinstance(value, _dt.datetime):
         if value.tzinfo is not None:
             value = value.astimezone(_dt.timezone.utc)

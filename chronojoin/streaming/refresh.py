@@ -11,11 +11,10 @@ snapshot folder (never over the one being read).  Refreshing over
 from __future__ import annotations
 
 import datetime as _dt
-import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 
+from ..functions.timeutil import Micros, to_micros
 from ..operators.latest import latest_by_key
 from ..plans.features import FeatureView
 
@@ -43,7 +42,7 @@ def refresh_latest(
     a boundary row twice (reading it twice would still give the same result).
     """
     if exclusive_start and start is not None:
-        start = _after(start)
+        start = _after(to_micros(spark, start, _event_type(spark, view)))
     new_rows = view.pull_latest(spark, start, end)
     prev = spark.read.parquet(snapshot_path) if snapshot_path else None
     merged = merge_latest(prev, new_rows, view)
@@ -51,60 +50,74 @@ def refresh_latest(
     return spark.read.parquet(new_snapshot_path)
 
 
-def _after(value):
-    if isinstance(value, str):
-        value = _dt.datetime.fromisoformat(value)
-    if isinstance(value, _dt.date) and not isinstance(value, _dt.datetime):
-        value = _dt.datetime(value.year, value.month, value.day)
-    return value + _dt.timedelta(microseconds=1)
+def _event_type(spark: SparkSession, view: FeatureView):
+    return view.load(spark).schema[view.event_col].dataType
+
+
+def _after(value: Micros) -> Micros:
+    return Micros(value + 1)
 
 
 _END = "snapshot_end"
-_END_RE = re.compile(_END + r"=([0-9T]+)/")
+_EPOCH = _dt.datetime(1970, 1, 1)
+
+
+def _end_text(value: Micros) -> str:
+    """A folder name in time order: the UTC time (of a zone-less column: the wall clock) to the microsecond."""
+    return (_EPOCH + _dt.timedelta(microseconds=int(value))).strftime("%Y%m%dT%H%M%S%f")
+
+
+def _end_micros(text: str) -> Micros:
+    return Micros((_dt.datetime.strptime(text, "%Y%m%dT%H%M%S%f") - _EPOCH) // _dt.timedelta(microseconds=1))
+
+
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop's interface, which reaches whatever store Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _end_text(value) -> str:
-    if isinstance(value, str):
-        value = _dt.datetime.fromisoformat(value)
-    if value.tzinfo is not None:
-        value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
-    return value.strftime("%Y%m%dT%H%M%S%f")
+def _committed(spark: SparkSession, path: str) -> bool:
+    fs, p = _folder(spark, f"{path}/_SUCCESS")
+    return fs.exists(p)
 
 
 def latest_snapshot_end(spark: SparkSession, root: str) -> str | None:
-    """The greatest ``snapshot_end`` partition under ``root``, or None if there is none.
+    """The greatest ``snapshot_end`` folder under ``root`` that was written to its end, or None.
 
-    Taken from the file listing (directory names), no data is read.
+    Lists the folders of ``root`` alone, never their files; a folder counts
+    only with the writer's commit marker, so an interrupted step is as if it
+    had not been.
     """
-    try:
-        files = spark.read.parquet(root).inputFiles()
-    except AnalysisException:
+    fs, p = _folder(spark, root)
+    if not fs.exists(p):
         return None
-    ends = [m.group(1) for m in (_END_RE.search(f) for f in files) if m]
-    return max(ends) if ends else None
+    names = (f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory())
+    ends = sorted((n[len(_END) + 1 :] for n in names if n.startswith(_END + "=")), reverse=True)
+    return next((e for e in ends if _committed(spark, f"{root}/{_END}={e}")), None)
 
 
 def materialize_incremental(spark: SparkSession, view: FeatureView, root: str, end, start=None) -> DataFrame:
     """Bring the newest-row snapshot under ``root`` up to ``end`` (K5).
 
-    Snapshots are partitions ``root/snapshot_end=<yyyyMMddTHHmmssffffff>`` of
-    one table.  The newest existing partition gives the previous end; only
-    rows in (previous end, end] are read from the source, merged with that
-    snapshot and written as a new partition (never over an existing one).
-    The first call reads from ``start`` (or the beginning).  Returns the new
-    snapshot, read back.
+    Snapshots are folders ``root/snapshot_end=<yyyyMMddTHHmmssffffff>``.  The
+    newest committed one gives the previous end; only rows in (previous end,
+    end] are read from the source, merged with that snapshot and written as a
+    new folder (never over a committed one; the remains of an interrupted step
+    to the same end are replaced).  The first call reads from ``start`` (or the
+    beginning).  Returns the new snapshot, read back.
     """
     prev = latest_snapshot_end(spark, root)
+    end = to_micros(spark, end, _event_type(spark, view))
     new_end = _end_text(end)
     if prev is not None and prev >= new_end:
         raise ValueError(f"snapshot at {prev} is already at or past {new_end}")
     if prev is not None:
-        prev_dt = _dt.datetime.strptime(prev, "%Y%m%dT%H%M%S%f")
-        new_rows = view.pull_latest(spark, _after(prev_dt), end)
+        new_rows = view.pull_latest(spark, _after(_end_micros(prev)), end)
         old = spark.read.parquet(f"{root}/{_END}={prev}")
         merged = merge_latest(old, new_rows, view)
     else:
         merged = view.pull_latest(spark, start, end)
     target = f"{root}/{_END}={new_end}"
-    merged.write.mode("errorifexists").parquet(target)
+    merged.write.mode("overwrite").parquet(target)  # not committed yet, see above
     return spark.read.parquet(target)

@@ -15,24 +15,26 @@ def test_contract_keys():
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert df.count() == 6000 or df.count() > 0
+    assert df.count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
     assert df.columns[-3:] == ["v_supp__max_qty", "v_supp__n_lines", "v_ps__max_price"]
 
 
-@pytest.mark.parametrize("name", ["pit_ttl_1d", "pit_created_30d", "pit_multi_view_hotsplit", "latest_with_created"])
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+
+
+@pytest.mark.parametrize("name", sorted(k for k in E.oracle_sql() if not k.startswith("op")))
 def test_matches_oracle_small(spark, name):
     con = duckdb.connect()
-    for t in ("lineitem", "orders", "events"):
+    for t in TABLES.split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     exp = con.execute(E.oracle_sql()[name]).fetchall()
-    got = [tuple(r) for r in E.queries()[name](spark, SF).collect()]
-    cols_e = [d[0] for d in con.description]
-    assert len(got) == len(exp)
-    # compare as multisets over the same column order
+    cols = [d[0] for d in con.description]
     df = E.queries()[name](spark, SF)
-    idx = [df.columns.index(c) for c in cols_e]
-    got = sorted((tuple(r[i] for i in idx) for r in got), key=repr)
-    assert got == sorted(exp, key=repr)
+    assert sorted(df.columns) == sorted(cols)
+    idx = [df.columns.index(c) for c in cols]
+    got = [tuple(r[i] for i in idx) for r in df.collect()]
+    # as multisets over the same column order
+    assert sorted(got, key=repr) == sorted(exp, key=repr)
 
 
 def test_scan_plan_shape(spark):

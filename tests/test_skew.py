@@ -26,18 +26,66 @@ def _data(spark, n=3000):
     return ent, src
 
 
-def test_hot_key_detected_and_bounded(spark):
-    ent, src = _data(spark)
+def _stats(spark, ent, src, rows):
+    from chronojoin.operators.asof import _resolved
+
     s = AsOfSource(df=src, event_ts="ts", features=["f"])
-    groups = [(["k"], [s])]
-    bounds, (hot,) = scan_stats(spark, ent, "t", groups, hot_key_rows=500, max_hot_keys=10)
-    assert bounds[0] is not None and bounds[1] is not None
-    rows = hot.collect()
-    assert len(rows) == 1  # only key 0 holds more than 500 rows
-    _, (none,) = scan_stats(spark, ent, "t", groups, hot_key_rows=10_000, max_hot_keys=10)
-    assert none is None
-    _, (capped,) = scan_stats(spark, ent, "t", groups, hot_key_rows=5, max_hot_keys=3)
-    assert capped.count() == 3  # the list never exceeds max_hot_keys
+    return scan_stats(spark, ent, "t", [_resolved(ent, "t", ["k"], [s])[1:]], rows)
+
+
+def test_hot_key_detected(spark):
+    ent, src = _data(spark)
+    look = _stats(spark, ent, src, 500)
+    assert look.bounds[0] is not None and look.bounds[1] is not None
+    (hot,) = look.hot[0].collect()  # only key 0 holds more than 500 rows
+    assert 2 <= len(hot["__cj_edges"]) <= 8
+    assert _stats(spark, ent, src, 10_000).hot[0] is None
+    assert _stats(spark, ent, src, 5).hot[0].count() > 150  # no cap on the list
+
+
+def test_outlier_does_not_defeat_the_split(spark):
+    """All rows of a key on one day, and one row in 1970: buckets still have about equal size."""
+    src = spark.range(20_000).select(
+        F.lit(1).cast("long").alias("k"),
+        F.when(F.col("id") == 0, F.lit(dt.datetime(1970, 1, 1)))
+        .otherwise(F.lit(BASE) + F.make_dt_interval(secs=F.col("id") * 4))
+        .cast("timestamp_ntz")
+        .alias("ts"),
+        F.col("id").alias("f"),
+    )
+    late = F.lit(BASE + dt.timedelta(days=2)).cast("timestamp_ntz")
+    ent = spark.range(50).select(F.lit(1).cast("long").alias("k"), late.alias("t"), F.col("id").alias("eid"))
+    from chronojoin.functions.timeutil import epoch_micros
+    from chronojoin.operators.asof import _bucket_of
+
+    hot = _stats(spark, ent, src, 1000).hot[0]
+    us = epoch_micros(F.col("ts"), src.schema["ts"].dataType)
+    sizes = src.crossJoin(hot).groupBy(_bucket_of(us).alias("b")).count().collect()
+    assert len(sizes) >= 15 and max(r["count"] for r in sizes) < 3000
+
+
+def test_many_buckets_use_both_levels_of_edges(spark):
+    ent, src = _data(spark, n=9000)
+    plain = point_in_time_join(ent, src, ["k"], ["f"], "t", "ts", hot_key_rows=None)
+    split = point_in_time_join(ent, src, ["k"], ["f"], "t", "ts", hot_key_rows=10)  # 600 buckets for key 0
+    assert sorted((r.eid, r.f) for r in plain.collect()) == sorted((r.eid, r.f) for r in split.collect())
+
+
+def test_rows_that_cannot_match_are_spread(spark):
+    _, src = _data(spark, n=300)
+    ent = spark.range(4000).select(F.col("id").alias("eid"), F.lit(0).cast("long").alias("k"), F.lit(None).cast("timestamp_ntz").alias("t"))
+    out = point_in_time_join(ent, src, ["k"], ["f"], "t", "ts", hot_key_rows=None)
+    assert out.filter("f is null").count() == 4000
+
+
+def test_view_without_keys_is_always_split(spark):
+    ent, src = _data(spark)
+    out = point_in_time_join(ent, src, [], ["f"], "t", "ts", hot_key_rows=None)
+    assert "__cj_edges" in plan_text(out) and "windowspecdefinition(__cj_b" in plan_text(out)
+    src_rows = sorted((r.ts, r.f) for r in src.collect())
+    for r in out.orderBy("eid").limit(60).collect():
+        best = [x for x in src_rows if x[0] <= r.t]
+        assert r.f == (best[-1][1] if best else None)
 
 
 def test_split_scan_is_exact_and_bucketed(spark):
@@ -45,7 +93,7 @@ def test_split_scan_is_exact_and_bucketed(spark):
     for ttl in (0, 3 * 86400):
         plain = point_in_time_join(ent, src, ["k"], ["f"], "t", "ts", ttl_seconds=ttl, hot_key_rows=None)
         split = point_in_time_join(ent, src, ["k"], ["f"], "t", "ts", ttl_seconds=ttl, hot_key_rows=100)
-        assert "__cj_b" in plan_text(split)
+        assert "__cj_edges" in plan_text(split)
         a = sorted((r.eid, r.f) for r in plain.collect())
         b = sorted((r.eid, r.f) for r in split.collect())
         assert a == b and len(a) == 3000
@@ -65,12 +113,10 @@ def test_split_independent_rule_is_exact(spark):
 def test_sampled_detection_is_exact(spark):
     # threshold 4000 -> sampling rate 0.25: counts are estimates, results exact
     ent, src = _data(spark, n=30000)
-    s = AsOfSource(df=src, event_ts="ts", features=["f"])
-    _, (hot,) = scan_stats(spark, ent, "t", [(["k"], [s])], 4000, 10)
-    assert hot is not None and hot.count() == 1
+    assert _stats(spark, ent, src, 4000).hot[0].count() == 1
     plain = point_in_time_join(ent, src, ["k"], ["f"], "t", "ts", ttl_seconds=86400, hot_key_rows=None)
     split = point_in_time_join(ent, src, ["k"], ["f"], "t", "ts", ttl_seconds=86400, hot_key_rows=4000)
-    assert "__cj_b" in plan_text(split)
+    assert "__cj_edges" in plan_text(split)
     assert sorted((r.eid, r.f) for r in plain.collect()) == sorted((r.eid, r.f) for r in split.collect())
 
 

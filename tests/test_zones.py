@@ -1,0 +1,167 @@
+"""Times are exact in every session zone, for both timestamp types."""
+
+import datetime as dt
+import os
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from chronojoin import FeatureView, Source, historical_features, materialize_incremental, point_in_time_join, shared_dir
+
+UTC = dt.timezone.utc
+ZONES = ["UTC", "America/New_York"]
+
+
+@pytest.fixture(params=ZONES)
+def zone(spark, request):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def instants(spark, rows, names):
+    """Rows (key, epoch seconds, value) with a ``timestamp`` column."""
+    return spark.createDataFrame(rows, "k long, s long, v long").select(
+        F.col("k").alias(names[0]), F.timestamp_seconds("s").alias(names[1]), F.col("v").alias(names[2])
+    )
+
+
+def at(*a):
+    return int(dt.datetime(*a, tzinfo=UTC).timestamp())
+
+
+def test_autumn_clock_change(spark, zone):
+    # 06:30Z and 05:30Z both read 01:30 in New York
+    ent = instants(spark, [(1, at(2024, 11, 3, 6, 30), 0)], ("k", "t", "eid"))
+    src = instants(spark, [(1, at(2024, 11, 3, 6, 0), 7)], ("k", "ts", "f"))
+    for kw in ({}, {"hot_key_rows": None}, {"prune": False}):
+        assert point_in_time_join(ent, src, ["k"], ["f"], "t", "ts", ttl_seconds=86400, **kw).first()["f"] == 7
+
+
+def test_zone_less_times(spark, zone):
+    ent = spark.createDataFrame([(1, "2024-03-10 02:30:00")], "k long, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    src = spark.createDataFrame([(1, "2024-03-10 02:29:59", 7)], "k long, ts string, f long").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    assert point_in_time_join(ent, src, ["k"], ["f"], "t", "ts", ttl_seconds=1).first()["f"] == 7
+
+
+def test_entity_and_source_of_different_time_types(spark, zone):
+    ent = spark.createDataFrame([(1, "2024-01-05 12:00:00")], "k long, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    src = spark.createDataFrame([(1, "2024-01-05 11:00:00", 7), (1, "2024-01-05 12:00:01", 8)], "k long, ts string, f long").withColumn(
+        "ts", F.col("ts").cast("timestamp")
+    )
+    assert point_in_time_join(ent, src, ["k"], ["f"], "t", "ts", ttl_seconds=3600).first()["f"] == 7
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_incremental_snapshots(spark, zone, kind):
+    rows = [(k, f"2024-01-{d:02d} {h:02d}:00:00", d) for k, d, h in ((1, 11, 12), (2, 12, 3), (3, 12, 23))]
+    src = spark.createDataFrame(rows, "k long, ts string, f int").withColumn("ts", F.col("ts").cast(kind))
+    view = FeatureView("v", ["k"], ["f"], src, event_ts="ts")
+    ends = [dt.datetime(2024, 1, 12, tzinfo=UTC), dt.datetime(2024, 1, 14, tzinfo=UTC)]
+    root = os.path.join(shared_dir(spark), f"zones-{os.getpid()}-{zone.replace('/', '')}-{kind}")
+    for end in ends:
+        got = materialize_incremental(spark, view, root, end)
+    assert sorted(r["k"] for r in got.collect()) == [1, 2, 3]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, view.pull_latest(spark, None, ends[1]).collect()))
+
+
+def test_plain_dates_as_ends(spark, zone):
+    src = instants(spark, [(1, at(2024, 1, 5), 7)], ("k", "ts", "f"))
+    view = FeatureView("v", ["k"], ["f"], src, event_ts="ts")
+    root = os.path.join(shared_dir(spark), f"dates-{os.getpid()}-{zone.replace('/', '')}")
+    assert materialize_incremental(spark, view, root, dt.date(2024, 1, 7)).count() == 1
+
+
+def test_unfinished_snapshot_is_not_taken(spark, zone):
+    src = instants(spark, [(k, at(2024, 1, 10 + k), k) for k in (1, 2, 3)], ("k", "ts", "f"))
+    view = FeatureView("v", ["k"], ["f"], src, event_ts="ts")
+    root = os.path.join(shared_dir(spark), f"unfinished-{os.getpid()}-{zone.replace('/', '')}")
+    materialize_incremental(spark, view, root, dt.datetime(2024, 1, 11, 12, tzinfo=UTC))
+    half = f"{root}/snapshot_end=20240112T120000000000"
+    view.pull_latest(spark, None, dt.datetime(2024, 1, 1)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(half)
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(half + "/_SUCCESS")
+    fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(fs_path, False)
+    for day in (12, 13):
+        got = materialize_incremental(spark, view, root, dt.datetime(2024, 1, day, 12, tzinfo=UTC))
+    assert sorted(r["k"] for r in got.collect()) == [1, 2, 3]
+
+
+def test_partition_folders_dated_in_utc(spark, zone, tmp_dir):
+    rows = [(1, at(2024, 1, 6, 2), 7, "2024-01-06")]
+    src = spark.createDataFrame(rows, "k long, s long, f long, day string").select("k", F.timestamp_seconds("s").alias("ts"), "f", "day")
+    src.write.partitionBy("day").parquet(tmp_dir + "/src")
+    view = FeatureView("v", ["k"], ["f"], Source(path=tmp_dir + "/src", file_format="parquet", event_ts="ts", partition_col="day"), ttl_seconds=3600)
+    ent = instants(spark, [(1, at(2024, 1, 6, 2, 30), 0)], ("k", "event_timestamp", "eid"))
+    assert historical_features(spark, ent, [view]).first()["f"] == 7
+    lo, hi = dt.datetime(2024, 1, 6, 1, tzinfo=UTC), dt.datetime(2024, 1, 6, 3, tzinfo=UTC)
+    assert view.pull_all(spark, lo, hi).count() == 1
+
+
+def test_given_bounds(spark, zone):
+    ent = instants(spark, [(1, at(2024, 1, 5, 12), 0)], ("k", "event_timestamp", "eid"))
+    src = instants(spark, [(1, at(2024, 1, 5, 11), 7)], ("k", "ts", "f"))
+    view = FeatureView("v", ["k"], ["f"], src, event_ts="ts", ttl_seconds=7200)
+    wide = (dt.datetime(2024, 1, 5, 12, tzinfo=UTC), dt.datetime(2024, 1, 5, 12, tzinfo=UTC))
+    for rows in (None, 1000):
+        assert historical_features(spark, ent, [view], entity_bounds=wide, hot_key_rows=rows).first()["f"] == 7
+    narrow = (dt.datetime(2024, 1, 5, 13, tzinfo=UTC), dt.datetime(2024, 1, 5, 14, tzinfo=UTC))
+    with pytest.raises(ValueError, match="beyond the given bounds"):
+        historical_features(spark, ent, [view], entity_bounds=narrow)
+
+
+def test_pandas_text_times_are_utc(spark, zone):
+    src = instants(spark, [(1, at(2024, 1, 5, 11, 59), 7), (1, at(2024, 1, 5, 12, 1), 8)], ("k", "ts", "f"))
+    view = FeatureView("v", ["k"], ["f"], src, event_ts="ts")
+    for name in ("event_timestamp", "when"):
+        pdf = pd.DataFrame({"k": [1], name: ["2024-01-05 12:00:00"]})
+        out = historical_features(spark, pdf, [view], entity_ts=name).select(F.unix_seconds(name).alias("s"), "f").first()
+        assert (out["s"], out["f"]) == (at(2024, 1, 5, 12), 7)
+
+
+def test_times_that_are_none_fail(spark, tmp_dir):
+    spark.createDataFrame([(1, 1704450000, 7)], "k long, ts long, f long").write.json(tmp_dir + "/long")
+    with pytest.raises(ValueError, match="must be a timestamp"):
+        Source(path=tmp_dir + "/long", file_format="json", event_ts="ts").load(spark)
+    spark.createDataFrame([(1, "05/01/2024", 7), (2, "2024-01-05", 8), (3, None, 9)], "k long, ts string, f long").write.json(tmp_dir + "/text")
+    bad = Source(path=tmp_dir + "/text", file_format="json", event_ts="ts")
+    with pytest.raises(Exception, match="is not a time"):
+        bad.load(spark).collect()
+    lax = Source(path=tmp_dir + "/text", file_format="json", event_ts="ts", bad_times="null")
+    assert FeatureView("v", ["k"], ["f"], lax).pull_latest(spark).count() == 1
+
+
+def test_key_types(spark):
+    ent = spark.createDataFrame([(1, dt.datetime(2024, 1, 5))], "k int, t timestamp_ntz")
+    text = spark.createDataFrame([("1", dt.datetime(2024, 1, 4), 7)], "k string, ts timestamp_ntz, f long")
+    with pytest.raises(ValueError, match="key 'k' has type int"):
+        point_in_time_join(ent, text, ["k"], ["f"], "t", "ts")
+    wide = spark.range(5000).select(F.lit(1).cast("long").alias("k"), (F.lit(dt.datetime(2024, 1, 1)) + F.make_dt_interval(secs=F.col("id"))).cast("timestamp_ntz").alias("ts"), F.col("id").alias("f"))
+    out = point_in_time_join(ent, wide, ["k"], ["f"], "t", "ts", hot_key_rows=500)
+    assert out.first()["f"] == 4999 and out.schema["k"].dataType.simpleString() == "int"
+    from chronojoin.operators.asof import AsOfSource, _resolved, scan_stats
+
+    ets, keys, srcs = _resolved(ent, "t", ["k"], [AsOfSource(df=wide, event_ts="ts", features=["f"])])
+    assert scan_stats(spark, ent, ets, [(keys, srcs)], 500).hot[0] is not None
+
+
+def test_names_in_other_case_and_with_dots(spark):
+    ent = spark.createDataFrame([(1, dt.datetime(2024, 1, 5))], "driver_id long, `event.time` timestamp_ntz")
+    src = spark.createDataFrame([(1, dt.datetime(2024, 1, 4), 7)], "Driver_ID long, TS timestamp_ntz, `a.b` long")
+    for kw in ({}, {"hot_key_rows": 1}, {"ties": "all"}):
+        out = point_in_time_join(ent, src, ["Driver_id"], ["a.b"], "event.time", "ts", **kw)
+        assert out.columns == ["driver_id", "event.time", "a.b"] and out.first()["a.b"] == 7
+    view = FeatureView("v", ["driver_id"], ["a.b"], src, event_ts="ts")
+    assert view.pull_latest(spark).columns == ["driver_id", "a.b", "ts"]
+
+
+def test_same_keys_in_another_order_are_one_scan(spark):
+    from conftest import plan_text
+
+    ent = spark.createDataFrame([(1, 2, dt.datetime(2024, 1, 5))], "a long, b long, event_timestamp timestamp_ntz")
+    src = spark.createDataFrame([(1, 2, dt.datetime(2024, 1, 4), 7, 8)], "a long, b long, ts timestamp_ntz, f long, g long")
+    views = [FeatureView("x", ["a", "b"], ["f"], src, event_ts="ts"), FeatureView("y", ["b", "a"], ["g"], src, event_ts="ts")]
+    out = historical_features(spark, ent, views)
+    assert out.columns == ["a", "b", "event_timestamp", "f", "g"] and tuple(out.first())[3:] == (7, 8)
+    assert plan_text(out).count("RangeFrame") == 2  # both running maxima in one Window
