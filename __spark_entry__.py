@@ -281,6 +281,16 @@ def q_pit_partitioned_source(spark, d):
     return historical_features(spark, e_buy(spark, d), [view])
 
 
+def q_pit_snapshot_files(spark, d):
+    # every customer's newest order as of one day: all history is older, one row per key is shuffled
+    ent = _t(spark, d, "customer").select(
+        "c_custkey", F.lit("1997-07-01 00:00:00").cast("timestamp_ntz").alias("event_timestamp")
+    )
+    src = Source(path=f"{d}/orders.parquet", file_format="parquet", event_ts="o_orderdate", rename={"o_custkey": "c_custkey"})
+    view = FeatureView("o", ["c_custkey"], ["o_totalprice", "o_orderstatus"], src)
+    return historical_features(spark, ent, [view])
+
+
 def q_historical_saved(spark, d):
     # the result persisted as a dataset and read back (K4), with a computed feature (transforms)
     view = FeatureView("v_view", ["user_id"], ["event_type", "value"], v_view(spark, d), ttl_seconds=DAY,
@@ -376,6 +386,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_from_orc_source": q_latest_from_orc_source,
         "latest_from_query_source": q_latest_from_query_source,
         "pit_partitioned_source": q_pit_partitioned_source,
+        "pit_snapshot_files": q_pit_snapshot_files,
         "historical_saved": q_historical_saved,
         "latest_from_path_source": q_latest_from_path_source,
         "latest_from_table_source": q_latest_from_table_source,
@@ -499,6 +510,11 @@ def oracle_sql() -> dict[str, str]:
         "latest_from_orc_source": _LATEST_EVENTS,
         "latest_from_query_source": _LATEST_EVENTS,
         "pit_partitioned_source": pit_buy_1d,
+        "pit_snapshot_files": """SELECT c_custkey, TIMESTAMP '1997-07-01' AS event_timestamp, o_totalprice, o_orderstatus
+  FROM customer LEFT JOIN (
+    SELECT o_custkey, o_totalprice, o_orderstatus,
+           row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_totalprice DESC, o_orderstatus DESC) AS rn
+      FROM orders WHERE o_orderdate <= TIMESTAMP '1997-07-01') ON c_custkey = o_custkey AND rn = 1""",
         "historical_saved": f"SELECT *, value * 2 AS twice FROM ({pit_buy_1d})",
         "latest_by_key": _LATEST_EVENTS,
         "latest_with_created": f"""SELECT l_suppkey, max_qty, n_lines, event_ts, created_ts FROM (

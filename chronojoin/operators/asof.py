@@ -38,7 +38,9 @@ into buckets of their own by a hash.
 
 Source reduction.  Where the entity has few distinct keys (their list is below
 the session's broadcast threshold by a counted size) source rows of other keys
-are dropped by a broadcast semi join before the shuffle.
+are dropped by a broadcast semi join before the shuffle.  Of a table or file
+source without TTL only one row per key is kept from before the first entity
+time, by a partial top-1.
 
 Created-time rules:
 
@@ -106,6 +108,8 @@ class AsOfSource:
     ties: str = "one"
     tie_break: Sequence[str] | None = None
     key_map: dict | None = field(default=None)  # entity key -> source column
+    # a table or files, cheap to read in two parts: old history is then reduced before the shuffle
+    reread: bool = False
     # bounds -> extra literal filter (e.g. on a date partition column), or None
     partition_prune: object | None = None
 
@@ -275,6 +279,32 @@ def _source_rows(s: AsOfSource, i: int, keys, types, ets_type, bounds, few_keys=
     return rows
 
 
+def _without_old_history(rows: DataFrame, s: AsOfSource, i: int, keys, ets_type, bounds) -> DataFrame:
+    """Scan rows of a view without TTL, with one row per key before the first entity time.
+
+    No older row of a key can win.  The top-1 is planned as a partial limit per
+    key before its shuffle.  With ``independent_max`` the row created last stays
+    as well, for the greatest created time.
+    """
+    if not (s.reread and keys and s.ttl_seconds == 0 and bounds[0] is not None):
+        return rows
+    first = time_literal(bounds[0], ets_type)
+    old = rows.filter(F.col(_T) < first)
+    payload = F.col(f"{_P}f{i}")
+    order = _order_key(s, i, rows.schema)
+    order = payload if order is None else order
+    rn = f"{_P}rn"
+
+    def top(*by):
+        w = Window.partitionBy(*[_c(k) for k in keys]).orderBy(*by)
+        return old.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
+
+    out = rows.filter(F.col(_T) >= first).unionByName(top(F.col(_T).desc(), order.desc_nulls_last()))
+    if s.created_rule == "independent_max" and s.created_ts:
+        out = out.unionByName(top(payload[_F_C].desc_nulls_last()))
+    return out
+
+
 def _order_key(s: AsOfSource, i: int, schema: T.StructType) -> Column | None:
     """Sort key of view ``i``'s rows among equal times: created, then tie-break / features.
 
@@ -552,7 +582,10 @@ def asof_join(
                 bounds = entity_time_range(entity, entity_ts)
                 bounds = bounds if bounds[1] is not None else _NO_TIMES
 
-    src_rows = [_source_rows(s, i, keys, types, ets_type, bounds, few) for i, s in enumerate(sources)]
+    src_rows = [
+        _without_old_history(_source_rows(s, i, keys, types, ets_type, bounds, few), s, i, keys, ets_type, bounds)
+        for i, s in enumerate(sources)
+    ]
     ent_rows = entity.select(
         *[_c(k).cast(types[k]).alias(k) for k in keys],
         _c(entity_ts).alias(_T),

@@ -162,6 +162,7 @@ def historical_features(
                 ties=v.ties,
                 tie_break=v.tie_break,
                 partition_prune=_partition_prune(v),
+                reread=isinstance(v.source, Source) and v.source.query is None,
             )
         )
     ready = [_resolved(ent, ets, keys, sources)[1:] for keys, sources in groups.items()]

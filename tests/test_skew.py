@@ -141,3 +141,21 @@ def test_shared_scan_equals_separate_joins(spark):
             cols[sp["names"][0]] = {r.eid: r[sp["names"][0]] for r in one.collect()}
         exp = sorted((e, cols["a"][e], cols["b"][e], cols["c_"][e]) for e in cols["a"])
         assert got == exp
+
+
+def test_old_history_is_reduced_and_exact(spark):
+    # reread sources without TTL keep one row per key before the first entity time
+    from chronojoin.operators.asof import asof_join
+
+    ent, src = _data(spark, n=3000)
+    ent = ent.filter(F.col("t") >= F.lit(BASE + dt.timedelta(days=14)).cast("timestamp_ntz"))
+    src = src.withColumn("c", (F.col("ts") + F.make_dt_interval(secs=F.col("f") * 60)).cast("timestamp_ntz"))
+    for rule in ("ordered", "independent_max"):
+        for mode in (None, 100):
+            got = {}
+            for reread in (False, True):
+                s = AsOfSource(df=src, event_ts="ts", features=["f"], created_ts="c", created_rule=rule, reread=reread)
+                out = asof_join(ent, "t", ["k"], [s], hot_key_rows=mode)
+                got[reread] = sorted((r.eid, r.f) for r in out.collect())
+                assert ("WindowGroupLimit" in plan_text(out)) or not reread
+            assert got[True] == got[False] and len(got[True]) > 100
