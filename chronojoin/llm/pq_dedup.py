@@ -10,6 +10,8 @@ the filter loses nothing, and what passes is decided by the exact cosine.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,7 @@ from .vectors import as_matrix, kmeans, meetings, square_distances, unit, usable
 SAMPLE = 20_000
 BLOCK = 2_048
 SPREADS = 5.0
+MAX_LISTS = 2_048
 
 
 class Quantiser:
@@ -39,7 +42,14 @@ class Quantiser:
         s = np.linalg.svd(rest, compute_uv=False) ** 2 if len(rest) else np.ones(1)
         effective = s.sum() ** 2 / max((s**2).sum(), 1e-300)
         self.margin = radius * min(1.0, SPREADS / np.sqrt(max(effective, 1.0)))
-        self.between = np.sqrt(square_distances(self.coarse, self.coarse))
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "between"}  # tasks compute it themselves
+
+    @functools.cached_property
+    def between(self) -> np.ndarray:
+        """Distances of the centroids of every two lists."""
+        return np.sqrt(square_distances(self.coarse, self.coarse))
 
     def encode(self, x: np.ndarray):
         """List, codes, length of what the code leaves out, and the mask of probed lists of every row."""
@@ -157,7 +167,7 @@ def near_duplicates(
 
     The index is fitted on at most about ``2 sample`` distinct vectors; every
     vector is coded and searched.  ``lists`` defaults to half the square root
-    of the number of distinct vectors, 8 to 4,096.  A list is probed where the
+    of the number of distinct vectors, 8 to ``MAX_LISTS``; give more for billions of vectors.  A list is probed where the
     bisector to it lies within the link's length times ``SPREADS`` over the
     square root of the data's effective dimension (the whole length for few
     dimensions, which loses no link at all).
@@ -177,7 +187,7 @@ def near_duplicates(
     dim = total["d"]
     taken = bounded_sample(distinct.withColumn("one", F.lit(1)), "one", sample, F.xxhash64("v")).select("v")
     x = unit(as_matrix([r["v"] for r in taken.collect()], dim))
-    k = lists or int(min(4096, max(8, np.sqrt(total["n"]) / 2)))
+    k = lists or int(min(MAX_LISTS, max(8, np.sqrt(total["n"]) / 2)))
     quantiser = Quantiser(x, k, float(np.sqrt(max(2.0 - 2.0 * threshold, 0.0))))
 
     def coded(batches):
