@@ -191,9 +191,7 @@ def near_duplicates(
     quantiser = Quantiser(x, k, float(np.sqrt(max(2.0 - 2.0 * threshold, 0.0))))
 
     def coded(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
+        for pdf in (whole.iloc[a : a + 1024] for whole in batches for a in range(0, len(whole), 1024)):
             y = unit(as_matrix(pdf["v"], dim))
             home, codes, beyond, probes = quantiser.encode(y)
             at, to = np.nonzero(probes)
