@@ -77,11 +77,11 @@ def alias_edges(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     """
     url, html = F.col(url_col), F.col(html_col)
     some = pages.filter(F.instr(url, "://") > 0).filter(F.lower(html).rlike("canonical|refresh"))
-    links = some.select(url.alias("url"), F.explode(F.regexp_extract_all(html, F.lit(CANONICAL), F.lit(0))).alias("tag"))
-    moves = some.select(url.alias("url"), F.explode(F.regexp_extract_all(html, F.lit(REFRESH), F.lit(0))).alias("tag"))
-    goals = links.select("url", F.regexp_extract("tag", HREF, 1).alias("to")).union(
-        moves.select("url", F.regexp_extract("tag", TARGET, 1).alias("to"))
+    named = F.concat(
+        F.transform(F.regexp_extract_all(html, F.lit(CANONICAL), F.lit(0)), lambda tag: F.regexp_extract(tag, HREF, 1)),
+        F.transform(F.regexp_extract_all(html, F.lit(REFRESH), F.lit(0)), lambda tag: F.regexp_extract(tag, TARGET, 1)),
     )
+    goals = some.select(url.alias("url"), F.explode(named).alias("to")).filter("to != ''")
     page = F.col("url")
     goals = stored(
         goals.select(
