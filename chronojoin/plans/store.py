@@ -7,6 +7,7 @@ lazy; nothing runs until a ``to_*`` method or a write.
 
 from __future__ import annotations
 
+import itertools
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +56,15 @@ class RetrievalJob:
         self._ran = True
         return out
 
+    def batches(self, rows: int = 100_000):
+        """pandas frames of at most ``rows`` rows, a partition at a time: for results of any size."""
+        import pandas as pd
+
+        it = self._df.toLocalIterator(prefetchPartitions=True)
+        while chunk := list(itertools.islice(it, rows)):
+            yield pd.DataFrame.from_records(chunk, columns=self._df.columns)
+        self._ran = True
+
     def persist(self, path: str | None = None, *, table: str | None = None, **kw) -> None:
         save_dataset(self._df, path, table=table, **kw)
         self._ran = True

@@ -74,3 +74,12 @@ def test_job_metadata(spark, tmp_dir):
     meta = job.metadata
     assert meta["rows"] == len(pdf) == 3
     assert meta["max_event_timestamp"] == pdf.event_timestamp.max().to_pydatetime()
+
+
+def test_batches_cover_the_whole_result(spark):
+    from chronojoin import RetrievalJob
+
+    job = RetrievalJob(spark.range(25).withColumnRenamed("id", "k"))
+    parts = list(job.batches(rows=10))
+    assert max(len(p) for p in parts) <= 10 and sorted(k for p in parts for k in p["k"]) == list(range(25))
+    assert list(RetrievalJob(spark.range(0)).batches()) == []
