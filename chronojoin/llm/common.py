@@ -95,13 +95,16 @@ def spread(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def bounded_sample(df: DataFrame, group: str, k: int, order_hash) -> DataFrame:
-    """About ``k`` rows of each group, at most ``2 k + 100``, chosen by a hash.
+def bounded_sample(df: DataFrame, group: str | None, k: int, order_hash, n: int | None = None) -> DataFrame:
+    """About ``k`` rows of each group, hardly ever over ``2 k``, chosen by a hash.
 
     ``order_hash`` is a long column; a row is taken where its hash falls under
     the group's share ``k / count``.  No group meets in one task: only counts
-    are shuffled.  Groups of at most ``k`` rows are taken whole.
+    are shuffled.  Groups of at most ``k`` rows are taken whole.  Without a
+    ``group`` all ``n`` rows are one.
     """
+    if group is None:
+        return df.filter(F.pmod(order_hash, F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, k / max(n, 1)))))
     counts = df.groupBy(F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
     unit = (F.pmod(order_hash, F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("_u")
     return (

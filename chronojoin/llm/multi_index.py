@@ -169,7 +169,7 @@ def search(
     if not total["n"] or not queries.take(1):
         return empty
     dim = total["d"]
-    taken = bounded_sample(entries.withColumn("one", F.lit(1)), "one", sample, F.xxhash64("v")).select("v")
+    taken = bounded_sample(entries, None, sample, F.xxhash64("v"), total["n"]).select("v")
     index = Cells(unit(as_matrix([r["v"] for r in taken.collect()], dim)), per_half or int(min(128, max(4, (total["n"] / 50) ** 0.5))))
 
     def assigned(batches):

@@ -185,7 +185,7 @@ def near_duplicates(
             "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
         )
     dim = total["d"]
-    taken = bounded_sample(distinct.withColumn("one", F.lit(1)), "one", sample, F.xxhash64("v")).select("v")
+    taken = bounded_sample(distinct, None, sample, F.xxhash64("v"), total["n"]).select("v")
     x = unit(as_matrix([r["v"] for r in taken.collect()], dim))
     k = lists or int(min(MAX_LISTS, max(8, np.sqrt(total["n"]) / 2)))
     quantiser = Quantiser(x, k, float(np.sqrt(max(2.0 - 2.0 * threshold, 0.0))))
