@@ -95,6 +95,9 @@ def spread(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+FEW_GROUPS = 10_000
+
+
 def bounded_sample(df: DataFrame, group: str | None, k: int, order_hash, n: int | None = None) -> DataFrame:
     """About ``k`` rows of each group, hardly ever over ``2 k``, chosen by a hash.
 
@@ -106,6 +109,9 @@ def bounded_sample(df: DataFrame, group: str | None, k: int, order_hash, n: int
     if group is None:
         return df.filter(F.pmod(order_hash, F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, k / max(n, 1)))))
     counts = df.groupBy(F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+    few = counts.limit(FEW_GROUPS + 1).collect()
+    if len(few) <= FEW_GROUPS:  # then no row has to be shuffled to meet its group's count
+        counts = F.broadcast(df.sparkSession.createDataFrame(few, counts.schema))
     unit = (F.pmod(order_hash, F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("_u")
     return (
         df.withColumn("_u", unit)
