@@ -24,6 +24,7 @@ PREFIX = 5
 SAMPLE = 4_000
 CHUNK_CHARS = 1_000_000
 GRADES = 3
+MOST_GRADES = 100
 
 
 def _logistic(x):
@@ -141,11 +142,13 @@ def severity_grades(doc: np.ndarray, feature: np.ndarray, toxic: np.ndarray, gra
     return np.unique(y, return_inverse=True)[1] if len(y) else y
 
 
-def learn(labelled: DataFrame, grades: int = GRADES, sample: int = SAMPLE) -> OrdinalModel | None:
-    """The model of (text, y): at most about ``2 sample`` texts of each y, chosen by hash; only features reach the driver.
+def learn(texts: DataFrame, marks: DataFrame, grades: int = GRADES, sample: int = SAMPLE) -> OrdinalModel | None:
+    """The model of ``texts`` (_id, text) marked by ``marks`` (_id, y); only features of the sample reach the driver.
 
-    y of 0 and 1 are turned into ``severity_grades``; with other values y is the
-    grade itself (0, 1, 2 ...).  None without two different grades.
+    At most about ``2 sample`` marks of each y are chosen by a hash of the id,
+    so the side that is broadcast to the texts is bounded.  y of 0 and 1 are
+    turned into ``severity_grades``; with other values (at most ``MOST_GRADES``
+    different ones) y is the grade itself.  None without two different grades.
     """
 
     def counted(batches):
@@ -161,9 +164,11 @@ def learn(labelled: DataFrame, grades: int = GRADES, sample: int = SAMPLE) -> Or
                     }
                 )
 
-    labelled = labelled.select("text", "y")
-    every = {r["y"]: r["n"] for r in labelled.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    taken = bounded_sample(labelled, "y", sample, F.xxhash64("text"))
+    counts = marks.groupBy("y").agg(F.count(F.lit(1)).alias("n")).limit(MOST_GRADES + 1).collect()
+    if len(counts) > MOST_GRADES:
+        raise ValueError(f"more than {MOST_GRADES} grades")
+    every = {r["y"]: r["n"] for r in counts}
+    taken = texts.join(F.broadcast(bounded_sample(marks, "y", sample, F.xxhash64("_id"))), "_id").select("text", "y")
     got = stored(taken.mapInPandas(counted, "y int, f array<int>"), "toxicity-train").toPandas()
     if not len(got) or got["y"].nunique() < 2:
         return None
@@ -201,8 +206,8 @@ def grade(
     y = labels.filter(F.col(label_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("y")
     )
-    seen = docs.filter(part != 0).select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text"))
-    model = learn(seen.join(y, "_id"), grades)
+    y = y.filter(F.crc32(F.col("_id").cast("string")) % 5 != 0)
+    model = learn(docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text")), y, grades)
 
     def run(batches):
         for pdf in batches:
