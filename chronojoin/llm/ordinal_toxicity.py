@@ -88,11 +88,10 @@ def fit(
     positive differences.
     """
     n, top = len(y), int(y.max())
-    names, col = np.unique(feature, return_inverse=True)
-    good = telling(doc, col, len(names), y)
-    keep = good[col]
-    doc, col = doc[keep], (np.cumsum(good) - 1)[col[keep]]
-    names = names[good]
+    good = telling(doc, feature, 2 << BITS, y)
+    keep = good[feature]
+    doc, col = doc[keep], (np.cumsum(good) - 1)[feature[keep]]
+    names = np.flatnonzero(good)
     w = np.zeros(len(names))
     weight = weight / weight.sum()
     t0, steps = 0.5, np.zeros(max(top - 1, 0))  # thresholds: t0, then + exp(step) each
@@ -175,8 +174,9 @@ def learn(texts: DataFrame, marks: DataFrame, grades: int = GRADES, sample: int
     y = got["y"].to_numpy()
     weight = got["y"].map(every).to_numpy() / got["y"].map(got["y"].value_counts()).to_numpy()
     sizes = got["f"].map(len).to_numpy()
-    doc = np.repeat(np.arange(len(got)), sizes)
-    feature = np.concatenate(got["f"].tolist()).astype(np.int64)
+    doc = np.repeat(np.arange(len(got), dtype=np.int32), sizes)
+    feature = np.concatenate(got["f"].tolist()).astype(np.int32)
+    del got
     if set(np.unique(y)) <= {0, 1}:
         y = severity_grades(doc, feature, y == 1, grades)
     else:
