@@ -413,6 +413,7 @@ HOT_SAMPLE_ROWS = 100
 # Time quantiles that are estimated for each hot key: the most buckets it gets.
 QUANTILES = 1 << 12
 _COARSE = 64
+_GRID = ", ".join(f"{q / QUANTILES!r}D" for q in range(1, QUANTILES))
 
 
 @dataclass(frozen=True)
@@ -424,12 +425,23 @@ class ScanStats:
     few_keys: list  # for each scan: small table of the entity's distinct keys, or None
 
 
+_FEW_ROWS = 1_000
+
+
 def _kept(df: DataFrame) -> DataFrame:
-    """``df`` computed once: sampled estimates must not change when a lost executor makes Spark read them again."""
+    """``df`` computed once: sampled estimates must not change when a lost executor makes Spark read them again.
+
+    A few rows pass through the driver, more are checkpointed (without a
+    checkpoint folder they pass through the driver too: at most rows /
+    hot_key_rows keys).
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir():
-        return df.checkpoint()
-    return spark.createDataFrame(df.collect(), df.schema)  # at most rows / hot_key_rows keys
+    rows = df.limit(_FEW_ROWS + 1).collect()
+    if len(rows) > _FEW_ROWS:
+        if spark.sparkContext.getCheckpointDir():
+            return df.checkpoint()
+        rows = df.collect()
+    return spark.createDataFrame(rows, df.schema)
 
 
 def _hot_keys(entity, entity_ts, groups, types, hot_key_rows: int | None, bounds) -> list:
@@ -462,11 +474,14 @@ def _hot_keys(entity, entity_ts, groups, types, hot_key_rows: int | None, bounds
     if keyless:
         spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
         n_b = F.when(F.col(_G).isin(keyless), F.greatest(n_b, F.lit(spread))).otherwise(n_b)
-    grid = F.array(*[F.lit(q / QUANTILES) for q in range(1, QUANTILES)])
     counted = u.groupBy(_G, _H).agg(F.sum("w").cast("long").alias("n"))
     found = counted.withColumn("nb", F.least(n_b, F.lit(QUANTILES)).cast("int")).filter(F.col("nb") > 1)
+    found = _kept(found)
+    some = {r[_G] for r in found.select(_G).distinct().collect()}
+    if not some:
+        return [None] * len(groups)
     spots = u.join(found, [_G, _H]).groupBy(_G, _H).agg(
-        F.first("nb").alias("nb"), F.percentile_approx(_TU, grid, 20_000).alias("q")
+        F.first("nb").alias("nb"), F.expr(f"percentile_approx({_TU}, array({_GRID}), 20000)").alias("q")
     )
     edges = F.array_distinct(
         F.transform(
@@ -479,7 +494,6 @@ def _hot_keys(entity, entity_ts, groups, types, hot_key_rows: int | None, bounds
         _P + "coarse", F.filter(F.col(_P + "edges"), lambda _, i: (i + 1) % _COARSE == 0)
     )
     spots = _kept(spots)
-    some = {r[_G] for r in spots.select(_G).distinct().collect()}
     return [spots.filter(F.col(_G) == g).drop(_G) if g in some else None for g in range(len(groups))]
 
 
