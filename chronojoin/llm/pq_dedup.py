@@ -1,8 +1,8 @@
 """Near duplicates of embeddings by product quantisation.
 
 Distinct unit vectors are put into coarse inverted lists; the residual to the
-list's centroid is coded in subspaces.  A vector probes every other list whose
-bisector is near enough to be crossed by a link.  Inside a list the asymmetric
+list's centroid is coded in subspaces.  A vector probes every lower-numbered list
+whose bisector lies within the length of the longest link.  Inside a list the asymmetric
 distance of a probing vector to each code comes from a lookup table; with the
 length of what the code leaves out it bounds the true distance from below, so
 the filter loses nothing, and what passes is decided by the exact cosine.
@@ -23,12 +23,11 @@ from .vectors import as_matrix, kmeans, meetings, square_distances, unit, usable
 
 SAMPLE = 20_000
 BLOCK = 2_048
-SPREADS = 5.0
 MAX_LISTS = 2_048
 
 
 class Quantiser:
-    """Coarse centroids, subspace codebooks and the probing margin, fitted on a bounded sample."""
+    """Coarse centroids and subspace codebooks, fitted on a bounded sample."""
 
     def __init__(self, x: np.ndarray, lists: int, radius: float, parts: int = 8, codes: int = 256):
         self.dim = x.shape[1]
@@ -38,10 +37,6 @@ class Quantiser:
         rest = x - self.coarse[near]
         self.cuts = np.linspace(0, self.dim, min(parts, self.dim) + 1).astype(int)
         self.books = [kmeans(rest[:, a:b], codes) for a, b in zip(self.cuts, self.cuts[1:])]
-        # a link of length r moves a vector by about r / sqrt(effective dimensions) across a given plane
-        s = np.linalg.svd(rest, compute_uv=False) ** 2 if len(rest) else np.ones(1)
-        effective = s.sum() ** 2 / max((s**2).sum(), 1e-300)
-        self.margin = radius * min(1.0, SPREADS / np.sqrt(max(effective, 1.0)))
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "between"}  # tasks compute it themselves
@@ -62,9 +57,9 @@ class Quantiser:
             dm = square_distances(rest[:, a:b], self.books[m])
             codes[:, m] = dm.argmin(1)
             left += dm.min(1)
-        span = np.maximum(self.between[home], 1e-12)
-        cross = (d - d[np.arange(len(x)), home][:, None]) / (2.0 * span)
-        probes = (cross <= self.margin + 1e-9) & (np.arange(len(self.coarse))[None, :] < home[:, None])
+        # a link no longer than the radius crosses a bisector only from within the radius of it; the slack is for rounding
+        near = d - d[np.arange(len(x)), home][:, None] <= 2.0 * self.between[home] * self.radius + 1e-6
+        probes = near & (np.arange(len(self.coarse))[None, :] < home[:, None])
         probes[np.arange(len(x)), home] = True
         return home, codes, np.sqrt(left), probes
 
@@ -168,9 +163,8 @@ def near_duplicates(
     The index is fitted on at most about ``2 sample`` distinct vectors; every
     vector is coded and searched.  ``lists`` defaults to half the square root
     of the number of distinct vectors, 8 to ``MAX_LISTS``; give more for billions of vectors.  A list is probed where the
-    bisector to it lies within the link's length times ``SPREADS`` over the
-    square root of the data's effective dimension (the whole length for few
-    dimensions, which loses no link at all).
+    bisector to it lies within the length of the longest link, so no link is lost;
+    vectors without structure are then compared with most of the others.
     """
     vec = F.col(vec_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), vec.alias("v"))

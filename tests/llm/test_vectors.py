@@ -52,6 +52,16 @@ def test_few_dimensions_lose_no_link(spark):
     assert got == [(i, int(n[i]), int(low[i])) for i in range(len(x))]
 
 
+def test_hot_group_of_few_dimensions_loses_no_link(spark):
+    """A third of the rows varies in two directions only, the rest in all: links there are long across the bisectors."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(2400, 64))
+    x[:800] = rng.normal(size=(800, 2)) @ rng.normal(size=(2, 64))
+    n, low = brute_links(x, 0.95)
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in P.near_duplicates(frame(spark, x), lists=60).collect())
+    assert got == [(i, int(n[i]), int(low[i])) for i in range(len(x))]
+
+
 ODD = [[1.0, 0.0], [1.0, 0.0], None, [], [0.0, 0.0], [1.0, None], [float("nan"), 1.0], [float("inf"), 1.0], [1.0, 0.0, 0.0], [1e200, 1.0], [-0.0, 1.0]]
 
 
