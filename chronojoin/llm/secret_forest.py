@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from .common import bounded_sample, stored, table
 
-RUN = r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{14,}+={0,2}"
+LEAST_CHARS = 14
+# an "=" belongs to the run as padding only, not where it assigns what follows to it
+RUN = r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{%d,}+(?:={1,2}(?![A-Za-z0-9+/_\-=]|\s*[\"'`]))?" % LEAST_CHARS
 CONTEXT = 40
 SAMPLE = 10_000
 LEAST_COUNT = 20
@@ -31,7 +33,12 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """(id, text_hash, n, value, before, after, path): every run of token characters, numbered within its text."""
+    """(id, text_hash, n, value, before, after, path): every run of token characters, numbered within its text.
+
+    before and after are the ``CONTEXT`` characters of the text on either side,
+    other candidates included.  Those have ``LEAST_CHARS`` characters at least,
+    so the pieces around the nearest few hold the whole context.
+    """
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     found = docs.select(
         F.col(id_col).cast("long").alias("id"),
@@ -40,16 +47,19 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col(text_col).alias("text"),
         F.regexp_extract_all(F.col(text_col), F.lit(RUN), F.lit(0)).alias("values"),
     ).filter(F.size("values") > 0)
+    near = range(1, -(-CONTEXT // LEAST_CHARS) + 1)
+    before = [f"get({a}, n - {i})" for k in reversed(near) for a, i in (("values", k), ("parts", k - 1))]
+    after = [f"get({a}, n + {k})" for k in near for a in ("parts", "values")]
     return (
         found.withColumn("parts", F.split("text", RUN, -1))
-        .select("id", "text_hash", "path", "parts", F.posexplode("values").alias("n", "value"))
+        .select("id", "text_hash", "path", "parts", "values", F.posexplode("values").alias("n", "value"))
         .select(
             "id",
             "text_hash",
             F.col("n").cast("long").alias("n"),
             "value",
-            F.expr(f"right(parts[n], {CONTEXT})").alias("before"),
-            F.expr(f"left(parts[n + 1], {CONTEXT})").alias("after"),
+            F.expr(f"right(concat_ws('', {', '.join(before)}), {CONTEXT})").alias("before"),
+            F.expr(f"left(concat_ws('', {', '.join(after)}), {CONTEXT})").alias("after"),
             "path",
         )
     )

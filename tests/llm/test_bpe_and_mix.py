@@ -110,6 +110,33 @@ def test_candidates_match_a_plain_scan(spark):
     assert sorted(got) == sorted(w[:3] for w in want)
 
 
+LONG_NAMES = [
+    'aws_secret_access_key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCY1234567890"',
+    "aws_secret_access_key=wJalrXUtnFEMI/K7MDENG/bPxRfiCY1234567890",
+    "x github_access_token: 0123456789abcdef0123 and client_secret_key='abcdefghij0123456789'; more text after all of it",
+    "0123456789abcdef 0123456789abcdeg 0123456789abcdeh 0123456789abcdei 0123456789abcdej== end",
+]
+
+
+def test_contexts_match_a_plain_scan(spark):
+    """before and after are the characters of the text, whether or not other candidates are among them."""
+    texts = LONG_NAMES + [x["text"] for x in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    run = re.compile(S.RUN)
+    want = [(i, n, m.group(0), t[: m.start()][-40:], t[m.end() :][:40]) for i, t in enumerate(texts) for n, m in enumerate(run.finditer(t))]
+    got = S.candidates(docs).collect()
+    assert sorted((x["id"], x["n"], x["value"], x["before"], x["after"]) for x in got) == sorted(want)
+
+
+def test_values_of_long_names_are_secrets(spark):
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(LONG_NAMES)], "doc_id long, text string, source string")
+    found = S.known_labels(S.with_features(S.candidates(docs), S.dictionary(docs))).collect()
+    values = {(x["id"], x["value"]): x for x in found}
+    for i, v in [(0, "wJalrXUtnFEMI/K7MDENG/bPxRfiCY1234567890"), (1, "wJalrXUtnFEMI/K7MDENG/bPxRfiCY1234567890"), (2, "0123456789abcdef0123"), (2, "abcdefghij0123456789")]:
+        assert values[i, v]["y"] == values[i, v]["keyword"] == values[i, v]["assigned"] == 1.0
+    assert (1, "aws_secret_access_key") in values and (3, "0123456789abcdej==") in values
+
+
 def secrets(n):
     r = random.Random(7)
     rows = []
