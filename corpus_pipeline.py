@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chronojoin.llm import bagminhash, bpe_words, pfair_mix, quality_rda, secret_forest
 from chronojoin.llm.common import stored, table
@@ -29,8 +30,18 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded bytes of every document."""
-    return bpe_words.tokenised(docs)
+    """Token counts and digests of ids and decoded bytes of every document, with its place in the mixture.
+
+    mix_slot and mix_order depend on the set of rows only, so they are the ones
+    by which the mixing stage ordered its files.  mix_order is unique and takes
+    the place of the id while texts are tokenised: doc_ids may repeat or be null.
+    """
+    placed = pfair_mix.mixed(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "mix_slot", "mix_order")
+    placed = stored(placed, "pipeline-places")
+    tokens = bpe_words.tokenised(placed.select(F.col("mix_order").alias("doc_id"), "text")).withColumnRenamed("doc_id", "mix_order")
+    return tokens.join(placed.drop("text"), "mix_order").select(
+        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "mix_slot", "mix_order"
+    )
 
 
 STAGES = [

@@ -1,12 +1,17 @@
 """URL filter against its SQL, pipeline against the operators, and the registered queries."""
 
+import hashlib
+import pathlib
+
 import duckdb
 import pandas as pd
 
 import __spark_entry__ as E
 import corpus_pipeline
 from chronojoin import llm
-from chronojoin.llm import bagminhash, quality_rda, url_alias
+from chronojoin.llm import bagminhash, pfair_mix, quality_rda, url_alias
+
+from .test_bpe_and_mix import fluid_gap
 
 SF = "/root/testdata/sf0.001"
 
@@ -88,6 +93,28 @@ def test_pipeline_stages(spark, tmp_dir):
     assert sorted(map(tuple, ran.collect())) == sorted(map(tuple, tokens.collect()))
 
 
+def test_tokens_keep_the_mixture(spark, tmp_dir):
+    """By the position in the last stage's rows, every prefix holds the sources' shares, in the order of the written files."""
+    sizes = {"a": 1500, "b": 700, "c": 333, None: 70}
+    names = [s for s, n in sizes.items() for _ in range(n)]
+    docs = spark.createDataFrame(
+        [(None if i % 50 == 0 else i // 2, f"text {i}", "en", s, 6) for i, s in enumerate(names)], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    corpus_pipeline.mixing_stage(spark, docs, SF).write.parquet(f"{tmp_dir}/mixture")
+    files = sorted(pathlib.Path(f"{tmp_dir}/mixture").glob("*.parquet"))
+    wrote = pd.concat([pd.read_parquet(f) for f in files], ignore_index=True)
+    rows = corpus_pipeline.token_stage(spark, spark.read.parquet(f"{tmp_dir}/mixture"), SF).collect()
+    got = sorted(rows, key=lambda r: r["mix_order"])
+    assert len({r["mix_order"] for r in got}) == len(got) == len(names)
+    assert [r["decoded_sha256"] for r in got] == [hashlib.sha256(t.encode()).hexdigest() for t in wrote["text"]]
+    assert [r["doc_id"] for r in got] == [None if pd.isna(d) else int(d) for d in wrote["doc_id"]]
+    source = [None if pd.isna(s) else s for s in wrote["source"]]
+    slots = list(dict.fromkeys((r["mix_slot"], s) for r, s in zip(got, source)))
+    assert [k for k, _ in slots] == list(range(len(slots)))
+    w = pfair_mix.integer_weights({s: n**0.5 for s, n in sizes.items()}, pfair_mix.PERIOD)
+    assert fluid_gap([s for _, s in slots], w, {s: -(-n // pfair_mix.BLOCK_ROWS) for s, n in sizes.items()}) < 1 + 1e-6
+
+
 def test_pipeline_on_no_rows(spark, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, no_docs.select("doc_id", "text", "lang", "source", "n_chars"), SF).count() == 0
