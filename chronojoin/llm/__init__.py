@@ -13,6 +13,7 @@ from .pq_dedup import op1_pq_dedup
 from .quality_rda import op8_quality_rda
 from .secret_forest import op5_secret_forest
 from .source_divergence import OP12_SQL, op12_source_divergence
+from .token_alignment import op13_token_alignment
 from .url_alias import OP2_SQL, op2_url_alias
 
 
@@ -30,6 +31,7 @@ def queries() -> dict:
         "op10_multi_index": op10_multi_index,
         "op11_license_scan": op11_license_scan,
         "op12_source_divergence": op12_source_divergence,
+        "op13_token_alignment": op13_token_alignment,
     }
 
 

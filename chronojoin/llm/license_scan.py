@@ -270,42 +270,37 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(scanned(table(spark, sf_dir, "documents")))
 
 
-def _sql_text(words) -> str:
-    return "[" + ", ".join("'" + w + "'" for w in words) + "]"
-
-
 def op11_sql(templates=TEMPLATES, rare_words: int = RARE_WORDS, min_share: float = MIN_SHARE) -> str:
-    """DuckDB SQL from the rule itself: every window of words is compared, no index."""
-    posts, places = [], []
-    for t in templates:
-        for pos, w in enumerate(words_of(t.text)):
-            posts.append(f"('{t.name}', {pos}, '{w}')")
-        keys = key_places(t)
-        cond = " AND ".join(f"w[i + {at - keys[0][0] + 1}:i + {at - keys[0][0] + len(k)}] = {_sql_text(k)}" for at, k in keys)
-        places.append(
-            f"SELECT r, '{t.name}' AS name, '{t.label}' AS label, {t.base} AS base, "
-            f"unnest(list_filter(range(len(w)), lambda i: {cond})) - {keys[0][0]} AS s FROM d"
-        )
+    """DuckDB SQL from the rule itself: all words of all key phrases, counted for each place, without anchors."""
+    posts = [f"('{t.name}', {i}, '{w}')" for t in templates for i, w in enumerate(words_of(t.text))]
+    keys = [f"('{t.name}', {i}, '{w}')" for t in templates for i, w in sorted({(at + j, w) for at, k in key_places(t) for j, w in enumerate(k)})]
+    names = [f"('{t.name}', '{t.label}', {t.base})" for t in templates]
     return f"""WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                             '{WORD}') AS w FROM documents),
-seen AS (SELECT word, count(*) AS df FROM (SELECT unnest(list_distinct(w)) AS word FROM d) GROUP BY 1),
+tok AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM d),
 posts(name, pos, word) AS (VALUES {", ".join(posts)}),
+keys(name, pos, word) AS (VALUES {", ".join(keys)}),
+names(name, label, base) AS (VALUES {", ".join(names)}),
+known AS (SELECT r, i, word FROM tok WHERE word IN (SELECT word FROM posts)),
+seen AS (SELECT word, count(DISTINCT r) AS df FROM known GROUP BY 1),
 ranked AS (
   SELECT name, word, coalesce(df, 0) AS df, row_number() OVER (PARTITION BY name ORDER BY coalesce(df, 0), word) AS k
     FROM (SELECT DISTINCT name, word FROM posts) LEFT JOIN seen USING (word)),
 rare AS (
   SELECT name, pos, word, ln(((SELECT count(*) FROM d) + 1) / (df + 1)) AS weight
     FROM posts JOIN ranked USING (name, word) WHERE k <= {rare_words}),
-place AS ({" UNION ALL ".join(places)}),
+place AS (
+  SELECT r, name, s FROM (
+    SELECT r, name, i - pos AS s, count(*) AS n FROM known JOIN keys USING (word) GROUP BY ALL)
+    JOIN (SELECT name, count(*) AS n FROM keys GROUP BY 1) USING (name, n)),
 share AS (
-  SELECT p.r, p.name, p.label, p.base, p.s,
+  SELECT p.r, p.name, p.s,
          CASE WHEN sum(weight) <= 0 THEN 1.0
-              ELSE round(sum(CASE WHEN s + pos >= 0 AND w[s + pos + 1] = word THEN weight ELSE 0.0 END) / sum(weight), 6) END AS share
-    FROM place p JOIN rare USING (name) JOIN d ON d.r = p.r GROUP BY ALL),
-found AS (SELECT * FROM share WHERE base OR share >= {min_share}),
--- a notice counts by its best place
+              ELSE round(coalesce(sum(weight) FILTER (WHERE known.word = rare.word), 0.0) / sum(weight), 6) END AS share
+    FROM place p JOIN rare USING (name) LEFT JOIN known ON known.r = p.r AND known.i = p.s + rare.pos GROUP BY ALL),
+found AS (SELECT * FROM share JOIN names USING (name) WHERE base OR share >= {min_share}),
 best AS (
   SELECT r, count(*) FILTER (WHERE base) AS n_base, min(s) FILTER (WHERE base) AS first_word,
          max(s) FILTER (WHERE base) AS last_word,
