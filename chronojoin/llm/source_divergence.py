@@ -41,6 +41,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,7 +53,7 @@ MIN_DOCUMENTS = 30
 TOP_TERMS = 50
 BLOCK_POSTINGS = 500_000
 CELLS = 4_000_000
-DICTIONARY = 300_000
+DICTIONARY = 500_000
 
 # bytes of a text that belong to no term become spaces, A-Z becomes a-z
 _TERM_BYTES = bytes(
@@ -62,7 +63,10 @@ _TERM_BYTES = bytes(
 
 def terms_of(text: str) -> list[bytes]:
     """The runs of ASCII letters and characters beyond ASCII, A-Z lower-cased, in UTF-8."""
-    return text.encode().translate(_TERM_BYTES).split(b" ")
+    return text.encode().translate(_TERM_BYTES).split()
+
+
+_COUNTS = "lang string, source string, term string, n long, d long"
 
 
 def _counted(batches):
@@ -71,29 +75,35 @@ def _counted(batches):
     Every group also gets a row with the empty term, so that groups without
     terms are not lost.
     """
-    n: Counter = Counter()
-    docs: Counter = Counter()
-
-    def out():
-        rows = pd.DataFrame(
-            [(a, b, t.decode(), c, docs[a, b, t]) for (a, b, t), c in n.items()], columns=["lang", "source", "term", "n", "d"]
-        )
-        n.clear()
-        docs.clear()
-        return rows
-
+    groups: dict = {}
+    size = 0
     for batch in batches:
-        for text, lang, source in zip(batch["text"], batch["lang"], batch["source"]):
-            found = Counter(terms_of(text))
-            found.pop(b"", None)
-            n[lang, source, b""] += 0
-            for t, c in found.items():
-                n[lang, source, t] += c
-                docs[lang, source, t] += 1
-            if len(n) > DICTIONARY:
-                yield out()
-    if n:
-        yield out()
+        for text, lang, source in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "source"))):
+            found = terms_of(text)
+            n, d = groups.get((lang, source)) or groups.setdefault((lang, source), (Counter({b"": 0}), Counter()))
+            size -= len(n)
+            n.update(found)
+            d.update(set(found))
+            size += len(n)
+            if size > DICTIONARY:
+                yield from _emptied(groups)
+                size = 0
+    yield from _emptied(groups)
+
+
+def _emptied(groups: dict):
+    for (lang, source), (n, d) in groups.items():
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.repeat(pa.scalar(lang, pa.string()), len(n)),
+                pa.repeat(pa.scalar(source, pa.string()), len(n)),
+                pa.array(n, pa.binary()).cast(pa.string()),
+                pa.array(n.values(), pa.int64()),
+                pa.array(map(d.__getitem__, n), pa.int64()),
+            ],
+            names=["lang", "source", "term", "n", "d"],
+        )
+    groups.clear()
 
 
 def term_counts(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
@@ -103,7 +113,7 @@ def term_counts(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFram
     """
     small_batches(docs.sparkSession)
     named = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    parts = named.mapInPandas(_counted, "lang string, source string, term string, n long, d long")
+    parts = named.mapInArrow(_counted, _COUNTS)
     sums = parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
     w = Window.partitionBy("lang", "term")
     sums = sums.select(
@@ -120,11 +130,16 @@ def smoothed(n: Column, total: Column, terms: Column) -> Column:
     return F.lit(1).cast("long") + F.call_function("div", top, below)
 
 
-def group_totals(counts: DataFrame) -> DataFrame:
-    """Per (lang, source): no (place among the language's sources), groups, total, terms, z, and the language's lang_total."""
+def group_totals(
+    counts: DataFrame, block_postings: int = BLOCK_POSTINGS, cells: int = CELLS
+) -> DataFrame:
+    """Per (lang, source): its total and z, its place ``no`` among the language's sources, and of the language
+    lang_total, terms, blocks (of terms), height (groups of a row block) and bands (row blocks)."""
     is_term = F.col("term") != ""
     groups = counts.groupBy("lang", "source").agg(
-        F.sum("n").alias("total"), F.sum((is_term & F.col("first")).cast("long")).alias("firsts")
+        F.sum("n").alias("total"),
+        F.sum((is_term & F.col("first")).cast("long")).alias("firsts"),
+        F.sum(is_term.cast("long")).alias("own"),
     )
     lang = Window.partitionBy("lang")
     groups = groups.select(
@@ -133,7 +148,11 @@ def group_totals(counts: DataFrame) -> DataFrame:
         F.count(F.lit(1)).over(lang).alias("groups"),
         F.sum("total").over(lang).alias("lang_total"),
         F.sum("firsts").over(lang).alias("terms"),
+        F.greatest(F.lit(1), F.ceil(F.sum("own").over(lang) / F.lit(block_postings))).cast("int").alias("blocks"),
     )
+    # rows of accumulators that fit: at least one group's
+    height = F.greatest(F.lit(1), F.floor(F.lit(cells) / F.col("groups"))).cast("int")
+    groups = groups.withColumn("height", height).withColumn("bands", F.ceil(F.col("groups") / F.col("height")).cast("int"))
     # without kept terms nothing is shared out
     return groups.withColumn("z", F.when(F.col("terms") > 0, smoothed(F.lit(0), F.col("total"), F.col("terms"))))
 
@@ -206,26 +225,20 @@ def _block(postings: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"lang": groups["lang"].iloc[0], "no": rows, "sums": list(sums)})
 
 
-def pair_sums(shares: DataFrame, groups: DataFrame, block_postings: int = BLOCK_POSTINGS, cells: int = CELLS) -> DataFrame:
+def _numbered(n: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+
+def pair_sums(shares: DataFrame, groups: DataFrame) -> DataFrame:
     """Per language and two of its groups (no, peer, both ways): value, the sum of ``|p - q|``."""
-    sizes = shares.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
-    g = groups.select("lang", "no", "groups", "z").join(sizes, "lang", "left")
-    blocks = F.greatest(F.lit(1), F.ceil(F.coalesce("_n", F.lit(0)) / F.lit(block_postings))).cast("int")
-    # rows of accumulators that fit: at least one group's
-    height = F.greatest(F.lit(1), F.floor(F.lit(cells) / F.col("groups"))).cast("int")
-    bands = F.ceil(F.col("groups") / height).cast("int")
-    g = g.withColumns({"blocks": blocks, "height": height, "bands": bands})
-    per_lang = g.select("lang", "blocks", "bands").distinct()
     left = (
-        shares.select("lang", "term", "no", "p")
-        .join(per_lang, "lang")
-        .withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int"))
-        .withColumn("band", F.explode(F.sequence(F.lit(0), F.col("bands") - 1)))
+        shares.withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int"))
+        .withColumn("band", _numbered("bands"))
         .select(*[F.col(c).alias(c) for c in ("lang", "block", "band", "term", "no", "p")])
     )
     right = (
-        g.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("band", F.explode(F.sequence(F.lit(0), F.col("bands") - 1)))
+        groups.withColumn("block", _numbered("blocks"))
+        .withColumn("band", _numbered("bands"))
         .withColumn("mine", F.floor(F.col("no") / F.col("height")) == F.col("band"))
         .select(*[F.col(c).alias(f"_{c}") for c in ("lang", "block", "band", "no", "z", "mine")])
     )
@@ -253,7 +266,7 @@ def divergence(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top_terms: i
         counts.filter(F.col("term") != "")
         .join(groups, ["lang", "source"])
         .select(
-            "lang", "source", "no", "term",
+            "lang", "source", "no", "term", "blocks", "bands",
             smoothed(F.col("n"), F.col("total"), F.col("terms")).alias("p"),
             smoothed(F.col("lang_n"), F.col("lang_total"), F.col("terms")).alias("q"),
         )

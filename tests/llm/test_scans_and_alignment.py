@@ -160,17 +160,21 @@ def test_divergence_equals_plain(spark, mixed_docs):
     assert {r[0] for r in got if r[2] == "pair"} >= {"de", "en", "fr", ""}  # de keeps no term: values are 0
 
 
-def test_divergence_small_blocks_and_bands(spark, mixed_docs, monkeypatch):
+def test_divergence_small_blocks_and_bands(spark, mixed_docs):
     docs = spark.createDataFrame(mixed_docs, SCHEMA)
     counts = source_divergence.stored(source_divergence.term_counts(docs, 4), "t")
-    groups = source_divergence.stored(source_divergence.group_totals(counts), "t")
     f = source_divergence.F
-    shares = counts.filter("term != ''").join(groups, ["lang", "source"]).select(
-        "lang", "source", "no", "term", source_divergence.smoothed(f.col("n"), f.col("total"), f.col("terms")).alias("p")
-    )
-    cols = ["lang", "no", "peer", "value"]
-    whole = _rows(source_divergence.pair_sums(shares, groups), cols)
-    assert whole == _rows(source_divergence.pair_sums(shares, groups, block_postings=7, cells=20), cols)
+
+    def sums(**kw):
+        groups = source_divergence.stored(source_divergence.group_totals(counts, **kw), "t")
+        p = source_divergence.smoothed(f.col("n"), f.col("total"), f.col("terms")).alias("p")
+        shares = counts.filter("term != ''").join(groups, ["lang", "source"]).select("lang", "no", "term", "blocks", "bands", p)
+        return groups.agg(f.max("blocks"), f.max("bands")).first(), _rows(
+            source_divergence.pair_sums(shares, groups), ["lang", "no", "peer", "value"]
+        )
+
+    (one, whole), (many, cut) = sums(), sums(block_postings=7, cells=20)
+    assert tuple(one) == (1, 1) and min(many) > 1 and whole == cut
 
 
 def test_divergence_equals_sql(spark, mixed_docs):
