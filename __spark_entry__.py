@@ -169,6 +169,14 @@ def _pit_supp(spark, d, rule, **kw):
     )
 
 
+def _pit_supp_known(spark, d, ttl, **kw):
+    # two times: only lines shipped (created) by the entity time answer it
+    return point_in_time_join(
+        e_line(spark, d), v_supp(spark, d), ["l_suppkey"], ["max_qty", "n_lines"], "event_timestamp", "event_ts",
+        ttl_seconds=ttl, created_ts="created_ts", created_as_of=True, **kw,
+    )
+
+
 def _pit_ps(spark, d, ttl, **kw):
     return point_in_time_join(
         e_prev(spark, d), v_ps(spark, d), ["l_partkey", "l_suppkey"], ["max_price"], "event_timestamp", "event_ts",
@@ -373,6 +381,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pit_ttl_0": lambda s, d: _pit_buy(s, d, 0),
         "pit_created_30d": lambda s, d: _pit_supp(s, d, "ordered"),
         "pit_created_30d_independent": lambda s, d: _pit_supp(s, d, "independent_max"),
+        "pit_created_as_of_30d": lambda s, d: _pit_supp_known(s, d, 30 * DAY),
+        "pit_created_as_of": lambda s, d: _pit_supp_known(s, d, 0),
+        "pit_created_as_of_hotsplit": lambda s, d: _pit_supp_known(s, d, 0, hot_key_rows=SPLIT_ROWS),
         "pit_composite_365d": lambda s, d: _pit_ps(s, d, 365 * DAY),
         "pit_composite_3650d": lambda s, d: _pit_ps(s, d, 3650 * DAY),
         "pit_cust_180d": q_pit_cust_180d,
@@ -468,6 +479,19 @@ SELECT ent.*, v.max_qty, v.n_lines
   LEFT JOIN v ON v.l_suppkey = ent.l_suppkey AND v.event_ts = newest AND v.created_ts = last_created"""
 
 
+def _known_sql(ttl):
+    band = f"AND event_ts >= asked.event_timestamp - INTERVAL {ttl} SECOND" if ttl else ""
+    return f"""WITH ent AS ({_E_LINE}), v AS ({_V_SUPP}),
+best AS (
+  SELECT asked.l_suppkey, asked.event_timestamp,
+         max(struct_pack(e := event_ts, c := created_ts, q := max_qty, n := n_lines)) AS b
+    FROM (SELECT DISTINCT l_suppkey, event_timestamp FROM ent) asked
+    JOIN v ON v.l_suppkey = asked.l_suppkey AND created_ts <= asked.event_timestamp
+     AND event_ts <= asked.event_timestamp {band}
+   GROUP BY ALL)
+SELECT ent.*, b.q AS max_qty, b.n AS n_lines FROM ent LEFT JOIN best USING (l_suppkey, event_timestamp)"""
+
+
 _RANGE = "ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00'"
 
 _LATEST_EVENTS = f"""SELECT user_id, event_type, value, ts FROM (
@@ -530,6 +554,9 @@ def oracle_sql() -> dict[str, str]:
         "pit_ttl_0": pit_buy_0,
         "pit_created_30d": pit_supp,
         "pit_created_30d_independent": independent,
+        "pit_created_as_of_30d": _known_sql(30 * DAY),
+        "pit_created_as_of": _known_sql(0),
+        "pit_created_as_of_hotsplit": _known_sql(0),
         "pit_composite_365d": _pit_sql(
             _E_PREV, [("vp", _V_PS, ["l_partkey", "l_suppkey"], ["max_price"], 365 * DAY, False, False, None)]
         ),

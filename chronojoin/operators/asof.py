@@ -28,8 +28,8 @@ key's rows and time quantiles; the list of keys above ``hot_key_rows`` stays a
 DataFrame.  Each such key gets time buckets ``_b`` with the quantiles as edges,
 so bunched history and outliers give buckets of about equal size (rows of one
 equal time stay together).  The window then partitions by ``(keys, _b)``.  For
-each (key, bucket) that holds entity rows, a *carry row* — the last source row
-of all earlier buckets — is added at the head of the bucket, so the scan stays
+each (key, bucket) that holds entity rows, a *carry row* — the greatest source
+row of all earlier buckets — is added at the head of the bucket, so the scan stays
 exact whatever the estimate.  Carry rows come from a per-bucket top-1 (partial
 ``WindowGroupLimit`` before the shuffle) and a small window over buckets.  A
 view without keys is one key and always split.  Keys below the threshold keep
@@ -54,6 +54,14 @@ Created-time rules:
   ``ttl``-wide buckets (see :func:`_range_created_max`), joined back on
   (keys, t).
 
+``created_as_of`` (two times): a source row counts only from when it was known,
+so a correction that was created after the entity time does not answer it.
+Source rows enter the scan at *visible-from* = the greater of event and created
+time, and the running maximum is still over (event time, created time,
+features): the newest event among the rows known by then.  If that row fails
+the TTL so does every other one.  A row whose created time is NULL was known at
+no certain time and never matches.  Only with the ``"ordered"`` rule.
+
 Ties: ``"one"`` returns one row per entity row (deterministic: greatest
 created, then greatest feature values); ``"all"`` returns every source row
 tied on (event time, created time), through an equi-join back on
@@ -107,6 +115,7 @@ class AsOfSource:
     created_rule: str = "ordered"
     ties: str = "one"
     tie_break: Sequence[str] | None = None
+    created_as_of: bool = False  # rows count from their created time on only
     key_map: dict | None = field(default=None)  # entity key -> source column
     # a table or files, cheap to read in two parts: old history is then reduced before the shuffle
     reread: bool = False
@@ -130,6 +139,7 @@ def point_in_time_join(
     ties: str = "one",
     tie_break: Sequence[str] | None = None,
     created_rule: str = "ordered",
+    created_as_of: bool = False,
     prefix: str | None = None,
     prune: bool = True,
     hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
@@ -153,6 +163,7 @@ def point_in_time_join(
         created_rule=created_rule,
         ties=ties,
         tie_break=tie_break,
+        created_as_of=created_as_of,
     )
     return asof_join(entity, entity_ts, keys, [src], prune=prune, hot_key_rows=hot_key_rows)
 
@@ -216,6 +227,12 @@ def _check(entity: DataFrame, entity_ts: str, keys: Sequence[str], sources: Sequ
             raise ValueError(f"ties must be 'one' or 'all', not {s.ties!r}")
         if s.ttl_seconds < 0:
             raise ValueError("ttl_seconds must be >= 0")
+        if s.created_as_of and not s.created_ts:
+            raise ValueError("created_as_of needs a created time column")
+        if s.created_as_of and s.created_rule != "ordered":
+            raise ValueError("created_as_of goes with created_rule 'ordered' only")
+        if s.created_as_of and not is_time_type(s.df.schema[s.created_ts].dataType):
+            raise ValueError(f"source created time {s.created_ts!r} is not a timestamp")
         if not is_time_type(s.df.schema[s.event_ts].dataType):
             raise ValueError(f"source event time {s.event_ts!r} is not a timestamp")
         for k in keys:
@@ -252,25 +269,34 @@ def _in_range(s: AsOfSource, ets_type, bounds) -> tuple[Column, Column]:
             cond = cond & (ts <= time_literal(hi, ets_type))
             if s.ttl_seconds > 0:
                 cond = cond & (ts >= time_literal(lo, ets_type))
+        if s.created_as_of:
+            made = s.df.schema[s.created_ts].dataType
+            wider = 0 if made == ets_type else 86_400_000_000
+            cond = cond & (_c(s.created_ts) <= time_literal(Micros(hi + wider), made))
         if s.partition_prune is not None:
             cond = cond & s.partition_prune(bounds)
     return ts, cond
 
 
+def _visible_from(s: AsOfSource, ts: Column, ets_type) -> Column:
+    """When a source row starts to count: its event time, or with ``created_as_of`` once it was created too."""
+    return F.greatest(ts, _c(s.created_ts).cast(ets_type)) if s.created_as_of else ts
+
+
 def _source_rows(s: AsOfSource, i: int, keys, types, ets_type, bounds, few_keys=None) -> DataFrame:
     """Source rows of view ``i`` in scan form (step 1); ``few_keys``: a small table of the entity's keys."""
     df = s.df
     ts, cond = _in_range(s, ets_type, bounds)
     for k in keys:
         cond = cond & _c(s.key_map[k]).isNotNull()
-    if s.created_rule == "independent_max" and s.created_ts:
+    if s.created_as_of or (s.created_rule == "independent_max" and s.created_ts):
         cond = cond & _c(s.created_ts).isNotNull()
     created = _c(s.created_ts) if s.created_ts else F.lit(None).cast(ets_type)
     payload = [ts.alias(_F_TS), created.alias(_F_C)]
     payload += [_c(f).alias(n) for f, n in zip(s.features, s.out_names())]
     rows = df.filter(cond).select(
         *[_c(s.key_map[k]).cast(types[k]).alias(k) for k in keys],
-        ts.alias(_T),
+        _visible_from(s, ts, ets_type).alias(_T),
         F.lit(0).alias(_SIDE),
         F.struct(*payload).alias(f"{_P}f{i}"),
     )
@@ -299,7 +325,7 @@ def _without_old_history(rows: DataFrame, s: AsOfSource, i: int, keys, ets_type,
         w = Window.partitionBy(*[_c(k) for k in keys]).orderBy(*by)
         return old.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
 
-    out = rows.filter(F.col(_T) >= first).unionByName(top(F.col(_T).desc(), order.desc_nulls_last()))
+    out = rows.filter(F.col(_T) >= first).unionByName(top(payload[_F_TS].desc(), order.desc_nulls_last()))
     if s.created_rule == "independent_max" and s.created_ts:
         out = out.unionByName(top(payload[_F_C].desc_nulls_last()))
     return out
@@ -729,12 +755,12 @@ def _bucketed(u0: DataFrame, hot: DataFrame | None, keys, sources, fcols, orders
 
     hot_rows = u.filter(is_hot & (F.col(_B) >= 0))
     ks = [_c(k) for k in keys]
-    # last source row per (key, bucket), per view: partial top-1 before the shuffle
+    # greatest source row per (key, bucket), per view: partial top-1 before the shuffle
     summaries = []
     for i, s in enumerate(sources):
         order = orders[i] if orders[i] is not None else F.col(fcols[i])
         bw = Window.partitionBy(*ks, _B).orderBy(
-            F.col(_T).desc_nulls_last(), order.desc_nulls_last()
+            F.col(fcols[i])[_F_TS].desc_nulls_last(), order.desc_nulls_last()
         )
         last_row = (
             hot_rows.filter(F.col(fcols[i]).isNotNull())
@@ -763,7 +789,7 @@ def _bucketed(u0: DataFrame, hot: DataFrame | None, keys, sources, fcols, orders
         .orderBy(F.col(_B), F.col(f"{_P}m"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    carried = [F.last(F.col(fcols[i]), ignorenulls=True).over(cw).alias(fcols[i]) for i in range(len(sources))]
+    carried = [_greatest_payload(F.col(fcols[i]), orders[i]).over(cw).alias(fcols[i]) for i in range(len(sources))]
     cm_cols = []
     for i, s in enumerate(sources):
         if s.created_rule == "independent_max" and s.ttl_seconds == 0 and s.created_ts:

@@ -40,6 +40,8 @@ class FeatureView:
     created_rule: str = "ordered"
     ties: str = "one"
     tie_break: Sequence[str] | None = None
+    # a row answers only entity rows from its created time on (no later correction leaks back)
+    created_as_of: bool = False
 
     def load(self, spark: SparkSession) -> DataFrame:
         if isinstance(self.source, Source):
@@ -161,6 +163,7 @@ def historical_features(
                 created_rule=v.created_rule,
                 ties=v.ties,
                 tie_break=v.tie_break,
+                created_as_of=v.created_as_of,
                 partition_prune=_partition_prune(v),
                 reread=isinstance(v.source, Source) and v.source.query is None,
             )

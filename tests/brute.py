@@ -15,7 +15,7 @@ def _k(v):
     return (0, 0) if v is None else (1, v)
 
 
-def asof(entity, source, keys, feats, ttl=0, created=False, rule="ordered", ties="one"):
+def asof(entity, source, keys, feats, ttl=0, created=False, rule="ordered", ties="one", known=False):
     """entity: list of dicts with keys + 't'; source: dicts with keys + 'ts' [+ 'c'] + feats.
 
     Returns a list of (entity row, feature dict or None) — several per entity
@@ -33,6 +33,7 @@ def asof(entity, source, keys, feats, ttl=0, created=False, rule="ordered", ties
             and all(s[k] is not None and s[k] == e[k] for k in keys)
             and s["ts"] <= e["t"]
             and (ttl == 0 or s["ts"] >= e["t"] - dt.timedelta(seconds=ttl))
+            and (not known or (s["c"] is not None and s["c"] <= e["t"]))
         ]
         if rule == "independent_max" and created:
             cand = [s for s in cand if s["c"] is not None]

@@ -50,19 +50,23 @@ EXAMPLES = int(os.environ.get("CJ_PROP_EXAMPLES", "30"))
     hot=st.sampled_from([None, 1, 3]),
 )
 def test_scan_equals_brute_force(spark, src, ent, ttl_h, created, rule, ties, hot):
+    _check(spark, src, ent, ttl_h, created, rule, ties, hot)
+
+
+def _check(spark, src, ent, ttl_h, created, rule, ties, hot, known=False):
     src_rows = [(k, _ts(h), _ts(c), f) for k, h, c, f in src]
     ent_rows = [(i, k, _ts(h)) for i, (k, h) in enumerate(ent)]
     e = spark.createDataFrame(ent_rows, ENT)
     s = spark.createDataFrame(src_rows, SRC)
     out = point_in_time_join(
         e, s, ["k"], ["f"], "t", "ts", ttl_seconds=ttl_h * 3600, created_ts="c" if created else None,
-        created_rule=rule, ties=ties, hot_key_rows=hot,
+        created_rule=rule, ties=ties, hot_key_rows=hot, created_as_of=known,
     )
     got = [(r.id, r.f) for r in out.collect()]
     exp_pairs = asof(
         [{"id": i, "k": k, "t": t} for i, k, t in ent_rows],
         [{"k": k, "ts": ts, "c": c, "f": f} for k, ts, c, f in src_rows],
-        ["k"], ["f"], ttl=ttl_h * 3600, created=created, rule=rule, ties=ties,
+        ["k"], ["f"], ttl=ttl_h * 3600, created=created, rule=rule, ties=ties, known=known,
     )
     exp = sorted((e_["id"], None if m is None else m["f"]) for e_, m in exp_pairs)
     key_ = lambda x: (x[0], repr(x[1]))
@@ -79,6 +83,17 @@ def test_scan_equals_brute_force(spark, src, ent, ttl_h, created, rule, ties, ho
 )
 def test_independent_rule_with_ttl(spark, src, ent, ttl_h, ties, hot):
     # the window maximum of created times over [t - ttl, t] (streaming two-direction scan)
-    test_scan_equals_brute_force.hypothesis.inner_test(
-        spark, src, ent, ttl_h, True, "independent_max", ties, hot
-    )
+    _check(spark, src, ent, ttl_h, True, "independent_max", ties, hot)
+
+
+@settings(max_examples=EXAMPLES, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    src=st.lists(src_row, min_size=2, max_size=16),
+    ent=st.lists(ent_row, min_size=1, max_size=8),
+    ttl_h=st.sampled_from([0, 2, 9]),
+    ties=st.sampled_from(["one", "all"]),
+    hot=st.sampled_from([None, 1, 4]),
+)
+def test_created_as_of(spark, src, ent, ttl_h, ties, hot):
+    # rows count only from their created time on
+    _check(spark, src, ent, ttl_h, True, "ordered", ties, hot, known=True)
