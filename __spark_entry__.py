@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 
 from chronojoin import (
     FeatureView,
+    OfflineStore,
+    OnDemandView,
     Source,
     entity_time_range,
+    feature_types,
     historical_features,
     latest_by_key,
     materialize_incremental,
@@ -289,6 +292,131 @@ def q_pit_partitioned_source(spark, d):
     return historical_features(spark, e_buy(spark, d), [view])
 
 
+def _pit_by_folders(spark, d, columns, formats, **levels):
+    path = _folder(spark, "views-by-" + columns[-1])
+    rows = v_view(spark, d).withColumns({c: F.date_format("event_ts", f).cast("int") for c, f in zip(columns, formats)})
+    rows.repartition(*columns).write.partitionBy(*columns).parquet(path)
+    src = Source(path=path, file_format="parquet", event_ts="event_ts", partition_col=columns, partition_format=formats)
+    view = FeatureView("v_view", ["user_id"], ["event_type", "value"], src, ttl_seconds=DAY)
+    return historical_features(spark, e_buy(spark, d), [view])
+
+
+def q_pit_partitioned_ymd(spark, d):
+    # folders by a number yyyyMMdd
+    return _pit_by_folders(spark, d, ["ymd"], ["yyyyMMdd"])
+
+
+def q_pit_partitioned_levels(spark, d):
+    # folders by year, month and day, one level each
+    return _pit_by_folders(spark, d, ["year", "month", "day"], ["yyyy", "MM", "dd"])
+
+
+def _lines_as_of(spark, d, path, after, until, mode):
+    """Lines with the order's date as event time that were shipped (arrived) in (after, until], as files."""
+    li, o = _t(spark, d, "lineitem"), _t(spark, d, "orders")
+    rows = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        "l_partkey", "l_orderkey", "l_linenumber", "l_quantity",
+        F.col("o_orderdate").alias("event_ts"), F.col("l_shipdate").alias("created_ts"),
+    )
+    arrived = rows.created_ts <= F.lit(until).cast("timestamp_ntz")
+    if after is not None:
+        arrived = arrived & (rows.created_ts > F.lit(after).cast("timestamp_ntz"))
+    rows.filter(arrived).write.mode(mode).parquet(path)
+
+
+ARRIVED_1, ARRIVED_2 = dt.datetime(1997, 1, 1), dt.datetime(1997, 3, 1)
+
+
+def q_materialize_late_rows(spark, d):
+    # two steps; the second finds rows of the first one's window that arrived after it (K5)
+    path, root = _folder(spark, "lines"), _folder(spark, "late-snapshots")
+    src = Source(path=path, file_format="parquet", event_ts="event_ts", created_ts="created_ts")
+    view = FeatureView("lines", ["l_partkey"], ["l_orderkey", "l_linenumber", "l_quantity"], src)
+    _lines_as_of(spark, d, path, None, ARRIVED_1, "errorifexists")
+    materialize_incremental(spark, view, root, ARRIVED_1)
+    _lines_as_of(spark, d, path, ARRIVED_1, ARRIVED_2, "append")
+    return materialize_incremental(spark, view, root, ARRIVED_2)
+
+
+def q_pit_from_snapshot(spark, d):
+    # the newest snapshot before the first entity time stands for the history up to its end
+    ent = _t(spark, d, "customer").select(
+        "c_custkey", F.lit("1997-07-01 00:00:00").cast("timestamp_ntz").alias("event_timestamp")
+    )
+    src = Source(path=f"{d}/orders.parquet", file_format="parquet", event_ts="o_orderdate", rename={"o_custkey": "c_custkey"})
+    view = FeatureView("o", ["c_custkey"], ["o_totalprice", "o_orderstatus"], src)
+    root = _folder(spark, "order-snapshots")
+    materialize_incremental(spark, view, root, dt.datetime(1996, 1, 1))
+    materialize_incremental(spark, view, root, dt.datetime(1997, 1, 1))
+    return historical_features(spark, ent, [view], snapshots={"o": root})
+
+
+def q_historical_on_demand(spark, d):
+    # outputs computed from a feature, a request column and another on-demand view's output (§2.7)
+    view = FeatureView("v_view", ["user_id"], ["event_type", "value"], v_view(spark, d), ttl_seconds=DAY,
+                       event_ts="event_ts")
+    parity = OnDemandView(
+        "request", ["v_view:value", "event_id"],
+        {"twice": lambda x: x["v_view:value"] * 2, "odd": lambda x: F.pmod(x["event_id"], F.lit(2))},
+    )
+    label = OnDemandView(
+        "label", ["request:twice", "request:odd", "v_view:event_type"],
+        {"large": lambda x: (x["request:twice"] > 100) & (x["request:odd"] == 1) & x["v_view:event_type"].isNotNull()},
+    )
+    return historical_features(
+        spark, e_buy(spark, d), [view], ["label:large", "v_view:value", "request:twice"], on_demand=[label, parity]
+    )
+
+
+def q_historical_pandas_entity(spark, d):
+    # a small pandas entity with text times (S12, G2): every nation's newest order by then
+    o, c = _t(spark, d, "orders"), _t(spark, d, "customer")
+    orders = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("c_nationkey").cast("long").alias("n_nationkey"), "o_totalprice", "o_orderkey", "o_orderdate"
+    )
+    ent = _t(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("n_nationkey")).toPandas()
+    ent["event_timestamp"] = "1997-07-01 12:00:00"
+    view = FeatureView("o", ["n_nationkey"], ["o_totalprice", "o_orderkey"], orders, event_ts="o_orderdate", ttl_seconds=30 * DAY)
+    out = historical_features(spark, ent, [view])
+    return out.withColumn("event_timestamp", F.to_utc_timestamp("event_timestamp", F.current_timezone()).cast("timestamp_ntz"))
+
+
+def q_retrieval_metadata(spark, d):
+    # row count and time range gathered while the result is written (K6)
+    view = FeatureView("v_view", ["user_id"], ["event_type", "value"], v_view(spark, d), ttl_seconds=DAY,
+                       event_ts="event_ts")
+    job = OfflineStore.get_historical_features(spark, [view], ["v_view:value"], e_buy(spark, d))
+    job.persist(_folder(spark, "with-metadata"))
+    m = job.metadata
+    return spark.createDataFrame(
+        [(m["rows"], m["min_event_timestamp"], m["max_event_timestamp"])],
+        "n long, min_event_timestamp timestamp_ntz, max_event_timestamp timestamp_ntz",
+    )
+
+
+def q_source_profile(spark, d):
+    # existence, columns and types of a source (S10, S11, Y1), with the rows that have a value
+    src = Source(path=f"{d}/events.parquet", file_format="parquet", event_ts="ts")
+    src.validate(spark)
+    kinds = feature_types(src.load(spark))
+    columns = src.columns_and_types(spark)
+    counts = src.load(spark).agg(*[F.count(c).alias(c) for c, _ in columns])
+    rows = F.array(*[
+        F.struct(F.lit(c).alias("name"), F.lit(t).alias("type"), F.lit(kinds[c]).alias("feature_type"), F.col(c).alias("n"))
+        for c, t in columns
+    ])
+    return counts.select(F.inline(rows))
+
+
+def q_latest_declared_types(spark, d):
+    # declared feature types checked before the job, a narrower column widened
+    view = FeatureView(
+        "li", ["l_partkey"], ["l_orderkey", "l_linenumber", "l_quantity"], _t(spark, d, "lineitem"), event_ts="l_shipdate",
+        types={"l_orderkey": "INT64", "l_linenumber": "INT64", "l_quantity": "DOUBLE"},
+    )
+    return view.pull_latest(spark, None, dt.datetime(1997, 12, 31))
+
+
 def q_pit_snapshot_files(spark, d):
     # every customer's newest order as of one day: all history is older, one row per key is shuffled
     ent = _t(spark, d, "customer").select(
@@ -397,6 +525,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_from_orc_source": q_latest_from_orc_source,
         "latest_from_query_source": q_latest_from_query_source,
         "pit_partitioned_source": q_pit_partitioned_source,
+        "pit_partitioned_ymd": q_pit_partitioned_ymd,
+        "pit_partitioned_levels": q_pit_partitioned_levels,
+        "materialize_late_rows": q_materialize_late_rows,
+        "pit_from_snapshot": q_pit_from_snapshot,
+        "historical_on_demand": q_historical_on_demand,
+        "historical_pandas_entity": q_historical_pandas_entity,
+        "retrieval_metadata": q_retrieval_metadata,
+        "source_profile": q_source_profile,
+        "latest_declared_types": q_latest_declared_types,
         "pit_snapshot_files": q_pit_snapshot_files,
         "historical_saved": q_historical_saved,
         "latest_from_path_source": q_latest_from_path_source,
@@ -526,6 +663,11 @@ def oracle_sql() -> dict[str, str]:
         ],
     )
     independent = _independent_sql()
+    newest_orders = """SELECT c_custkey, TIMESTAMP '1997-07-01' AS event_timestamp, o_totalprice, o_orderstatus
+  FROM customer LEFT JOIN (
+    SELECT o_custkey, o_totalprice, o_orderstatus,
+           row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_totalprice DESC, o_orderstatus DESC) AS rn
+      FROM orders WHERE o_orderdate <= TIMESTAMP '1997-07-01') ON c_custkey = o_custkey AND rn = 1"""
     return {
         **_llm_oracles(),
         "materialize_two_steps": _LATEST_EVENTS,
@@ -534,11 +676,40 @@ def oracle_sql() -> dict[str, str]:
         "latest_from_orc_source": _LATEST_EVENTS,
         "latest_from_query_source": _LATEST_EVENTS,
         "pit_partitioned_source": pit_buy_1d,
-        "pit_snapshot_files": """SELECT c_custkey, TIMESTAMP '1997-07-01' AS event_timestamp, o_totalprice, o_orderstatus
-  FROM customer LEFT JOIN (
-    SELECT o_custkey, o_totalprice, o_orderstatus,
-           row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_totalprice DESC, o_orderstatus DESC) AS rn
-      FROM orders WHERE o_orderdate <= TIMESTAMP '1997-07-01') ON c_custkey = o_custkey AND rn = 1""",
+        "pit_partitioned_ymd": pit_buy_1d,
+        "pit_partitioned_levels": pit_buy_1d,
+        "materialize_late_rows": """SELECT l_partkey, l_orderkey, l_linenumber, l_quantity, event_ts, created_ts FROM (
+  SELECT l_partkey, l_orderkey, l_linenumber, l_quantity, o_orderdate AS event_ts, l_shipdate AS created_ts,
+         row_number() OVER (PARTITION BY l_partkey
+                            ORDER BY o_orderdate DESC, l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS rn
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+   WHERE l_shipdate <= TIMESTAMP '1997-03-01' AND o_orderdate <= TIMESTAMP '1997-03-01') WHERE rn = 1""",
+        "pit_from_snapshot": newest_orders,
+        "historical_on_demand": f"""SELECT event_id, user_id, event_timestamp,
+       value * 2 > 100 AND event_id % 2 = 1 AND event_type IS NOT NULL AS large, value, value * 2 AS twice FROM ({pit_buy_1d})""",
+        "historical_pandas_entity": """SELECT n_nationkey::BIGINT AS n_nationkey, TIMESTAMP '1997-07-01 12:00:00' AS event_timestamp,
+       o_totalprice, o_orderkey
+  FROM nation LEFT JOIN (
+    SELECT c_nationkey, o_totalprice, o_orderkey,
+           row_number() OVER (PARTITION BY c_nationkey ORDER BY o_orderdate DESC, o_totalprice DESC, o_orderkey DESC) AS rn
+      FROM orders JOIN customer ON o_custkey = c_custkey
+     WHERE o_orderdate BETWEEN TIMESTAMP '1997-06-01 12:00:00' AND TIMESTAMP '1997-07-01 12:00:00')
+    ON n_nationkey = c_nationkey AND rn = 1""",
+        "retrieval_metadata": f"""SELECT count(*) AS n, min(event_timestamp) AS min_event_timestamp,
+       max(event_timestamp) AS max_event_timestamp FROM ({_E_BUY})""",
+        "source_profile": """SELECT name, kind AS type, feature_type, n FROM (VALUES
+  ('event_id', 'bigint', 'INT64', (SELECT count(event_id) FROM events)),
+  ('ts', 'timestamp_ntz', 'UNIX_TIMESTAMP', (SELECT count(ts) FROM events)),
+  ('user_id', 'bigint', 'INT64', (SELECT count(user_id) FROM events)),
+  ('event_type', 'string', 'STRING', (SELECT count(event_type) FROM events)),
+  ('value', 'double', 'DOUBLE', (SELECT count(value) FROM events)),
+  ('props', 'string', 'STRING', (SELECT count(props) FROM events))) AS t(name, kind, feature_type, n)""",
+        "latest_declared_types": """SELECT l_partkey, l_orderkey, l_linenumber, l_quantity, l_shipdate FROM (
+  SELECT l_partkey, l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_quantity, l_shipdate,
+         row_number() OVER (PARTITION BY l_partkey
+                            ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_quantity DESC) AS rn
+    FROM lineitem WHERE l_shipdate <= TIMESTAMP '1997-12-31') WHERE rn = 1""",
+        "pit_snapshot_files": newest_orders,
         "historical_saved": f"SELECT *, value * 2 AS twice FROM ({pit_buy_1d})",
         "latest_by_key": _LATEST_EVENTS,
         "latest_with_created": f"""SELECT l_suppkey, max_qty, n_lines, event_ts, created_ts FROM (

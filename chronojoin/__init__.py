@@ -1,8 +1,8 @@
 """chronojoin: point-in-time feature retrieval built from Spark DataFrame operators."""
 
-from .functions import feature_type, feature_types, time_columns
+from .functions import TypeContractError, feature_type, feature_types, time_columns
 from .operators import AsOfSource, asof_join, latest_by_key, point_in_time_join, rows_in_range
-from .plans import FeatureView, RetrievalJob, OfflineStore, historical_features, resolve_refs
+from .plans import FeatureView, OnDemandView, RetrievalJob, OfflineStore, historical_features, resolve_refs
 from .sinks import save_dataset, shared_dir
 from .sources import InvalidEntity, Source, SourceNotFound, as_dataframe, entity_time_range
 from .streaming import materialize_incremental, merge_latest, refresh_latest
@@ -15,6 +15,8 @@ __all__ = [
     "Source",
     "SourceNotFound",
     "OfflineStore",
+    "OnDemandView",
+    "TypeContractError",
     "as_dataframe",
     "asof_join",
     "entity_time_range",

@@ -27,7 +27,7 @@ from pyspark.sql.types import (
 from .timeutil import is_time_type
 
 # Feature value type names for each Spark scalar type.
-# The first thirteen pairs follow the reference's mapping; both timestamp types map
+# The first nine pairs and the one for tinyint follow the reference's mapping; both timestamp types map
 # to UNIX_TIMESTAMP, and ShortType widens to INT32.
 SCALAR_FEATURE_TYPES: list[tuple[type, str]] = [
     (NullType, "UNKNOWN"),

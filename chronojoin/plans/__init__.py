@@ -1,4 +1,5 @@
 from .features import FeatureView, historical_features, resolve_refs
+from .ondemand import OnDemandView
 from .store import RetrievalJob, OfflineStore
 
-__all__ = ["FeatureView", "RetrievalJob", "OfflineStore", "historical_features", "resolve_refs"]
+__all__ = ["FeatureView", "OnDemandView", "RetrievalJob", "OfflineStore", "historical_features", "resolve_refs"]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +16,12 @@ from ..operators.asof import (
     asof_join,
     scan_stats,
 )
+from ..functions.contract import TypeContractError, check_types
 from ..functions.timeutil import Micros, to_micros
 from ..operators.latest import latest_by_key, rows_in_range
-from ..sources.entity import as_dataframe, check_entity_columns, entity_time_range, infer_entity_ts, quoted
+from ..sources.entity import as_dataframe, check_entity_columns, column_named, entity_time_range, infer_entity_ts, quoted
 from ..sources.source import Source
+from .ondemand import OnDemandView, computed, resolve_on_demand
 
 
 @dataclass(frozen=True)
@@ -27,7 +29,10 @@ class FeatureView:
     """Named features of one source, keyed by ``keys``, valid for ``ttl_seconds`` (0 = forever).
 
     ``source`` is a :class:`Source` or an already loaded DataFrame (then
-    ``event_ts`` / ``created_ts`` name its time columns).
+    ``event_ts`` / ``created_ts`` name its time columns).  ``types`` declares
+    feature types (``{"trips": "INT64"}``); a source that cannot carry them
+    without loss is rejected when it is loaded, before any job, and other types
+    that can are widened.
     """
 
     name: str
@@ -42,11 +47,17 @@ class FeatureView:
     tie_break: Sequence[str] | None = None
     # a row answers only entity rows from its created time on (no later correction leaks back)
     created_as_of: bool = False
+    types: Mapping[str, str] | None = None
 
     def load(self, spark: SparkSession) -> DataFrame:
-        if isinstance(self.source, Source):
-            return self.source.load(spark)
-        return self.source
+        df = self.source.load(spark) if isinstance(self.source, Source) else self.source
+        if not self.types:
+            return df
+        undeclared = [n for n in self.types if n not in self.features]
+        if undeclared:
+            raise TypeContractError(f"view {self.name!r}: types of unknown features: " + ", ".join(undeclared))
+        cast = check_types(df, self.types, f"view {self.name!r}")
+        return df.withColumns({n: F.col(quoted(n)).cast(t) for n, t in cast.items() if df.schema[n].dataType != t})
 
     @property
     def event_col(self) -> str:
@@ -119,6 +130,8 @@ def historical_features(
     transforms: dict | None = None,
     entity_bounds: tuple | None = None,
     hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
+    snapshots: dict[str, str] | None = None,
+    on_demand: Sequence[OnDemandView] = (),
 ) -> DataFrame:
     """Every entity row with the as-of value of each requested feature.
 
@@ -132,12 +145,31 @@ def historical_features(
     data in the look that finds hot keys, and a range that is too narrow raises;
     with ``hot_key_rows=None`` nothing is read ahead and the range is trusted:
     entity rows outside of it may lose their matches.
+
+    ``on_demand`` views compute features from others and from request columns of
+    the entity table (see :class:`OnDemandView`); they are asked for by
+    ``"view:feature"`` like any other, and what they need is joined with them.
+
+    ``snapshots`` ``{view name: root}`` names folders of committed snapshots
+    (:func:`materialize_incremental`) of views without TTL.  The newest one that
+    ends before the first entity time then stands for all history up to its
+    end; of the source only what it has not seen is read.
     """
     ent = as_dataframe(spark, entity, entity_ts)
     ets = infer_entity_ts(ent, entity_ts)
     if refs is None:
         refs = [f"{v.name}:{f}" for v in views for f in v.features]
-    wanted = resolve_refs(views, refs)
+        refs += [f"{v.name}:{f}" for v in on_demand for f in v.outputs]
+    joined, plan = resolve_on_demand(views, on_demand, refs, ent)
+    wanted = resolve_refs(views, joined)
+    asked = set(refs)
+
+    def out_name(view, feature):
+        # what only on-demand views need travels under a name of its own
+        if f"{view}:{feature}" not in asked:
+            return f"__cj_in__{view}__{feature}"
+        return f"{view}__{feature}" if full_feature_names else feature
+
     all_keys = []
     for v, _ in wanted:
         for k in v.keys:
@@ -148,9 +180,20 @@ def historical_features(
     ets_type = ent.schema[ets].dataType
     given = tuple(to_micros(spark, b, ets_type) for b in entity_bounds) if entity_bounds is not None else None
     groups: dict[tuple, list[AsOfSource]] = {}
+    unknown = set(snapshots or ()) - {v.name for v in views}
+    if unknown:
+        raise ValueError("snapshots of unknown views: " + ", ".join(sorted(unknown)))
+    if snapshots and given is None:
+        found = entity_time_range(ent, ets)
+        given = found if found[0] is not None else _NO_TIMES
     for v, feats in wanted:
-        names = [f"{v.name}__{f}" for f in feats] if full_feature_names else list(feats)
-        src_df = v.load(spark)
+        names = [out_name(v.name, f) for f in feats]
+        src_df, indexed = v.load(spark), None
+        if snapshots and v.name in snapshots:
+            from ..streaming.refresh import snapshot_and_changes
+
+            indexed = snapshot_and_changes(spark, v, snapshots[v.name], _first_in(given, ets_type, v, src_df))
+            src_df = src_df if indexed is None else indexed
         # the same keys in another order are one scan
         groups.setdefault(tuple(sorted(v.keys, key=str.lower)), []).append(
             AsOfSource(
@@ -164,8 +207,8 @@ def historical_features(
                 ties=v.ties,
                 tie_break=v.tie_break,
                 created_as_of=v.created_as_of,
-                partition_prune=_partition_prune(v),
-                reread=isinstance(v.source, Source) and v.source.query is None,
+                partition_prune=_partition_prune(v) if indexed is None else None,
+                reread=indexed is None and isinstance(v.source, Source) and v.source.query is None,
             )
         )
     ready = [_resolved(ent, ets, keys, sources)[1:] for keys, sources in groups.items()]
@@ -179,13 +222,26 @@ def historical_features(
     out = ent
     for (keys, sources), st in zip(ready, stats):
         out = asof_join(out, ets, keys, sources, stats=st)
-    order = [n for v, feats in wanted for n in ([f"{v.name}__{f}" for f in feats] if full_feature_names else feats)]
+    if plan:
+        out = computed(out, plan, out_name)
+        order = [out_name(*r.split(":", 1)) for r in dict.fromkeys(refs)]
+        twice = [n for n in order if order.count(n) > 1 or column_named(ent, n)]
+        if twice:
+            raise ValueError(f"output columns {sorted(set(twice))} collide; use full feature names (view prefix) or rename")
+    else:
+        order = [out_name(v.name, f) for v, feats in wanted for f in feats]
     out = out.select(*[F.col(quoted(c)) for c in [*ent.columns, *order]])
     if transforms:
         out = out.withColumns(dict(transforms))
     return out
 
 
+def _first_in(bounds, ets_type, view: FeatureView, df: DataFrame) -> Micros:
+    """The first entity time in the source's terms; a day earlier where its timestamp type is another one."""
+    own = df.schema[column_named(df, view.event_col)].dataType
+    return Micros(bounds[0] - (0 if own == ets_type else 86_400_000_000))
+
+
 def _partition_prune(view: FeatureView):
     """bounds -> filter on the source's date partition column covering [min - ttl, max], or None.
 

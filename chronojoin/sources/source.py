@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import datetime as _dt
 from dataclasses import dataclass, field
-from typing import Any, Mapping
+from typing import Any, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructType, TimestampType
 from pyspark.errors import AnalysisException
 
-from ..functions.timeutil import Micros, is_time_type
+from ..functions.timeutil import is_time_type
+from .partitions import PartitionLayout
 
 # File formats a path source may name.  Avro needs an extra
 # package; the name is accepted and Spark reports its own error if it is absent.
@@ -28,9 +28,10 @@ class Source:
 
     Exactly one of ``table`` / ``query`` / ``path`` is given; ``path`` needs
     ``file_format``.  ``rename`` maps source column names to the names the
-    view uses (applied on load).  ``partition_col`` names a date or timestamp
-    column the data is partitioned by; time-range reads add a filter on it
-    so Spark prunes partitions.  ``read_options`` / ``schema`` are handed to
+    view uses (applied on load).  ``partition_col`` names the column the data is
+    partitioned by (or several, outermost first), ``partition_format`` its form
+    where it is no date (see :class:`PartitionLayout`); time-range reads add a
+    filter on them so Spark prunes partitions.  ``read_options`` / ``schema`` are handed to
     the reader (CSV needs ``header`` and a schema or ``inferSchema`` to get
     typed columns).  A text or date time column (JSON, CSV) becomes a
     ``timestamp`` on load; text that is no time fails the job, or with
@@ -46,7 +47,8 @@ class Source:
     event_ts: str = "event_timestamp"
     created_ts: str | None = None
     rename: Mapping[str, str] | None = None
-    partition_col: str | None = None
+    partition_col: str | Sequence[str] | None = None
+    partition_format: str | Sequence[str] | None = None
     read_options: Mapping[str, Any] | None = field(default=None)
     schema: StructType | str | None = None
     bad_times: str = "fail"
@@ -71,6 +73,9 @@ class Source:
             raise ValueError("event_ts is required")
         if self.bad_times not in ("fail", "null"):
             raise ValueError("bad_times must be 'fail' or 'null'")
+        if self.partition_format and not self.partition_col:
+            raise ValueError("partition_format needs partition_col")
+        self.layout()
 
     # -- loading -----------------------------------------------------------
     def _raw(self, spark: SparkSession) -> DataFrame:
@@ -139,36 +144,14 @@ class Source:
         """Raise :class:`SourceNotFound` if the source cannot be resolved."""
         self.load(spark)
 
-    def partition_filter(self, start, end):
-        """Filter on ``partition_col`` covering [start, end], or None.
-
-        The column may be a date, a timestamp or a ``yyyy-MM-dd`` string;
-        the bounds are compared as dates, which keeps the filter literal so
-        Spark prunes directory partitions.  Partitions may be dated in any zone
-        and the session may have another, so both sides are a day wider; the
-        filter on the event time itself stays exact.
-        """
+    def layout(self) -> PartitionLayout | None:
+        """The folder columns that carry the date, and their formats."""
         if not self.partition_col:
             return None
-        c = F.to_date(F.col(self.partition_col))
-        day = _dt.timedelta(days=1)
-        cond = None
-        if start is not None:
-            cond = c >= F.lit(max(_as_date(start), _dt.date.min + day) - day)
-        if end is not None:
-            hi = c <= F.lit(min(_as_date(end), _dt.date.max - day) + day)
-            cond = hi if cond is None else cond & hi
-        return cond
-
-
-def _as_date(value) -> _dt.date:
-    if isinstance(value, Micros):
-        days = min(max(int(value) // 86_400_000_000, -719_162), 2_932_896)  # years 1 to 9999
-        return _dt.date(1970, 1, 1) + _dt.timedelta(days=days)
-    if isinstance(value, _dt.datetime):
-        if value.tzinfo is not None:
-            value = value.astimezone(_dt.timezone.utc)
-        return value.date()
-    if isinstance(value, _dt.date):
-        return value
-    return _dt.date.fromisoformat(str(value)[:10])
+        names, formats = (None if x is None else (x,) if isinstance(x, str) else tuple(x) for x in (self.partition_col, self.partition_format))
+        return PartitionLayout(names, formats)
+
+    def partition_filter(self, start, end):
+        """Filter on ``partition_col`` covering [start, end], or None (S16); see :class:`PartitionLayout`."""
+        layout = self.layout()
+        return None if layout is None else layout.range_filter(start, end)
