@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 
 from chronojoin.llm import bpe_words as W
 from chronojoin.llm import pfair_mix as P
@@ -46,54 +48,79 @@ def test_digests_and_odd_rows(spark, odd_docs, no_docs):
 
 
 def fluid_gap(order, weights, blocks):
-    """The largest distance of a source from its fluid share after any slot."""
-    left, got, fluid, worst = dict(blocks), dict.fromkeys(blocks, 0), dict.fromkeys(blocks, 0.0), 0.0
-    left = {s: float(b) for s, b in blocks.items()}
+    """The largest distance of a source from its fluid share after any slot, by the weights as given."""
+    names = list(blocks)
+    at = {s: k for k, s in enumerate(names)}
+    w = np.array([weights[s] for s in names], float)
+    left = np.array([blocks[s] for s in names], float)
+    fluid, got, worst = np.zeros(len(names)), np.zeros(len(names)), 0.0
     for s in order:
-        got[s] += 1
+        got[at[s]] += 1
         need = 1.0
-        while need > 1e-9:
-            live = [x for x in left if left[x] > 1e-9]
-            if not live:
-                break
-            total = sum(weights[x] for x in live)
-            step = min([need] + [left[x] * total / weights[x] for x in live])
-            for x in live:
-                fluid[x] += step * weights[x] / total
-                left[x] -= step * weights[x] / total
+        while need > 1e-9 and (live := left > 1e-9).any():
+            rate = np.where(live, w, 0) / w[live].sum()
+            step = min(need, (left[live] / rate[live]).min())
+            fluid += step * rate
+            left -= step * rate
             need -= step
-        worst = max(worst, max(abs(got[x] - fluid[x]) for x in blocks))
+        worst = max(worst, np.abs(got - fluid).max())
     return worst
 
 
-def test_unit_orders_deviate_by_less_than_a_block():
+def test_schedules_deviate_by_less_than_a_block():
     r = random.Random(2)
     for _ in range(60):
-        p = [r.randint(1, 40) for _ in range(r.randint(1, 9))]
-        q = [r.choice([w, r.randint(0, w)]) for w in p]
-        order = P.unit_order(p, q)
-        assert [order.count(s) for s in range(len(p))] == q
-        assert fluid_gap(order, dict(enumerate(p)), dict(enumerate(q))) < 1 + 1e-6
+        w = [r.choice([1.0, r.random(), 10 ** r.uniform(-4, 2)]) for _ in range(r.randint(1, 9))]
+        blocks = [r.randint(0, 60) for _ in w]
+        order = list(P.schedule(w, blocks))
+        assert [order.count(s) for s in range(len(w))] == blocks
+        live = {s: b for s, b in enumerate(blocks) if b}
+        assert not live or fluid_gap(order, dict(enumerate(w)), live) < 1 + 1e-6
+
+
+def test_a_large_target_among_two_thousand_sources():
+    """0.9 is served as 0.9 and 0.0001 as 0.0001, whatever the number of sources."""
+    weights = {"hot": 0.9, "rare": 0.0001} | {f"s{i}": 0.0999 / 1998 for i in range(1998)}
+    blocks = {"hot": 7200, "rare": 2} | {f"s{i}": 2 for i in range(1998)}
+    names = list(weights)
+    order = [names[k] for k in P.schedule([weights[x] for x in names], [blocks[x] for x in names])]
+    assert len(order) == sum(blocks.values())
+    assert abs(order[:5000].count("hot") - 4500) < 1
+    assert fluid_gap(order[:9000], weights, blocks) < 1 + 1e-6
 
 
 def test_mixture_follows_its_targets(spark):
     r = random.Random(3)
-    sizes = {"a": 700, "b": 90, "c": 333, "d": 5}
+    sizes = {"a": 700, "b": 90, "c": 333, "d": 5, None: 40}
     rows = [(i, s) for i, s in enumerate(x for s, n in sizes.items() for x in [s] * n)]
     r.shuffle(rows)
     docs = spark.createDataFrame(rows, "doc_id long, source string")
-    targets = {"a": 0.5, "b": 0.3, "c": 0.2}
-    got = P.mixed(docs, targets, block_rows=4, period=50).toPandas()
+    targets = {"a": 0.9, "b": 0.0999, "c": 0.0001, None: 0.07}
+    as_table = spark.createDataFrame(list(targets.items()), "s string, w double")
+    got = P.mixed(docs, targets, block_rows=4).toPandas()
+    again = P.mixed(docs, as_table, block_rows=4).toPandas()
+    assert sorted(map(repr, got.values.tolist())) == sorted(map(repr, again.values.tolist()))
     assert len(got) == len(rows) and got["mix_order"].nunique() == len(rows) and set(got["doc_id"]) == {i for i, _ in rows}
+    got["source"] = got["source"].where(got["source"].notna(), "")
     assert (got.groupby(["source", "mix_block"]).size() <= 4).all()
     slots = got.drop_duplicates(["source", "mix_block"]).sort_values("mix_slot")
     assert slots["mix_slot"].tolist() == list(range(len(slots)))
-    w = P.integer_weights({s: targets.get(s) for s in sizes}, 50)
-    assert fluid_gap(slots["source"].tolist(), w, {s: -(-n // 4) for s, n in sizes.items()}) < 1 + 1e-6
-    ordered = [x["doc_id"] for x in P.in_order(docs, targets=targets, block_rows=4, period=50).collect()]
+    order = slots["source"].tolist()
+    assert order[-2:] == ["d", "d"]  # without a target: after all others
+    blocks = {s or "": -(-n // 4) for s, n in sizes.items() if s != "d"}
+    assert fluid_gap(order[:-2], {s or "": w for s, w in targets.items()}, blocks) < 1 + 1e-6
+    ordered = [x["doc_id"] for x in P.in_order(docs, targets=targets, block_rows=4).collect()]
     assert ordered == got.sort_values("mix_order")["doc_id"].tolist()
 
 
+def test_two_thousand_sources_through_a_table(spark):
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), (F.col("id") % 2000).alias("source"))
+    got = P.mixed(docs, block_rows=1).toPandas()
+    assert sorted(got["mix_slot"]) == list(range(6000))
+    # equal weights: every source once in each third
+    assert all(got[got["mix_slot"] // 2000 == k]["source"].nunique() == 2000 for k in range(3))
+
+
 def test_mixture_odd_rows(spark, odd_docs, no_docs):
     got = P.mixed(odd_docs, block_rows=2)
     assert got.columns == [*odd_docs.columns, "mix_block", "mix_slot", "mix_order"]
