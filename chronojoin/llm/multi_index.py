@@ -11,7 +11,6 @@ entry, so the result is exact; on data without structure that is most cells.
 from __future__ import annotations
 
 import heapq
-import math
 
 import numpy as np
 import pandas as pd
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_sample, stored, table
-from .vectors import as_matrix, kmeans, meetings, square_distances, unit, usable
+from .vectors import as_matrix, cosine, kmeans, meetings, scaled, square_distances, unit, usable
 
 SAMPLE = 20_000
 SHARD = 4_096
@@ -75,11 +74,6 @@ class Cells:
         return a * a + b * b
 
 
-def cosine(a: np.ndarray, b: np.ndarray) -> float:
-    """Correctly rounded sums, so equal vectors give equal scores wherever they are compared."""
-    return math.fsum((a * b).tolist()) / (math.sqrt(math.fsum((a * a).tolist())) * math.sqrt(math.fsum((b * b).tolist())))
-
-
 _ROW = "id long, key long, cell int, size int, vec binary, names array<long>, cells array<int>"
 
 
@@ -193,7 +187,7 @@ def search(
                         "key": index.shard[cell],
                         "cell": cell,
                         "size": pdf["v"].map(len).to_numpy(),
-                        "vec": [np.asarray(v, "<f8").tobytes() for v in pdf["v"]],
+                        "vec": [scaled(np.asarray(v, "<f8")).tobytes() for v in pdf["v"]],
                         "names": pdf["names"],
                         "cells": None,
                     }
@@ -220,7 +214,7 @@ def search(
                                 more = index.bounds(a, b) <= 2.0 - 2.0 * s + 1e-9
                             more[visit] = False
                             visit = np.flatnonzero(more)
-                        raw = np.asarray(v, "<f8").tobytes()
+                        raw = scaled(np.asarray(v, "<f8")).tobytes()
                         for shard in np.unique(index.shard[visit]):
                             out.append((qid, int(shard), None, len(v), raw, None, visit[index.shard[visit] == shard].tolist()))
                 yield pd.DataFrame(out, columns=["id", "key", "cell", "size", "vec", "names", "cells"])

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded_sample, drop_stored, stored, table
 from .graph import connected_components
-from .vectors import as_matrix, kmeans, meetings, square_distances, unit, usable
+from .vectors import as_matrix, cosine, kmeans, meetings, scaled, square_distances, unit, usable
 
 SAMPLE = 20_000
 BLOCK = 2_048
@@ -83,8 +83,9 @@ def _links(quantiser: Quantiser, threshold: float):
         e, q = pdf[pdf["role"] == 0], pdf[pdf["role"] == 1]
         out = []
         if len(e) and len(q):
-            ex = np.frombuffer(b"".join(e["vec"]), "<f8").reshape(len(e), -1)
-            qx = np.frombuffer(b"".join(q["vec"]), "<f8").reshape(len(q), -1)
+            given_e = np.frombuffer(b"".join(e["vec"]), "<f8").reshape(len(e), -1)
+            given_q = np.frombuffer(b"".join(q["vec"]), "<f8").reshape(len(q), -1)
+            ex, qx = unit(given_e), unit(given_q)
             codes = np.frombuffer(b"".join(e["codes"]), np.uint8).reshape(len(e), -1)
             beyond = e["beyond"].to_numpy()
             eid, qid = e["id"].to_numpy(), q["id"].to_numpy()
@@ -105,7 +106,11 @@ def _links(quantiser: Quantiser, threshold: float):
                 keep = [np.zeros(0, bool)]
                 for c in range(0, len(i), 50_000):
                     s = slice(c, c + 50_000)
-                    keep.append(np.einsum("ij,ij->i", qx[a + i[s]], ex[j[s]]) >= threshold)
+                    near = np.einsum("ij,ij->i", qx[a + i[s]], ex[j[s]])
+                    keep.append(near >= threshold)
+                    # so close to the threshold the cosine of the vectors as given decides, not that of their rounded units
+                    for t in np.flatnonzero(np.abs(near - threshold) < 1e-12):
+                        keep[-1][t] = cosine(given_q[a + i[s][t]], given_e[j[s][t]]) >= threshold
                 keep = np.concatenate(keep)
                 i, j = i[keep] + a, j[keep]
                 if len(i):
@@ -153,7 +158,8 @@ def near_duplicates(
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
-    Rows are linked at a cosine of ``threshold`` or more (double precision);
+    Rows are linked at a cosine of ``threshold`` or more (double precision, on
+    the vectors as given, which may be very large or small);
     n_links counts the other rows linked directly, component_id is the smallest
     id reachable by links, kept says whether it is the row's own.  Vectors that
     are null, empty, zero or hold null or non-finite components, and vectors of
@@ -186,15 +192,15 @@ def near_duplicates(
 
     def coded(batches):
         for pdf in (whole.iloc[a : a + 1024] for whole in batches for a in range(0, len(whole), 1024)):
-            y = unit(as_matrix(pdf["v"], dim))
-            home, codes, beyond, probes = quantiser.encode(y)
+            given = scaled(as_matrix(pdf["v"], dim))
+            home, codes, beyond, probes = quantiser.encode(unit(given))
             at, to = np.nonzero(probes)
             cols = {
                 "id": pdf["id"].to_numpy(),
                 "home": home,
                 "n": pdf["n"].to_numpy(),
                 "size": pdf["v"].map(len).to_numpy(),
-                "vec": [r.tobytes() for r in y],
+                "vec": [r.tobytes() for r in given],
                 "codes": [r.tobytes() for r in codes],
                 "beyond": beyond,
             }

@@ -1,5 +1,7 @@
 """Embedding near-dedup, nearest neighbours and components against brute force."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +77,55 @@ def test_odd_vectors(spark):
     assert sorted((r["n_links"], r["component_id"]) for r in nulls) == [(2, 7)] * 3
 
 
+def plain_cosine(a, b):
+    return math.fsum(x * y for x, y in zip(a, b)) / (math.sqrt(math.fsum(x * x for x in a)) * math.sqrt(math.fsum(x * x for x in b)))
+
+
+def test_links_at_the_very_threshold(spark):
+    """(380, 41, ...) and (1, 0, ...): 380 / 400 is 0.95 in double precision, though not by their rounded units."""
+    a = [380, 41, 105, 14, 12, 36, 22, 27, 6, 3]
+    b = [1] + [0] * 9
+    below = [379.9999999999] + a[1:]
+    x = [a, b, [2.0**600 * v for v in a], [2.0**-600 * v for v in b], below]
+    got = {r["vec_id"]: r["n_links"] for r in P.near_duplicates(frame(spark, x)).collect()}
+    want = [sum(plain_cosine(u, v) >= 0.95 for j, v in enumerate(y) if j != i) for y in [[a, b, a, b, below]] for i, u in enumerate(y)]
+    assert plain_cosine(a, b) == 0.95 and plain_cosine(below, b) < 0.95
+    assert [got[i] for i in range(5)] == want
+
+
+def test_many_pairs_at_the_threshold(spark):
+    """Whole numbers whose cosine with an axis is 19 / 20 by exact arithmetic, at many scales."""
+    rng, x = np.random.default_rng(1), []
+    while len(x) < 120:
+        k = int(rng.integers(1, 60))
+        rest = 39 * k * k  # (20 k)^2 - (19 k)^2, as a sum of squares
+        parts = []
+        while rest and len(parts) < 11:
+            v = int(rng.integers(1, math.isqrt(rest) + 1)) if len(parts) < 6 else math.isqrt(rest)
+            parts.append(v)
+            rest -= v * v
+        if not rest:
+            x.append([0.0, 19.0 * k, *map(float, parts)] + [0.0] * (11 - len(parts)))
+    x = [[v * 2.0**e for v in r] for r, e in zip(x, rng.integers(-300, 300, len(x)).tolist())]
+    x.append([0.0, 3.0] + [0.0] * 11)
+    got = {r["vec_id"]: r["n_links"] for r in P.near_duplicates(frame(spark, x)).collect()}
+    u = [np.ldexp(np.array(r), -np.frexp(max(r))[1]) for r in x]
+    want = [sum(plain_cosine(a, b) >= 0.95 for j, b in enumerate(u) if j != i) for i, a in enumerate(u)]
+    assert [got[i] for i in range(len(x))] == want and want[-1] > 60
+
+
+def test_search_of_extreme_values(spark):
+    x = [[1e-200, 1e-200], [1e200, 1e200], [1.0, 2.0], [2e-308, 0.0], [5e-324, 5e-324], [1.7e308, -1.7e308]]
+    got = M.search(frame(spark, x), F.lit(True)).collect()
+    y = [np.ldexp(np.array(v), -np.frexp(max(map(abs, v)))[1]) for v in x]
+    want = []
+    for i, a in enumerate(y):
+        near = sorted((-plain_cosine(a, b), j) for j, b in enumerate(y) if j != i)
+        want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(near)]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == sorted(want)
+    assert abs(plain_cosine(y[1], y[2]) - 3 / math.sqrt(10)) < 1e-15
+
+
 def brute_nearest(x, ids, queries, k=5):
     out = []
     u = x / np.linalg.norm(x, axis=1)[:, None]
