@@ -83,10 +83,11 @@ class ByteTokenizer:
 
         return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode(self, text: str) -> tuple[np.ndarray, bool]:
+        """Ids, and whether they are known to give the text back: merging ranks only ever joins its bytes."""
         if self.fast is not None and not _FAR.search(text):
-            return np.array(self.fast.encode_ordinary(text), np.int64)
-        return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.int64)
+            return np.array(self.fast.encode_ordinary(text), np.int64), True
+        return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.int64), False
 
 
 class PieceTokenizer:
@@ -188,9 +189,12 @@ class Aligner:
         none = np.zeros(0, np.int64)
         if not text:
             return none, none
-        whole = (" " + text).encode()
-        a, b = self.a.encode(" " + text), self.b.encode(text)
-        if b"".join(self.token[0][a].tolist()) != whole or b"".join(self.token[1][b].tolist()) != whole:
+        whole = " " + text
+        b = self.b.encode(text)
+        if b"".join(self.token[1][b].tolist()) != whole.encode():
+            return none, none
+        a, exact = self.a.encode(whole)
+        if not exact and b"".join(self.token[0][a].tolist()) != whole.encode():
             return none, none
         return a, b
 
