@@ -26,8 +26,10 @@ shares and their running sums.  All arithmetic is in whole numbers.
 Scale.  Tasks count terms in a dictionary of bounded size before anything is
 shuffled, so a source or term that is in every document is one row for each
 dictionary.  Blocks are dealt by a hash of the term and hold about
-``BLOCK_POSTINGS`` postings; groups beyond ``CELLS`` accumulator cells are cut
-into row blocks, each of which sees the block's postings.
+``BLOCK_POSTINGS`` postings, or as many as there are pairs of groups if that is
+more, so that accumulators never outweigh postings; groups beyond ``CELLS``
+accumulator cells are cut into row blocks, each of which sees the block's
+postings.
 
 Results: null texts, languages and sources count as ''; an empty table gives an
 empty result; repeated rows and equal ids count as often as they occur; equal
@@ -51,7 +53,7 @@ UNIT = 1_000_000_000
 SMOOTH = 5
 MIN_DOCUMENTS = 30
 TOP_TERMS = 50
-BLOCK_POSTINGS = 500_000
+BLOCK_POSTINGS = 25_000
 CELLS = 4_000_000
 DICTIONARY = 500_000
 
@@ -148,8 +150,11 @@ def group_totals(
         F.count(F.lit(1)).over(lang).alias("groups"),
         F.sum("total").over(lang).alias("lang_total"),
         F.sum("firsts").over(lang).alias("terms"),
-        F.greatest(F.lit(1), F.ceil(F.sum("own").over(lang) / F.lit(block_postings))).cast("int").alias("blocks"),
+        F.sum("own").over(lang).alias("postings"),
     )
+    pairs = F.least(F.col("groups") * F.col("groups"), F.lit(cells))
+    blocks = F.ceil(F.col("postings") / F.greatest(F.lit(block_postings), pairs))
+    groups = groups.withColumn("blocks", F.greatest(F.lit(1), blocks).cast("int")).drop("postings")
     # rows of accumulators that fit: at least one group's
     height = F.greatest(F.lit(1), F.floor(F.lit(cells) / F.col("groups"))).cast("int")
     groups = groups.withColumn("height", height).withColumn("bands", F.ceil(F.col("groups") / F.col("height")).cast("int"))
