@@ -2,9 +2,13 @@
 
 P(grade <= k) = logistic(t_k - w.x): one weight vector for all grades, shared
 by the ordered thresholds t_0 < t_1 < ...  A text's features are the hashed
-words, and hashed word beginnings, that it contains; those that do not tell the
-grades apart get no weight, so scoring looks up few.  The output is the
-expected grade.
+words, and hashed word beginnings, that it contains.  How many labelled texts
+hold each feature is counted over all of them; every feature of enough texts
+whose odds differ at all between the grades gets a weight of either sign, held
+down by an L2 penalty relative to that difference.  No feature is cut for being
+rare, so a wide vocabulary of rare words counts as much as a few common ones.
+The fit is a limited-memory quasi-Newton search on a sample that is bounded in
+rows and in entries.  The output is the expected grade.
 """
 
 from __future__ import annotations
@@ -22,6 +26,9 @@ from .shingles import word_hashes
 BITS = 18
 PREFIX = 5
 SAMPLE = 4_000
+ENTRIES = 8_000_000
+SUPPORT = 3
+L2 = 1e-4
 CHUNK_CHARS = 1_000_000
 GRADES = 3
 MOST_GRADES = 100
@@ -67,121 +74,199 @@ class OrdinalModel:
         return np.diff(c, axis=1)
 
 
-def telling(doc: np.ndarray, col: np.ndarray, n_features: int, y: np.ndarray, ratio: float = 8.0, z: float = 4.0) -> np.ndarray:
-    """Mask of features whose odds in grades above 0 are ``ratio`` times those in grade 0, by ``z`` standard errors from 1."""
-    hot = y > 0
-    a = np.bincount(col[hot[doc]], minlength=n_features) + 0.5
-    b = np.bincount(col[~hot[doc]], minlength=n_features) + 0.5
-    na, nb = hot.sum() + 1.0, (~hot).sum() + 1.0
-    odds = np.log(a / (na - a + 0.5)) - np.log(b / (nb - b + 0.5))
-    error = np.sqrt(1 / a + 1 / (na - a + 0.5) + 1 / b + 1 / (nb - b + 0.5))
-    return (odds >= np.log(ratio)) & (odds >= z * error)
+def lowest(f, x: np.ndarray, rounds: int = 300, memory: int = 10, flat: float = 1e-6) -> np.ndarray:
+    """The minimum of a smooth convex function; ``f`` gives (value, gradient).  L-BFGS with a halving line search."""
+    value, g = f(x)
+    past: list = []
+    for _ in range(rounds):
+        d = -g
+        steps = []
+        for s, y, r in reversed(past):
+            a = r * (s @ d)
+            d = d - a * y
+            steps.append(a)
+        if past:
+            s, y, _ = past[-1]
+            d = d * ((s @ y) / (y @ y))
+        for (s, y, r), a in zip(past, reversed(steps)):
+            d = d + (a - r * (y @ d)) * s
+        slope = g @ d
+        if slope >= 0:
+            past, d, slope = [], -g, -(g @ g)
+        size = 1.0 if past else min(1.0, 1.0 / max(np.abs(g).sum(), 1e-12))
+        while size > 1e-12:
+            new_value, new_g = f(x + size * d)
+            if new_value <= value + 1e-4 * size * slope:
+                break
+            size *= 0.5
+        else:
+            break
+        s, y = size * d, new_g - g
+        if s @ y > 1e-12 * (y @ y):
+            past = [*past[-memory + 1 :], (s, y, 1.0 / (s @ y))]
+        x, done = x + s, np.abs(new_g).max() < flat
+        value, g = new_value, new_g
+        if done:
+            break
+    return x
+
+
+def loss(x: np.ndarray, doc: np.ndarray, col: np.ndarray, scale: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float):
+    """(penalised mean negative log likelihood, gradient) at ``x``: the weights over ``scale``, the first threshold, log steps to the next.
+
+    ``weight`` sums to one.
+    """
+    top, n_cols = int(y.max()), len(scale)
+    u, steps = x[:n_cols], np.exp(x[n_cols + 1 :])
+    w = scale * u
+    t = x[n_cols] + np.concatenate([[0.0], np.cumsum(steps)])
+    z = np.bincount(doc, weights=w[col], minlength=len(y))
+    upper = np.where(y < top, _logistic(t[np.minimum(y, top - 1)] - z), 1.0)
+    lower = np.where(y > 0, _logistic(t[np.maximum(y - 1, 0)] - z), 0.0)
+    p = np.maximum(upper - lower, 1e-300)
+    du, dl = weight * upper * (1 - upper) / p, weight * lower * (1 - lower) / p
+    gt = np.zeros(top)
+    np.add.at(gt, np.minimum(y, top - 1), np.where(y < top, -du, 0.0))
+    np.add.at(gt, np.maximum(y - 1, 0), np.where(y > 0, dl, 0.0))
+    gw = scale * np.bincount(col, weights=(du - dl)[doc], minlength=n_cols) + l2 * u
+    later = np.cumsum(gt[::-1])[::-1]
+    return -(weight @ np.log(p)) + 0.5 * l2 * (u @ u), np.concatenate([gw, [gt.sum()], later[1:] * steps])
+
+
+def signal(held: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """How far each feature's odds differ between grade 0 and the others, beyond one standard error, at least 0.
+
+    ``held``: features x 2, the texts of grade 0 and of the others that hold the
+    feature, counted over all marked texts; ``n`` the texts of either kind.  The
+    fit penalises a weight relative to it: words that show nothing cost much,
+    rare words that only one side has cost little.
+    """
+    a, b = held[:, 1] + 0.5, held[:, 0] + 0.5
+    odds = np.log(a / (n[1] + 1.0)) - np.log(b / (n[0] + 1.0))
+    return np.maximum(np.abs(odds) - np.sqrt(1.0 / a + 1.0 / b), 0.0)
 
 
 def fit(
-    doc: np.ndarray, feature: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-5, rounds: int = 600
+    doc: np.ndarray,
+    feature: np.ndarray,
+    y: np.ndarray,
+    weight: np.ndarray,
+    scale: np.ndarray | None = None,
+    l2: float = L2,
+    rounds: int = 120,
 ) -> OrdinalModel:
     """The model of documents 0 ... len(y) - 1 with sorted binary features and grades 0 ... K - 1 (K >= 2).
 
-    Features that do not tell grades apart get no weight.  ``weight`` is how
-    many documents each one stands for.  Thresholds stay in order by their
-    positive differences.
+    ``scale`` (default: one for all) is the size a feature's weight is penalised
+    by; at 0 it has no weight.  ``weight`` is how many documents each one stands for.
     """
-    n, top = len(y), int(y.max())
-    good = telling(doc, feature, 2 << BITS, y)
-    keep = good[feature]
-    doc, col = doc[keep], (np.cumsum(good) - 1)[feature[keep]]
-    names = np.flatnonzero(good)
-    w = np.zeros(len(names))
+    top = int(y.max())
+    scale = np.ones(2 << BITS) if scale is None else scale
+    names = np.unique(feature[scale[feature] > 0])
+    keep = scale[feature] > 0
+    doc, col = doc[keep], np.searchsorted(names, feature[keep])
     weight = weight / weight.sum()
-    t0, steps = 0.5, np.zeros(max(top - 1, 0))  # thresholds: t0, then + exp(step) each
-    m = {k: 0.0 for k in ("w", "t", "s")}
-    v = {k: 0.0 for k in ("w", "t", "s")}
-
-    def adam(name, g, r):
-        m[name] = 0.9 * m[name] + 0.1 * g
-        v[name] = 0.999 * v[name] + 0.001 * g * g
-        return 0.05 * (m[name] / (1 - 0.9**r)) / (np.sqrt(v[name] / (1 - 0.999**r)) + 1e-8)
-
-    for r in range(1, rounds + 1):
-        t = t0 + np.concatenate([[0.0], np.cumsum(np.exp(steps))])
-        z = np.bincount(doc, weights=w[col], minlength=n)
-        upper = np.where(y < top, _logistic(t[np.minimum(y, top - 1)] - z), 1.0)
-        lower = np.where(y > 0, _logistic(t[np.maximum(y - 1, 0)] - z), 0.0)
-        p = np.maximum(upper - lower, 1e-12)
-        du, dl = upper * (1 - upper) / p, lower * (1 - lower) / p
-        gt = np.zeros(len(t))
-        np.add.at(gt, np.minimum(y, top - 1), np.where(y < top, -weight * du, 0.0))
-        np.add.at(gt, np.maximum(y - 1, 0), np.where(y > 0, weight * dl, 0.0))
-        gw = np.bincount(col, weights=(weight * (du - dl))[doc], minlength=len(names)) + l2 * w
-        w -= adam("w", gw, r)
-        t0 -= float(adam("t", gt.sum(), r))
-        if len(steps):
-            steps -= adam("s", np.array([gt[k:].sum() for k in range(1, len(t))]) * np.exp(steps), r)
+    at = np.clip(np.cumsum([weight[y == k].sum() for k in range(top)]), 1e-6, 1 - 1e-6)
+    t = np.log(at / (1 - at))
+    start = np.concatenate([np.zeros(len(names)), t[:1], np.log(np.maximum(np.diff(t), 1e-3))])
+    x = lowest(lambda v: loss(v, doc, col, scale[names], y, weight, l2), start, rounds)
     out = np.zeros(2 << BITS)
-    out[names] = w
-    return OrdinalModel(out, t0 + np.concatenate([[0.0], np.cumsum(np.exp(steps))]))
+    out[names] = scale[names] * x[: len(names)]
+    return OrdinalModel(out, x[len(names)] + np.concatenate([[0.0], np.cumsum(np.exp(x[len(names) + 1 :]))]))
 
 
-def severity_grades(doc: np.ndarray, feature: np.ndarray, toxic: np.ndarray, grades: int) -> np.ndarray:
-    """Grades of documents that are only marked toxic or not: 0 for clean ones, 1 ... ``grades`` by breadth.
+def severity_grades(doc: np.ndarray, feature: np.ndarray, toxic: np.ndarray, two: OrdinalModel, grades: int) -> np.ndarray:
+    """Grades of documents that are only marked toxic or not: 0 for clean ones, 1 ... ``grades`` by evidence.
 
-    A toxic document's breadth is the number of its different ``telling``
-    words; quantiles of it cut the toxic documents into grades of about equal
-    size (ties stay together, so there may be fewer grades).
+    A toxic document's evidence is the sum of its words' positive weights in
+    the model ``two`` of both marks; quantiles of it cut the toxic documents into
+    grades of about equal size (ties stay together, so there may be fewer).
     """
     word = feature < (1 << BITS)
-    marked = telling(doc[word], feature[word], 1 << BITS, toxic.astype(int))
-    hit = word & marked[feature & ((1 << BITS) - 1)]
-    breadth = np.bincount(doc[hit], minlength=len(toxic))
+    gain = np.maximum(two.weights[feature[word]], 0.0)
+    evidence = np.bincount(doc[word], weights=gain, minlength=len(toxic)).round(6)
     y = np.zeros(len(toxic), int)
     if toxic.any():
-        cuts = np.quantile(breadth[toxic], np.arange(1, grades) / grades)
-        y[toxic] = 1 + np.searchsorted(cuts, breadth[toxic], side="left")
+        cuts = np.quantile(evidence[toxic], np.arange(1, grades) / grades)
+        y[toxic] = 1 + np.searchsorted(cuts, evidence[toxic], side="left")
     return np.unique(y, return_inverse=True)[1] if len(y) else y
 
 
-def learn(texts: DataFrame, marks: DataFrame, grades: int = GRADES, sample: int = SAMPLE) -> OrdinalModel | None:
-    """The model of ``texts`` (_id, text) marked by ``marks`` (_id, y); only features of the sample reach the driver.
+def feature_counts(texts: DataFrame) -> np.ndarray:
+    """features x 2: the texts with y = 0 and with another y that hold each feature, over every row of ``texts`` (text, y).
 
-    At most about ``2 sample`` marks of each y are chosen by a hash of the id,
-    so the side that is broadcast to the texts is bounded.  y of 0 and 1 are
-    turned into ``severity_grades``; with other values (at most ``MOST_GRADES``
-    different ones) y is the grade itself.  None without two different grades.
+    At most one row of sums a feature reaches the driver.
     """
 
     def counted(batches):
+        total = np.zeros((2, 2 << BITS), np.int64)
         for pdf in batches:
-            texts = pdf["text"].tolist()
-            for a, b in chunks_of_texts(texts, CHUNK_CHARS):
-                d, f = features(texts[a:b])
-                cut = np.searchsorted(d, np.arange(b - a + 1))
-                yield pd.DataFrame(
-                    {
-                        "y": pdf["y"].to_numpy()[a:b],
-                        "f": [f[i:j].astype(np.int32) for i, j in zip(cut, cut[1:])],
-                    }
-                )
+            rows, y = pdf["text"].tolist(), pdf["y"].to_numpy()
+            for a, b in chunks_of_texts(rows, CHUNK_CHARS):
+                d, f = features(rows[a:b])
+                for k in (0, 1):
+                    total[k] += np.bincount(f[(y[a:b][d] != 0) == k], minlength=2 << BITS)
+        some = np.flatnonzero(total.sum(0))
+        yield pd.DataFrame({"f": some, "n0": total[0, some], "n1": total[1, some]})
+
+    got = texts.select("text", "y").mapInPandas(counted, "f int, n0 long, n1 long")
+    got = got.groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).filter(F.col("n0") + F.col("n1") >= SUPPORT).toPandas()
+    out = np.zeros((2 << BITS, 2), np.int64)
+    out[got["f"].to_numpy()] = got[["n0", "n1"]].to_numpy()
+    return out
+
+
+def learn(
+    texts: DataFrame, marks: DataFrame, grades: int = GRADES, sample: int = SAMPLE, entries: int = ENTRIES
+) -> OrdinalModel | None:
+    """The model of ``texts`` (_id, text) marked by ``marks`` (_id, y).
+
+    Features are counted over all marked texts; one of at least ``SUPPORT`` of
+    them can get a weight (see :func:`signal`).  The fit takes at most about ``2 sample`` marks of each
+    y, chosen by a hash of the id, and fewer where their texts are so long that
+    they would hold more than ``entries`` such features; only these reach the
+    driver.  y of 0 and 1 are turned into ``severity_grades``; with other values
+    (at most ``MOST_GRADES`` different ones) y is the grade itself.  None without
+    two different grades.
+    """
 
     counts = marks.groupBy("y").agg(F.count(F.lit(1)).alias("n")).limit(MOST_GRADES + 1).collect()
     if len(counts) > MOST_GRADES:
         raise ValueError(f"more than {MOST_GRADES} grades")
     every = {r["y"]: r["n"] for r in counts}
-    taken = texts.join(F.broadcast(bounded_sample(marks, "y", sample, F.xxhash64("_id"))), "_id").select("text", "y")
-    got = stored(taken.mapInPandas(counted, "y int, f array<int>"), "toxicity-train").toPandas()
+    if len(every) < 2:
+        return None
+    # of an id's repeated marks any may join, so every pair of text and mark counts
+    held = feature_counts(texts.join(marks, "_id"))
+    n = np.array([sum(c for y, c in every.items() if (y != 0) == k) for k in (False, True)])
+    scale = np.where(held.sum(1) > 0, signal(held, n), 0.0)
+    good = scale > 0
+    k = min(sample, max(100, int(entries / len(every) / max(1.0, held[good].sum() / n.sum()))))
+
+    def kept(batches):
+        for pdf in batches:
+            rows = pdf["text"].tolist()
+            for a, b in chunks_of_texts(rows, CHUNK_CHARS):
+                d, f = features(rows[a:b])
+                d, f = d[good[f]], f[good[f]]
+                cut = np.searchsorted(d, np.arange(b - a + 1))
+                yield pd.DataFrame({"y": pdf["y"].to_numpy()[a:b], "f": [f[i:j].astype(np.int32) for i, j in zip(cut, cut[1:])]})
+
+    taken = texts.join(F.broadcast(bounded_sample(marks, "y", k, F.xxhash64("_id"))), "_id").select("text", "y")
+    got = stored(taken.mapInPandas(kept, "y int, f array<int>"), "toxicity-train").toPandas()
     if not len(got) or got["y"].nunique() < 2:
         return None
     y = got["y"].to_numpy()
     weight = got["y"].map(every).to_numpy() / got["y"].map(got["y"].value_counts()).to_numpy()
-    sizes = got["f"].map(len).to_numpy()
-    doc = np.repeat(np.arange(len(got), dtype=np.int32), sizes)
+    doc = np.repeat(np.arange(len(got), dtype=np.int32), got["f"].map(len).to_numpy())
     feature = np.concatenate(got["f"].tolist()).astype(np.int32)
     del got
     if set(np.unique(y)) <= {0, 1}:
-        y = severity_grades(doc, feature, y == 1, grades)
+        two = fit(doc, feature, y, weight, scale, rounds=60)
+        y = severity_grades(doc, feature, y == 1, two, grades)
     else:
         y = np.unique(y, return_inverse=True)[1]
-    return fit(doc, feature, y, weight)
+    return fit(doc, feature, y, weight, scale)
 
 
 def grade(

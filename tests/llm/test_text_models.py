@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from chronojoin.llm import cross_parsing as C
 from chronojoin.llm import ordinal_toxicity as T
@@ -122,3 +123,56 @@ def test_toxic_words_are_found(spark):
     assert len(held) > 50
     assert sum(got[i]["toxic"] == bool(t) for i, t in held) / len(held) > 0.97
     assert all(got[i]["expected_severity"] >= 0 for i, _ in marks)
+
+
+@pytest.mark.parametrize("words, per", [(60, 1), (100, 2), (200, 2)])
+def test_a_wide_vocabulary_of_rare_toxic_words(spark, words, per):
+    """Each toxic word is in one or two of a hundred toxic texts, and none is more telling than the rest."""
+    r = random.Random(words)
+    base, bad = [f"w{i}" for i in range(800)], [f"slur{i}x" for i in range(words)]
+    rows = []
+    for i in range(8000):
+        text = r.choices(base, k=30) + (r.choices(bad, k=per) if i % 2 else [])
+        r.shuffle(text)
+        rows.append((i, " ".join(text), i % 2))
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(x[0], x[2]) for x in rows], "doc_id long, toxic int")
+    held = [x for x in T.grade(docs, labels).collect() if x["held_out"]]
+    toxic = [x["toxic"] for x in held if x["doc_id"] % 2]
+    clean = [x["toxic"] for x in held if not x["doc_id"] % 2]
+    assert sum(toxic) / len(toxic) >= 0.95 and sum(clean) / len(clean) < 0.01
+
+
+def test_fit_equals_a_dense_optimum():
+    """Against plain gradient descent on the written-out likelihood, three grades."""
+    rng = np.random.default_rng(4)
+    n, k = 300, 6
+    x = (rng.random((n, k)) < 0.4).astype(float)
+    y = np.digitize(x @ np.array([2.0, -1.5, 1.0, 0.0, 0.5, -0.5]) + rng.logistic(size=n), [0.5, 2.0])
+    scale, l2, weight = np.array([1.0, 2.0, 0.5, 1.0, 1.5, 1.0]), 1e-2, rng.random(n) + 0.5
+    weight /= weight.sum()
+    full = np.zeros(2 << T.BITS)
+    full[:k] = scale
+    doc, col = np.nonzero(x)
+    m = T.fit(doc, col, y, weight, full, l2=l2, rounds=500)
+
+    def nll(u, t):
+        c = np.hstack([np.zeros((n, 1)), 1 / (1 + np.exp(-(t[None, :] - (x @ (scale * u))[:, None]))), np.ones((n, 1))])
+        return -(weight * np.log(np.diff(c, axis=1)[np.arange(n), y])).sum() + 0.5 * l2 * u @ u
+
+    v = np.concatenate([np.zeros(k), [0.0, 1.0]])
+    for step in range(6000):
+        g = np.array([(nll(*np.split(v + h, [k])) - nll(*np.split(v - h, [k]))) / 2e-5 for h in 1e-5 * np.eye(k + 2)])
+        v -= 0.5 * g
+        if np.abs(g).max() < 1e-7:
+            break
+    assert np.abs(m.weights[:k] - scale * v[:k]).max() < 1e-3 and np.abs(m.thresholds - v[k:]).max() < 1e-3
+
+
+def test_features_are_counted_over_all_marked_texts(spark):
+    rows = [("a b b", 0), ("a c", 1), ("a b", 2), ("a", 0), (None, 1), ("", 0)]
+    got = T.feature_counts(spark.createDataFrame(rows * 3, "text string, y int").repartition(4))
+    want = np.zeros_like(got)
+    for text, y in rows * 3:
+        want[T.features([text])[1], int(y != 0)] += 1
+    assert (got == want).all() and want.sum()
