@@ -3,7 +3,7 @@
 P(grade <= k) = logistic(t_k - w.x): one weight vector for all grades, shared
 by the ordered thresholds t_0 < t_1 < ...  A text's features are the hashed
 words, and hashed word beginnings, that it contains.  How many labelled texts
-hold each feature is counted over all of them; every feature of enough texts
+hold each feature is counted over a large bounded sample; every feature of enough texts
 whose odds differ at all between the grades gets a weight of either sign, held
 down by an L2 penalty relative to that difference.  No feature is cut for being
 rare, so a wide vocabulary of rare words counts as much as a few common ones.
@@ -25,6 +25,7 @@ from .shingles import word_hashes
 
 BITS = 18
 PREFIX = 5
+COUNTED = 40_000
 SAMPLE = 4_000
 ENTRIES = 8_000_000
 SUPPORT = 3
@@ -137,7 +138,7 @@ def signal(held: np.ndarray, n: np.ndarray) -> np.ndarray:
     """How far each feature's odds differ between grade 0 and the others, beyond one standard error, at least 0.
 
     ``held``: features x 2, the texts of grade 0 and of the others that hold the
-    feature, counted over all marked texts; ``n`` the texts of either kind.  The
+    feature, counted over marked texts; ``n`` the texts of either kind.  The
     fit penalises a weight relative to it: words that show nothing cost much,
     rare words that only one side has cost little.
     """
@@ -192,37 +193,40 @@ def severity_grades(doc: np.ndarray, feature: np.ndarray, toxic: np.ndarray, two
     return np.unique(y, return_inverse=True)[1] if len(y) else y
 
 
-def feature_counts(texts: DataFrame) -> np.ndarray:
-    """features x 2: the texts with y = 0 and with another y that hold each feature, over every row of ``texts`` (text, y).
+def feature_counts(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(features x 2, 2): the texts with y = 0 and with another y that hold each feature, and all of either, over ``texts`` (text, y).
 
     At most one row of sums a feature reaches the driver.
     """
 
     def counted(batches):
-        total = np.zeros((2, 2 << BITS), np.int64)
+        total, n = np.zeros((2, 2 << BITS), np.int64), np.zeros(2, np.int64)
         for pdf in batches:
             rows, y = pdf["text"].tolist(), pdf["y"].to_numpy()
+            n += np.bincount(y != 0, minlength=2)
             for a, b in chunks_of_texts(rows, CHUNK_CHARS):
                 d, f = features(rows[a:b])
                 for k in (0, 1):
                     total[k] += np.bincount(f[(y[a:b][d] != 0) == k], minlength=2 << BITS)
         some = np.flatnonzero(total.sum(0))
-        yield pd.DataFrame({"f": some, "n0": total[0, some], "n1": total[1, some]})
+        yield pd.DataFrame({"f": [-1, *some], "n0": [n[0], *total[0, some]], "n1": [n[1], *total[1, some]]})
 
     got = texts.select("text", "y").mapInPandas(counted, "f int, n0 long, n1 long")
-    got = got.groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).filter(F.col("n0") + F.col("n1") >= SUPPORT).toPandas()
-    out = np.zeros((2 << BITS, 2), np.int64)
-    out[got["f"].to_numpy()] = got[["n0", "n1"]].to_numpy()
-    return out
+    got = got.groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    got = got.filter((F.col("f") < 0) | (F.col("n0") + F.col("n1") >= SUPPORT)).toPandas()
+    out, n = np.zeros((2 << BITS, 2), np.int64), np.zeros(2, np.int64)
+    of_texts = got["f"].to_numpy() < 0
+    out[got["f"].to_numpy()[~of_texts]] = got[["n0", "n1"]].to_numpy()[~of_texts]
+    return out, n + got[["n0", "n1"]].to_numpy()[of_texts].sum(0)
 
 
 def learn(
-    texts: DataFrame, marks: DataFrame, grades: int = GRADES, sample: int = SAMPLE, entries: int = ENTRIES
+    texts: DataFrame, marks: DataFrame, grades: int = GRADES, sample: int = SAMPLE, entries: int = ENTRIES, counted: int = COUNTED
 ) -> OrdinalModel | None:
     """The model of ``texts`` (_id, text) marked by ``marks`` (_id, y).
 
-    Features are counted over all marked texts; one of at least ``SUPPORT`` of
-    them can get a weight (see :func:`signal`).  The fit takes at most about ``2 sample`` marks of each
+    Features are counted over the texts of at most about ``2 counted`` marks of
+    each y; one of at least ``SUPPORT`` of them can get a weight (see :func:`signal`).  The fit takes at most about ``2 sample`` marks of each
     y, chosen by a hash of the id, and fewer where their texts are so long that
     they would hold more than ``entries`` such features; only these reach the
     driver.  y of 0 and 1 are turned into ``severity_grades``; with other values
@@ -236,12 +240,11 @@ def learn(
     every = {r["y"]: r["n"] for r in counts}
     if len(every) < 2:
         return None
-    # of an id's repeated marks any may join, so every pair of text and mark counts
-    held = feature_counts(texts.join(marks, "_id"))
-    n = np.array([sum(c for y, c in every.items() if (y != 0) == k) for k in (False, True)])
+    # ids and marks of a bounded sample meet the texts where these are, so no text is shuffled
+    held, n = feature_counts(texts.join(F.broadcast(bounded_sample(marks, "y", counted, F.xxhash64("_id"))), "_id"))
     scale = np.where(held.sum(1) > 0, signal(held, n), 0.0)
     good = scale > 0
-    k = min(sample, max(100, int(entries / len(every) / max(1.0, held[good].sum() / n.sum()))))
+    k = min(sample, max(100, int(entries / len(every) / max(1.0, held[good].sum() / max(1, n.sum())))))
 
     def kept(batches):
         for pdf in batches:
