@@ -37,10 +37,19 @@ one bucket.  Entity rows with a NULL key or time match nothing and are dealt
 into buckets of their own by a hash.
 
 Source reduction.  Where the entity has few distinct keys (their list is below
-the session's broadcast threshold by a counted size) source rows of other keys
-are dropped by a broadcast semi join before the shuffle.  Of a table or file
-source without TTL only one row per key is kept from before the first entity
-time, by a partial top-1.
+the session's broadcast threshold by a measured size) source rows of other keys
+are dropped by a broadcast semi join before the shuffle.  With more keys, and a
+source that has over twice as many, a bitmap of hashed keys below the same
+threshold keeps out most rows that no entity row asks for (:func:`_key_bitmap`).
+Of a source that is cheap to read in parts, without TTL, only one row per key is
+kept from before the first entity time, by a partial top-1.
+
+Derived sources.  A source made by a join, an aggregation or the like is
+computed once where the session names a shared folder (``spark.checkpoint.dir``):
+its rows in range, in the columns the scan needs, are written there and read
+back by the look ahead and by every scan.  How many rows and keys it has is
+gathered while it is written, and where a scan cannot have a key with more than
+``hot_key_rows`` rows nothing else is looked at.
 
 Created-time rules:
 
@@ -74,12 +83,13 @@ import logging
 from dataclasses import dataclass, field, replace
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timeutil import Micros, epoch_micros, is_time_type, seconds_interval, time_literal, to_micros
 from ..functions.types import is_orderable
+from ..sinks.save import shared_dir, shared_folder, written
 from ..sources.entity import column_named, entity_time_range, quoted
 
 # Internal column names; entity tables may not use the prefix.
@@ -117,8 +127,8 @@ class AsOfSource:
     tie_break: Sequence[str] | None = None
     created_as_of: bool = False  # rows count from their created time on only
     key_map: dict | None = field(default=None)  # entity key -> source column
-    # a table or files, cheap to read in two parts: old history is then reduced before the shuffle
-    reread: bool = False
+    # cheap to read more than once (tables or files, projected and filtered); None: found out from its plan
+    reread: bool | None = None
     # bounds -> extra literal filter (e.g. on a date partition column), or None
     partition_prune: object | None = None
 
@@ -300,11 +310,95 @@ def _source_rows(s: AsOfSource, i: int, keys, types, ets_type, bounds, few_keys=
         F.lit(0).alias(_SIDE),
         F.struct(*payload).alias(f"{_P}f{i}"),
     )
-    if few_keys is not None:
-        rows = rows.join(F.broadcast(few_keys), list(keys), "left_semi")  # a counted size, see scan_stats
+    if isinstance(few_keys, _Bitmap):
+        rows = few_keys.may_have(rows, keys)
+    elif few_keys is not None:
+        rows = rows.join(F.broadcast(few_keys), list(keys), "left_semi")  # a measured size, see scan_stats
     return rows
 
 
+# plan nodes that read no row twice and move none: a plan of these alone is as cheap to run again as its scan
+_CHEAP = {"Project", "Filter", "SubqueryAlias", "View", "LogicalRelation", "Relation", "LocalRelation", "LogicalRDD",
+          "Union", "HiveTableRelation", "DataSourceV2Relation", "DataSourceV2ScanRelation", "Range", "ResolvedHint"}
+
+
+def cheap_to_reread(df: DataFrame) -> bool:
+    """Whether the plan of ``df`` is projections and filters over scans, also behind a view's name."""
+    todo = [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().split(" ")[0] not in _CHEAP:
+            return False
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return True
+
+
+def _rereadable(s: AsOfSource) -> bool:
+    return cheap_to_reread(s.df) if s.reread is None else s.reread
+
+
+def _store_once(s: AsOfSource, keys, types, ets_type, bounds, few) -> tuple[AsOfSource, int, int]:
+    """A derived source computed once: (the source read from the shared folder, its rows, about its distinct keys)."""
+    _, cond = _in_range(s, ets_type, bounds)
+    for k in keys:
+        cond = cond & _c(s.key_map[k]).isNotNull()
+    wanted = [*s.key_map.values(), s.event_ts, *([s.created_ts] if s.created_ts else []), *s.features, *(s.tie_break or [])]
+    rows = s.df.filter(cond).select(*[_c(c) for c in dict.fromkeys(wanted)])
+    if few is not None:
+        own = few.select(*[_c(k).alias(f"{_P}k{n}") for n, k in enumerate(keys)])
+        on = [_c(s.key_map[k]).cast(types[k]) == F.col(f"{_P}k{n}") for n, k in enumerate(keys)]
+        rows = rows.join(F.broadcast(own), on, "left_semi")
+    seen = Observation("derived source")
+    kept, counts = written(
+        rows, "source", seen, F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(_source_hash(s, keys, types), 0.05).alias("keys")
+    )
+    return replace(s, df=kept, reread=True, partition_prune=None), counts["rows"], counts["keys"]
+
+
+def _source_hash(s: AsOfSource, keys, types) -> Column:
+    return F.xxhash64(*[_c(s.key_map[k]).cast(types[k]) for k in keys]) if keys else F.lit(0).cast("long")
+
+
+@dataclass(frozen=True)
+class _Bitmap:
+    """Hashed keys as a table of ``_WORDS`` longs a row: a row for each stretch of slots that holds a key."""
+
+    table: DataFrame
+    slots: int
+
+    def may_have(self, rows: DataFrame, keys) -> DataFrame:
+        """``rows`` without those whose keys are surely not in the bitmap."""
+        slot = F.pmod(_key_hash(keys), F.lit(self.slots))
+        bit = _one_bit(slot)
+        word = F.pmod(F.shiftright(slot, 6), F.lit(_WORDS)).cast("int")
+        hit = F.get(F.col(_P + "words"), word).bitwiseAND(bit) != 0
+        on = rows.withColumn(_P + "row", F.shiftright(slot, _ROW_BITS))
+        # at most slots / 8 bytes, checked against the broadcast threshold by scan_stats
+        return on.join(F.broadcast(self.table), _P + "row").filter(hit).drop(_P + "row", _P + "words")
+
+
+_WORDS = 512
+_ROW_BITS = 15  # log2(64 * _WORDS)
+_SLOTS_PER_KEY = 8
+
+
+def _one_bit(slot: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(64)).cast("int"))
+
+
+def _key_bitmap(entity: DataFrame, keys, types, slots: int) -> _Bitmap:
+    """The entity's keys in ``slots`` hash slots (a power of two), by JVM aggregates; eight slots a key let one in eight others pass."""
+    key = [_c(k).cast(types[k]).alias(k) for k in keys]
+    slot = F.pmod(_key_hash(keys), F.lit(slots))
+    some = entity.select(*key).filter(" and ".join(f"{quoted(k)} is not null" for k in keys)).select(slot.alias("s"))
+    words = some.groupBy(F.shiftright("s", _ROW_BITS).alias(_P + "row"), F.pmod(F.shiftright("s", 6), F.lit(_WORDS)).cast("int").alias("w")).agg(
+        F.bit_or(_one_bit(F.col("s"))).alias("b")
+    )
+    rows = words.groupBy(_P + "row").agg(F.map_from_entries(F.collect_list(F.struct("w", "b"))).alias("m"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(_WORDS - 1)), lambda w: F.coalesce(F.col("m")[w], F.lit(0).cast("long")))
+    return _Bitmap(rows.select(_P + "row", dense.alias(_P + "words")), slots)
+
+
 def _without_old_history(rows: DataFrame, s: AsOfSource, i: int, keys, ets_type, bounds) -> DataFrame:
     """Scan rows of a view without TTL, with one row per key before the first entity time.
 
@@ -312,7 +406,7 @@ def _without_old_history(rows: DataFrame, s: AsOfSource, i: int, keys, ets_type,
     key before its shuffle.  With ``independent_max`` the row created last stays
     as well, for the greatest created time.
     """
-    if not (s.reread and keys and s.ttl_seconds == 0 and bounds[0] is not None):
+    if not (_rereadable(s) and keys and s.ttl_seconds == 0 and bounds[0] is not None):
         return rows
     first = time_literal(bounds[0], ets_type)
     old = rows.filter(F.col(_T) < first)
@@ -448,7 +542,9 @@ class ScanStats:
 
     bounds: tuple  # entity time range
     hot: list  # for each scan: table (hash, edges, coarse edges) of keys to split, or None
-    few_keys: list  # for each scan: small table of the entity's distinct keys, or None
+    few_keys: list  # for each scan: small table of the entity's distinct keys, or a bitmap of them, or None
+    sources: list  # for each scan: its sources, derived ones read back from the shared folder
+    rows: int  # entity rows
 
 
 _FEW_ROWS = 1_000
@@ -457,24 +553,26 @@ _FEW_ROWS = 1_000
 def _kept(df: DataFrame) -> DataFrame:
     """``df`` computed once: sampled estimates must not change when a lost executor makes Spark read them again.
 
-    A few rows pass through the driver, more are checkpointed (without a
-    checkpoint folder they pass through the driver too: at most rows /
-    hot_key_rows keys).
+    A few rows pass through the driver, more are checkpointed; a session that
+    names no shared folder is told to.
     """
     spark = df.sparkSession
     rows = df.limit(_FEW_ROWS + 1).collect()
     if len(rows) > _FEW_ROWS:
-        if spark.sparkContext.getCheckpointDir():
-            return df.checkpoint()
-        rows = df.collect()
+        shared_dir(spark)  # raises where there is none
+        return written(df, "hot-keys")[0]
     return spark.createDataFrame(rows, df.schema)
 
 
-def _hot_keys(entity, entity_ts, groups, types, hot_key_rows: int | None, bounds) -> list:
-    """The table of keys to split of each scan (None: no such key)."""
+def _hot_keys(entity, entity_ts, groups, types, hot_key_rows: int | None, bounds, most: list) -> list:
+    """The table of keys to split of each scan (None: no such key); ``most``: rows of each scan where known, else None."""
     spark = entity.sparkSession
     ets_type = entity.schema[entity_ts].dataType
-    wanted = [g for g, (keys, _) in enumerate(groups) if hot_key_rows is not None or not keys]
+    wanted = [
+        g
+        for g, (keys, _) in enumerate(groups)
+        if not keys or (hot_key_rows is not None and (most[g] is None or most[g] > hot_key_rows))
+    ]
     if not wanted:
         return [None] * len(groups)
     rows = float(hot_key_rows or DEFAULT_HOT_KEY_ROWS)
@@ -533,21 +631,26 @@ def _bucket_of(us: Column) -> Column:
 def scan_stats(
     spark, entity: DataFrame, entity_ts: str, groups, hot_key_rows: int | None, bounds=None, prune: bool = True
 ) -> ScanStats:
-    """Entity time range, hot keys and small key lists of every scan.
+    """Entity time range, hot keys, key lists and sources of every scan.
 
-    ``groups``: ``[(keys, sources), ...]``, one per scan (key set).  Two jobs:
+    ``groups``: ``[(keys, sources), ...]``, one per scan (key set).
 
-    1. A plain aggregate over the entity: time range and the approximate number
-       of distinct keys per key set.  Given ``bounds`` are checked against the
-       range: a bound that is too narrow would lose matches and raises.
-    2. A sampled count and time quantiles per key, see the module's doc.  They
-       decide how finely a key is split, never what the join returns.
+    1. A plain aggregate over the entity: rows, time range, the approximate
+       number of distinct keys per key set and their measured size.  Given
+       ``bounds`` are checked against the range: a bound that is too narrow would
+       lose matches and raises.
+    2. Derived sources are computed once, see the module's doc.
+    3. A sampled count and time quantiles per key, for scans that can have a hot
+       one.  They decide how finely a key is split, never what the join returns.
     """
     ets_type = entity.schema[entity_ts].dataType
     types = [_check(entity, entity_ts, keys, sources) for keys, sources in groups]
     us = epoch_micros(_c(entity_ts), ets_type)
-    aggs = [F.min(us).alias("lo"), F.max(us).alias("hi")]
-    aggs += [F.approx_count_distinct(_key_hash(keys), 0.05).alias(f"k{g}") for g, (keys, _) in enumerate(groups) if keys]
+    aggs = [F.count(F.lit(1)).alias("n"), F.min(us).alias("lo"), F.max(us).alias("hi")]
+    for g, (keys, _) in enumerate(groups):
+        if keys:
+            aggs.append(F.approx_count_distinct(_key_hash(keys), 0.05).alias(f"k{g}"))
+            aggs.append(F.avg(_key_bytes(types[g])).alias(f"b{g}"))
     row = entity.agg(*aggs).first()
     lo, hi = (None if row[c] is None else Micros(row[c]) for c in ("lo", "hi"))
     if bounds is not None and lo is not None and (lo < bounds[0] or hi > bounds[1]):
@@ -555,12 +658,10 @@ def scan_stats(
     if bounds is None:
         bounds = ((lo, hi) if lo is not None else _NO_TIMES) if prune else (None, None)
     log.info("entity time range %s .. %s (us)", *bounds)
-    hot = _hot_keys(entity, entity_ts, groups, types, hot_key_rows, bounds)
     limit = _broadcast_bytes(spark)
-    few = []
+    few, ready, most = [], [], []
     for g, (keys, sources) in enumerate(groups):
-        width = sum(t.typeName() in ("string", "binary") and 64 or 16 for t in types[g].values()) + 16
-        small = keys and row[f"k{g}"] * 1.2 * width <= limit
+        small = keys and row[f"k{g}"] * 1.2 * ((row[f"b{g}"] or 0) + 32) <= limit
         few.append(
             entity.select(*[_c(k).cast(types[g][k]).alias(k) for k in keys])
             .filter(" and ".join(f"{quoted(k)} is not null" for k in keys))
@@ -568,8 +669,45 @@ def scan_stats(
             if small
             else None
         )
+        known, out, own_keys = row["n"], [], []
+        for s in sources:
+            if _rereadable(s) or not shared_folder(spark):
+                out.append(s)
+                known = None
+            else:
+                s, n, k = _store_once(s, keys, types[g], ets_type, bounds, few[g])
+                out.append(s)
+                own_keys.append(k)
+                known = None if known is None else known + n
+        if keys and not small:
+            few[g] = _bitmap_if_worth(spark, entity, keys, types[g], row[f"k{g}"], out, own_keys, ets_type, bounds, limit)
+        ready.append(out)
+        most.append(known)
+    hot = _hot_keys(entity, entity_ts, [(keys, out) for (keys, _), out in zip(groups, ready)], types, hot_key_rows, bounds, most)
     log.info("as-of scans: %d with keys split by time", sum(h is not None for h in hot))
-    return ScanStats(bounds, hot, few)
+    return ScanStats(bounds, hot, few, ready, row["n"])
+
+
+def _key_bytes(types: dict) -> Column:
+    """Bytes of a row's keys: text and binary as long as they are, others as a row stores them."""
+    out = F.lit(0)
+    for k, t in types.items():
+        out = out + (F.coalesce(F.octet_length(_c(k)), F.lit(0)) if t.typeName() in ("string", "binary") else F.lit(16))
+    return out
+
+
+def _bitmap_if_worth(spark, entity, keys, types, n_keys: int, sources, own_keys: list, ets_type, bounds, limit: int) -> _Bitmap | None:
+    """A bitmap of the entity's keys, where it stays below ``limit`` bytes and some source has over twice as many keys."""
+    slots = 1 << max(_ROW_BITS, int(n_keys * _SLOTS_PER_KEY).bit_length())
+    if slots // 8 > limit:
+        return None
+    if len(own_keys) < len(sources):  # sources that were not counted while they were written: their keys alone are read
+        counts = []
+        for s in sources:
+            _, cond = _in_range(s, ets_type, bounds)
+            counts.append(s.df.filter(cond).agg(F.approx_count_distinct(_source_hash(s, keys, types), 0.05)).first()[0])
+        own_keys = counts
+    return _key_bitmap(entity, keys, types, slots) if max(own_keys) > 2 * n_keys else None
 
 
 def _broadcast_bytes(spark) -> int:
@@ -613,7 +751,7 @@ def asof_join(
         bounds, hot, few = stats
     elif hot_key_rows is not None or not keys:
         found = scan_stats(spark, entity, entity_ts, [(keys, sources)], hot_key_rows, bounds, prune)
-        bounds, hot, few = found.bounds, found.hot[0], found.few_keys[0]
+        bounds, hot, few, sources = found.bounds, found.hot[0], found.few_keys[0], found.sources[0]
     else:
         hot = few = None
         if bounds is None:

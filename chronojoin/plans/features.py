@@ -208,7 +208,6 @@ def historical_features(
                 tie_break=v.tie_break,
                 created_as_of=v.created_as_of,
                 partition_prune=_partition_prune(v) if indexed is None else None,
-                reread=indexed is None and isinstance(v.source, Source) and v.source.query is None,
             )
         )
     ready = [_resolved(ent, ets, keys, sources)[1:] for keys, sources in groups.items()]
@@ -216,6 +215,7 @@ def historical_features(
     if hot_key_rows is not None or any(not keys for keys, _ in ready):
         look = scan_stats(spark, ent, ets, ready, hot_key_rows, given)
         stats = [(look.bounds, h, few) for h, few in zip(look.hot, look.few_keys)]
+        ready = [(keys, sources) for (keys, _), sources in zip(ready, look.sources)]
     else:
         bounds = given or entity_time_range(ent, ets)
         stats = [(bounds if bounds[1] is not None else _NO_TIMES, None, None)] * len(ready)
