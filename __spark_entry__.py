@@ -224,6 +224,13 @@ def q_pit_multi_view(spark, d, **kw):
     )
 
 
+def q_pit_multi_view_wide(spark, d):
+    # all columns of lineitem as the entity: wide rows meet the results of both key sets once
+    supp, ps = _views(spark, d)
+    ent = _t(spark, d, "lineitem").withColumn("event_timestamp", F.col("l_shipdate") - dt.timedelta(days=1))
+    return historical_features(spark, ent, [supp, ps], full_feature_names=True, entity_ts="event_timestamp")
+
+
 def q_historical_sql_entity(spark, d):
     _t(spark, d, "events").createOrReplaceTempView("cj_events")
     view = FeatureView("v_view", ["user_id"], ["event_type", "value"], v_view(spark, d), ttl_seconds=DAY,
@@ -517,6 +524,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pit_cust_180d": q_pit_cust_180d,
         "pit_ties_all": q_pit_ties_all,
         "pit_multi_view": q_pit_multi_view,
+        "pit_multi_view_wide": q_pit_multi_view_wide,
         "historical_sql_entity": q_historical_sql_entity,
         "refresh_latest_two_steps": q_refresh_latest_two_steps,
         "materialize_two_steps": q_materialize_two_steps,
@@ -743,6 +751,7 @@ def oracle_sql() -> dict[str, str]:
               ["l_partkey"], ["l_orderkey", "l_linenumber", "l_quantity"], 0, False, True, None)],
         ),
         "pit_multi_view": multi,
+        "pit_multi_view_wide": multi.replace(_E_PREV, "SELECT *, l_shipdate - INTERVAL 1 DAY AS event_timestamp FROM lineitem"),
         "historical_sql_entity": pit_buy_1d,
         "refresh_latest_two_steps": _LATEST_EVENTS,
         "latest_from_path_source": _LATEST_EVENTS.replace("ts FROM (", "ts AS event_timestamp FROM (", 1),

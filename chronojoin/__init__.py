@@ -3,7 +3,7 @@
 from .functions import TypeContractError, feature_type, feature_types, time_columns
 from .operators import AsOfSource, asof_join, latest_by_key, point_in_time_join, rows_in_range
 from .plans import FeatureView, OnDemandView, RetrievalJob, OfflineStore, historical_features, resolve_refs
-from .sinks import save_dataset, shared_dir
+from .sinks import drop_written, save_dataset, shared_dir
 from .sources import InvalidEntity, Source, SourceNotFound, as_dataframe, entity_time_range
 from .streaming import materialize_incremental, merge_latest, refresh_latest
 
@@ -19,6 +19,7 @@ __all__ = [
     "TypeContractError",
     "as_dataframe",
     "asof_join",
+    "drop_written",
     "entity_time_range",
     "feature_type",
     "feature_types",

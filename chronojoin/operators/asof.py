@@ -59,9 +59,11 @@ Created-time rules:
   greatest event time and the greatest created time of the candidates
   independently and keeps a value only if one row has both.  Rows with a
   NULL created time never match.  With a TTL the greatest created time
-  over ``[t - ttl, t]`` comes from a separate streaming scan over tumbling
-  ``ttl``-wide buckets (see :func:`_range_created_max`), joined back on
-  (keys, t).
+  over ``[t - ttl, t]`` comes from running maxima over tumbling ``ttl``-wide
+  stretches, read by the entity row and by a probe at ``t - ttl``: within the
+  scan's own partitions, without a further shuffle or join.  Where keys are
+  split by time a row and its probe may lie apart; then it is a scan of its own
+  (see :func:`_range_created_max`), joined back on (keys, t).
 
 ``created_as_of`` (two times): a source row counts only from when it was known,
 so a correction that was created after the entity time does not answer it.
@@ -515,6 +517,50 @@ def _range_created_max(entity, entity_ts, keys, types, s, i, ets_type, bounds, h
     )
 
 
+_T0 = _P + "t0"
+
+
+def _with_probes(u0: DataFrame, keys, sources, fused, ets_type) -> DataFrame:
+    """Scan rows with a probe at ``t - ttl`` for each entity row that can match and each view of ``fused``.
+
+    ``_t0`` is the entity time a row asks for, ``_w<i>`` the stretch of width ttl it lies in.
+    """
+    asks = (F.col(_SIDE) == 1) & F.col(_T).isNotNull()
+    for k in keys:
+        asks = asks & _c(k).isNotNull()
+    u = u0.withColumn(_T0, F.when(F.col(_SIDE) == 1, F.col(_T)))
+    entities = u0.filter(asks).select(*[_c(k) for k in keys], _B, F.col(_T).alias(_T0))
+    for i in fused:
+        back = entities.withColumn(_T, F.col(_T0) - seconds_interval(sources[i].ttl_seconds)).withColumn(_SIDE, F.lit(2 + i))
+        u = u.unionByName(back, allowMissingColumns=True)
+    us = epoch_micros(F.col(_T), ets_type)
+    return u.withColumns({f"{_P}w{i}": _floor_div(us, sources[i].ttl_seconds * 1_000_000) for i in fused})
+
+
+def _window_maxima(sources, fused, part) -> list:
+    """For each view of ``fused``: the greatest created time of its stretch up to an entity row, or from a probe on.
+
+    ``[t - ttl, t]`` is the part of stretch(t) up to ``t`` plus the part of the
+    stretch before it from ``t - ttl`` on, see :func:`_range_created_max`.
+    """
+    out = [F.col(_T0)] if fused else []
+    for i in fused:
+        cell = Window.partitionBy(*[_c(c) for c in part], F.col(f"{_P}w{i}"))
+        c = F.col(f"{_P}f{i}")[_F_C]
+        up, down = (cell.orderBy(o).rangeBetween(Window.unboundedPreceding, Window.currentRow) for o in (F.col(_T).asc_nulls_first(), F.col(_T).desc()))
+        out.append(F.when(F.col(_SIDE) == 1, F.max(c).over(up)).when(F.col(_SIDE) == 2 + i, F.max(c).over(down)).alias(f"{_P}h{i}"))
+    return out
+
+
+def _maxima_at_entities(scanned: DataFrame, fused, part) -> DataFrame:
+    """``_m<i>`` on entity rows: the greater of their own half and their probe's, which share keys and entity time."""
+    if not fused:
+        return scanned
+    one = Window.partitionBy(*[_c(c) for c in part], F.col(_T0))
+    asked = scanned.filter(F.col(_SIDE) >= 1)
+    return asked.withColumns({f"{_P}m{i}": F.max(f"{_P}h{i}").over(one) for i in fused})
+
+
 def _greatest_payload(f: Column, order: Column | None) -> Column:
     """Aggregate picking the payload with the greatest (event time, order key)."""
     if order is None:
@@ -545,6 +591,7 @@ class ScanStats:
     few_keys: list  # for each scan: small table of the entity's distinct keys, or a bitmap of them, or None
     sources: list  # for each scan: its sources, derived ones read back from the shared folder
     rows: int  # entity rows
+    distinct: list  # for each scan: about how many different (keys, time) the entity has
 
 
 _FEW_ROWS = 1_000
@@ -648,6 +695,8 @@ def scan_stats(
     us = epoch_micros(_c(entity_ts), ets_type)
     aggs = [F.count(F.lit(1)).alias("n"), F.min(us).alias("lo"), F.max(us).alias("hi")]
     for g, (keys, _) in enumerate(groups):
+        if len(groups) > 1:
+            aggs.append(F.approx_count_distinct(F.xxhash64(*[_c(k) for k in keys], _c(entity_ts)), 0.05).alias(f"d{g}"))
         if keys:
             aggs.append(F.approx_count_distinct(_key_hash(keys), 0.05).alias(f"k{g}"))
             aggs.append(F.avg(_key_bytes(types[g])).alias(f"b{g}"))
@@ -685,7 +734,8 @@ def scan_stats(
         most.append(known)
     hot = _hot_keys(entity, entity_ts, [(keys, out) for (keys, _), out in zip(groups, ready)], types, hot_key_rows, bounds, most)
     log.info("as-of scans: %d with keys split by time", sum(h is not None for h in hot))
-    return ScanStats(bounds, hot, few, ready, row["n"])
+    distinct = [row[f"d{g}"] if len(groups) > 1 else row["n"] for g in range(len(groups))]
+    return ScanStats(bounds, hot, few, ready, row["n"], distinct)
 
 
 def _key_bytes(types: dict) -> Column:
@@ -778,6 +828,11 @@ def asof_join(
 
     part = [*keys, _B]
     u0 = _bucketed(u0, hot, keys, sources, fcols, orders, ets_type)
+    # the greatest created time of a TTL window: in this very scan where no key is split
+    windowed = [i for i, s in enumerate(sources) if s.created_rule == "independent_max" and s.created_ts and s.ttl_seconds > 0]
+    fused = windowed if hot is None else []
+    if fused:
+        u0 = _with_probes(u0, keys, sources, fused, ets_type)
 
     # Step 2: the scan.
     # A RANGE frame up to the current row includes its peers, so the frame of
@@ -785,9 +840,11 @@ def asof_join(
     # inclusive) plus the carry row (NULL time, sorted first); the greatest
     # payload (event time, created, features) among them is the winner.  All
     # frames below share this one sort order: one sort, one Window operator.
+    # (a stretch of time before the time itself changes no order, and is the sort of the window maximum)
+    stretch = [F.col(f"{_P}w{i}").asc_nulls_first() for i in fused[:1]]
     w = (
         Window.partitionBy(*[_c(c) for c in part])
-        .orderBy(F.col(_T).asc_nulls_first())
+        .orderBy(*stretch, F.col(_T).asc_nulls_first())
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     scanned_cols = [_c(c) for c in part] + [F.col(_T), F.col(_SIDE), F.col(_E)]
@@ -801,7 +858,8 @@ def asof_join(
             if hot is not None:
                 cvals = F.greatest(cvals, F.col(f"{_P}cm{i}"))
             extra.append(F.max(cvals).over(w).alias(f"{_P}mc{i}"))
-    scanned = u0.select(*scanned_cols, *extra).filter(F.col(_SIDE) == 1)
+    scanned = u0.select(*scanned_cols, *extra, *_window_maxima(sources, fused, part))
+    scanned = _maxima_at_entities(scanned, fused, part).filter(F.col(_SIDE) == 1)
 
     # Step 3: entity rows with their features.
     out_cols = []
@@ -823,8 +881,11 @@ def asof_join(
             if s.ttl_seconds == 0:
                 ok = ok & (f[_F_C] == F.col(f"{_P}mc{i}"))
             else:
-                pending.append(i)
-                tie_cols.append(F.when(ok, f[_F_C]).alias(f"{_P}pc{i}"))
+                if i in fused:
+                    ok = ok & (f[_F_C] == F.col(f"{_P}m{i}"))
+                else:
+                    pending.append(i)
+                    tie_cols.append(F.when(ok, f[_F_C]).alias(f"{_P}pc{i}"))
         if s.ties == "all":
             tie_cols += [
                 F.when(ok, f[_F_TS]).alias(f"{_P}wts{i}"),

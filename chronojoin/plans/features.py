@@ -19,6 +19,7 @@ from ..operators.asof import (
 from ..functions.contract import TypeContractError, check_types
 from ..functions.timeutil import Micros, to_micros
 from ..operators.latest import latest_by_key, rows_in_range
+from ..sinks.save import shared_folder, written
 from ..sources.entity import as_dataframe, check_entity_columns, column_named, entity_time_range, infer_entity_ts, quoted
 from ..sources.source import Source
 from .ondemand import OnDemandView, computed, resolve_on_demand
@@ -136,8 +137,12 @@ def historical_features(
     """Every entity row with the as-of value of each requested feature.
 
     ``entity`` is a DataFrame, SQL text or pandas frame.  Views that share a
-    key set run in one scan (one shuffle); different key sets are folded,
-    each scan carrying the features found so far in the entity row.  The
+    key set run in one scan (one shuffle).  Different key sets are folded, each
+    scan carrying the entity row and the features found so far, while that row
+    is hardly wider than a row number.  A wider entity is written once to the
+    shared folder with a row number; each key set then scans keys, time and
+    number alone (or, where most are repeated, the distinct keys and times),
+    and the results meet the wide rows once, by the number.  The
     entity time range is read once and prunes every source.  ``transforms``
     ``{name: Column}`` are applied last (request-time computed features).
     The result is lazy.  ``entity_bounds=(lo, hi)`` (datetimes or text) gives
@@ -213,15 +218,26 @@ def historical_features(
     ready = [_resolved(ent, ets, keys, sources)[1:] for keys, sources in groups.items()]
     # hot keys and key lists of every key set, found on the original entity rows
     if hot_key_rows is not None or any(not keys for keys, _ in ready):
+        by_row = len(ready) > 1 and shared_folder(spark) is not None and _is_wide(ent, ets, ready)
+        if by_row:  # read from its files, column by column, from now on
+            row = _row_name(ent)
+            ent_rows, _ = written(ent.withColumn(row, F.monotonically_increasing_id()), "entity")
+            ent = ent_rows.drop(row)
         look = scan_stats(spark, ent, ets, ready, hot_key_rows, given)
         stats = [(look.bounds, h, few) for h, few in zip(look.hot, look.few_keys)]
         ready = [(keys, sources) for (keys, _), sources in zip(ready, look.sources)]
     else:
         bounds = given or entity_time_range(ent, ets)
         stats = [(bounds if bounds[1] is not None else _NO_TIMES, None, None)] * len(ready)
-    out = ent
-    for (keys, sources), st in zip(ready, stats):
-        out = asof_join(out, ets, keys, sources, stats=st)
+        by_row = False
+    if by_row:
+        out = ent_rows
+        for (keys, sources), st, distinct in zip(ready, stats, look.distinct):
+            out = out.join(_found_by_row(ent_rows, row, ets, keys, sources, st, distinct * 2 < look.rows), row)
+    else:
+        out = ent
+        for (keys, sources), st in zip(ready, stats):
+            out = asof_join(out, ets, keys, sources, stats=st)
     if plan:
         out = computed(out, plan, out_name)
         order = [out_name(*r.split(":", 1)) for r in dict.fromkeys(refs)]
@@ -236,6 +252,36 @@ def historical_features(
     return out
 
 
+# an entity whose columns beside keys and time are wider is not carried through every scan
+CARRIED_BYTES = 32
+
+
+def _is_wide(ent: DataFrame, ets: str, groups) -> bool:
+    """Whether the columns that no scan needs are wider than ``CARRIED_BYTES``, by their types' usual sizes."""
+    needed = {ets, *(k for keys, _ in groups for k in keys)}
+    sizes = ent._jdf.schema().fields()
+    return sum(f.dataType().defaultSize() for f in sizes if f.name() not in needed) > CARRIED_BYTES
+
+
+def _row_name(ent: DataFrame) -> str:
+    name = "entity_row"
+    while column_named(ent, name):
+        name += "_"
+    return name
+
+
+def _found_by_row(ent_rows: DataFrame, row: str, ets: str, keys, sources, stats, repeated: bool) -> DataFrame:
+    """(row number, features) of every entity row for one key set; several rows where ties are all wanted."""
+    names = [F.col(quoted(n)) for s in sources for n in s.out_names()]
+    on = [*keys, ets]
+    narrow = ent_rows.select(*[F.col(quoted(c)) for c in on], row)
+    if not repeated:
+        return asof_join(narrow, ets, keys, sources, stats=stats).select(row, *names)
+    # rows without a key or time find nothing, here as there
+    found = asof_join(narrow.drop(row).dropna().distinct(), ets, keys, sources, stats=stats)
+    return narrow.join(found, on, "left").select(row, *names)
+
+
 def _first_in(bounds, ets_type, view: FeatureView, df: DataFrame) -> Micros:
     """The first entity time in the source's terms; a day earlier where its timestamp type is another one."""
     own = df.schema[column_named(df, view.event_col)].dataType

@@ -1,3 +1,3 @@
-from .save import save_dataset, shared_dir
+from .save import drop_written, save_dataset, shared_dir
 
-__all__ = ["save_dataset", "shared_dir"]
+__all__ = ["drop_written", "save_dataset", "shared_dir"]

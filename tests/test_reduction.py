@@ -123,3 +123,36 @@ def test_written_files_can_be_dropped(spark):
     assert fs.exists(folder)
     drop_written(spark)
     assert not fs.exists(folder)
+
+
+@pytest.mark.parametrize("copies", [1, 5])
+def test_wide_entities_meet_their_results_once(spark, copies):
+    """Two key sets: keys, time and a row number are scanned, the wide columns are shuffled once."""
+    ent = _entity(spark, 400, 60).withColumn("wide", F.repeat(F.lit("w"), 50)).withColumn("more", F.col("s"))
+    odd = [(901, None, "name-1", BASE, "w", "m"), (902, 1, None, BASE, "w", "m"), (903, 1, "name-1", None, "w", "m")]
+    ent = ent.unionByName(spark.createDataFrame(odd, "eid long, k long, s string, t timestamp_ntz, wide string, more string"))
+    every = ent
+    for _ in range(copies - 1):
+        every = every.unionByName(ent)
+    one = FeatureView("a", ["k"], ["f"], _history(spark, 2000, 55), event_ts="ts", ttl_seconds=20 * 86400)
+    two = FeatureView("b", ["s", "k"], ["f"], _history(spark, 2000, 50), event_ts="ts")
+    ties = FeatureView("c", ["s"], ["f"], _history(spark, 300, 50).withColumn("ts", F.lit(BASE).cast("timestamp_ntz")), event_ts="ts", ties="all")
+    views = [one, two, ties]
+    out = historical_features(spark, every, views, full_feature_names=True, entity_ts="t")
+    plan = plan_text(out)
+    assert "/entity-" in plan and out.columns == [*every.columns, "a__f", "b__f", "c__f"]
+    carried = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert carried
+    folded = historical_features(spark, every, views, full_feature_names=True, entity_ts="t", hot_key_rows=None)
+    assert "/entity-" not in plan_text(folded)
+    a, b = (sorted(map(repr, x.collect())) for x in (out, folded))
+    assert a == b and len(a) >= every.count()
+    hot = historical_features(spark, every, views, full_feature_names=True, entity_ts="t", hot_key_rows=20)
+    assert sorted(map(repr, hot.collect())) == a
+
+
+def test_narrow_entities_are_carried(spark):
+    ent = _entity(spark, 50, 10).drop("s")
+    src = _history(spark, 100, 10)
+    views = [FeatureView("a", ["k"], ["f"], src, event_ts="ts"), FeatureView("b", ["eid"], ["f"], src.withColumnRenamed("k", "eid"), event_ts="ts")]
+    assert "/entity-" not in plan_text(historical_features(spark, ent, views, full_feature_names=True, entity_ts="t"))
