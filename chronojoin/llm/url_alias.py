@@ -9,12 +9,15 @@ their own decides; an own allow rule always stands.
 
 from __future__ import annotations
 
+import re
 import string
+from html.parser import HTMLParser
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import small_batches, stored, table
 from .graph import connected_components
 
 RULES = [
@@ -23,10 +26,8 @@ RULES = [
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 ]
-CANONICAL = r"""(?i)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
-REFRESH = r"""(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
-HREF = r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)"""
-TARGET = r"""(?i)\burl\s*=\s*["']?([^"'\s>;]+)"""
+# a refresh's content: seconds, a separator, and the target, in quotes or not
+REFRESH = re.compile(r"\s*[\d.]*\s*[;,]?\s*(?:url\s*=\s*)?(.*)", re.I | re.S)
 
 
 def _lower(c: Column) -> Column:
@@ -56,44 +57,92 @@ def _node(rest: Column) -> Column:
     return F.concat(_lower(F.regexp_extract(rest, r"^([^/?#]*)", 1)), F.regexp_extract(rest, r"^[^/?#]*([^#]*)", 1))
 
 
-def _target(goal: Column, host: Column, path: Column, node: Column) -> Column:
-    """What a link's target has after its scheme, seen from a page: absolute, ``//host``, ``/path``, ``?query`` or relative."""
-    folder = F.regexp_extract(path, r"^(.*/)", 1)
-    return (
-        F.when(F.instr(goal, "://") > 0, after_scheme(goal))
-        .when(goal.startswith("//"), F.substr(goal, F.lit(3), F.length(goal)))
-        .when(goal.startswith("/"), F.concat(host, goal))
-        .when(goal.startswith("?"), F.concat(host, path, goal))
-        .when(goal.startswith("#"), node)
-        .otherwise(F.concat(host, F.when(folder == "", F.lit("/")).otherwise(folder), goal))
-    )
+class _Head(HTMLParser):
+    """The targets of a page's canonical links and refresh redirects, and its base address; comments and scripts hold no tags."""
+
+    def __init__(self):
+        super().__init__()
+        self.base, self.targets = None, []
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in ("link", "meta", "base"):
+            return
+        given = dict(reversed([(k, v or "") for k, v in attrs]))  # the first of a name counts
+        if tag == "base" and self.base is None and "href" in given:
+            self.base = given["href"].strip()
+        elif tag == "link" and "canonical" in given.get("rel", "").lower().split():
+            self.targets.append(given.get("href", "").strip())
+        elif tag == "meta" and given.get("http-equiv", "").strip().lower() == "refresh":
+            goal = REFRESH.match(given.get("content", ""))[1]
+            self.targets.append((goal[1:].split(goal[0])[0] if goal[:1] in ("'", '"') else goal).strip())
+
+
+def head_targets(html: str) -> tuple[str | None, list[str]]:
+    """(base address or None, targets that are not empty) of a page."""
+    head = _Head()
+    try:
+        head.feed(html)
+        head.close()
+    except AssertionError:  # a declaration that the parser does not know: what stood before it counts
+        pass
+    return head.base, [t for t in head.targets if t]
+
+
+_REST = re.compile(r"([^/?#]*)([^?#]*)(\?[^#]*)?", re.S)
+
+
+def resolved(goal: str, rest: str) -> str:
+    """What follows the scheme of a target seen from an address whose ``rest`` follows its scheme, without the fragment.
+
+    Absolute, ``//host``, ``/path``, ``?query``, ``#fragment`` or relative; dot
+    segments of the result's path are removed.
+    """
+    host, path, query = (x or "" for x in _REST.match(rest).groups())
+    if "://" in re.split("[?#]", goal, maxsplit=1)[0]:
+        host, path, query = (x or "" for x in _REST.match(goal.split("://", 1)[1]).groups())
+    elif goal.startswith("//"):
+        host, path, query = (x or "" for x in _REST.match(goal[2:]).groups())
+    else:
+        p, q = re.match(r"([^?#]*)(\?[^#]*)?", goal, re.S).groups()
+        if p.startswith("/"):
+            path, query = p, q or ""
+        elif p:
+            path, query = path[: path.rfind("/") + 1] + p if "/" in path else "/" + p, q or ""
+        elif q:
+            query = q
+        else:
+            return host + path + query  # the page itself
+    parts = []
+    for part in path.split("/")[1:]:
+        if part == "..":
+            parts = parts[:-1]
+        elif part != ".":
+            parts.append(part)
+    if path.rsplit("/", 1)[-1] in (".", ".."):
+        parts.append("")
+    return host + ("/" + "/".join(parts) if path else "") + query
 
 
 def alias_edges(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     """(u, v): nodes of pages and of the targets that their canonical links and refresh redirects name.
 
-    Written out twice on the way (only pages with such a tag, without html):
-    the address expressions would otherwise be copied into every later filter.
+    Only pages with such a word are parsed; what is found is written out once.
     """
     url, html = F.col(url_col), F.col(html_col)
     some = pages.filter(F.instr(url, "://") > 0).filter(F.lower(html).rlike("canonical|refresh"))
-    named = F.concat(
-        F.transform(F.regexp_extract_all(html, F.lit(CANONICAL), F.lit(0)), lambda tag: F.regexp_extract(tag, HREF, 1)),
-        F.transform(F.regexp_extract_all(html, F.lit(REFRESH), F.lit(0)), lambda tag: F.regexp_extract(tag, TARGET, 1)),
-    )
-    goals = some.select(url.alias("url"), F.explode(named).alias("to")).filter("to != ''")
-    page = F.col("url")
-    goals = stored(
-        goals.select(
-            host_of(page).alias("host"),
-            path_of(page).alias("path"),
-            node_of(page).alias("node"),
-            F.regexp_replace(F.trim("to"), "&amp;", "&").alias("goal"),
-        ),
-        "url-goals",
-    ).filter("goal != ''")
-    rests = goals.select("node", _target(F.col("goal"), F.col("host"), F.col("path"), F.col("node")).alias("rest"))
-    return stored(rests.select(F.col("node").alias("u"), _node(F.col("rest")).alias("v")), "url-edges")
+
+    def parsed(batches):
+        for pdf in batches:
+            out = []
+            for rest, text in zip(pdf["rest"], pdf["html"]):
+                base, targets = head_targets(text)
+                seat = resolved(base, rest) if base else rest
+                out += [(rest, resolved(t, seat)) for t in targets]
+            yield pd.DataFrame(out, columns=["page", "goal"], dtype=object)
+
+    small_batches(pages.sparkSession)
+    goals = some.select(after_scheme(url).alias("rest"), html.alias("html")).mapInPandas(parsed, "page string, goal string")
+    return stored(goals.select(_node(F.col("page")).alias("u"), _node(F.col("goal")).alias("v")), "url-edges")
 
 
 def decided(places: DataFrame, rules: DataFrame) -> DataFrame:
@@ -143,7 +192,9 @@ def judge(
     verdict: the own rule's action; else block if an alias has a block rule;
     else allow.  by_alias marks the second case.  A null url or one without
     ``://`` has an empty host and path, no rule and no alias, and is allowed;
-    null html has no edges.  Rows that repeat each get a row.
+    null html has no edges.  Rows that repeat each get a row; an empty table
+    gives an empty result; of equally long rules allow counts; other columns are
+    not read.  A very long page needs memory for itself only.
 
     Rules meet distinct (host, path) pairs, and only urls with edges enter the
     component search, so a hot host costs no more than its distinct paths.
@@ -198,22 +249,45 @@ s AS (
          coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
          CASE WHEN rest IS NOT NULL THEN regexp_extract(rest, '^[^/?#]*([^#]*)', 1) END AS tail FROM p),
 n AS (SELECT *, CASE WHEN tail IS NOT NULL THEN host || tail END AS node FROM s),
+live AS (
+  SELECT host, path, tail, node, regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g') AS html
+    FROM n WHERE node IS NOT NULL AND regexp_matches(html, '(?i)canonical|refresh')),
+lists AS (
+  SELECT host, path, tail, node, regexp_extract_all(html, '(?is)<(?:link|meta|base)\b(?:[^>"'']|"[^"]*"|''[^'']*'')*>') AS tags FROM live),
+tags AS (SELECT host, path, tail, node, unnest(tags) AS tag, generate_subscripts(tags, 1) AS k FROM lists),
+attrs AS (
+  SELECT host, path, tail, node, k, lower(regexp_extract(tag, '^<(\w+)', 1)) AS kind,
+         [replace(replace(replace(replace(replace(trim(trim(trim(
+            regexp_extract(tag, '(?is)[\s"'']' || x || '\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1), '"'), '''')),
+            '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x2F;', '/'), '&amp;', '&')
+          FOR x IN ['href', 'rel', 'http-equiv', 'content']] AS a FROM tags),
+bases AS (SELECT node, arg_min(a[1], k) AS base FROM attrs WHERE kind = 'base' AND a[1] <> '' GROUP BY node),
 t AS (
-  SELECT host, path, node, regexp_extract(unnest(regexp_extract_all(html,
-         '(?i)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>')), '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS goal
-    FROM n WHERE node IS NOT NULL
+  SELECT DISTINCT host, path, tail, node, base,
+         CASE WHEN kind = 'link' THEN a[1]
+              ELSE trim(trim(trim(regexp_replace(a[4], '(?is)^\s*[\d.]*\s*[;,]?\s*(?:url\s*=\s*)?', ''), ''''), '"')) END AS goal
+    FROM attrs LEFT JOIN bases USING (node)
+   WHERE kind = 'link' AND list_contains(string_split_regex(lower(a[2]), '\s+'), 'canonical')
+      OR kind = 'meta' AND lower(a[3]) = 'refresh'),
+-- one step twice: the base seen from the page, the target seen from the base
+step AS (
+  SELECT node, goal, 1 AS turn, coalesce(base, '') AS g, host, path, regexp_extract(tail, '(\?.*)$', 1) AS query FROM t WHERE goal <> ''
   UNION ALL
-  SELECT host, path, node, regexp_extract(unnest(regexp_extract_all(html,
-         '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>')), '(?i)\burl\s*=\s*["'']?([^"''\s>;]+)', 1)
-    FROM n WHERE node IS NOT NULL),
-a AS (
-  SELECT node, CASE WHEN strpos(g, '://') > 0 THEN substr(g, strpos(g, '://') + 3)
-                    WHEN starts_with(g, '//') THEN substr(g, 3)
-                    WHEN starts_with(g, '/') THEN host || g
-                    WHEN starts_with(g, '?') THEN host || path || g
-                    WHEN starts_with(g, '#') THEN node
-                    ELSE host || CASE WHEN path LIKE '%/%' THEN regexp_extract(path, '^(.*/)', 1) ELSE '/' END || g END AS r
-    FROM (SELECT *, replace(trim(goal), '&amp;', '&') AS g FROM t WHERE goal <> '')),
+  SELECT node, goal, turn + 1, CASE WHEN turn = 1 THEN goal ELSE '' END,
+         CASE WHEN regexp_matches(g, '^[^?#]*://') THEN regexp_extract(g, '://([^/?#]*)', 1)
+              WHEN starts_with(g, '//') THEN regexp_extract(g, '^//([^/?#]*)', 1) ELSE host END,
+         CASE WHEN g = '' OR starts_with(g, '#') OR starts_with(g, '?') THEN path
+              WHEN regexp_matches(g, '^([^?#]*://|//)[^/?#]*([?#]|$)') THEN ''
+              ELSE '/' || array_to_string(list_reduce([[x] FOR x IN string_split(
+                CASE WHEN regexp_matches(g, '^[^?#]*://') THEN regexp_extract(g, '://[^/?#]*([^?#]*)', 1)
+                     WHEN starts_with(g, '//') THEN regexp_extract(g, '^//[^/?#]*([^?#]*)', 1)
+                     WHEN starts_with(g, '/') THEN regexp_extract(g, '^([^?#]*)', 1)
+                     ELSE CASE WHEN path LIKE '%/%' THEN regexp_extract(path, '^(.*/)', 1) ELSE '/' END || regexp_extract(g, '^([^?#]*)', 1) END
+                , '/')[2:] IF x <> '.'],
+                lambda u, w: CASE WHEN w[1] = '..' THEN u[:-2] ELSE list_concat(u, w) END, []::VARCHAR[]), '/') END,
+         CASE WHEN g = '' OR starts_with(g, '#') THEN query ELSE regexp_extract(g, '^[^?#]*(\?[^#]*)', 1) END
+    FROM step WHERE turn < 3),
+a AS (SELECT node, host || path || query AS r FROM step WHERE turn = 3),
 e AS (
   SELECT node AS x, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                               'abcdefghijklmnopqrstuvwxyz') || regexp_extract(r, '^[^/?#]*([^#]*)', 1) AS y FROM a),

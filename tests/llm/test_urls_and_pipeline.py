@@ -43,6 +43,47 @@ PAGES = [
 ]
 
 
+BLOCKED = "http://x.example.com/de/z"
+# (url, html, whether a block of BLOCKED reaches the page)
+ALIASES = [
+    ("http://x.example.com/a/b/c", link("../../de/z"), True),
+    ("http://x.example.com/a/b", link("./.././de/q/../z"), True),
+    ("http://p1.io/", f'<link rel="alternate canonical" href="{BLOCKED}">', True),
+    ("http://p2.io/", f'<link title="a > b" rel=canonical href={BLOCKED}>', True),
+    ("http://p3.io/", '<base href="http://x.example.com/de/"><link rel="canonical" href="z">', True),
+    ("http://p4.io/", f'<meta content="5; URL={BLOCKED}" http-equiv=Refresh>', True),
+    ("http://p5.io/", '<link rel="canonical" href="http:&#x2F;&#x2F;x.example.com&#x2F;de/z">', True),
+    ("http://p6.io/", f'<link rel="canonical" data-href="{BLOCKED}" href="http://fine.io/">', False),
+    ("http://p7.io/", f'<!-- <link rel="canonical" href="{BLOCKED}"> -->', False),
+    ("http://p8.io/", f"<script>var t = '<link rel=canonical href={BLOCKED}>';</script>", False),
+    ("http://p9.io/", f'<link rel="noncanonical" href="{BLOCKED}"><a rel="canonical" href="{BLOCKED}">x</a>', False),
+    ("http://p10.io/", '<meta http-equiv="refresh" content="30">', False),
+    (BLOCKED, "", False),
+]
+
+
+def test_links_of_a_page(spark):
+    """Attributes by whole names, tokens of rel, no tags in comments or scripts, base addresses and dot segments."""
+    rows = [(i, u, h) for i, (u, h, _) in enumerate(ALIASES)]
+    got = url_alias.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).toPandas().set_index("page_id")
+    assert got["by_alias"].to_dict() == {i: hit for i, (_, _, hit) in enumerate(ALIASES)}
+    con = duckdb.connect()
+    con.register("pages", pd.DataFrame(rows, columns=["page_id", "url", "html"]))
+    want = con.execute(url_alias.OP2_SQL).df().set_index("page_id")
+    assert want["by_alias"].to_dict() == got["by_alias"].to_dict()
+
+
+def test_targets_seen_from_an_address():
+    base = "a.io/b/c/d;p?q"
+    for goal, want in [
+        ("g", "a.io/b/c/g"), ("./g", "a.io/b/c/g"), ("g/", "a.io/b/c/g/"), ("/g", "a.io/g"), ("//h", "h"), ("?y", "a.io/b/c/d;p?y"),
+        ("g?y/./x", "a.io/b/c/g?y/./x"), ("#s", "a.io/b/c/d;p?q"), ("..", "a.io/b/"), ("../g", "a.io/b/g"), ("../../../g", "a.io/g"),
+        ("./../g", "a.io/b/g"), ("g/../h", "a.io/b/c/h"), ("https://H.io/x/../y#z", "H.io/y"), ("g?u=http://k", "a.io/b/c/g?u=http://k"),
+    ]:
+        assert url_alias.resolved(goal, base) == want, goal
+    assert url_alias.head_targets("<![odd [ <link rel=canonical href=x>")[1] in ([], ["x"])
+
+
 def lines(df):
     return sorted(map(str, df[["page_id", "host", "path", "rule", "verdict", "by_alias"]].astype(object).where(df.notna(), None).itertuples(index=False, name=None)))
 
