@@ -27,10 +27,11 @@ rows (about ``HOT_SAMPLE_ROWS`` rows of a key at the threshold) estimates each
 key's rows and time quantiles; the list of keys above ``hot_key_rows`` stays a
 DataFrame.  Each such key gets time buckets ``_b`` with the quantiles as edges,
 so bunched history and outliers give buckets of about equal size (rows of one
-equal time stay together).  The window then partitions by ``(keys, _b)``.  For
-each (key, bucket) that holds entity rows, a *carry row* — the greatest source
-row of all earlier buckets — is added at the head of the bucket, so the scan stays
-exact whatever the estimate.  Carry rows come from a per-bucket top-1 (partial
+equal time stay together).  The window then partitions by ``(keys, _b)``.  To
+each (key, bucket) a *carry row* — the greatest source row of all earlier
+buckets — is added at the head of the bucket, so the scan stays exact whatever
+the estimate.  The source alone gives them: the entity, in a fold the previous
+scan, is not read for them.  Carry rows come from a per-bucket top-1 (partial
 ``WindowGroupLimit`` before the shuffle) and a small window over buckets.  A
 view without keys is one key and always split.  Keys below the threshold keep
 one bucket.  Entity rows with a NULL key or time match nothing and are dealt
@@ -578,7 +579,8 @@ def _key_hash(keys) -> Column:
 HOT_SAMPLE_ROWS = 100
 # Time quantiles that are estimated for each hot key: the most buckets it gets.
 QUANTILES = 1 << 12
-_COARSE = 64
+# Sampled rows of a key up to which its quantiles are read off the sorted sample.
+SORTED_ROWS = 100_000
 _GRID = ", ".join(f"{q / QUANTILES!r}D" for q in range(1, QUANTILES))
 
 
@@ -587,7 +589,7 @@ class ScanStats:
     """What one look at the data before the scans found."""
 
     bounds: tuple  # entity time range
-    hot: list  # for each scan: table (hash, edges, coarse edges) of keys to split, or None
+    hot: list  # for each scan: table (hash, edges, steps of a search in them) of keys to split, or None
     few_keys: list  # for each scan: small table of the entity's distinct keys, or a bitmap of them, or None
     sources: list  # for each scan: its sources, derived ones read back from the shared folder
     rows: int  # entity rows
@@ -600,14 +602,16 @@ _FEW_ROWS = 1_000
 def _kept(df: DataFrame) -> DataFrame:
     """``df`` computed once: sampled estimates must not change when a lost executor makes Spark read them again.
 
-    A few rows pass through the driver, more are checkpointed; a session that
-    names no shared folder is told to.
+    A few rows pass through the driver, more stay in the shared folder; a
+    session that names none is told to.
     """
     spark = df.sparkSession
+    if shared_folder(spark):
+        files, seen = written(df, "hot-keys", Observation("hot keys"), F.count(F.lit(1)).alias("rows"))
+        return files if seen["rows"] > _FEW_ROWS else spark.createDataFrame(files.collect(), df.schema)
     rows = df.limit(_FEW_ROWS + 1).collect()
     if len(rows) > _FEW_ROWS:
-        shared_dir(spark)  # raises where there is none
-        return written(df, "hot-keys")[0]
+        shared_dir(spark)  # raises: there is none
     return spark.createDataFrame(rows, df.schema)
 
 
@@ -645,13 +649,49 @@ def _hot_keys(entity, entity_ts, groups, types, hot_key_rows: int | None, bounds
     if keyless:
         spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
         n_b = F.when(F.col(_G).isin(keyless), F.greatest(n_b, F.lit(spread))).otherwise(n_b)
-    counted = u.groupBy(_G, _H).agg(F.sum("w").cast("long").alias("n"))
+    counted = u.groupBy(_G, _H).agg(F.sum("w").cast("long").alias("n"), F.count(F.lit(1)).alias("s"))
     found = counted.withColumn("nb", F.least(n_b, F.lit(QUANTILES)).cast("int")).filter(F.col("nb") > 1)
     found = _kept(found)
-    some = {r[_G] for r in found.select(_G).distinct().collect()}
+    some = {(r[_G], r["big"]) for r in found.select(_G, _sampled_much().alias("big")).distinct().collect()}
     if not some:
         return [None] * len(groups)
-    spots = u.join(found, [_G, _H]).groupBy(_G, _H).agg(
+    spots = [f(u, found) for f, big in ((_sorted_edges, False), (_summed_edges, True)) if any(b is big for _, b in some)]
+    spots = spots[0].unionByName(spots[1]) if len(spots) > 1 else spots[0]
+    spots = _kept(spots.withColumn(_P + "steps", F.slice(F.array(*[F.lit(1 << p) for p in reversed(range(_LEVELS))]), -_bits(F.size(_P + "edges")), _LEVELS)))
+    split = {g for g, _ in some}
+    return [spots.filter(F.col(_G) == g).drop(_G) if g in split else None for g in range(len(groups))]
+
+
+_LEVELS = QUANTILES.bit_length() - 1
+
+
+def _bits(n: Column) -> Column:
+    """Binary digits of an int from 1 on."""
+    return F.length(F.bin(n))
+
+
+def _sampled_much() -> Column:
+    return F.col("s") > SORTED_ROWS
+
+
+def _sorted_edges(u: DataFrame, found: DataFrame) -> DataFrame:
+    """Edges of keys with few sampled rows: the times at ``nb - 1`` even places of each key's own sorted sample.
+
+    The work and the table grow with the rows and buckets of the keys, however many keys there are.
+    """
+    place = Window.partitionBy(_G, _H).orderBy(_TU)
+    some = u.select(_G, _H, _TU).join(found.filter(~_sampled_much()).select(_G, _H, "s", "nb"), [_G, _H])
+    some = some.withColumn("i", F.row_number().over(place) - 1)
+    # the first row of each of nb even parts but the first
+    part = [F.floor(i * F.col("nb") / F.col("s")) for i in (F.col("i"), F.col("i") - 1)]
+    some = some.filter((F.col("i") > 0) & (part[0] > part[1]))
+    return some.groupBy(_G, _H).agg(F.array_sort(F.collect_set(_TU)).alias(_P + "edges"))
+
+
+def _summed_edges(u: DataFrame, found: DataFrame) -> DataFrame:
+    """Edges of keys with many sampled rows, at most one in ``SORTED_ROWS``: from partial summaries, without a key in one task."""
+    big = found.filter(_sampled_much()).select(_G, _H, "nb")
+    spots = u.select(_G, _H, _TU).join(F.broadcast(big), [_G, _H]).groupBy(_G, _H).agg(
         F.first("nb").alias("nb"), F.expr(f"percentile_approx({_TU}, array({_GRID}), 20000)").alias("q")
     )
     edges = F.array_distinct(
@@ -660,19 +700,15 @@ def _hot_keys(entity, entity_ts, groups, types, hot_key_rows: int | None, bounds
             lambda j: F.element_at("q", F.greatest(F.lit(1), F.floor(j * QUANTILES / F.col("nb")).cast("int"))),
         )
     )
-    spots = spots.select(_G, _H, edges.alias(_P + "edges"))
-    spots = spots.withColumn(
-        _P + "coarse", F.filter(F.col(_P + "edges"), lambda _, i: (i + 1) % _COARSE == 0)
-    )
-    spots = _kept(spots)
-    return [spots.filter(F.col(_G) == g).drop(_G) if g in some else None for g in range(len(groups))]
+    return spots.select(_G, _H, edges.alias(_P + "edges"))
 
 
 def _bucket_of(us: Column) -> Column:
-    """The number of edges at or below ``us``: by the coarse edges first, then within 64."""
-    edges, coarse = F.col(_P + "edges"), F.col(_P + "coarse")
-    c = F.size(F.filter(coarse, lambda e: e <= us)) * F.lit(_COARSE)
-    return (c + F.size(F.filter(F.slice(edges, c + 1, F.lit(_COARSE)), lambda e: e <= us))).cast("long")
+    """The number of edges at or below ``us``, by halving: the steps are the powers of two up to the number of edges."""
+    edges = F.col(_P + "edges")
+    return F.aggregate(
+        F.col(_P + "steps"), F.lit(0), lambda n, step: F.when(F.get(edges, n + step - 1) <= us, n + step).otherwise(n)
+    ).cast("long")
 
 
 def scan_stats(
@@ -952,48 +988,37 @@ def _bucketed(u0: DataFrame, hot: DataFrame | None, keys, sources, fcols, orders
         F.when(nowhere, spread).when(is_hot, _bucket_of(F.col(_TU))).otherwise(F.lit(0).cast("long")),
     )
 
-    hot_rows = u.filter(is_hot & (F.col(_B) >= 0))
+    # the greatest source row per (key, bucket) and view: partial top-1 before the shuffle.  Of the entity, which in a
+    # fold is the previous scan, nothing is read: every later bucket of a key gets its carry row, asked for or not
     ks = [_c(k) for k in keys]
-    # greatest source row per (key, bucket), per view: partial top-1 before the shuffle
+    last = F.size(_P + "edges").cast("long").alias(f"{_P}nb")  # the number of the key's last bucket
     summaries = []
     for i, s in enumerate(sources):
+        own = u.filter((F.col(_SIDE) == 0) & is_hot & F.col(fcols[i]).isNotNull())
         order = orders[i] if orders[i] is not None else F.col(fcols[i])
-        bw = Window.partitionBy(*ks, _B).orderBy(
-            F.col(fcols[i])[_F_TS].desc_nulls_last(), order.desc_nulls_last()
-        )
-        last_row = (
-            hot_rows.filter(F.col(fcols[i]).isNotNull())
-            .select(*ks, _B, _T, fcols[i], order.alias(f"{_P}o"))
+        bw = Window.partitionBy(*ks, _B).orderBy(F.col(fcols[i])[_F_TS].desc_nulls_last(), order.desc_nulls_last())
+        summaries.append(
+            own.select(*ks, _B, last, fcols[i], order.alias(f"{_P}o"))
             .withColumn(f"{_P}rn", F.row_number().over(bw))
             .filter(F.col(f"{_P}rn") == 1)
-            .select(*ks, _B, fcols[i], F.lit(1).alias(f"{_P}m"))
+            .select(*ks, _B, f"{_P}nb", fcols[i])
         )
         if s.created_rule == "independent_max" and s.ttl_seconds == 0 and s.created_ts:
-            bmax = (
-                hot_rows.filter(F.col(fcols[i]).isNotNull())
-                .groupBy(*ks, _B)
-                .agg(F.max(F.col(fcols[i])[_F_C]).alias(f"{_P}bm{i}"))
-            )
-            last_row = last_row.join(bmax, on=keys + [_B], how="inner")
-        summaries.append(last_row)
-
-    ent_buckets = (
-        hot_rows.filter(F.col(_SIDE) == 1).select(*ks, _B).distinct().withColumn(f"{_P}m", F.lit(0))
-    )
-    cu = ent_buckets
-    for sm in summaries:
+            created = own.select(*ks, _B, last, F.col(fcols[i])[_F_C].alias("c"))
+            summaries.append(created.groupBy(*ks, _B).agg(F.first(f"{_P}nb").alias(f"{_P}nb"), F.max("c").alias(f"{_P}bm{i}")))
+    cu = summaries[0]
+    for sm in summaries[1:]:
         cu = cu.unionByName(sm, allowMissingColumns=True)
-    cw = (
-        Window.partitionBy(*ks)
-        .orderBy(F.col(_B), F.col(f"{_P}m"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    by_bucket = Window.partitionBy(*ks).orderBy(_B)
+    cw = by_bucket.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     carried = [_greatest_payload(F.col(fcols[i]), orders[i]).over(cw).alias(fcols[i]) for i in range(len(sources))]
     cm_cols = []
     for i, s in enumerate(sources):
         if s.created_rule == "independent_max" and s.ttl_seconds == 0 and s.created_ts:
             cm_cols.append(F.max(F.col(f"{_P}bm{i}")).over(cw).alias(f"{_P}cm{i}"))
-    carry = cu.select(*ks, _B, F.col(f"{_P}m"), *carried, *cm_cols).filter(F.col(f"{_P}m") == 0)
+    upto = F.coalesce(F.lead(_B).over(by_bucket), F.col(f"{_P}nb")).alias(f"{_P}m")
+    carry = cu.select(*ks, _B, upto, *carried, *cm_cols).filter(F.col(f"{_P}m") > F.col(_B))
+    carry = carry.withColumn(_B, F.explode(F.sequence(F.col(_B) + 1, F.col(f"{_P}m"))))
     any_f = None
     for c in fcols:
         any_f = F.col(c).isNotNull() if any_f is None else any_f | F.col(c).isNotNull()
@@ -1001,7 +1026,7 @@ def _bucketed(u0: DataFrame, hot: DataFrame | None, keys, sources, fcols, orders
     # a carry row sorts first in its bucket (_t NULL, NULLs first)
     carry = carry.withColumn(_T, F.lit(None).cast(u0.schema[_T].dataType))
 
-    u = u.drop(_P + "edges", _P + "coarse")
+    u = u.drop(_P + "edges", _P + "steps")
     return u.unionByName(carry, allowMissingColumns=True)
 
 
