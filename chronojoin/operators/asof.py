@@ -480,11 +480,12 @@ def _range_created_max(entity, entity_ts, keys, types, s, i, ets_type, bounds, h
     valid = _c(entity_ts).isNotNull()
     for k in keys:
         valid = valid & _c(k).isNotNull()
-    d = entity.filter(valid).select(*[_c(k).cast(types[k]).alias(k) for k in keys], _c(entity_ts).alias("t0")).distinct()
+    d = entity.filter(valid).select(*[_c(k).cast(types[k]).alias(k) for k in keys], _c(entity_ts).alias("t0"))
     none_c = F.lit(None).cast(c_type).alias("c")
-    probe_now = d.select(*ks, F.col("t0").alias(_T), none_c, F.lit(1).alias("p"), "t0")
-    probe_back = d.select(*ks, (F.col("t0") - seconds_interval(s.ttl_seconds)).alias(_T), none_c, F.lit(2).alias("p"), "t0")
-    u = src.unionByName(probe_now).unionByName(probe_back)
+    # both probes from one read; equal ones meet in the last aggregation
+    probes = d.select(*ks, "t0", F.explode(F.array(F.lit(1), F.lit(2))).alias("p"))
+    at = F.when(F.col("p") == 1, F.col("t0")).otherwise(F.col("t0") - seconds_interval(s.ttl_seconds))
+    u = src.unionByName(probes.select(*ks, at.alias(_T), none_c, "p", "t0"))
     u = u.withColumn(_TU, epoch_micros(F.col(_T), ets_type)).withColumn("b", _floor_div(F.col(_TU), width))
     if hot is None:
         u = u.withColumn(_B, F.lit(0).cast("long"))
