@@ -21,6 +21,9 @@ Plan (one shuffle for all views that share a key set):
    Every entity row takes the same single path (no second read of the
    entity, which in a fold would re-run the previous scan).
 
+Key sets that all contain the smallest one share that one's shuffle: see
+:func:`nested_asof_join`.
+
 Hot keys.  A window partition is one task, so a key holding a third of the
 data would be one task.  Before the scan a small sample of entity and source
 rows (about ``HOT_SAMPLE_ROWS`` rows of a key at the threshold) estimates each
@@ -595,6 +598,7 @@ class ScanStats:
     sources: list  # for each scan: its sources, derived ones read back from the shared folder
     rows: int  # entity rows
     distinct: list  # for each scan: about how many different (keys, time) the entity has
+    one_shuffle: bool = False  # dealt by the shared keys no task gets too much, see nested_asof_join
 
 
 _FEW_ROWS = 1_000
@@ -713,7 +717,7 @@ def _bucket_of(us: Column) -> Column:
 
 
 def scan_stats(
-    spark, entity: DataFrame, entity_ts: str, groups, hot_key_rows: int | None, bounds=None, prune: bool = True
+    spark, entity: DataFrame, entity_ts: str, groups, hot_key_rows: int | None, bounds=None, prune: bool = True, shared=None
 ) -> ScanStats:
     """Entity time range, hot keys, key lists and sources of every scan.
 
@@ -726,6 +730,8 @@ def scan_stats(
     2. Derived sources are computed once, see the module's doc.
     3. A sampled count and time quantiles per key, for scans that can have a hot
        one.  They decide how finely a key is split, never what the join returns.
+       Where no scan has one, the same count per ``shared`` keys over the rows
+       of all scans tells whether these may go through one shuffle.
     """
     ets_type = entity.schema[entity_ts].dataType
     types = [_check(entity, entity_ts, keys, sources) for keys, sources in groups]
@@ -771,8 +777,13 @@ def scan_stats(
         most.append(known)
     hot = _hot_keys(entity, entity_ts, [(keys, out) for (keys, _), out in zip(groups, ready)], types, hot_key_rows, bounds, most)
     log.info("as-of scans: %d with keys split by time", sum(h is not None for h in hot))
+    one_shuffle = False
+    if shared and all(h is None for h in hot):
+        known = None if None in most else sum(most) - row["n"] * (len(groups) - 1)
+        every = [(shared, [s for out in ready for s in out])]
+        one_shuffle = _hot_keys(entity, entity_ts, every, types, hot_key_rows, bounds, [known])[0] is None
     distinct = [row[f"d{g}"] if len(groups) > 1 else row["n"] for g in range(len(groups))]
-    return ScanStats(bounds, hot, few, ready, row["n"], distinct)
+    return ScanStats(bounds, hot, few, ready, row["n"], distinct, one_shuffle)
 
 
 def _key_bytes(types: dict) -> Column:
@@ -911,9 +922,7 @@ def asof_join(
     pending = []  # independent_max with a TTL: gated after the join with the window maximum
     for i, s in enumerate(sources):
         f = F.col(fcols[i])
-        ok = f.isNotNull() & F.col(_T).isNotNull()
-        if s.ttl_seconds > 0:
-            ok = ok & (f[_F_TS] >= F.col(_T) - seconds_interval(s.ttl_seconds))
+        ok = _in_time(s, f)
         if s.created_rule == "independent_max" and s.created_ts:
             if s.ttl_seconds == 0:
                 ok = ok & (f[_F_C] == F.col(f"{_P}mc{i}"))
@@ -951,6 +960,86 @@ def asof_join(
     return result.select(*[_c(c) for c in final_cols])
 
 
+def shared_keys(entity: DataFrame, entity_ts: str, groups) -> list | None:
+    """The smallest key set where every other one contains it and :func:`nested_asof_join` can run them all, or None."""
+    types = [_check(entity, entity_ts, keys, sources) for keys, sources in groups]
+    keys = min((keys for keys, _ in groups), key=len)
+    if len(groups) < 2 or not keys or any(not set(keys) <= set(ks) for ks, _ in groups):
+        return None
+    every = {k: t for ts in types for k, t in ts.items()}
+    if any(every[k] != t for ts in types for k, t in ts.items()):
+        return None  # keys are compared, and hashed, in other types from scan to scan
+    plain = all(s.ties == "one" and not (s.created_ts and s.created_rule == "independent_max") for _, out in groups for s in out)
+    return list(keys) if plain else None
+
+
+def nested_asof_join(entity: DataFrame, entity_ts: str, shared, groups, bounds, few_keys) -> DataFrame:
+    """As-of join of several key sets that all contain the ``shared`` keys, in one shuffle by these.
+
+    Rows of all sources and the entity are dealt by the shared keys.  Rows that
+    agree in more keys then lie together as well, so the scan of each key set is
+    a sort and a window within the partitions, first the one by the shared keys,
+    and the entity row is moved once, however many key sets there are.  For
+    sources that :func:`shared_keys` lets pass and keys that need no split.
+    """
+    ets_type = entity.schema[entity_ts].dataType
+    groups = sorted(zip(groups, few_keys), key=lambda g: len(g[0][0]))
+    types = {}
+    for (keys, sources), _ in groups:
+        types.update(_check(entity, entity_ts, keys, sources))
+    _check(entity, entity_ts, shared, [s for (_, sources), _ in groups for s in sources])  # names that collide
+    other_cols = [c for c in entity.columns if c not in types and c != entity_ts]
+    u = entity.select(
+        *[_c(k).cast(t).alias(k) for k, t in types.items()],
+        _c(entity_ts).alias(_T),
+        F.lit(1).alias(_SIDE),
+        F.struct(*[_c(c) for c in other_cols]).alias(_E),
+    )
+    scans = []
+    for (keys, sources), few in groups:
+        scan = []
+        for s in sources:
+            i = sum(len(done) for _, done in scans) + len(scan)
+            rows = _without_old_history(_source_rows(s, i, keys, types, ets_type, bounds, few), s, i, keys, ets_type, bounds)
+            u = u.unionByName(rows, allowMissingColumns=True)
+            scan.append((i, s))
+        scans.append((keys, scan))
+    orders = {i: _order_key(s, i, u.schema) for _, scan in scans for i, s in scan}
+    u = _bucketed(u, None, shared, [], [], [], ets_type)
+
+    for keys, scan in scans:
+        # of the rows of other scans none has a payload here; those of scans that are done are let go
+        w = (
+            Window.partitionBy(*[_c(c) for c in [*keys, _B]])
+            .orderBy(F.col(_T).asc_nulls_first())
+            .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        found = {f"{_P}f{i}": _greatest_payload(F.col(f"{_P}f{i}"), orders[i]).over(w) for i, _ in scan}
+        u = u.select(*[found[c].alias(c) if c in found else _c(c) for c in u.columns])
+        ahead = F.col(_SIDE) == 1
+        for j in range(scan[-1][0] + 1, len(orders)):
+            ahead = ahead | F.col(f"{_P}f{j}").isNotNull()
+        u = u.filter(ahead)
+
+    out_cols = []
+    for c in entity.columns:
+        if c in types:
+            out_cols.append(_c(c).cast(entity.schema[c].dataType).alias(c))
+        else:
+            out_cols.append(F.col(_T).alias(c) if c == entity_ts else F.col(_E)[c].alias(c))
+    for _, scan in scans:
+        for i, s in scan:
+            f = F.col(f"{_P}f{i}")
+            out_cols += [F.when(_in_time(s, f), f[n]).alias(n) for n in s.out_names()]
+    return u.select(*out_cols)
+
+
+def _in_time(s: AsOfSource, f: Column) -> Column:
+    """Whether an entity row's winner ``f`` is one, and not older than the TTL."""
+    ok = f.isNotNull() & F.col(_T).isNotNull()
+    return ok & (f[_F_TS] >= F.col(_T) - seconds_interval(s.ttl_seconds)) if s.ttl_seconds > 0 else ok
+
+
 def _fan_out_ties(result: DataFrame, s: AsOfSource, i: int, keys, types, ets_type, bounds) -> DataFrame:
     """Equi-join back on (keys, winning event time[, created time])."""
     ts, cond0 = _in_range(s, ets_type, bounds)

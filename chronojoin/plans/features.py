@@ -14,7 +14,10 @@ from ..operators.asof import (
     AsOfSource,
     _resolved,
     asof_join,
+    cheap_to_reread,
+    nested_asof_join,
     scan_stats,
+    shared_keys,
 )
 from ..functions.contract import TypeContractError, check_types
 from ..functions.timeutil import Micros, to_micros
@@ -137,7 +140,10 @@ def historical_features(
     """Every entity row with the as-of value of each requested feature.
 
     ``entity`` is a DataFrame, SQL text or pandas frame.  Views that share a
-    key set run in one scan (one shuffle).  Different key sets are folded, each
+    key set run in one scan (one shuffle).  Where one key set is part of all
+    others (``[shop]`` and ``[shop, item]``), one shuffle by its keys serves the
+    scans of all, unless too many rows share such a key (or
+    ``hot_key_rows=None``: nothing is known).  Other key sets are folded, each
     scan carrying the entity row and the features found so far, while that row
     is hardly wider than a row number.  A wider entity is written once to the
     shared folder with a row number; each key set then scans keys, time and
@@ -219,18 +225,25 @@ def historical_features(
     # hot keys and key lists of every key set, found on the original entity rows
     if hot_key_rows is not None or any(not keys for keys, _ in ready):
         by_row = len(ready) > 1 and shared_folder(spark) is not None and _is_wide(ent, ets, ready)
-        if by_row:  # read from its files, column by column, from now on
-            row = _row_name(ent)
-            ent_rows, _ = written(ent.withColumn(row, F.monotonically_increasing_id()), "entity")
+        row, ent_rows = _row_name(ent), None
+        shared = shared_keys(ent, ets, ready) if hot_key_rows is not None else None
+        if by_row and not (shared and _same_when_reread(ent)):  # read from its files, column by column, from now on
+            ent_rows = _numbered(ent, row)
             ent = ent_rows.drop(row)
-        look = scan_stats(spark, ent, ets, ready, hot_key_rows, given)
+        look = scan_stats(spark, ent, ets, ready, hot_key_rows, given, shared=shared)
+        if look.one_shuffle:
+            by_row = False
+        elif by_row and ent_rows is None:
+            ent_rows = _numbered(ent, row)
         stats = [(look.bounds, h, few) for h, few in zip(look.hot, look.few_keys)]
         ready = [(keys, sources) for (keys, _), sources in zip(ready, look.sources)]
     else:
         bounds = given or entity_time_range(ent, ets)
         stats = [(bounds if bounds[1] is not None else _NO_TIMES, None, None)] * len(ready)
-        by_row = False
-    if by_row:
+        by_row, look = False, None
+    if look is not None and look.one_shuffle:
+        out = nested_asof_join(ent, ets, shared, ready, look.bounds, look.few_keys)
+    elif by_row:
         out = ent_rows
         for (keys, sources), st, distinct in zip(ready, stats, look.distinct):
             out = out.join(_found_by_row(ent_rows, row, ets, keys, sources, st, distinct * 2 < look.rows), row)
@@ -263,6 +276,16 @@ def _is_wide(ent: DataFrame, ets: str, groups) -> bool:
     return sum(f.dataType().defaultSize() for f in sizes if f.name() not in needed) > CARRIED_BYTES
 
 
+def _same_when_reread(ent: DataFrame) -> bool:
+    """Whether the entity is cheap to read more than once, and the same rows each time."""
+    return cheap_to_reread(ent) and ent._jdf.queryExecution().optimizedPlan().deterministic()
+
+
+def _numbered(ent: DataFrame, row: str) -> DataFrame:
+    """The entity written once to the shared folder, with a row number."""
+    return written(ent.withColumn(row, F.monotonically_increasing_id()), "entity")[0]
+
+
 def _row_name(ent: DataFrame) -> str:
     name = "entity_row"
     while column_named(ent, name):

@@ -46,7 +46,7 @@ def written(df: DataFrame, name: str, seen: Observation | None = None, *figures:
     """
     spark = df.sparkSession
     path = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    (df.observe(seen, *figures) if seen is not None else df).write.parquet(path)
+    (df.observe(seen, *figures) if seen is not None else df).write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), dict(seen.get) if seen is not None else {}
 
 
