@@ -963,7 +963,7 @@ def asof_join(
 def shared_keys(entity: DataFrame, entity_ts: str, groups) -> list | None:
     """The smallest key set where every other one contains it and :func:`nested_asof_join` can run them all, or None."""
     types = [_check(entity, entity_ts, keys, sources) for keys, sources in groups]
-    keys = min((keys for keys, _ in groups), key=len)
+    keys = min((keys for keys, _ in groups), key=len, default=[])
     if len(groups) < 2 or not keys or any(not set(keys) <= set(ks) for ks, _ in groups):
         return None
     every = {k: t for ts in types for k, t in ts.items()}
