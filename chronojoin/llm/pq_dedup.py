@@ -3,9 +3,11 @@
 Distinct unit vectors are put into coarse inverted lists; the residual to the
 list's centroid is coded in subspaces.  A vector probes every lower-numbered list
 whose bisector lies within the length of the longest link.  Inside a list the asymmetric
-distance of a probing vector to each code comes from a lookup table; with the
-length of what the code leaves out it bounds the true distance from below, so
-the filter loses nothing, and what passes is decided by the exact cosine.
+distances of the probing vectors to the codes, looked up in the codebooks, are one
+matrix product; with the length of what the code leaves out they bound the true
+distance from below, so the filter loses nothing, and what passes is decided by
+the exact cosine.  Neighbouring lists share a shelf, and a vector is sent once to
+each shelf with a list that it probes, not once to each list.
 """
 
 from __future__ import annotations
@@ -16,13 +18,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import bounded_sample, drop_stored, stored, table
 from .graph import connected_components
 from .vectors import as_matrix, cosine, kmeans, meetings, scaled, square_distances, unit, usable
 
 SAMPLE = 20_000
-BLOCK = 2_048
+# rows of a shelf and of a block of queries: at most BLOCK and BLOCK_BYTES of numbers; fewer of small tables, to keep cores busy
+BLOCK = 32_768
+BLOCK_BYTES = 16 << 20
 MAX_LISTS = 2_048
 
 
@@ -34,6 +39,7 @@ class Quantiser:
         self.radius = radius
         self.coarse = kmeans(x, lists)
         near = square_distances(x, self.coarse).argmin(1)
+        self.share = np.bincount(near, minlength=len(self.coarse)) / len(x)
         rest = x - self.coarse[near]
         self.cuts = np.linspace(0, self.dim, min(parts, self.dim) + 1).astype(int)
         self.books = [kmeans(rest[:, a:b], codes) for a, b in zip(self.cuts, self.cuts[1:])]
@@ -46,10 +52,22 @@ class Quantiser:
         """Distances of the centroids of every two lists."""
         return np.sqrt(square_distances(self.coarse, self.coarse))
 
+    def shelves(self, n: int, rows: int) -> np.ndarray:
+        """The shelf of every list: lists that follow each other, about ``rows`` of ``n`` vectors by the sample's shares."""
+        before = np.cumsum(self.share) - self.share
+        return (before * n / rows + 1e-9).astype(np.int64)
+
+    def probes(self, x: np.ndarray, home: np.ndarray, lists: np.ndarray) -> np.ndarray:
+        """rows x lists: whether a row looks into the list, its own one or a lower-numbered one that may hold a link."""
+        own = x - self.coarse[home]
+        d = square_distances(x, self.coarse[lists]) - np.einsum("ij,ij->i", own, own)[:, None]
+        # a link no longer than the radius crosses a bisector only from within the radius of it; the slack is for rounding
+        near = d <= 2.0 * self.between[:, lists][home] * self.radius + 1e-6
+        return (near & (lists[None, :] < home[:, None])) | (lists[None, :] == home[:, None])
+
     def encode(self, x: np.ndarray):
         """List, codes, length of what the code leaves out, and the mask of probed lists of every row."""
-        d = square_distances(x, self.coarse)
-        home = d.argmin(1)
+        home = square_distances(x, self.coarse).argmin(1)
         rest = x - self.coarse[home]
         codes = np.empty((len(x), len(self.books)), np.uint8)
         left = np.zeros(len(x))
@@ -57,75 +75,79 @@ class Quantiser:
             dm = square_distances(rest[:, a:b], self.books[m])
             codes[:, m] = dm.argmin(1)
             left += dm.min(1)
-        # a link no longer than the radius crosses a bisector only from within the radius of it; the slack is for rounding
-        near = d - d[np.arange(len(x)), home][:, None] <= 2.0 * self.between[home] * self.radius + 1e-6
-        probes = near & (np.arange(len(self.coarse))[None, :] < home[:, None])
-        probes[np.arange(len(x)), home] = True
-        return home, codes, np.sqrt(left), probes
-
-    def tables(self, x: np.ndarray, at: int) -> np.ndarray:
-        """rows x parts x codes: squared distances of the parts of x (less centroid ``at``) to the codes."""
-        rest = x - self.coarse[at]
-        out = np.zeros((len(x), len(self.books), 256))
+        return home, codes, np.sqrt(left), self.probes(x, home, np.arange(len(self.coarse)))
+
+    def decode(self, home: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """What the codes stand for: the centroids of the lists and the codewords of all subspaces."""
+        out = self.coarse[home]
         for m, (a, b) in enumerate(zip(self.cuts, self.cuts[1:])):
-            out[:, m, : len(self.books[m])] = square_distances(rest[:, a:b], self.books[m])
+            out[:, a:b] += self.books[m][codes[:, m]]
         return out
 
 
-_ROW = "id long, key long, home long, n long, size int, vec binary, codes binary, beyond double"
+_ROW = "id long, shelf long, reach array<long>, home long, n long, size int, vec binary, codes binary, beyond double"
 
 
-def _links(quantiser: Quantiser, threshold: float):
+def _links(quantiser: Quantiser, threshold: float, kind: str):
     """Grouped function: (kind, id, other, n): links counted for each vector, and a spanning set of the links."""
 
+    def vectors(pdf):
+        return scaled(np.frombuffer(b"".join(pdf["vec"]), kind).reshape(len(pdf), -1).astype(np.float64))
+
     def run(key, pdf):
-        at = int(key[0])
         e, q = pdf[pdf["role"] == 0], pdf[pdf["role"] == 1]
-        out = []
+        eid, qid = e["id"].to_numpy(), q["id"].to_numpy()
+        e_links, q_links, edges = np.zeros(len(e), np.int64), np.zeros(len(q), np.int64), []
         if len(e) and len(q):
-            given_e = np.frombuffer(b"".join(e["vec"]), "<f8").reshape(len(e), -1)
-            given_q = np.frombuffer(b"".join(q["vec"]), "<f8").reshape(len(q), -1)
+            given_e, given_q = vectors(e), vectors(q)
             ex, qx = unit(given_e), unit(given_q)
-            codes = np.frombuffer(b"".join(e["codes"]), np.uint8).reshape(len(e), -1)
-            beyond = e["beyond"].to_numpy()
-            eid, qid = e["id"].to_numpy(), q["id"].to_numpy()
+            eh, qh = e["home"].to_numpy(), q["home"].to_numpy()
             en, qn = e["n"].to_numpy(), q["n"].to_numpy()
             es, qs = e["size"].to_numpy(), q["size"].to_numpy()
-            homely = q["home"].to_numpy() == at
-            limit = (quantiser.radius + beyond + 1e-7) ** 2
-            for a in range(0, len(q), 256):
-                b = min(a + 256, len(q))
-                lut = quantiser.tables(qx[a:b], at)
-                adc = np.zeros((b - a, len(e)))
-                for m in range(codes.shape[1]):
-                    adc += lut[:, m, :][:, codes[:, m]]
-                ok = (adc <= limit[None, :]) & (qs[a:b, None] == es[None, :])
-                # inside the home list each pair is met twice: once as (smaller, larger)
-                ok &= ~homely[a:b, None] | (qid[a:b, None] < eid[None, :])
-                i, j = np.nonzero(ok)
-                keep = [np.zeros(0, bool)]
-                for c in range(0, len(i), 50_000):
-                    s = slice(c, c + 50_000)
-                    near = np.einsum("ij,ij->i", qx[a + i[s]], ex[j[s]])
-                    keep.append(near >= threshold)
-                    # so close to the threshold the cosine of the vectors as given decides, not that of their rounded units
-                    for t in np.flatnonzero(np.abs(near - threshold) < 1e-12):
-                        keep[-1][t] = cosine(given_q[a + i[s][t]], given_e[j[s][t]]) >= threshold
-                keep = np.concatenate(keep)
-                i, j = i[keep] + a, j[keep]
-                if len(i):
-                    out.append(_counted(qid, i, en[j]))
-                    out.append(_counted(eid, j, qn[i]))
-                    out.append(_forest(qid[i], eid[j]))
-        if not out:
+            shown = quantiser.decode(eh, np.frombuffer(b"".join(e["codes"]), np.uint8).reshape(len(e), -1))
+            lengths = np.einsum("ij,ij->i", shown, shown)
+            # |q - y|^2 = 1 + |y|^2 - 2 q.y <= limit; single precision is right to within the slack
+            limit = (quantiser.radius + e["beyond"].to_numpy() + 1e-7) ** 2
+            slack = 4 * (quantiser.dim + 8) * float(np.finfo(np.float32).eps) * (1 + np.sqrt(lengths)) ** 2
+            least = ((1 + lengths - limit - slack) / 2).astype(np.float32)
+            q32, e32 = qx.astype(np.float32), shown.astype(np.float32)
+            lists = np.unique(eh)
+            asked = quantiser.probes(qx, qh, lists)
+            for at, probing in zip(lists, asked.T):
+                mine, theirs = np.flatnonzero(eh == at), np.flatnonzero(probing)
+                for j0 in range(0, len(mine), 2_048):
+                    js = mine[j0 : j0 + 2_048]
+                    own = np.ascontiguousarray(e32[js].T)
+                    for i0 in range(0, len(theirs), 512):
+                        rows = theirs[i0 : i0 + 512]
+                        i, j = np.divmod(np.flatnonzero(q32[rows] @ own >= least[js]), len(js))
+                        i, j = rows[i], js[j]
+                        # inside the home list each pair is met twice: once as (smaller, larger)
+                        ok = (qs[i] == es[j]) & ((qh[i] != at) | (qid[i] < eid[j]))
+                        i, j = i[ok], j[ok]
+                        keep = [np.zeros(0, bool)]
+                        for c in range(0, len(i), 50_000):
+                            s = slice(c, c + 50_000)
+                            near = np.einsum("ij,ij->i", qx[i[s]], ex[j[s]])
+                            keep.append(near >= threshold)
+                            # so close to the threshold the cosine of the vectors as given decides, not that of their rounded units
+                            for t in np.flatnonzero(np.abs(near - threshold) < 1e-12):
+                                keep[-1][t] = cosine(given_q[i[s][t]], given_e[j[s][t]]) >= threshold
+                        keep = np.concatenate(keep)
+                        i, j = i[keep], j[keep]
+                        if len(i):
+                            q_links += np.bincount(i, weights=en[j], minlength=len(q)).astype(np.int64)
+                            e_links += np.bincount(j, weights=qn[i], minlength=len(e)).astype(np.int64)
+                            edges.append(_forest(qid[i], eid[j]))
+        if not edges:
             return pd.DataFrame({"kind": [], "id": [], "other": [], "n": []}, dtype="int64")
-        return pd.concat(out, ignore_index=True)
+        edges = pd.concat(edges)
+        return pd.concat([_counted(qid, q_links), _counted(eid, e_links), _forest(edges["id"].to_numpy(), edges["other"].to_numpy())], ignore_index=True)
 
     return run
 
 
-def _counted(ids, at, n) -> pd.DataFrame:
-    total = np.bincount(at, weights=n, minlength=len(ids)).astype(np.int64)
+def _counted(ids, total) -> pd.DataFrame:
     some = np.flatnonzero(total)
     return pd.DataFrame({"kind": 0, "id": ids[some], "other": 0, "n": total[some]})
 
@@ -190,27 +212,39 @@ def near_duplicates(
     k = lists or int(min(MAX_LISTS, max(8, np.sqrt(total["n"]) / 2)))
     quantiser = Quantiser(x, k, float(np.sqrt(max(2.0 - 2.0 * threshold, 0.0))))
 
+    rows_a_block = min(BLOCK, max(2_048, total["n"] // 16), max(256, BLOCK_BYTES // (8 * dim)))
+    shelf = quantiser.shelves(total["n"], rows_a_block)
+    # numbers of single precision travel as such
+    element = vectors.select(vec_col).schema[0].dataType.elementType
+    kind = "<f4" if isinstance(element, T.FloatType) else "<f8"
+
     def coded(batches):
+        first = np.flatnonzero(np.diff(shelf, prepend=-1))
         for pdf in (whole.iloc[a : a + 1024] for whole in batches for a in range(0, len(whole), 1024)):
-            given = scaled(as_matrix(pdf["v"], dim))
+            given = as_matrix(pdf["v"], dim)
             home, codes, beyond, probes = quantiser.encode(unit(given))
-            at, to = np.nonzero(probes)
-            cols = {
-                "id": pdf["id"].to_numpy(),
-                "home": home,
-                "n": pdf["n"].to_numpy(),
-                "size": pdf["v"].map(len).to_numpy(),
-                "vec": [r.tobytes() for r in given],
-                "codes": [r.tobytes() for r in codes],
-                "beyond": beyond,
-            }
-            out = pd.DataFrame(cols).iloc[at].assign(key=to)
-            yield out[["id", "key", "home", "n", "size", "vec", "codes", "beyond"]]
+            reach = np.logical_or.reduceat(probes, first, axis=1)
+            yield pd.DataFrame(
+                {
+                    "id": pdf["id"].to_numpy(),
+                    "shelf": shelf[home],
+                    "reach": [shelf[first[r]] for r in reach],
+                    "home": home,
+                    "n": pdf["n"].to_numpy(),
+                    "size": pdf["v"].map(len).to_numpy(),
+                    "vec": [r.tobytes() for r in given.astype(kind)],
+                    "codes": [r.tobytes() for r in codes],
+                    "beyond": beyond,
+                }
+            )
 
     index = stored(distinct.select("id", "v", "n").mapInPandas(coded, _ROW), "pq-index")
+    rest = ["id", "home", "n", "size", "vec", "codes", "beyond"]
+    entries = index.select(F.col("shelf").alias("key"), *rest)
+    queries = index.select(F.explode("reach").alias("key"), *rest)
     found = stored(
-        meetings(index.filter("key = home"), index, BLOCK).applyInPandas(
-            _links(quantiser, threshold), "kind long, id long, other long, n long"
+        meetings(entries, queries, rows_a_block).applyInPandas(
+            _links(quantiser, threshold, kind), "kind long, id long, other long, n long"
         ),
         "pq-links",
     )
