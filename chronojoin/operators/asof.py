@@ -103,6 +103,7 @@ _P = "__cj_"
 _T, _TU, _SIDE, _B, _E = _P + "t", _P + "tu", _P + "side", _P + "b", _P + "e"
 _F_TS, _F_C = _P + "ts", _P + "c"
 _G, _H = _P + "g", _P + "h"
+_J, _APART = _P + "j", _P + "apart"
 
 _AUTO = "auto"
 
@@ -431,13 +432,13 @@ def _without_old_history(rows: DataFrame, s: AsOfSource, i: int, keys, ets_type,
     return out
 
 
-def _order_key(s: AsOfSource, i: int, schema: T.StructType) -> Column | None:
+def _order_key(s: AsOfSource, i: int, schema: T.StructType, f: Column | None = None) -> Column | None:
     """Sort key of view ``i``'s rows among equal times: created, then tie-break / features.
 
     None when the payload struct itself sorts that way (all features orderable,
-    no explicit tie-break).
+    no explicit tie-break).  ``f``: the payload, where it is not the scan's own.
     """
-    f = F.col(f"{_P}f{i}")
+    f = F.col(f"{_P}f{i}") if f is None else f
     names = s.out_names()
     if s.tie_break:
         fmap = dict(zip(s.features, names))
@@ -525,21 +526,29 @@ def _range_created_max(entity, entity_ts, keys, types, s, i, ets_type, bounds, h
 _T0 = _P + "t0"
 
 
-def _with_probes(u0: DataFrame, keys, sources, fused, ets_type) -> DataFrame:
-    """Scan rows with a probe at ``t - ttl`` for each entity row that can match and each view of ``fused``.
-
-    ``_t0`` is the entity time a row asks for, ``_w<i>`` the stretch of width ttl it lies in.
-    """
+def _with_probes(u0: DataFrame, keys, sources, fused) -> DataFrame:
+    """Scan rows with a probe at ``t - ttl`` for each entity row that can match and each view of ``fused``."""
     asks = (F.col(_SIDE) == 1) & F.col(_T).isNotNull()
     for k in keys:
         asks = asks & _c(k).isNotNull()
-    u = u0.withColumn(_T0, F.when(F.col(_SIDE) == 1, F.col(_T)))
-    entities = u0.filter(asks).select(*[_c(k) for k in keys], _B, F.col(_T).alias(_T0))
+    # from the same read of the entity, which in a fold is the previous scan
+    sides = F.when(asks, F.array(F.lit(1), *[F.lit(2 + i) for i in fused])).otherwise(F.array(F.col(_SIDE)))
+    u = u0.withColumn(_SIDE, F.explode(sides))
+    at = F.col(_T)
     for i in fused:
-        back = entities.withColumn(_T, F.col(_T0) - seconds_interval(sources[i].ttl_seconds)).withColumn(_SIDE, F.lit(2 + i))
-        u = u.unionByName(back, allowMissingColumns=True)
+        at = F.when(F.col(_SIDE) == 2 + i, F.col(_T) - seconds_interval(sources[i].ttl_seconds)).otherwise(at)
+    return u.withColumns({_T: at, _E: F.when(F.col(_SIDE) < 2, F.col(_E))})
+
+
+def _asked(u: DataFrame, sources, fused, ets_type) -> DataFrame:
+    """``_t0``, the entity time a row asks for, and ``_w<i>``, the stretch of width ttl a row lies in."""
+    if not fused:
+        return u
+    t0 = F.when(F.col(_SIDE) == 1, F.col(_T))
+    for i in fused:
+        t0 = F.when(F.col(_SIDE) == 2 + i, F.col(_T) + seconds_interval(sources[i].ttl_seconds)).otherwise(t0)
     us = epoch_micros(F.col(_T), ets_type)
-    return u.withColumns({f"{_P}w{i}": _floor_div(us, sources[i].ttl_seconds * 1_000_000) for i in fused})
+    return u.withColumns({_T0: t0, **{f"{_P}w{i}": _floor_div(us, sources[i].ttl_seconds * 1_000_000) for i in fused}})
 
 
 def _window_maxima(sources, fused, part) -> list:
@@ -573,6 +582,14 @@ def _greatest_payload(f: Column, order: Column | None) -> Column:
     return F.max_by(f, F.when(f.isNotNull(), F.struct(f[_F_TS].alias("t"), order.alias("o"))))
 
 
+def _greater_payload(a: Column, b: Column, key) -> Column:
+    """The payload with the greatest (event time, order key) of two, either of which may be NULL; ``key``: payload -> order key."""
+    if key(a) is None:
+        return F.greatest(a, b)
+    of = [F.struct(f[_F_TS].alias("t"), key(f).alias("o")) for f in (a, b)]
+    return F.when(b.isNull() | (of[0] >= of[1]), a).otherwise(b)
+
+
 def _key_hash(keys) -> Column:
     """64-bit hash of the key columns (a constant for a view without keys)."""
     return F.xxhash64(*[_c(k) for k in keys]) if keys else F.lit(0).cast("long")
@@ -599,6 +616,7 @@ class ScanStats:
     rows: int  # entity rows
     distinct: list  # for each scan: about how many different (keys, time) the entity has
     one_shuffle: bool = False  # dealt by the shared keys no task gets too much, see nested_asof_join
+    tiers: list = field(default_factory=list)  # for each scan: (whether keys are dealt apart, whether keys are split in their task)
 
 
 _FEW_ROWS = 1_000
@@ -620,8 +638,12 @@ def _kept(df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, df.schema)
 
 
-def _hot_keys(entity, entity_ts, groups, types, hot_key_rows: int | None, bounds, most: list) -> list:
-    """The table of keys to split of each scan (None: no such key); ``most``: rows of each scan where known, else None."""
+def _hot_keys(entity, entity_ts, groups, types, hot_key_rows: int | None, bounds, most: list) -> tuple[list, list]:
+    """(table, tiers) of the keys to split of each scan (None: no such key); ``most``: rows of each scan where known, else None.
+
+    Keys that have a task's share of all rows of such keys, or more, are marked
+    (``_APART``): their buckets go to tasks of their own.
+    """
     spark = entity.sparkSession
     ets_type = entity.schema[entity_ts].dataType
     wanted = [
@@ -629,8 +651,9 @@ def _hot_keys(entity, entity_ts, groups, types, hot_key_rows: int | None, bounds
         for g, (keys, _) in enumerate(groups)
         if not keys or (hot_key_rows is not None and (most[g] is None or most[g] > hot_key_rows))
     ]
+    none = [None] * len(groups), [(False, False)] * len(groups)
     if not wanted:
-        return [None] * len(groups)
+        return none
     rows = float(hot_key_rows or DEFAULT_HOT_KEY_ROWS)
     parts = []
     for g in wanted:
@@ -651,20 +674,25 @@ def _hot_keys(entity, entity_ts, groups, types, hot_key_rows: int | None, bounds
         u = u.unionByName(p)
     keyless = [g for g in wanted if not groups[g][0]]
     n_b = F.ceil(F.col("n") / F.lit(rows))
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if keyless:
-        spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
         n_b = F.when(F.col(_G).isin(keyless), F.greatest(n_b, F.lit(spread))).otherwise(n_b)
     counted = u.groupBy(_G, _H).agg(F.sum("w").cast("long").alias("n"), F.count(F.lit(1)).alias("s"))
     found = counted.withColumn("nb", F.least(n_b, F.lit(QUANTILES)).cast("int")).filter(F.col("nb") > 1)
     found = _kept(found)
-    some = {(r[_G], r["big"]) for r in found.select(_G, _sampled_much().alias("big")).distinct().collect()}
+    share = F.lit(None).cast("double")
+    for r in found.groupBy(_G).agg(F.sum("n").alias("all")).collect():
+        share = F.when(F.col(_G) == r[_G], F.lit(r["all"] / spread)).otherwise(share)
+    found = found.withColumn(_APART, F.col(_G).isin(keyless) | (F.col("n") >= share))
+    some = {tuple(r) for r in found.select(_G, _sampled_much(), _APART).distinct().collect()}
     if not some:
-        return [None] * len(groups)
-    spots = [f(u, found) for f, big in ((_sorted_edges, False), (_summed_edges, True)) if any(b is big for _, b in some)]
+        return none
+    spots = [f(u, found) for f, big in ((_sorted_edges, False), (_summed_edges, True)) if any(b is big for _, b, _ in some)]
     spots = spots[0].unionByName(spots[1]) if len(spots) > 1 else spots[0]
     spots = _kept(spots.withColumn(_P + "steps", F.slice(F.array(*[F.lit(1 << p) for p in reversed(range(_LEVELS))]), -_bits(F.size(_P + "edges")), _LEVELS)))
-    split = {g for g, _ in some}
-    return [spots.filter(F.col(_G) == g).drop(_G) if g in split else None for g in range(len(groups))]
+    split = {g for g, _, _ in some}
+    tiers = [tuple(any(h == g and a is apart for h, _, a in some) for apart in (True, False)) for g in range(len(groups))]
+    return [spots.filter(F.col(_G) == g).drop(_G) if g in split else None for g in range(len(groups))], tiers
 
 
 _LEVELS = QUANTILES.bit_length() - 1
@@ -685,19 +713,19 @@ def _sorted_edges(u: DataFrame, found: DataFrame) -> DataFrame:
     The work and the table grow with the rows and buckets of the keys, however many keys there are.
     """
     place = Window.partitionBy(_G, _H).orderBy(_TU)
-    some = u.select(_G, _H, _TU).join(found.filter(~_sampled_much()).select(_G, _H, "s", "nb"), [_G, _H])
+    some = u.select(_G, _H, _TU).join(found.filter(~_sampled_much()).select(_G, _H, "s", "nb", _APART), [_G, _H])
     some = some.withColumn("i", F.row_number().over(place) - 1)
     # the first row of each of nb even parts but the first
     part = [F.floor(i * F.col("nb") / F.col("s")) for i in (F.col("i"), F.col("i") - 1)]
     some = some.filter((F.col("i") > 0) & (part[0] > part[1]))
-    return some.groupBy(_G, _H).agg(F.array_sort(F.collect_set(_TU)).alias(_P + "edges"))
+    return some.groupBy(_G, _H).agg(F.array_sort(F.collect_set(_TU)).alias(_P + "edges"), F.first(_APART).alias(_APART))
 
 
 def _summed_edges(u: DataFrame, found: DataFrame) -> DataFrame:
     """Edges of keys with many sampled rows, at most one in ``SORTED_ROWS``: from partial summaries, without a key in one task."""
-    big = found.filter(_sampled_much()).select(_G, _H, "nb")
+    big = found.filter(_sampled_much()).select(_G, _H, "nb", _APART)
     spots = u.select(_G, _H, _TU).join(F.broadcast(big), [_G, _H]).groupBy(_G, _H).agg(
-        F.first("nb").alias("nb"), F.expr(f"percentile_approx({_TU}, array({_GRID}), 20000)").alias("q")
+        F.first("nb").alias("nb"), F.first(_APART).alias(_APART), F.expr(f"percentile_approx({_TU}, array({_GRID}), 20000)").alias("q")
     )
     edges = F.array_distinct(
         F.transform(
@@ -705,7 +733,7 @@ def _summed_edges(u: DataFrame, found: DataFrame) -> DataFrame:
             lambda j: F.element_at("q", F.greatest(F.lit(1), F.floor(j * QUANTILES / F.col("nb")).cast("int"))),
         )
     )
-    return spots.select(_G, _H, edges.alias(_P + "edges"))
+    return spots.select(_G, _H, edges.alias(_P + "edges"), _APART)
 
 
 def _bucket_of(us: Column) -> Column:
@@ -775,15 +803,15 @@ def scan_stats(
             few[g] = _bitmap_if_worth(spark, entity, keys, types[g], row[f"k{g}"], out, own_keys, ets_type, bounds, limit)
         ready.append(out)
         most.append(known)
-    hot = _hot_keys(entity, entity_ts, [(keys, out) for (keys, _), out in zip(groups, ready)], types, hot_key_rows, bounds, most)
+    hot, tiers = _hot_keys(entity, entity_ts, [(keys, out) for (keys, _), out in zip(groups, ready)], types, hot_key_rows, bounds, most)
     log.info("as-of scans: %d with keys split by time", sum(h is not None for h in hot))
     one_shuffle = False
     if shared and all(h is None for h in hot):
         known = None if None in most else sum(most) - row["n"] * (len(groups) - 1)
         every = [(shared, [s for out in ready for s in out])]
-        one_shuffle = _hot_keys(entity, entity_ts, every, types, hot_key_rows, bounds, [known])[0] is None
+        one_shuffle = _hot_keys(entity, entity_ts, every, types, hot_key_rows, bounds, [known])[0][0] is None
     distinct = [row[f"d{g}"] if len(groups) > 1 else row["n"] for g in range(len(groups))]
-    return ScanStats(bounds, hot, few, ready, row["n"], distinct, one_shuffle)
+    return ScanStats(bounds, hot, few, ready, row["n"], distinct, one_shuffle, tiers)
 
 
 def _key_bytes(types: dict) -> Column:
@@ -830,7 +858,7 @@ def asof_join(
     ``bounds`` (times, text or :class:`Micros`) are the entity time range where
     the caller knows it.  With ``hot_key_rows=None`` nothing is read ahead of the
     scan then and the bounds are trusted: too narrow ones lose matches.
-    ``stats``: (bounds, hot table, key list) of a caller that has looked at the
+    ``stats``: (bounds, hot table, key list, tiers) of a caller that has looked at the
     data already (:func:`scan_stats`; a fold does it once for all key sets).
     """
     entity_ts, keys, sources = _resolved(entity, entity_ts, keys, sources)
@@ -846,12 +874,12 @@ def asof_join(
     if bounds is not None:
         bounds = tuple(to_micros(spark, b, ets_type) for b in bounds)
     if stats is not None:
-        bounds, hot, few = stats
+        bounds, hot, few, tiers = stats
     elif hot_key_rows is not None or not keys:
         found = scan_stats(spark, entity, entity_ts, [(keys, sources)], hot_key_rows, bounds, prune)
-        bounds, hot, few, sources = found.bounds, found.hot[0], found.few_keys[0], found.sources[0]
+        bounds, hot, few, tiers, sources = found.bounds, found.hot[0], found.few_keys[0], found.tiers[0], found.sources[0]
     else:
-        hot = few = None
+        hot, few, tiers = None, None, (False, False)
         if bounds is None:
             bounds = (None, None)
             if prune:
@@ -874,13 +902,15 @@ def asof_join(
 
     orders = [_order_key(s, i, u0.schema) for i, s in enumerate(sources)]
 
-    part = [*keys, _B]
-    u0 = _bucketed(u0, hot, keys, sources, fcols, orders, ets_type)
-    # the greatest created time of a TTL window: in this very scan where no key is split
+    # the greatest created time of a TTL window: in this very scan where all rows of a key meet in one task
+    apart, near = tiers
     windowed = [i for i, s in enumerate(sources) if s.created_rule == "independent_max" and s.created_ts and s.ttl_seconds > 0]
-    fused = windowed if hot is None else []
+    fused = [] if apart else windowed
     if fused:
-        u0 = _with_probes(u0, keys, sources, fused, ets_type)
+        u0 = _with_probes(u0, keys, sources, fused)
+    u0 = _asked(_bucketed(u0, hot, keys, sources, fcols, orders, ets_type, tiers), sources, fused, ets_type)
+    together = [_J, *keys] if near else [*keys, _B]
+    part = [*together, _B] if near else together
 
     # Step 2: the scan.
     # A RANGE frame up to the current row includes its peers, so the frame of
@@ -889,7 +919,7 @@ def asof_join(
     # payload (event time, created, features) among them is the winner.  All
     # frames below share this one sort order: one sort, one Window operator.
     # (a stretch of time before the time itself changes no order, and is the sort of the window maximum)
-    stretch = [F.col(f"{_P}w{i}").asc_nulls_first() for i in fused[:1]]
+    stretch = [F.col(f"{_P}w{i}").asc_nulls_first() for i in fused[:1] if not near]
     w = (
         Window.partitionBy(*[_c(c) for c in part])
         .orderBy(*stretch, F.col(_T).asc_nulls_first())
@@ -903,11 +933,13 @@ def asof_join(
         if s.created_rule == "independent_max" and s.created_ts and s.ttl_seconds == 0:
             # greatest created time of all source rows at or before t: same running frame
             cvals = f[_F_C]
-            if hot is not None:
+            if apart:
                 cvals = F.greatest(cvals, F.col(f"{_P}cm{i}"))
             extra.append(F.max(cvals).over(w).alias(f"{_P}mc{i}"))
-    scanned = u0.select(*scanned_cols, *extra, *_window_maxima(sources, fused, part))
-    scanned = _maxima_at_entities(scanned, fused, part).filter(F.col(_SIDE) == 1)
+    scanned = u0.select(*scanned_cols, *extra, *_window_maxima(sources, fused, together))
+    if near:
+        scanned = _with_earlier_buckets(scanned, together, sources, orders)
+    scanned = _maxima_at_entities(scanned, fused, together).filter(F.col(_SIDE) == 1)
 
     # Step 3: entity rows with their features.
     out_cols = []
@@ -1059,8 +1091,27 @@ def _fan_out_ties(result: DataFrame, s: AsOfSource, i: int, keys, types, ets_typ
     return joined.drop(*drop)
 
 
-def _bucketed(u0: DataFrame, hot: DataFrame | None, keys, sources, fcols, orders, ets_type) -> DataFrame:
-    """Add the bucket column, and carry rows for hot keys."""
+def _with_earlier_buckets(scanned: DataFrame, together, sources, orders) -> DataFrame:
+    """Winners within the buckets -> winners: what is carried from the earlier buckets of a key whose buckets lie in one task."""
+    before = Window.partitionBy(*[_c(c) for c in together]).orderBy(_B).rangeBetween(Window.unboundedPreceding, -1)
+    carried, winners = {}, {}
+    for i, s in enumerate(sources):
+        f = f"{_P}f{i}"
+        carried[f"{_P}y{i}"] = _greatest_payload(F.col(f), orders[i]).over(before)
+        winners[f] = _greater_payload(F.col(f), F.col(f"{_P}y{i}"), lambda x, i=i, s=s: _order_key(s, i, scanned.schema, x))
+        if f"{_P}mc{i}" in scanned.columns:
+            carried[f"{_P}my{i}"] = F.max(f"{_P}mc{i}").over(before)
+            winners[f"{_P}mc{i}"] = F.greatest(f"{_P}mc{i}", f"{_P}my{i}")
+    return scanned.withColumns(carried).withColumns(winners).drop(*carried)
+
+
+def _bucketed(u0: DataFrame, hot: DataFrame | None, keys, sources, fcols, orders, ets_type, tiers=(False, False)) -> DataFrame:
+    """Add the bucket column, and carry rows for keys whose buckets are dealt apart.
+
+    Other keys to split have less than a task's share of the rows: theirs are
+    dealt once, by ``_J``, to one task, find their edges there and take what is
+    carried from there too (:func:`_with_earlier_buckets`).
+    """
     # entity rows that cannot match need no scan: spread, below all buckets
     nowhere = (F.col(_SIDE) == 1) & F.col(_T).isNull()
     for k in keys:
@@ -1070,13 +1121,32 @@ def _bucketed(u0: DataFrame, hot: DataFrame | None, keys, sources, fcols, orders
     spread = -1 - F.pmod(row, F.lit(4096))
     if hot is None:
         return u0.withColumn(_B, F.when(nowhere, spread).otherwise(F.lit(0).cast("long")))
+    apart, near = tiers
+    u = u0
+    if apart:
+        u = _dealt_apart(u, hot.filter(_APART).drop(_APART), keys, sources, fcols, orders, nowhere, spread, ets_type)
+    if not near:
+        return u.drop(_APART)
+    deal = _key_hash(keys)
+    if apart:
+        deal = F.when(F.col(_APART), F.xxhash64(deal, F.col(_B))).otherwise(deal)
+    deal = F.when(nowhere, row).otherwise(deal)
+    # what can be computed from a row is not shuffled with it
+    u = u.repartition(deal).withColumn(_J, deal)
+    u = u.join(hot.filter(~F.col(_APART)).drop(_APART).withColumnRenamed(_H, _J), on=_J, how="left")
+    bucket = F.when(F.col(_P + "edges").isNotNull(), _bucket_of(epoch_micros(F.col(_T), ets_type))).otherwise(F.lit(0).cast("long"))
+    if apart:
+        bucket = F.when(F.col(_APART), F.col(_B)).otherwise(bucket)
+    return u.withColumn(_B, F.when(nowhere, spread).otherwise(bucket)).drop(_APART, _P + "edges", _P + "steps")
+
+
+def _dealt_apart(u: DataFrame, hot: DataFrame, keys, sources, fcols, orders, nowhere, spread, ets_type) -> DataFrame:
+    """Rows with the buckets of the keys of ``hot`` (marked ``_APART``), and the carry rows of these."""
     is_hot = F.col(_P + "edges").isNotNull()
-    u = u0.withColumn(_TU, epoch_micros(F.col(_T), ets_type))
-    u = u.withColumn(_H, _key_hash(keys)).join(hot, on=_H, how="left").drop(_H)
-    u = u.withColumn(
-        _B,
-        F.when(nowhere, spread).when(is_hot, _bucket_of(F.col(_TU))).otherwise(F.lit(0).cast("long")),
-    )
+    time = u.schema[_T].dataType
+    u = u.withColumn(_H, _key_hash(keys)).join(hot, on=_H, how="left").drop(_H).withColumn(_APART, is_hot)
+    bucket = F.when(is_hot, _bucket_of(epoch_micros(F.col(_T), ets_type))).otherwise(F.lit(0).cast("long"))
+    u = u.withColumn(_B, F.when(nowhere, spread).otherwise(bucket))
 
     # the greatest source row per (key, bucket) and view: partial top-1 before the shuffle.  Of the entity, which in a
     # fold is the previous scan, nothing is read: every later bucket of a key gets its carry row, asked for or not
@@ -1114,7 +1184,7 @@ def _bucketed(u0: DataFrame, hot: DataFrame | None, keys, sources, fcols, orders
         any_f = F.col(c).isNotNull() if any_f is None else any_f | F.col(c).isNotNull()
     carry = carry.filter(any_f).drop(f"{_P}m").withColumn(_SIDE, F.lit(0))
     # a carry row sorts first in its bucket (_t NULL, NULLs first)
-    carry = carry.withColumn(_T, F.lit(None).cast(u0.schema[_T].dataType))
+    carry = carry.withColumn(_T, F.lit(None).cast(time)).withColumn(_APART, F.lit(True))
 
     u = u.drop(_P + "edges", _P + "steps")
     return u.unionByName(carry, allowMissingColumns=True)

@@ -235,11 +235,11 @@ def historical_features(
             by_row = False
         elif by_row and ent_rows is None:
             ent_rows = _numbered(ent, row)
-        stats = [(look.bounds, h, few) for h, few in zip(look.hot, look.few_keys)]
+        stats = [(look.bounds, h, few, tiers) for h, few, tiers in zip(look.hot, look.few_keys, look.tiers)]
         ready = [(keys, sources) for (keys, _), sources in zip(ready, look.sources)]
     else:
         bounds = given or entity_time_range(ent, ets)
-        stats = [(bounds if bounds[1] is not None else _NO_TIMES, None, None)] * len(ready)
+        stats = [(bounds if bounds[1] is not None else _NO_TIMES, None, None, (False, False))] * len(ready)
         by_row, look = False, None
     if look is not None and look.one_shuffle:
         out = nested_asof_join(ent, ets, shared, ready, look.bounds, look.few_keys)
