@@ -33,7 +33,9 @@ so bunched history and outliers give buckets of about equal size (rows of one
 equal time stay together).  The window then partitions by ``(keys, _b)``.  To
 each (key, bucket) a *carry row* — the greatest source row of all earlier
 buckets — is added at the head of the bucket, so the scan stays exact whatever
-the estimate.  The source alone gives them: the entity, in a fold the previous
+the estimate.  Where such a key is small beside a task's share of the rows all its
+buckets go to one task in one shuffle, and what is carried is a window over them
+there, without rows of its own (:func:`_bucketed`).  The source alone gives them: the entity, in a fold the previous
 scan, is not read for them.  Carry rows come from a per-bucket top-1 (partial
 ``WindowGroupLimit`` before the shuffle) and a small window over buckets.  A
 view without keys is one key and always split.  Keys below the threshold keep
@@ -65,8 +67,8 @@ Created-time rules:
   NULL created time never match.  With a TTL the greatest created time
   over ``[t - ttl, t]`` comes from running maxima over tumbling ``ttl``-wide
   stretches, read by the entity row and by a probe at ``t - ttl``: within the
-  scan's own partitions, without a further shuffle or join.  Where keys are
-  split by time a row and its probe may lie apart; then it is a scan of its own
+  scan's own partitions, without a further shuffle or join.  Where buckets of a
+  key are dealt to different tasks a row and its probe may lie apart; then it is a scan of its own
   (see :func:`_range_created_max`), joined back on (keys, t).
 
 ``created_as_of`` (two times): a source row counts only from when it was known,
@@ -602,6 +604,8 @@ HOT_SAMPLE_ROWS = 100
 QUANTILES = 1 << 12
 # Sampled rows of a key up to which its quantiles are read off the sorted sample.
 SORTED_ROWS = 100_000
+# Keys with one such part of a task's share of the rows, or more, would make tasks uneven: their buckets are dealt apart.
+PARTS_OF_A_SHARE = 4
 _GRID = ", ".join(f"{q / QUANTILES!r}D" for q in range(1, QUANTILES))
 
 
@@ -641,8 +645,8 @@ def _kept(df: DataFrame) -> DataFrame:
 def _hot_keys(entity, entity_ts, groups, types, hot_key_rows: int | None, bounds, most: list) -> tuple[list, list]:
     """(table, tiers) of the keys to split of each scan (None: no such key); ``most``: rows of each scan where known, else None.
 
-    Keys that have a task's share of all rows of such keys, or more, are marked
-    (``_APART``): their buckets go to tasks of their own.
+    Keys that have a quarter of a task's share of all rows of such keys, or more,
+    are marked (``_APART``): their buckets go to different tasks.
     """
     spark = entity.sparkSession
     ets_type = entity.schema[entity_ts].dataType
@@ -682,7 +686,7 @@ def _hot_keys(entity, entity_ts, groups, types, hot_key_rows: int | None, bounds
     found = _kept(found)
     share = F.lit(None).cast("double")
     for r in found.groupBy(_G).agg(F.sum("n").alias("all")).collect():
-        share = F.when(F.col(_G) == r[_G], F.lit(r["all"] / spread)).otherwise(share)
+        share = F.when(F.col(_G) == r[_G], F.lit(r["all"] / (spread * PARTS_OF_A_SHARE))).otherwise(share)
     found = found.withColumn(_APART, F.col(_G).isin(keyless) | (F.col("n") >= share))
     some = {tuple(r) for r in found.select(_G, _sampled_much(), _APART).distinct().collect()}
     if not some:
@@ -1108,7 +1112,7 @@ def _with_earlier_buckets(scanned: DataFrame, together, sources, orders) -> Data
 def _bucketed(u0: DataFrame, hot: DataFrame | None, keys, sources, fcols, orders, ets_type, tiers=(False, False)) -> DataFrame:
     """Add the bucket column, and carry rows for keys whose buckets are dealt apart.
 
-    Other keys to split have less than a task's share of the rows: theirs are
+    Other keys to split are small beside a task's share of the rows: theirs are
     dealt once, by ``_J``, to one task, find their edges there and take what is
     carried from there too (:func:`_with_earlier_buckets`).
     """

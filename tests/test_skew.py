@@ -255,7 +255,7 @@ def _odd_data(spark, hottest: bool):
     """200 keys with rows at equal times, created before and after them, NULLs everywhere; key 0 with a third of all or absent."""
     ent, src = _data(spark, n=2400)
     if not hottest:
-        ent, src = (x.withColumn("k", F.when(F.col("k") == 0, F.lit(1)).otherwise(F.col("k") % 40)) for x in (ent, src))
+        ent, src = (x.withColumn("k", F.when(F.col("k") == 0, F.lit(1)).otherwise(F.col("k") % 80)) for x in (ent, src))
         ent, src = (x.filter("k != 1") for x in (ent, src))
     made = F.col("ts") + F.make_dt_interval(hours=((F.col("f") * 13) % 400 - 60).cast("int"))
     src = src.withColumn("c", F.when(F.col("f") % 11 != 0, made).cast("timestamp_ntz")).withColumn("g", F.col("f") * 31 % 97)
